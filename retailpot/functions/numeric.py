@@ -37,6 +37,12 @@ def is_blank(c: Column) -> Column:
     return c.isNull() | c.cast("string").rlike(r"^\s*$")
 
 
+def title_case(c: Column) -> Column:
+    """Upper-case every letter that follows a non-letter, lower-case the rest."""
+    pieces = F.split(c, r"(?<=[^A-Za-z])")
+    return F.array_join(F.transform(pieces, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substring(w, 2, 1 << 30)))), "")
+
+
 def scalar_struct(df: DataFrame, **aggs: Column) -> Column:
     """A one-row aggregate as a scalar-subquery struct: no join, no driver round trip."""
     return df.agg(F.struct(*[a.alias(n) for n, a in aggs.items()]).alias("s")).scalar()
