@@ -50,7 +50,7 @@ def iqr_profile(df: DataFrame, column: str, factor: float = 1.5) -> DataFrame:
 
 def holiday_month_counts(tx: DataFrame, holidays: DataFrame, kinds: Sequence[str], date: str, volume: str) -> DataFrame:
     """Monthly volume with the number of holidays per type; months without holidays get 0."""
-    h = (holidays.groupBy(F.trunc("Date", "MM").alias("month")).pivot("Holiday_Type", list(kinds)).agg(F.count("*")))
+    h = (holidays.groupBy(F.trunc("Date", "MM").alias("month")).pivot("Holiday_Type", list(kinds)).agg(F.count(F.lit(1))))
     v = tx.groupBy(F.trunc(date, "MM").alias("month")).agg(F.sum(volume).alias("volume"))
     return v.join(h, "month", "left").select("month", F.coalesce("volume", F.lit(0.0)).alias("volume"),
                                              *[F.coalesce(F.col(f"`{k}`"), F.lit(0)).alias(k) for k in kinds])
