@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EARTH_KM = 6371.0
@@ -22,17 +22,28 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     return F.lit(2 * EARTH_KM) * F.asin(F.sqrt(F.least(a, F.lit(1.0))))
 
 
-def geodesic_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
-    """Ellipsoid distance in metres, Lambert's formula for short lines on WGS-84."""
-    b1 = F.atan(F.lit(1 - WGS84_F) * F.tan(F.radians(lat1)))
-    b2 = F.atan(F.lit(1 - WGS84_F) * F.tan(F.radians(lat2)))
-    s_lat, s_lon = F.sin((b2 - b1) / 2), F.sin(F.radians(lon2 - lon1) / 2)
-    h = s_lat * s_lat + F.cos(b1) * F.cos(b2) * s_lon * s_lon
-    sigma = F.lit(2.0) * F.asin(F.sqrt(F.least(h, F.lit(1.0))))
-    p, q = (b1 + b2) / 2, (b2 - b1) / 2
-    x = (sigma - F.sin(sigma)) * F.pow(F.sin(p) * F.cos(q), F.lit(2.0)) / F.pow(F.cos(sigma / 2), F.lit(2.0))
-    y = (sigma + F.sin(sigma)) * F.pow(F.cos(p) * F.sin(q), F.lit(2.0)) / F.pow(F.sin(sigma / 2), F.lit(2.0))
-    return F.when(sigma == 0, F.lit(0.0)).otherwise(F.lit(WGS84_A) * (sigma - F.lit(WGS84_F / 2) * (x + y)))
+def reduced_latitude(lat: Column) -> Column:
+    """Latitude on the auxiliary sphere of WGS-84, in radians."""
+    return F.atan(F.lit(1 - WGS84_F) * F.tan(F.radians(lat)))
+
+
+def with_geodesic_m(df: DataFrame, name: str, beta1: str, lon1: str, beta2: str, lon2: str) -> DataFrame:
+    """Ellipsoid distance in metres by Lambert's formula for short lines.
+
+    The latitudes are given reduced, so that they are computed per point and not per pair; the angle
+    and its parts are columns of their own, so that each is computed once.
+    """
+    s_lat = F.sin((F.col(beta2) - F.col(beta1)) / 2)
+    s_lon = F.sin(F.radians(F.col(lon2) - F.col(lon1)) / 2)
+    h = s_lat * s_lat + F.cos(beta1) * F.cos(beta2) * s_lon * s_lon
+    sq = lambda c: c * c
+    mid, half = (F.col(beta1) + F.col(beta2)) / 2, (F.col(beta2) - F.col(beta1)) / 2
+    out = df.withColumn("_h", F.least(h, F.lit(1.0))).withColumns({"_sg": F.lit(2.0) * F.asin(F.sqrt("_h")), "_ss": F.lit(2.0) * F.sqrt(F.col("_h") * (1 - F.col("_h")))})
+    # sin(sigma) = 2 sqrt(h (1 - h)), cos(sigma / 2)^2 = 1 - h, sin(sigma / 2)^2 = h
+    x = (F.col("_sg") - F.col("_ss")) * sq(F.sin(mid) * F.cos(half)) / (1 - F.col("_h"))
+    y = (F.col("_sg") + F.col("_ss")) * sq(F.cos(mid) * F.sin(half)) / F.col("_h")
+    metres = F.when(F.col("_h") == 0, F.lit(0.0)).otherwise(F.lit(WGS84_A) * (F.col("_sg") - F.lit(WGS84_F / 2) * (x + y)))
+    return out.withColumn(name, metres).drop("_h", "_sg", "_ss")
 
 
 def cell(c: Column, side: float) -> Column:

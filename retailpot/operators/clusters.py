@@ -101,7 +101,7 @@ def cell_edges(core: DataFrame, cfg: Config, side: float) -> DataFrame:
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 100) -> DataFrame:
-    """(node, label) with the smallest node of each component as the label.
+    """(node, label) with the smallest node (a long) of each component as the label.
 
     Minimum-label hooking on nodes and on their labels plus pointer jumping; every round is written to
     the checkpoint folder, so lost executors cost one round. Groups are only ever reduced by ``min``.
@@ -112,14 +112,14 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 1
         lu = lab.select(F.col("node").alias("u"), F.col("label").alias("lu"))
         lv = lab.select(F.col("node").alias("v"), F.col("label").alias("lv"))
         seen = both.join(lu, "u").join(lv, "v").where("lu < lv")
-        offers = seen.select(F.explode(F.array("v", "lv")).alias("node"), F.col("lu").alias("label"))
-        hooked = lab.unionByName(offers).groupBy("node").agg(F.min("label").alias("label"))
+        offers = seen.select(F.explode(F.array("v", "lv")).alias("node"), F.col("lu").alias("label"), F.lit(None).cast("long").alias("was"))
+        hooked = (lab.select("node", "label", F.col("label").alias("was")).unionByName(offers)
+                  .groupBy("node").agg(F.min("label").alias("label"), F.max("was").alias("was")))
         jump = hooked.select(F.col("node").alias("label"), F.col("label").alias("_to"))
-        nxt = cut(hooked.join(jump, "label").select("node", F.least("label", "_to").alias("label")))
-        was = lab.select("node", F.col("label").alias("_was"))
-        if nxt.join(was, "node").where("label <> _was").isEmpty():
-            return nxt
-        lab = nxt
+        nxt = cut(hooked.join(jump, "label").select("node", F.least("label", "_to").alias("label"), "was"))
+        lab = nxt.select("node", "label")
+        if nxt.where("label <> was").isEmpty():
+            return lab
     raise RuntimeError("connected components did not settle")
 
 
@@ -133,15 +133,15 @@ def dbscan(points: DataFrame, cfg: Config) -> DataFrame:
     side = cfg.dbscan_eps_km / math.sqrt(2) / geo.KM_PER_DEGREE * 0.999
     at = cut(core_locations(locations(points, "Latitude", "Longitude"), cfg, side))
     core = at.where("core")
-    node = lambda y, x: F.struct(F.col(y).alias("y"), F.col(x).alias("x"))
-    cells = core.select(node("cy", "cx").alias("node")).distinct()
+    node = lambda y, x: F.col(y) * F.lit(1 << 32) + F.col(x)  # noqa: E731  one long per cell, |x| < 2^31
+    cells = core.select("cy", "cx", node("cy", "cx").alias("node")).distinct()
     edges = cell_edges(core, cfg, side).select(node("acy", "acx").alias("u"), node("bcy", "bcx").alias("v"))
-    comp = connected_components(cells, edges)
+    comp = connected_components(cells, edges).join(cells, "node")
     ids = points.select("Outlet_ID", F.col("Latitude").alias("lat"), F.col("Longitude").alias("lon"))
-    placed = ids.join(at, ["lat", "lon"]).withColumn("node", node("cy", "cx")).join(comp, "node", "left")
-    first = placed.where("core").groupBy("label").agg(F.min("Outlet_ID").alias("first_id"))
+    placed = ids.join(core, ["lat", "lon"]).join(comp, ["cy", "cx"])
+    first = placed.groupBy("label").agg(F.min("Outlet_ID").alias("first_id"))
     numbered = global_row_number(first, [F.col("first_id")], "_r").select("label", (F.col("_r") - 1).cast("int").alias("m"))
-    cell_label = comp.join(numbered, "label").select(F.col("node.y").alias("cy"), F.col("node.x").alias("cx"), "m")
+    cell_label = comp.join(numbered, "label").select("cy", "cx", "m")
     in_core = core.join(cell_label, ["cy", "cx"]).select("lat", "lon", "cy", "cx", "m")
     # non-core points lie in thin cells only, so each core point meets few of them
     rim = _spread(at.where("not core").select("lat", "lon", "cy", "cx"), _offsets(cfg), "ny", "nx").select(

@@ -36,23 +36,31 @@ def _require(df: DataFrame, columns: Sequence[str]) -> None:
 
 
 def duplicate_check(keys: Sequence[str], row_id: str, keep: str | bool = "first",
-                    order_by: Sequence[str] = ()) -> Check:
-    """All rows of a key but one fail; nulls are equal.
+                    order_by: Sequence[str] = (), salts: int = 64) -> Check:
+    """All rows of a key but one fail (``keep=False``: all rows of a repeated key fail); nulls are equal.
 
-    The kept row is found by a partially aggregated min/max per key and matched back on the unique
-    ``row_id``, so a key that holds a large share of the rows never lands in one task.
+    Rows are numbered within (key, salt) first; only the first of each salt is then compared within the
+    key. A key that holds a large share of the rows is thus spread over ``salts`` tasks, and the second
+    step sees at most ``salts`` rows of it.
     """
 
     def annotate(df: DataFrame) -> DataFrame:
         _require(df, [*keys, row_id])
-        order = F.struct(*order_by, row_id)
-        pick = F.max(order) if keep == "last" else F.min(order)
-        kept = df.where(F.col(REASON).isNull()).groupBy(*keys).agg(pick.alias("_k"), F.count("*").alias("_n"))
+        order = [F.col(c) for c in (*order_by, row_id)]
+        order = [c.desc() for c in order] if keep == "last" else order
+        dead = F.col(REASON).isNotNull()  # rows that failed before are kept apart from the living
+        salted = df.withColumn("_salt", F.pmod(F.xxhash64(row_id), F.lit(salts)))
+        near = Window.partitionBy(*keys, dead, "_salt")
+        salted = salted.withColumn("_rn", F.row_number().over(near.orderBy(*order)))
         if keep is False:
-            kept = kept.where("_n = 1")
-        kept = kept.select(F.col(f"_k.{row_id}").alias(row_id), F.lit(True).alias("_kept"))
-        return (df.join(kept, row_id, "left")
-                .withColumn("_reason", F.when(F.col("_kept").isNull(), F.lit("duplicate_record"))).drop("_kept"))
+            salted = salted.withColumn("_n", F.count("*").over(near))
+        far = Window.partitionBy(*keys, dead, F.when(F.col("_rn") > 1, F.col("_salt")))
+        single = F.row_number().over(far.orderBy(*order)) == 1
+        if keep is False:
+            single = F.sum("_n").over(far) == 1
+        first = (F.col("_rn") == 1) & F.col("_single")
+        return (salted.withColumn("_single", single).withColumn("_reason", F.when(~first, F.lit("duplicate_record")))
+                .drop("_salt", "_rn", "_n", "_single"))
 
     return Check("duplicate_check", annotate)
 
@@ -132,12 +140,24 @@ class CheckRun:
     def failed(self) -> DataFrame:
         return self.annotated.where(F.col(REASON).isNotNull()).drop(CHECK)
 
-    def report(self) -> DataFrame:
-        """One row per check: rows seen, passed, quarantined and the distinct reasons."""
+    def reason_counts(self) -> DataFrame:
+        """(check, reason, rows), one row per distinct reason."""
+        return (self.annotated.where(F.col(REASON).isNotNull()).groupBy(CHECK, REASON).agg(F.count("*").alias("n")))
+
+    def report(self, max_reasons: int = 10_000) -> DataFrame:
+        """One row per check: rows seen, passed, quarantined and the distinct reasons joined by commas.
+
+        Reasons carry values, so their number can grow with the data. A check with more than
+        ``max_reasons`` of them lists the reasons without values; ``reason_counts`` has every one.
+        """
         spark = self.annotated.sparkSession
         checks = spark.createDataFrame(list(enumerate(self.names)), "_check int, check_name string")
-        reasons = (self.annotated.where(F.col(REASON).isNotNull()).groupBy(CHECK, REASON).agg(F.count("*").alias("n"))
-                   .groupBy(CHECK).agg(F.sum("n").alias("bad"), F.array_join(F.array_sort(F.collect_set(REASON)), ", ").alias("failure_reasons")))
+        counts = self.reason_counts()
+        many = counts.groupBy(CHECK).agg(F.count("*").alias("_d"))
+        base = F.regexp_replace(REASON, r"(?s):(value|found)=.*$", "")
+        listed = F.when(F.col("_d") > max_reasons, base).otherwise(F.col(REASON))
+        reasons = (counts.join(many, CHECK).groupBy(CHECK, listed.alias("_text")).agg(F.sum("n").alias("n"))
+                   .groupBy(CHECK).agg(F.sum("n").alias("bad"), F.array_join(F.array_sort(F.collect_set("_text")), ", ").alias("failure_reasons")))
         total = self.annotated.agg(F.count("*")).scalar()
         earlier = Window.orderBy(CHECK).rowsBetween(Window.unboundedPreceding, -1)  # one row per check
         bad = F.coalesce(F.col("bad"), F.lit(0))

@@ -15,8 +15,9 @@ BLOCK = 1 << 16
 def global_row_number(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     """``row_number()`` over the whole frame under a total ``order``.
 
-    Up to a block of rows is numbered in one window. Beyond that, rows are range-partitioned by the order and written out once, so that the ranges stay fixed; each
-    range is numbered on its own and shifted by the sizes of the ranges before it.
+    Up to a block of rows is numbered in one window. Beyond that, rows are range-partitioned by the
+    order and written out once, so that the ranges stay fixed; each range is numbered on its own and
+    shifted by the sizes of the ranges before it.
     """
     if df.count() <= BLOCK:
         return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long"))

@@ -1,14 +1,15 @@
 """Monthly sales features per outlet.
 
 The series of an outlet is dense by definition (every month of the data span, missing months 0), but
-it is never densified here: after one aggregation to (outlet, month) and one to outlet, all features
-follow from the non-zero months in closed form. That is one small shuffle instead of a grid that is
-months times as large. ``dense_month_grid`` is still there for callers who want the rows.
+it is never densified here: after the aggregation to (outlet, month) every feature is a plain sum,
+count or maximum over the months that have rows, with the empty months accounted for in closed form.
+An outlet has at most one row per month by then, so a busy outlet is no heavier than a quiet one.
+``dense_month_grid`` is still there for callers who want the rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from retailpot.functions.numeric import scalar_struct
@@ -55,19 +56,45 @@ def dense_month_grid(monthly: DataFrame, span: Column) -> DataFrame:
 
 
 def series(monthly: DataFrame, span: Column) -> DataFrame:
-    """One row per outlet: ``s`` = its months as sorted (i, v) with i counted from the span start, ``n`` months.
+    """One row per outlet with the sums that all features follow from.
 
-    The array holds at most one entry per month of the span.
+    ``n`` months in the span, ``m`` of them with rows; ``i`` counts months from the span start. Order
+    statistics of the zero-filled series come from a descending rank that leaves room for the zeros.
     """
-    lo, hi = span.getField("lo"), span.getField("hi")
-    entry = F.struct((month_index() - F.col("lo")).alias("i"), F.col("monthly_volume").cast("double").alias("v"))
-    # the span rides along as a grouping column: lambdas may not hold scalar subqueries
-    return (monthly.withColumns({"lo": lo, "n": hi - lo + 1}).groupBy("Outlet_ID", "n", "lo")
-            .agg(F.array_sort(F.collect_list(entry)).alias("s")))
-
-
-def _total(f) -> Column:
-    return F.aggregate("s", F.lit(0.0), lambda acc, e: acc + f(e))
+    base = monthly.select("Outlet_ID", F.col("monthly_volume").cast("double").alias("v"), (month_index() - span.getField("lo")).alias("i"),
+                          span.getField("lo").alias("lo"), (span.getField("hi") - span.getField("lo") + 1).alias("n"))
+    outlet = Window.partitionBy("Outlet_ID")  # at most n rows each
+    earlier = outlet.orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
+    v, i, n = F.col("v"), F.col("i"), F.col("n")
+    rows = base.withColumns({
+        "before": F.coalesce(F.max(F.when(v != 0, i)).over(earlier), F.lit(-1)),
+        "down": F.row_number().over(outlet.orderBy(v.desc(), i)) + F.when(v < 0, n - F.count("*").over(outlet)).otherwise(F.lit(0)),
+    })
+    month, year_of = F.col("lo") + i, lambda x: F.floor(x / 12)
+    january = month % 12 == 0
+    last = F.col("lo") + n - 1
+
+    def when_sum(cond: Column, x: Column) -> Column:
+        return F.sum(F.when(cond, x).otherwise(F.lit(0.0)))
+
+    def ema_sum(span_months: int) -> Column:
+        alpha = 2.0 / (span_months + 1)
+        return F.sum(v * F.pow(F.lit(1 - alpha), n - 1 - i) * F.when(i == 0, F.lit(1.0)).otherwise(F.lit(alpha)))
+
+    def ranked(p: float, shift: int) -> Column:
+        """Value at sorted position floor(p (n - 1)) + shift, counted from the top; 0 where a zero stands."""
+        k = F.least(F.floor(F.lit(p) * (n - 1)) + shift, n - 1)
+        return F.coalesce(F.max(F.when(F.col("down") == n - k, v)), F.lit(0.0))
+
+    return rows.groupBy("Outlet_ID").agg(
+        F.max("lo").alias("lo"), F.max("n").alias("n"), F.count("*").alias("m"), F.sum("v").alias("total"), F.max("v").alias("top"),
+        (F.var_pop("v") * F.count("*")).alias("m2"), F.count_if(v > 0).cast("int").alias("active"), F.max(F.when(v > 0, i)).alias("last_active"),
+        F.max(F.when(v != 0, i)).alias("last_used"), F.max(F.when(v != 0, i - F.col("before") - 1)).alias("gap"),
+        when_sum(january, v).alias("jan_total"), F.max(F.when(january, v)).alias("jan_top"), F.count_if(january).alias("jan_rows"),
+        F.count_if(january & (v > 0)).cast("int").alias("jan_active"), when_sum(i >= n - 3, v).alias("recent_total"), F.sum(v * i).alias("siv"),
+        when_sum(year_of(month) == year_of(F.col("lo")), v).alias("first_year"), when_sum(year_of(month) == year_of(last), v).alias("last_year"),
+        ema_sum(3).alias("ema_3"), ema_sum(6).alias("ema_6"),
+        *[ranked(p, d).alias(f"q{round(p * 100)}_{d}") for p in (0.90, 0.75) for d in (0, 1)])
 
 
 def _n() -> Column:
@@ -75,14 +102,13 @@ def _n() -> Column:
 
 
 def hist_stats() -> dict[str, Column]:
-    n, zeros = _n(), _n() - F.size("s")
-    total = _total(lambda e: e.v)
-    mean = total / n
-    spread = _total(lambda e: (e.v - mean) * (e.v - mean)) + zeros * mean * mean
-    top = F.array_max(F.transform("s", lambda e: e.v))
+    n, m, total = _n(), F.col("m"), F.col("total")
+    zeros = n - m
+    # squared deviations of the months with rows, joined with those of the empty months
+    spread = F.col("m2") + (total / m) * (total / m) * m * zeros / n
     return {
-        "hist_max_monthly": F.when(zeros > 0, F.greatest(top, F.lit(0.0))).otherwise(top),
-        "hist_mean_monthly": mean,
+        "hist_max_monthly": F.when(zeros > 0, F.greatest("top", F.lit(0.0))).otherwise(F.col("top")),
+        "hist_mean_monthly": total / n,
         "hist_std_monthly": F.when(n > 1, F.sqrt(spread / (n - 1))).otherwise(F.lit(0.0)),
         "total_volume": total,
     }
@@ -90,13 +116,10 @@ def hist_stats() -> dict[str, Column]:
 
 def hist_quantiles() -> dict[str, Column]:
     """Exact P90 and P75 of the zero-filled series, linear interpolation."""
-    full = F.array_sort(F.concat(F.transform("s", lambda e: e.v), F.array_repeat(F.lit(0.0), F.col("n") - F.size("s"))))
-
     def at(p: float) -> Column:
         pos = F.lit(p) * (_n() - 1)
-        below = F.floor(pos).cast("int")
-        a, b = F.get(full, below), F.get(full, F.least(below + 1, F.col("n") - 1))
-        return a + (b - a) * (pos - below)
+        a, b = F.col(f"q{round(p * 100)}_0"), F.col(f"q{round(p * 100)}_1")
+        return a + (b - a) * (pos - F.floor(pos))
 
     return {"hist_p90_monthly": at(0.90), "hist_p75_monthly": at(0.75)}
 
@@ -107,71 +130,58 @@ def hist_cv() -> dict[str, Column]:
 
 
 def active_months() -> dict[str, Column]:
-    active = F.size(F.filter("s", lambda e: e.v > 0))
-    return {"active_months": active, "active_months_pct": active / _n()}
+    return {"active_months": F.col("active"), "active_months_pct": F.col("active") / _n()}
 
 
 def january_features() -> dict[str, Column]:
     """Januaries only; the mean counts empty Januaries, the count does not."""
     last = F.col("lo") + F.col("n") - 1
     januaries = F.floor(last / 12) - F.floor((F.col("lo") - 1) / 12)
-    jan = F.filter("s", lambda e: (F.col("lo") + e.i) % 12 == 0)
-    total = F.aggregate(jan, F.lit(0.0), lambda acc, e: acc + e.v)
-    top = F.coalesce(F.array_max(F.transform(jan, lambda e: e.v)), F.lit(0.0))
+    top = F.coalesce("jan_top", F.lit(0.0))
     return {
-        "jan_avg_volume": F.when(januaries > 0, total / januaries).otherwise(F.lit(0.0)),
-        "jan_max_volume": F.when(F.size(jan) < januaries, F.greatest(top, F.lit(0.0))).otherwise(top),
-        "jan_count": F.size(F.filter(jan, lambda e: e.v > 0)),
+        "jan_avg_volume": F.when(januaries > 0, F.col("jan_total") / januaries).otherwise(F.lit(0.0)),
+        "jan_max_volume": F.when(F.col("jan_rows") < januaries, F.greatest(top, F.lit(0.0))).otherwise(top),
+        "jan_count": F.col("jan_active"),
     }
 
 
 def max_zero_run() -> dict[str, Column]:
-    """Longest run of empty months: the widest gap between non-zero months, ends included."""
-    at = F.concat(F.array(F.lit(-1)), F.transform(F.filter("s", lambda e: e.v != 0), lambda e: e.i), F.array(F.col("n")))
-    gaps = F.zip_with(at, F.slice(at, 2, F.size(at) - 1), lambda a, b: b - a - 1)  # last pairs with null
-    return {"consecutive_zero_months_max": F.array_max(gaps)}
+    """Longest run of empty months: the widest gap between used months, both ends included."""
+    tail = F.col("n") - 1 - F.coalesce("last_used", F.lit(-1))
+    return {"consecutive_zero_months_max": F.greatest(F.coalesce("gap", F.lit(0)), tail)}
 
 
 def months_since_last() -> dict[str, Column]:
-    last = F.array_max(F.transform(F.filter("s", lambda e: e.v > 0), lambda e: e.i))
-    return {"months_since_last_order": F.coalesce(F.col("n") - 1 - last, F.col("n"))}
+    return {"months_since_last_order": F.coalesce(F.col("n") - 1 - F.col("last_active"), F.col("n"))}
 
 
 def recent_3m_avg() -> dict[str, Column]:
-    return {"recent_3m_avg": _total(lambda e: F.when(e.i >= F.col("n") - 3, e.v).otherwise(F.lit(0.0))) / F.least(_n(), F.lit(3.0))}
+    return {"recent_3m_avg": F.col("recent_total") / F.least(_n(), F.lit(3.0))}
 
 
 def trend_slope() -> dict[str, Column]:
     """Least-squares slope over the month index; null below six months."""
     n = _n()
     sx, sxx = n * (n - 1) / 2, n * (n - 1) * (2 * n - 1) / 6
-    slope = (n * _total(lambda e: e.v * e.i) - sx * _total(lambda e: e.v)) / (n * sxx - sx * sx)
-    return {"trend_slope": F.when(n >= 6, slope)}
+    return {"trend_slope": F.when(n >= 6, (n * F.col("siv") - sx * F.col("total")) / (n * sxx - sx * sx))}
 
 
 def yoy_growth() -> dict[str, Column]:
     """Last-year mean against first-year mean; null with one year only or an empty first year."""
     lo, hi = F.col("lo"), F.col("lo") + F.col("n") - 1
-    first_end, last_start = (F.floor(lo / 12) + 1) * 12 - 1, F.floor(hi / 12) * 12
-    first = _total(lambda e: F.when(lo + e.i <= first_end, e.v).otherwise(F.lit(0.0))) / (first_end - lo + 1)
-    last = _total(lambda e: F.when(lo + e.i >= last_start, e.v).otherwise(F.lit(0.0))) / (hi - last_start + 1)
-    return {"yoy_growth_rate": F.when((last_start > first_end) & (first != 0), (last - first) / first)}
-
-
-def ema(span: int, name: str) -> dict[str, Column]:
-    """Last value of the exponential moving average without adjustment."""
-    alpha = 2.0 / (span + 1)
-    keep = F.lit(1 - alpha)
+    first_months, last_months = (F.floor(lo / 12) + 1) * 12 - lo, hi - F.floor(hi / 12) * 12 + 1
+    first, last = F.col("first_year") / first_months, F.col("last_year") / last_months
+    return {"yoy_growth_rate": F.when((F.floor(hi / 12) > F.floor(lo / 12)) & (first != 0), (last - first) / first)}
 
-    def weight(i: Column) -> Column:
-        return F.pow(keep, F.col("n") - 1 - i) * F.when(i == 0, F.lit(1.0)).otherwise(F.lit(alpha))
 
-    return {name: _total(lambda e: e.v * weight(e.i))}
+def ema() -> dict[str, Column]:
+    """Last value of the exponential moving averages of span 3 and 6, without adjustment."""
+    return {"ema_3m": F.col("ema_3"), "ema_6m": F.col("ema_6")}
 
 
 def all_series_features() -> dict[str, Column]:
     return {**hist_stats(), **hist_quantiles(), **hist_cv(), **january_features(), **active_months(), **max_zero_run(),
-            **months_since_last(), **recent_3m_avg(), **trend_slope(), **yoy_growth(), **ema(3, "ema_3m"), **ema(6, "ema_6m")}
+            **months_since_last(), **recent_3m_avg(), **trend_slope(), **yoy_growth(), **ema()}
 
 
 def distributor_counts(tx: DataFrame) -> DataFrame:

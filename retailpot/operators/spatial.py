@@ -1,15 +1,17 @@
 """Distance joins and the features built on them.
 
-Points are first collapsed to distinct locations with a weight, so copies of one location cost
-nothing. Locations fall into small tiles; pairs of tiles (matched by a coarse cell and its eight
-neighbours) are compared by their bounding boxes first. A tile pair that lies wholly inside a radius
-contributes its weight without looking at points, one wholly outside is dropped, and only the rest
-is compared point by point, with crowded tiles split over several tasks by a salt.
+Points are first collapsed to distinct locations with weights, so copies of one location cost nothing.
+Locations fall into grid cells a little wider than the radius, and each cell is cut into tiles, the
+finer the more locations it holds. Tiles of neighbouring cells are compared by their bounding boxes: a
+pair of tiles wholly inside a radius contributes its weight without looking at points, one wholly
+outside is dropped, and only the rest is compared point by point, with crowded tiles spread over
+several tasks by a salt.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+import math
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,20 +22,16 @@ from retailpot.functions.numeric import half_even, with_min_max
 from retailpot.operators.quantiles import scalar_quantiles
 from retailpot.session import cut
 
-TILES_PER_CELL = 8
+LOCATIONS_PER_TILE = 32
+MAX_SPLIT = 256  # tiles per cell side
 LOCATIONS_PER_SALT = 2_000
-METRICS: dict[str, tuple[Callable, float]] = {
-    # distance in km and the relative slack that box bounds need to hold for it
-    "haversine": (geo.haversine_km, 1e-9),
-    "geodesic": (lambda *a: geo.geodesic_m(*a) / F.lit(1000.0), 0.007),
-}
+# relative slack that box bounds on the sphere need in order to hold for a metric
+SLACK = {"haversine": 1e-9, "geodesic": 0.007}
 BOX = ("lat0", "lat1", "lon0", "lon1")
 
 
 def cell_sides(radius_km: float, cfg: Config) -> tuple[float, float]:
     """Cell height and width in degrees, at least ``radius_km`` anywhere within the bounds."""
-    import math
-
     b = cfg.bounds
     # a point of the other side may lie up to one radius beyond the bounds
     far = max(abs(b.lat_min), abs(b.lat_max)) + 2 * radius_km / geo.KM_PER_DEGREE
@@ -41,85 +39,94 @@ def cell_sides(radius_km: float, cfg: Config) -> tuple[float, float]:
     return side, side / math.cos(math.radians(far))
 
 
-def _tiled(df: DataFrame, radius_km: float, cfg: Config) -> DataFrame:
-    h, w = cell_sides(radius_km, cfg)
-    k = TILES_PER_CELL
-    return df.withColumns({"ty": geo.cell(F.col("lat"), h / k), "tx": geo.cell(F.col("lon"), w / k)})
+def locations(df: DataFrame, lat: str, lon: str, by: Sequence[str] = (), weights: Mapping[str, Column] | None = None) -> DataFrame:
+    """Distinct (lat, lon[, by]) with one summed weight column per name; by default ``w`` = number of rows."""
+    sums = {"w": F.count("*")} if weights is None else {n: F.sum(x) for n, x in weights.items()}
+    return (df.withColumns({"lat": F.col(lat).cast("double"), "lon": F.col(lon).cast("double")})
+            .where("lat is not null and lon is not null").groupBy("lat", "lon", *by).agg(*[x.alias(n) for n, x in sums.items()]))
 
 
-def locations(df: DataFrame, lat: str, lon: str, by: Sequence[str] = ()) -> DataFrame:
-    """Distinct (lat, lon[, by]) with the number of rows there as ``w``."""
-    return (df.select(F.col(lat).cast("double").alias("lat"), F.col(lon).cast("double").alias("lon"), *by)
-            .where("lat is not null and lon is not null").groupBy("lat", "lon", *by).agg(F.count("*").alias("w")))
+def _tiled(df: DataFrame, radius_km: float, cfg: Config) -> DataFrame:
+    """Adds the cell (cy, cx) and the tile within it (ty, tx); crowded cells get finer tiles."""
+    h, w = cell_sides(radius_km, cfg)
+    at = df.withColumns({"cy": geo.cell(F.col("lat"), h), "cx": geo.cell(F.col("lon"), w)})
+    split = F.least(F.ceil(F.sqrt(F.count("*") / F.lit(float(LOCATIONS_PER_TILE)))), F.lit(MAX_SPLIT))
+    sizes = at.groupBy("cy", "cx").agg(split.cast("int").alias("_k"))
+    part = lambda c, side, cell: F.floor((F.col(c) / F.lit(side) - F.col(cell)) * F.col("_k")).cast("int")
+    return at.join(sizes, ["cy", "cx"]).withColumns({"ty": part("lat", h, "cy"), "tx": part("lon", w, "cx")}).drop("_k")
 
 
-def _tiles(locs: DataFrame, by: Sequence[str], side: str) -> DataFrame:
+def _tiles(locs: DataFrame, by: Sequence[str], side: str, weights: Sequence[str]) -> DataFrame:
+    """Bounding box, number of locations and summed weights per tile; columns prefixed by ``side``."""
     box = [F.min("lat").alias(f"{side}lat0"), F.max("lat").alias(f"{side}lat1"),
            F.min("lon").alias(f"{side}lon0"), F.max("lon").alias(f"{side}lon1")]
-    return locs.groupBy(F.col("ty").alias(f"{side}ty"), F.col("tx").alias(f"{side}tx"), *by).agg(
-        *box, F.sum("w").alias(f"{side}w"), F.count("*").alias(f"{side}n"))
+    return locs.groupBy(*[F.col(x).alias(side + x) for x in ("cy", "cx", "ty", "tx")], *by).agg(
+        *box, F.count("*").alias(f"{side}n"), *[F.sum(w).alias(f"{side}_{w}") for w in weights])
 
 
-def tile_pairs(left: DataFrame, right: DataFrame, radius_km: float, cfg: Config, by: Sequence[str], slack: float) -> DataFrame:
+A_TILE, B_TILE = ["acy", "acx", "aty", "atx"], ["bcy", "bcx", "bty", "btx"]
+
+
+def tile_pairs(left: DataFrame, right: DataFrame, radius_km: float, by: Sequence[str], weights: Sequence[str], slack: float) -> DataFrame:
     """Pairs of a left and a right tile that may hold points within the radius, with box bounds (near, far)."""
-    k = TILES_PER_CELL
-    a = _tiles(left, [], "a").withColumns({"cy": F.floor(F.col("aty") / k), "cx": F.floor(F.col("atx") / k)})
-    step = F.array(F.lit(-1), F.lit(0), F.lit(1))
-    b = (_tiles(right, by, "b").withColumn("_dy", F.explode(step)).withColumn("_dx", F.explode(step))
-         .withColumns({"cy": F.floor(F.col("bty") / k) + F.col("_dy"), "cx": F.floor(F.col("btx") / k) + F.col("_dx")})
-         .drop("_dy", "_dx"))
-    near, far = geo.box_bounds_km({c: F.col(f"a{c}") for c in BOX}, {c: F.col(f"b{c}") for c in BOX}, slack)
-    return (a.join(b, ["cy", "cx"]).withColumns({"near": near, "far": far}).where(F.col("near") <= radius_km)
-            .select("aty", "atx", "bty", "btx", *by, "an", "bw", "near", "far"))
-
-
-def point_pairs(left: DataFrame, right: DataFrame, pairs: DataFrame, metric: Callable, by: Sequence[str],
-                carry: Sequence[str] = ()) -> DataFrame:
-    """Point-level distances of the given tile pairs; crowded left tiles are spread by a salt."""
+    a = _tiles(left, [], "a", [])
+    around = F.explode(F.array(*[F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx")) for dy in (-1, 0, 1) for dx in (-1, 0, 1)]))
+    b = (_tiles(right, by, "b", weights).withColumn("_o", around)
+         .withColumns({"acy": F.col("bcy") + F.col("_o.dy"), "acx": F.col("bcx") + F.col("_o.dx")}).drop("_o"))
+    near, far = geo.box_bounds_km({x: F.col(f"a{x}") for x in BOX}, {x: F.col(f"b{x}") for x in BOX}, slack)
+    joined = a.join(b, ["acy", "acx"]).withColumn("near", near).where(F.col("near") <= radius_km).withColumn("far", far)
+    return joined.select(*A_TILE, *B_TILE, *by, "an", *[f"b_{w}" for w in weights], "near", "far")
+
+
+def point_pairs(left: DataFrame, right: DataFrame, pairs: DataFrame, metric: str, by: Sequence[str],
+                weights: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
+    """Distances ``km`` between the locations of the given tile pairs; crowded left tiles are spread by a salt."""
     n_salt = lambda n: F.ceil(n / F.lit(LOCATIONS_PER_SALT)).cast("int")
-    crowd = _tiles(left, [], "a").select(F.col("aty").alias("ty"), F.col("atx").alias("tx"), n_salt(F.col("an")).alias("_m"))
-    a = (left.join(crowd, ["ty", "tx"])
-         .withColumn("_salt", F.pmod(F.xxhash64("lat", "lon"), F.col("_m")).cast("int"))
-         .select(F.col("ty").alias("aty"), F.col("tx").alias("atx"), F.col("lat").alias("a_lat"), F.col("lon").alias("a_lon"), "_salt"))
-    b = right.select(F.col("ty").alias("bty"), F.col("tx").alias("btx"), *by,
-                     F.col("lat").alias("b_lat"), F.col("lon").alias("b_lon"), F.col("w").alias("b_w"))
-    p = pairs.withColumn("_salt", F.explode(F.sequence(F.lit(0), n_salt(F.col("an")) - 1))).select(
-        "aty", "atx", "bty", "btx", *by, "_salt", *carry)
-    d = metric(F.col("a_lat"), F.col("a_lon"), F.col("b_lat"), F.col("b_lon"))
-    return (p.join(b, ["bty", "btx", *by]).join(a, ["aty", "atx", "_salt"])
-            .select("a_lat", "a_lon", *by, "b_lat", "b_lon", "b_w", *carry, d.alias("km")))
+    beta = (lambda df: df.withColumn("beta", geo.reduced_latitude(F.col("lat")))) if metric == "geodesic" else (lambda df: df.withColumn("beta", F.cos(F.radians("lat"))))
+    crowd = _tiles(left, [], "a", []).select(*A_TILE, n_salt(F.col("an")).alias("_m"))
+    a = beta(left).select(*[F.col(x[1:]).alias(x) for x in A_TILE], F.col("lat").alias("a_lat"), F.col("lon").alias("a_lon"), F.col("beta").alias("a_beta"))
+    a = a.join(crowd, A_TILE).withColumn("_salt", F.pmod(F.xxhash64("a_lat", "a_lon"), F.col("_m")).cast("int")).drop("_m")
+    b = beta(right).select(*[F.col(x[1:]).alias(x) for x in B_TILE], *by, F.col("lat").alias("b_lat"), F.col("lon").alias("b_lon"),
+                           F.col("beta").alias("b_beta"), *[F.col(w).alias(f"b_{w}") for w in weights])
+    p = pairs.withColumn("_salt", F.explode(F.sequence(F.lit(0), n_salt(F.col("an")) - 1))).select(*A_TILE, *B_TILE, *by, "_salt", *carry)
+    out = p.join(b, [*B_TILE, *by]).join(a, [*A_TILE, "_salt"])
+    if metric == "geodesic":
+        out = geo.with_geodesic_m(out, "m", "a_beta", "a_lon", "b_beta", "b_lon").withColumn("km", F.col("m") / F.lit(1000.0))
+    else:  # the cosines of the latitudes are at hand
+        s_lat, s_lon = F.sin(F.radians(F.col("b_lat") - F.col("a_lat")) / 2), F.sin(F.radians(F.col("b_lon") - F.col("a_lon")) / 2)
+        h = s_lat * s_lat + F.col("a_beta") * F.col("b_beta") * s_lon * s_lon
+        out = out.withColumn("km", F.lit(2 * geo.EARTH_KM) * F.asin(F.sqrt(F.least(h, F.lit(1.0)))))
+    return out.select("a_lat", "a_lon", *by, "b_lat", "b_lon", *[f"b_{w}" for w in weights], *carry, "km")
 
 
 def radius_counts(left: DataFrame, right: DataFrame, radii_km: Sequence[float], cfg: Config,
-                  by: Sequence[str] = (), metric: str = "haversine") -> DataFrame:
-    """Weight of right locations within each radius of every left location: (lat, lon, by, c0, c1, ...).
+                  weights: Sequence[str] = ("w",), metric: str = "haversine") -> DataFrame:
+    """Right weights within each radius of every left location: (lat, lon, ``{weight}_{radius number}``...).
 
     Both inputs are ``locations`` frames. Locations without any neighbour are absent.
     """
-    distance, slack = METRICS[metric]
-    reach, by = max(radii_km), list(by)
+    reach = max(radii_km)
     a, b = _tiled(left, reach, cfg), _tiled(right, reach, cfg)
-    pairs = tile_pairs(a, b, reach, cfg, by, slack)
-    whole = [F.sum(F.when(F.col("far") <= r, F.col("bw")).otherwise(F.lit(0))).alias(f"c{i}") for i, r in enumerate(radii_km)]
-    inside = pairs.groupBy("aty", "atx", *by).agg(*whole)
-    per_tile = (a.select("lat", "lon", F.col("ty").alias("aty"), F.col("tx").alias("atx")).join(inside, ["aty", "atx"])
-                .select("lat", "lon", *by, *[f"c{i}" for i in range(len(radii_km))]))
+    pairs = tile_pairs(a, b, reach, (), weights, SLACK[metric])
+    slots = [(f"{w}_{i}", f"b_{w}", r) for w in weights for i, r in enumerate(radii_km)]
+    zero = F.lit(0)
+    inside = pairs.groupBy(*A_TILE).agg(*[F.sum(F.when(F.col("far") <= r, F.col(bw)).otherwise(zero)).alias(n) for n, bw, r in slots])
+    per_tile = (a.select("lat", "lon", *[F.col(x[1:]).alias(x) for x in A_TILE]).join(inside, A_TILE)
+                .select("lat", "lon", *[n for n, _, _ in slots]))
     open_ = lambda r: (F.col("near") <= r) & (F.col("far") > r)
-    undecided = pairs.where(F.greatest(*[open_(r).cast("int") for r in radii_km]) == 1)
-    exact = point_pairs(a, b, undecided, distance, by, ["near", "far"])
-    part = [F.sum(F.when(open_(r) & (F.col("km") <= r), F.col("b_w")).otherwise(F.lit(0))).alias(f"c{i}") for i, r in enumerate(radii_km)]
-    per_point = exact.groupBy(F.col("a_lat").alias("lat"), F.col("a_lon").alias("lon"), *by).agg(*part)
-    total = [F.sum(f"c{i}").alias(f"c{i}") for i in range(len(radii_km))]
-    return per_tile.unionByName(per_point).groupBy("lat", "lon", *by).agg(*total)
+    undecided = pairs.where(F.greatest(*[open_(r).cast("int") for r in radii_km], F.lit(0)) == 1)
+    exact = point_pairs(a, b, undecided, metric, (), weights, ["near", "far"])
+    part = [F.sum(F.when(open_(r) & (F.col("km") <= r), F.col(bw)).otherwise(zero)).alias(n) for n, bw, r in slots]
+    per_point = exact.groupBy(F.col("a_lat").alias("lat"), F.col("a_lon").alias("lon")).agg(*part)
+    return per_tile.unionByName(per_point).groupBy("lat", "lon").agg(*[F.sum(n).alias(n) for n, _, _ in slots])
 
 
 def within_radius(left: DataFrame, right: DataFrame, radius_km: float, cfg: Config, by: Sequence[str] = (),
-                  metric: str = "haversine") -> DataFrame:
-    """All location pairs within the radius with their distance ``km`` and right weight ``b_w``."""
-    distance, slack = METRICS[metric]
+                  weights: Sequence[str] = ("w",), metric: str = "haversine") -> DataFrame:
+    """All location pairs within the radius with their distance ``km`` and right weights ``b_{weight}``."""
     a, b = _tiled(left, radius_km, cfg), _tiled(right, radius_km, cfg)
-    pairs = tile_pairs(a, b, radius_km, cfg, list(by), slack)
-    return point_pairs(a, b, pairs, distance, list(by)).where(F.col("km") <= radius_km)
+    pairs = tile_pairs(a, b, radius_km, by, weights, SLACK[metric])
+    return point_pairs(a, b, pairs, metric, by, weights).where(F.col("km") <= radius_km)
 
 
 # --- points of interest ----------------------------------------------------------------------
@@ -145,18 +152,22 @@ def poi_dedup(pois: DataFrame) -> DataFrame:
     return classified(pois, GRAVITY_POI_RULES).dropDuplicates(["lat", "lon", "category"])
 
 
+def _per_category(cats: Sequence[str]) -> dict[str, Column]:
+    return {k: (F.col("category") == k).cast("long") for k in cats}
+
+
 def poi_radius_counts(points: DataFrame, outlets: DataFrame, pois: DataFrame, cfg: Config) -> DataFrame:
     """Count columns ``{category}_{radius}m`` per outlet; outlets without coordinates get 0 and a false flag."""
     cats, radii = list(FLAT_POI_RULES), cfg.radii_m
     left = locations(points, "Latitude", "Longitude")
-    right = locations(classified(pois, FLAT_POI_RULES), "lat", "lon", ["category"])
-    c = radius_counts(left, right, [r / 1000.0 for r in radii], cfg, ["category"], "geodesic")
-    names = [(f"{cat}_{r}m", cat, i) for cat in cats for i, r in enumerate(radii)]
-    wide = c.groupBy("lat", "lon").agg(*[F.sum(F.when(F.col("category") == cat, F.col(f"c{i}"))).alias(n) for n, cat, i in names])
+    right = locations(classified(pois, FLAT_POI_RULES), "lat", "lon", weights=_per_category(cats))
+    counts = radius_counts(left, right, [r / 1000.0 for r in radii], cfg, cats, "geodesic")
+    names = [(f"{cat}_{r}m", f"{cat}_{i}") for cat in cats for i, r in enumerate(radii)]
+    wide = counts.select("lat", "lon", *[F.col(x).alias(n) for n, x in names])
     at = points.select("Outlet_ID", F.col("Latitude").alias("lat"), F.col("Longitude").alias("lon"), F.lit(True).alias("_has"))
     counted = at.join(wide, ["lat", "lon"], "left").drop("lat", "lon")
     out = outlets.select("Outlet_ID").join(counted, "Outlet_ID", "left")
-    return out.select("Outlet_ID", *[F.coalesce(n, F.lit(0)).cast("int").alias(n) for n, _, _ in names],
+    return out.select("Outlet_ID", *[F.coalesce(n, F.lit(0)).cast("int").alias(n) for n, _ in names],
                       F.coalesce("_has", F.lit(False)).alias("poi_data_available"))
 
 
@@ -175,12 +186,13 @@ def poi_features(points: DataFrame, outlets: DataFrame, pois: DataFrame, cfg: Co
 
 def gravity_scores(points: DataFrame, pois: DataFrame, cfg: Config) -> DataFrame:
     """Inverse-square scores per category and the weighted raw sum, for outlets with coordinates."""
-    left, right = locations(points, "Latitude", "Longitude"), locations(poi_dedup(pois), "lat", "lon", ["category"])
-    near = within_radius(left, right, cfg.gravity_radius_km, cfg, ["category"])
-    pull = F.lit(1.0) / F.pow(F.col("km") + F.lit(cfg.decay_epsilon_km), F.lit(2.0))
     cats = list(GRAVITY_POI_RULES)
+    left = locations(points, "Latitude", "Longitude")
+    right = locations(poi_dedup(pois), "lat", "lon", weights=_per_category(cats))
+    near = within_radius(left, right, cfg.gravity_radius_km, cfg, weights=cats)
+    near = near.withColumn("pull", F.lit(1.0) / F.pow(F.col("km") + F.lit(cfg.decay_epsilon_km), F.lit(2.0)))
     sums = near.groupBy(F.col("a_lat").alias("lat"), F.col("a_lon").alias("lon")).agg(
-        *[F.sum(F.when(F.col("category") == c, pull)).alias(f"_{c}") for c in cats])
+        *[F.sum(F.col("pull") * F.col(f"b_{k}")).alias(f"_{k}") for k in cats])
     at = points.select("Outlet_ID", F.col("Latitude").alias("lat"), F.col("Longitude").alias("lon")).join(sums, ["lat", "lon"], "left")
     score = {c: F.coalesce(F.col(f"_{c}"), F.lit(0.0)) for c in cats}
     raw = sum((score[c] * F.lit(GRAVITY_WEIGHTS[c]) for c in cats), F.lit(0.0))
@@ -214,7 +226,7 @@ def competitor_counts(points: DataFrame, cfg: Config) -> DataFrame:
     c = radius_counts(locs, locs, [r / 1000.0 for r in cfg.radii_m], cfg)
     at = points.select("Outlet_ID", F.col("Latitude").alias("lat"), F.col("Longitude").alias("lon"))
     return at.join(c, ["lat", "lon"]).select(
-        "Outlet_ID", *[(F.col(f"c{i}") - 1).cast("int").alias(f"competitors_{radius_label(r)}") for i, r in enumerate(cfg.radii_m)])
+        "Outlet_ID", *[(F.col(f"w_{i}") - 1).cast("int").alias(f"competitors_{radius_label(r)}") for i, r in enumerate(cfg.radii_m)])
 
 
 def density_score(counts: DataFrame) -> DataFrame:

@@ -410,7 +410,7 @@ _sales(sales.months_since_last, "SELECT Outlet_ID, months_since_last_order FROM
 _sales(sales.recent_3m_avg, f"SELECT Outlet_ID, {sql_rnd('recent_3m_avg')} FROM g_stats", "recent_3m_avg")
 _sales(sales.trend_slope, f"SELECT Outlet_ID, {sql_rnd('trend_slope')} FROM g_stats", "trend_slope")
 _sales(sales.yoy_growth, f"SELECT Outlet_ID, {sql_rnd('yoy_growth_rate')} FROM g_yoy", "yoy_growth")
-_sales(lambda: {**sales.ema(3, "ema_3m"), **sales.ema(6, "ema_6m")}, f"SELECT Outlet_ID, {sql_rnd('ema_3m ema_6m')} FROM g_stats", "ema")
+_sales(sales.ema, f"SELECT Outlet_ID, {sql_rnd('ema_3m ema_6m')} FROM g_stats", "ema")
 
 
 @query("SELECT * FROM g_mode")
@@ -463,7 +463,8 @@ def haversine(lk):
 
 @query(f"SELECT Outlet_ID, {o.he(o.lambert('a', 'b'), 3)} AS metres {_PAIR}")
 def geodesic(lk):
-    return rnd(_outlet_poi(lk).select("Outlet_ID", geo.geodesic_m(F.col("Latitude"), F.col("Longitude"), F.col("plat"), F.col("plon")).alias("metres")), 3)
+    df = _outlet_poi(lk).withColumns({"b1": geo.reduced_latitude(F.col("Latitude")), "b2": geo.reduced_latitude(F.col("plat"))})
+    return rnd(geo.with_geodesic_m(df, "metres", "b1", "Longitude", "b2", "plon").select("Outlet_ID", "metres"), 3)
 
 
 @query("SELECT * FROM poi_counts")
