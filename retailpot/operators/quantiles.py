@@ -1,9 +1,8 @@
 """Exact quantiles with linear interpolation, safe for groups of any size.
 
-The built-in ``percentile`` keeps the values of a group in one task, so it is used only where a count
-has shown that every group is small. Beyond that size, rows are first counted per (group, value);
-groups with few distinct values still go to ``percentile`` (with frequencies), and a group with many is
-cut into value bands: the band that holds the wanted order statistic is found from band counts, and
+A group is sorted in one task only where a count has shown that every group is small. Beyond that size,
+rows are first counted per (group, value); groups with few distinct values go to the built-in
+``percentile`` with frequencies, and a group with many is cut into value bands: the band that holds the wanted order statistic is found from band counts, and
 only that band is sorted. Whole frames beyond the size go by bands as well.
 """
 
@@ -27,7 +26,7 @@ def grouped_quantiles(df: DataFrame, keys: Sequence[str], value: str | Column, p
     probs_sql = ", ".join(repr(float(p)) + "D" for p in probs)
     largest = rows.groupBy(*ks).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
     if largest <= hot_distinct:
-        return rows.groupBy(*ks).agg(F.expr(f"percentile(_v, array({probs_sql}))").alias(out), F.count("*").alias("group_rows"))
+        return _sorted_groups(rows, ks, probs, out)
     counts = rows.groupBy(*ks, "_v").agg(F.count("*").alias("_n"))
     hot = counts.groupBy(*ks).agg(F.count("*").alias("_d")).where(F.col("_d") > hot_distinct).select(*ks)
     small = (counts.join(hot, ks, "left_anti").groupBy(*ks)
@@ -36,6 +35,22 @@ def grouped_quantiles(df: DataFrame, keys: Sequence[str], value: str | Column, p
     return small.unionByName(big)
 
 
+def _sorted_groups(rows: DataFrame, ks: list[str], probs: Sequence[float], out: str) -> DataFrame:
+    """Quantiles of groups known to be small: number the values of each group and pick the two around each position."""
+    group = Window.partitionBy(*ks)
+    ranked = rows.withColumns({"_r": F.row_number().over(group.orderBy("_v")) - 1, "_t": F.count("*").over(group)})
+
+    def picked(p: float) -> Column:
+        pos = F.lit(float(p)) * (F.col("_t") - 1)
+        below = F.floor(pos)
+        a = F.max(F.when(F.col("_r") == below, F.col("_v")))
+        z = F.max(F.when(F.col("_r") == F.least(below + 1, F.col("_t") - 1), F.col("_v")))
+        frac = F.max(pos - below)
+        return F.when(frac == 0, a).otherwise(a * (1 - frac) + z * frac)
+
+    return ranked.groupBy(*ks).agg(F.array(*[picked(p) for p in probs]).alias(out), F.count("*").alias("group_rows"))
+
+
 def _banded(counts: DataFrame, ks: list[str], probs: Sequence[float], out: str, bands: int) -> DataFrame:
     span = counts.groupBy(*ks).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_n").alias("_t"))
     band = F.least(F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * F.lit(float(bands))), F.lit(bands - 1))
