@@ -152,10 +152,11 @@ class Prepared:
 # --- validation and training -----------------------------------------------------------------
 
 def regression_metrics(df: DataFrame, label: str, prediction: str, by: Sequence[str] = ()) -> DataFrame:
+    """Row count, RMSE, MAE and R2 (null for a constant label)."""
     e = F.col(prediction) - F.col(label)
     sse, n = F.sum(e * e), F.count("*")
     sst = F.sum(F.col(label) * F.col(label)) - n * F.avg(label) * F.avg(label)
-    return df.groupBy(*by).agg(n.alias("n"), F.sqrt(sse / n).alias("rmse"), F.avg(F.abs(e)).alias("mae"), (1 - sse / sst).alias("r2"))
+    return df.groupBy(*by).agg(n.alias("n"), F.sqrt(F.try_divide(sse, n)).alias("rmse"), F.avg(F.abs(e)).alias("mae"), (1 - F.try_divide(sse, sst)).alias("r2"))
 
 
 def kfold_cv(train: DataFrame, estimator: Estimator, cfg: Config) -> DataFrame:

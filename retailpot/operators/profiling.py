@@ -26,7 +26,7 @@ def negative_profile(df: DataFrame, column: str) -> DataFrame:
     qs = scalar_quantiles(neg, column, [0.25, 0.5, 0.75])
     n = df.agg(F.count("*")).scalar()
     c = F.col(column)
-    return neg.agg(F.count("*").alias("n"), (F.count("*") * 100.0 / n).alias("pct"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
+    return neg.agg(F.count("*").alias("n"), F.try_divide(F.count("*") * 100.0, n).alias("pct"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
                    F.min(c).alias("min"), F.max(c).alias("max")).withColumns({"p25": qs[0], "p50": qs[1], "p75": qs[2]})
 
 
@@ -44,7 +44,7 @@ def iqr_profile(df: DataFrame, column: str, factor: float = 1.5) -> DataFrame:
     c, iqr = F.col(column), qs[1] - qs[0]
     lo, hi = qs[0] - iqr * factor, qs[1] + iqr * factor
     out = F.count_if((c < lo) | (c > hi))
-    return df.agg(out.alias("outliers"), (out * 100.0 / F.count("*")).alias("outlier_pct")).withColumns(
+    return df.agg(out.alias("outliers"), F.try_divide(out * 100.0, F.count("*")).alias("outlier_pct")).withColumns(
         {"iqr": iqr, "lower_bound": lo, "upper_bound": hi})
 
 
@@ -91,9 +91,14 @@ def numeric_columns(df: DataFrame, leave: Sequence[str] = ()) -> list[str]:
 def target_correlation(df: DataFrame, target: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation of every numeric column with the target, highest first; constant columns are null."""
     columns = list(columns or numeric_columns(df))
-    one = df.agg(*[F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(c) for c in columns])
-    out = _unpivot(one, "feature", "correlation")
-    return out.withColumn("correlation", F.nullif("correlation", F.lit(float("nan")))).orderBy(F.col("correlation").desc_nulls_last(), "feature")
+
+    def pearson(c: str) -> Column:
+        x, y = F.col(c).cast("double"), F.col(target).cast("double")
+        x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)  # pairs only
+        return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+    one = df.agg(*[pearson(c).alias(c) for c in columns])
+    return _unpivot(one, "feature", "correlation").orderBy(F.col("correlation").desc_nulls_last(), "feature")
 
 
 def holdout_split(df: DataFrame, key: str, test_share: float = 0.2, seed: int = 42) -> DataFrame:

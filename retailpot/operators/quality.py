@@ -188,7 +188,7 @@ def quarantine_union(frames: Sequence[DataFrame]) -> DataFrame:
 def quarantine_rate(passed: DataFrame, failed: DataFrame, dataset: str, limit_pct: float = 30.0) -> DataFrame:
     """Share of rejected rows in percent and whether it is alarming."""
     both = passed.select(F.lit(0).alias("bad")).unionAll(failed.select(F.lit(1).alias("bad")))
-    rate = F.col("records_quarantined") / F.col("records_in") * 100.0
+    rate = F.coalesce(F.try_divide("records_quarantined", "records_in") * 100.0, F.lit(0.0))
     return (both.agg(F.count("*").alias("records_in"), F.coalesce(F.sum("bad"), F.lit(0)).alias("records_quarantined"))
             .select(F.lit(dataset).alias("dataset"), "records_in", "records_quarantined",
                     rate.alias("quarantine_pct"), (rate > limit_pct).alias("alarm")))
