@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from retailpot.config import DISTRIBUTORS, OUTLET_SIZES, OUTLET_TYPES, SEASON_MULTIPLIER, SIZE_BY_COOLERS, TYPE_CORRECTIONS, Config
 from retailpot.functions.numeric import literal_map, title_case
 from retailpot.operators import quality as q
-from retailpot.operators.quantiles import grouped_quantiles, scalar_quantiles
+from retailpot.operators.quantiles import scalar_quantiles, with_group_quantiles
 from retailpot.sources.ingest import ROW_ID, canonical_columns
 
 OUTLET_COLUMNS = ("Outlet_ID", "Outlet_Size", "Cooler_Count", "Outlet_Type", "size_imputed")
@@ -143,12 +143,11 @@ def transaction_checks(outlets: DataFrame, cfg: Config, distributors: Sequence[s
 def iqr_outlier_flag(df: DataFrame, cfg: Config) -> DataFrame:
     """Flag volumes above Q3 + k IQR of the outlet; outlets with few rows use the whole table's quartiles."""
     k = cfg.iqr_factor
-    per = grouped_quantiles(df, ["Outlet_ID"], "Volume_Litres", [0.25, 0.75])
     whole = scalar_quantiles(df, "Volume_Litres", [0.25, 0.75])
     limit = lambda a: a[1] + (a[1] - a[0]) * k
-    limits = per.select("Outlet_ID", F.when(F.col("group_rows") < cfg.iqr_min_rows, limit(whole)).otherwise(limit(F.col("q"))).alias("_limit"))
-    return (df.join(limits, "Outlet_ID", "left")
-            .withColumn("is_volume_outlier", F.coalesce(F.col("Volume_Litres") > F.col("_limit"), F.lit(False))).drop("_limit"))
+    above = F.col("Volume_Litres") > F.when(F.col("group_rows") < cfg.iqr_min_rows, limit(whole)).otherwise(limit(F.col("q")))
+    return (with_group_quantiles(df, ["Outlet_ID"], "Volume_Litres", [0.25, 0.75])
+            .withColumn("is_volume_outlier", F.coalesce(above, F.lit(False))).drop("q", "group_rows"))
 
 
 def blackout_months(df: DataFrame) -> DataFrame:
@@ -180,7 +179,9 @@ def check_transactions(raw: DataFrame, outlets: DataFrame, cfg: Config) -> tuple
 
 
 def finish_transactions(passed: DataFrame, cfg: Config, source: str = "transactions_history_final.csv") -> DataFrame:
-    flagged = flag_blackouts(iqr_outlier_flag(passed, cfg))
+    flagged = iqr_outlier_flag(passed, cfg)
+    # every passed row has a positive volume, so no row can lie in a month without volume: no join needed
+    flagged = flagged.withColumn("is_blackout_period", F.lit(False)) if cfg.min_volume > 0 else flag_blackouts(flagged)
     return flagged.withColumns({"Date": F.trunc("Date", "MM"), "row_source": F.lit(source)}).select(*TRANSACTION_COLUMNS)
 
 

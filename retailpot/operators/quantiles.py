@@ -24,8 +24,7 @@ def grouped_quantiles(df: DataFrame, keys: Sequence[str], value: str | Column, p
     v = F.col(value) if isinstance(value, str) else value
     rows = df.select(*ks, v.cast("double").alias("_v")).where(F.col("_v").isNotNull())
     probs_sql = ", ".join(repr(float(p)) + "D" for p in probs)
-    largest = rows.groupBy(*ks).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-    if largest <= hot_distinct:
+    if _largest(rows, ks) <= hot_distinct:
         return _sorted_groups(rows, ks, probs, out)
     counts = rows.groupBy(*ks, "_v").agg(F.count("*").alias("_n"))
     hot = counts.groupBy(*ks).agg(F.count("*").alias("_d")).where(F.col("_d") > hot_distinct).select(*ks)
@@ -35,6 +34,34 @@ def grouped_quantiles(df: DataFrame, keys: Sequence[str], value: str | Column, p
     return small.unionByName(big)
 
 
+def with_group_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], out: str = "q",
+                         hot_distinct: int = HOT_DISTINCT) -> DataFrame:
+    """Every row with the quantiles of its group (``out``) and the number of non-null values (``group_rows``).
+
+    Small groups get them from one sort of the group; otherwise the quantiles are joined on.
+    """
+    ks, v = list(keys), F.col(value)
+    if _largest(df.where(v.isNotNull()), ks) > hot_distinct:
+        return df.join(grouped_quantiles(df, ks, value, probs, out, hot_distinct), ks, "left")
+    group = Window.partitionBy(*ks)
+    ranked = df.withColumns({"_r": F.row_number().over(group.orderBy(v.asc_nulls_last())) - 1, "group_rows": F.count(v).over(group)})
+    n = F.col("group_rows")
+
+    def picked(p: float) -> Column:
+        pos = F.lit(float(p)) * (n - 1)
+        a = F.max(F.when(F.col("_r") == F.floor(pos), v)).over(group)
+        z = F.max(F.when(F.col("_r") == F.least(F.floor(pos) + 1, n - 1), v)).over(group)
+        frac = pos - F.floor(pos)
+        return F.when(frac == 0, a).otherwise(a * (1 - frac) + z * frac)
+
+    return ranked.withColumn(out, F.array(*[picked(p) for p in probs])).drop("_r")
+
+
+def _largest(rows: DataFrame, ks: list[str]) -> int:
+    """Rows of the largest group: one map-side-combined pass over the keys."""
+    return rows.groupBy(*ks).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+
+
 def _sorted_groups(rows: DataFrame, ks: list[str], probs: Sequence[float], out: str) -> DataFrame:
     """Quantiles of groups known to be small: number the values of each group and pick the two around each position."""
     group = Window.partitionBy(*ks)

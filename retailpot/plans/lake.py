@@ -31,11 +31,13 @@ def lake(spark: SparkSession, sf_dir: str, cfg: Config = fx.FIXTURE) -> Lake:
 class Lake:
     def __init__(self, spark: SparkSession, sf_dir: str, cfg: Config):
         self.spark, self.sf_dir, self.cfg = spark, sf_dir.rstrip("/"), cfg
-        tag = hashlib.sha1(self.sf_dir.encode()).hexdigest()[:8]
-        self.root = f"{shared_root(spark)}/{tag}"
+        self.root = self._make_root()
         self._ready: dict[str, str] = {}
         self._objects: dict[str, object] = {}
 
+    def _make_root(self) -> str:
+        return f"{shared_root(self.spark)}/{hashlib.sha1(self.sf_dir.encode()).hexdigest()[:8]}"
+
     # --- raw views -----------------------------------------------------------------------
     def raw(self, name: str) -> DataFrame:
         return fx.load_view(self.spark, self.sf_dir, name)

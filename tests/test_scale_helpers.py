@@ -21,6 +21,17 @@ def test_grouped_quantiles_match_numpy_on_both_paths(skewed, hot):
         assert got[k] == pytest.approx(list(np.quantile(g.v, probs)), rel=1e-12)
 
 
+@pytest.mark.parametrize("hot", [10, 10_000])
+def test_rows_get_the_quantiles_of_their_group(skewed, hot):
+    df = skewed.union(skewed.sparkSession.createDataFrame([("few", None)], "k string, v double"))
+    got = quantiles.with_group_quantiles(df, ["k"], "v", [0.25, 0.75], hot_distinct=hot)
+    seen = {r.k: (r.q, r.group_rows) for r in got.select("k", "q", "group_rows").distinct().collect()}
+    data = skewed.toPandas()
+    assert got.count() == df.count() and set(seen) == {"hot", "copies", "few"}
+    for k, g in data.groupby("k"):
+        assert seen[k][0] == pytest.approx(list(np.quantile(g.v, [0.25, 0.75]))) and seen[k][1] == len(g)
+
+
 @pytest.mark.parametrize("small", [0, 10_000])
 def test_frame_quantiles_match_numpy_on_both_paths(skewed, small):
     probs = [0.01, 0.25, 0.5, 0.99]
