@@ -12,6 +12,7 @@ from retailpot.config import DISTRIBUTOR_PROVINCE, FALLBACK_CENTROID, PROVINCE_C
 from retailpot.functions.numeric import half_even, literal_map
 from retailpot.operators.quantiles import scalar_median
 from retailpot.operators.sales import ZERO_FILLED
+from retailpot.session import cut
 
 
 def cooler_ceiling(cfg: Config) -> dict[str, Column]:
@@ -86,9 +87,10 @@ def null_policy(df: DataFrame, cfg: Config) -> DataFrame:
     fills = {"has_transaction_history": F.col("active_months") > 0,
              f"seasonality_multiplier_{label}": F.coalesce(f"seasonality_multiplier_{label}", F.lit(1.0)),
              f"seasonality_{label}": F.coalesce(f"seasonality_{label}", F.lit("Moderate"))}
-    for c in ("trend_slope", "yoy_growth_rate"):
-        if c in out.columns:
-            fills[c] = F.coalesce(F.col(c), scalar_median(df, c))
+    by_median = [c for c in ("trend_slope", "yoy_growth_rate") if c in out.columns]
+    if by_median:
+        narrow = cut(df.select(*by_median))  # the join behind it runs once for both medians
+        fills.update({c: F.coalesce(F.col(c), scalar_median(narrow, c)) for c in by_median})
     return out.withColumns(fills)
 
 

@@ -265,9 +265,15 @@ def fail_on_quarantine(run: CheckRun) -> DataFrame:
 
 # --- health ------------------------------------------------------------------------------------
 
-def pipeline_health(dataset: str, passed: DataFrame, rejected: DataFrame, base_check: str) -> DataFrame:
-    """Totals of one dataset and its per-reason counts (cut at ``:value=``) as a JSON array."""
-    reasons = (rejected.groupBy(F.substring_index(REASON, ":value=", 1).alias("reason")).agg(F.count("*").alias("n")))
+def pipeline_health(dataset: str, passed: DataFrame, rejected: DataFrame, base_check: str, max_reasons: int = 10_000) -> DataFrame:
+    """Totals of one dataset and its per-reason counts (cut at ``:value=``) as a JSON array.
+
+    Reasons of set checks name the value found; with more than ``max_reasons`` of them they are
+    counted without it, so that the array stays small.
+    """
+    counts = rejected.groupBy(F.substring_index(REASON, ":value=", 1).alias("reason")).agg(F.count("*").alias("n"))
+    short = F.when(counts.agg(F.count("*")).scalar() > max_reasons, F.substring_index("reason", ":found=", 1)).otherwise(F.col("reason"))
+    reasons = counts.groupBy(short.alias("reason")).agg(F.sum("n").alias("n"))
     total_bad = F.coalesce(F.sum("n"), F.lit(0))
     listed = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("neg"), F.col("reason"))))
     good = passed.agg(F.count("*")).scalar()

@@ -135,8 +135,13 @@ def frame_quantiles(df: DataFrame, value: str | Column, probs: Sequence[float],
 
 
 def scalar_quantiles(df: DataFrame, value: str | Column, probs: Sequence[float]) -> Column:
-    """Whole-frame quantiles as a scalar-subquery array (null for an empty frame)."""
-    return frame_quantiles(df, value, probs).scalar()
+    """Whole-frame quantiles as an array constant (null for an empty frame).
+
+    They are computed once, here: the driver reads one double per probability, and every use of the
+    result in the caller's plan is a literal.
+    """
+    row = frame_quantiles(df, value, probs).first()
+    return F.lit(None).cast("array<double>") if row is None else F.array(*[F.lit(float(x)) for x in row.q])
 
 
 def scalar_median(df: DataFrame, value: str | Column) -> Column:

@@ -111,5 +111,7 @@ def test_health_cuts_values_and_titles(spark):
     h = q.pipeline_health("d", spark.range(97), bad, "Base").first()
     assert (h.records_checked, h.records_passed, h.records_quarantined) == (100, 97, 3)
     assert h.check_details_json.startswith('[{"check_name":"Valid Out Of Range:V","passed":98,"quarantined":2,"failure_reason":"out_of_range:v"}')
+    many = q.pipeline_health("d", spark.range(1), spark.range(5).selectExpr("concat('invalid_value:c:found=', id) AS failure_reason"), "Base", max_reasons=3).first()
+    assert '"quarantined":5,"failure_reason":"invalid_value:c"' in many.check_details_json
     s = q.health_summary(spark.createDataFrame([("d", 100, 97, 3), ("e", 0, 0, 0)], "dataset string, records_checked long, records_passed long, records_quarantined long")).first()
     assert s.overall_pass_rate == 0.97 and s.average_dataset_health == pytest.approx(0.485) and not s.is_healthy
