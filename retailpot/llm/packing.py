@@ -8,7 +8,7 @@ gives in constant time per point. A sentence longer than the step gets extra cut
 
 Each task packs the rows of its own input partition as a stream, a block at a time, and carries the undecided end into the next block;
 no shuffle, no group, memory bounded by a block and one document. Sequences never span tasks; what a task has left over at its end is cut
-at powers of two where that saves more padding than the cuts cost.
+at powers of two where that saves more padding than the cuts cost, and the choice of the last cut counts that in.
 """
 
 from __future__ import annotations
@@ -48,11 +48,16 @@ def cut_points(doc_ends: np.ndarray, sentence_ends: np.ndarray, total: int, step
     return at, penalty
 
 
-def best_cuts(at: np.ndarray, penalty: np.ndarray, capacity: int = CAPACITY) -> list[int]:
-    """Positions at which the cheapest packing of the whole stream cuts, the last one included; ties take the longer sequence."""
+def best_cuts(at: np.ndarray, penalty: np.ndarray, capacity: int = CAPACITY, tail_cost=lambda length: 0) -> list[int]:
+    """Positions of the cheapest cuts of a stream whose rest behind the last cut (shorter than a sequence) costs ``tail_cost``.
+
+    Ties take the longer sequence and the later last cut.
+    """
     n = len(at)
     position, cost = at.tolist(), penalty.tolist()
+    total = position[-1]
     back, queue = [0] * n, deque([(0, 0)])  # (f[j] + P[j], j), smallest in front
+    last, least = 0, tail_cost(total) if total < capacity else None
     for i in range(1, n):
         here = position[i]
         while here - position[queue[0][1]] > capacity:
@@ -62,26 +67,32 @@ def best_cuts(at: np.ndarray, penalty: np.ndarray, capacity: int = CAPACITY) ->
         while queue and queue[-1][0] > value:
             queue.pop()
         queue.append((value, i))
-    cuts, i = [], n - 1
-    while i:
-        cuts.append(position[i])
-        i = back[i]
+        if total - here < capacity and (least is None or value - here + tail_cost(total - here) <= least):
+            last, least = i, value - here + tail_cost(total - here)
+    cuts = []
+    while last:
+        cuts.append(position[last])
+        last = back[last]
     return cuts[::-1]
 
 
 def tail_cuts(length: int, capacity: int = CAPACITY, penalty: int = FORCED_PENALTY) -> list[int]:
-    """Lengths into which a last, short sequence is cut: powers of two, largest first, while that saves padding."""
+    """Lengths into which the last ids of a stream are cut: powers of two, largest first, while that saves padding."""
     out: list[int] = []
     while length:
         power = 1 << (length.bit_length() - 1)
-        pieces = bin(length).count("1")
-        if power == length or capacity - length <= penalty * (pieces - 1):
+        if power == length or capacity - length <= penalty * (length.bit_count() - 1):
             return [*out, length]
         out.append(power)
         length -= power
     return out
 
 
+def tail_cost(length: int, capacity: int = CAPACITY, penalty: int = FORCED_PENALTY) -> int:
+    """Padding and penalties of ``tail_cuts``."""
+    return min(penalty * max(0, length.bit_count() - 1), capacity - length) if length else 0
+
+
 class Packer:
     """Packs a stream of documents; ``add`` and ``finish`` return finished pieces as columns."""
 
@@ -106,12 +117,13 @@ class Packer:
         left = np.array([n - done for _, n, done in self.docs], np.int64)
         doc_ends = np.cumsum(left)
         sentence_ends = np.flatnonzero(np.isin(ids, self.enders)) + 1
-        cuts = best_cuts(*cut_points(doc_ends, sentence_ends, len(ids)), self.capacity)
+        points = cut_points(doc_ends, sentence_ends, len(ids))
         if last:
-            start = cuts[-2] if len(cuts) > 1 else 0
-            cuts = cuts[:-1] + (start + np.cumsum(tail_cuts(cuts[-1] - start, self.capacity))).tolist()
+            cuts = best_cuts(*points, self.capacity, lambda length: tail_cost(length, self.capacity))
+            start = cuts[-1] if cuts else 0
+            cuts += (start + np.cumsum(tail_cuts(len(ids) - start, self.capacity))).tolist()
         else:
-            cuts = cuts[:-4]  # later documents may still move these
+            cuts = best_cuts(*points, self.capacity)  # the rest goes on with the next documents
         out = self._pieces(ids, doc_ends, cuts)
         done = cuts[-1] if cuts else 0
         first = int(np.searchsorted(doc_ends, done, side="right"))
