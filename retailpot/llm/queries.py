@@ -7,11 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailpot.llm import packing, token_counts
-from retailpot.llm.common import scratch, table
+from retailpot.llm import packing, sharding, token_counts
+from retailpot.llm.common import scratch, stored, table
 from retailpot.llm.tokens import tokenizer_path
 
 TOKEN_LIMIT = 2048
+N_SHARDS = 40
+
+
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    slim = table(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), sharding.digest(F.col("text")).alias("g"))
+    placed = sharding.shard(stored(slim, "sizes"), N_SHARDS)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +35,7 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_sharding": op3_sharding,
     "op4_token_counts": op4_token_counts,
     "op5_packing": op5_packing,
 }
