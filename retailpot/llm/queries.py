@@ -7,12 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailpot.llm import packing, sharding, token_counts
+from retailpot.llm import packing, quality_model, quality_rules, sharding, token_counts
 from retailpot.llm.common import scratch, stored, table
 from retailpot.llm.tokens import tokenizer_path
 
 TOKEN_LIMIT = 2048
 N_SHARDS = 40
+PREDICTED_FROM = 0.3
+
+
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality_model.fit(*quality_model.labelled_sample(docs, table(spark, sf_dir, "labels")))
+    scored = quality_model.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", quality_model.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= PREDICTED_FROM).cast("int").alias("predicted"))
 
 
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,9 +42,17 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rules = quality_rules.fit(*quality_model.labelled_sample(docs, table(spark, sf_dir, "labels")))
+    return quality_rules.judge(docs.select("doc_id", "text"), rules).drop("text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality_classifier": op2_quality_classifier,
     "op3_sharding": op3_sharding,
     "op4_token_counts": op4_token_counts,
     "op5_packing": op5_packing,
+    "op6_quality_rules": op6_quality_rules,
 }
 ORACLES: dict[str, str] = {}
