@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailpot.llm import packing, quality_model, quality_rules, sharding, token_counts
+from retailpot.llm import fingerprints, packing, quality_model, quality_rules, sharding, token_counts
 from retailpot.llm.common import scratch, stored, table
 from retailpot.llm.tokens import tokenizer_path
 
@@ -48,11 +48,16 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs.select("doc_id", "text"), rules).drop("text")
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_classifier": op2_quality_classifier,
     "op3_sharding": op3_sharding,
     "op4_token_counts": op4_token_counts,
     "op5_packing": op5_packing,
     "op6_quality_rules": op6_quality_rules,
+    "op8_fingerprints": op8_fingerprints,
 }
 ORACLES: dict[str, str] = {}
