@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailpot.llm import fingerprints, packing, quality_model, quality_rules, sharding, token_counts
+from retailpot.llm import fingerprints, ngram_join, packing, quality_model, quality_rules, sharding, token_counts
 from retailpot.llm.common import scratch, stored, table
 from retailpot.llm.tokens import tokenizer_path
 
@@ -16,6 +16,10 @@ N_SHARDS = 40
 PREDICTED_FROM = 0.3
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.components(table(spark, sf_dir, "documents"), 4, ngram_join.Threshold(85, 100))
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality_model.fit(*quality_model.labelled_sample(docs, table(spark, sf_dir, "labels")))
@@ -53,6 +57,7 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_sharding": op3_sharding,
     "op4_token_counts": op4_token_counts,
