@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailpot.llm import fingerprints, ngram_join, packing, quality_model, quality_rules, sharding, token_counts
+from retailpot.llm import fingerprints, ngram_join, packing, pii, quality_model, quality_rules, sharding, token_counts
 from retailpot.llm.common import scratch, stored, table
 from retailpot.llm.tokens import tokenizer_path
 
@@ -56,6 +56,14 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint(table(spark, sf_dir, "documents"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.fit(docs))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [(F.size("base") - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{name}") for k, name in enumerate(pii.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(pii.spelled(F.col("base")).cast("binary"), 256).alias("base_sha256"), pii.spelled(F.col("spans")).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_quality_classifier": op2_quality_classifier,
@@ -64,5 +72,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_packing": op5_packing,
     "op6_quality_rules": op6_quality_rules,
     "op8_fingerprints": op8_fingerprints,
+    "op10_pii": op10_pii,
 }
 ORACLES: dict[str, str] = {}
