@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailpot.llm import fingerprints, ngram_join, packing, pii, quality_model, quality_rules, sharding, token_counts
+from retailpot.llm import fingerprints, html_text, ngram_join, packing, pii, quality_model, quality_rules, sharding, token_counts
 from retailpot.llm.common import scratch, stored, table
 from retailpot.llm.tokens import tokenizer_path
 
@@ -56,6 +56,10 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint(table(spark, sf_dir, "documents"))
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = pii.find(docs, pii.fit(docs))
@@ -72,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_packing": op5_packing,
     "op6_quality_rules": op6_quality_rules,
     "op8_fingerprints": op8_fingerprints,
+    "op9_html_extraction": op9_html_extraction,
     "op10_pii": op10_pii,
 }
 ORACLES: dict[str, str] = {}
