@@ -6,8 +6,8 @@ sets link when ``den * intersection >= num * union``. Equal sets are one class a
 * **Light sets** (size at most the boundary) enumerate subsets: sets of sizes a and b link exactly when they share a subset of the least
   overlap c(a + b), so each emits a signature per c-subset and partner size, and equal signatures are links without a comparison.
 * **Heavy sets** scan inverted lists. Under one global order of shingles (rare before frequent, then by hash) two linked sets share one of
-  their first n - ceil(t n) + 1 shingles, so only those are listed. Which shingles are frequent is found by counting the lists and ordering
-  again until no list of a rare shingle is long; all counts cover all sets.
+  their first n - ceil(t n) + 1 shingles, so only those are listed. A shingle is frequent when its list spans many components (near copies have
+  merged by then); sets are ordered again until the lists of the other shingles are short. All counts cover all sets.
 * **Boundary**: the size that makes signatures plus list work least for the size histogram of the data.
 
 Lists are answered hub by hub: each list's members are compared with one of them, components merge, and lists inside one component are
@@ -33,7 +33,8 @@ from retailpot.operators.clusters import connected_components
 
 LIGHT_LIMIT = 24        # sizes among which the boundary is looked for
 POSTING_COST = 4.0      # work of one list entry in signatures (counting, joining, its share of comparisons)
-LONG_LIST = 64          # entries from which a shingle counts as frequent
+LONG_LIST = 64          # components in its list from which a shingle counts as frequent
+PAIRS_PER_ENTRY = 2     # pairs left to compare, per list entry, that end the search for frequent shingles and the hub rounds
 FREQUENT_BITS = 20      # at most 2 ** this many frequent shingles are told apart
 FILTER_BITS = 23        # bits of the document filter before an exact join
 HUB_ROUNDS = 4
@@ -92,17 +93,13 @@ def difference_bound(a: bytes, b: bytes) -> int:
 SETS = "doc_id long, n long, cls long, prefix array<long>, elements array<long>, bits binary"
 
 
-def _document_sets(texts: list, width: int):
-    """(index, sorted distinct hashes) of each text with words, chunk by chunk."""
+def _chunked_sets(texts: list, width: int):
+    """Chunk by chunk: the range of texts and (index, sorted distinct hashes) of each one with words."""
     for first, part in chunks(texts):
         doc, h = distinct_per_doc(*shingle_hashes(Words(part, lower=True), width))
-        for d, mine in zip(*_split(doc, h), strict=True):
-            yield first + int(d), mine
-
-
-def _split(doc: np.ndarray, h: np.ndarray):
-    begin = np.flatnonzero(np.diff(doc, prepend=-1))
-    return doc[begin], np.split(h, begin[1:]) if len(begin) else []
+        begin = np.flatnonzero(np.diff(doc, prepend=-1))
+        sets = np.split(h, begin[1:]) if len(begin) else []
+        yield range(first, first + len(part)), list(zip((first + doc[begin]).tolist(), sets, strict=True))
 
 
 def document_sets(docs: DataFrame, width: int, t: Threshold) -> DataFrame:
@@ -110,15 +107,16 @@ def document_sets(docs: DataFrame, width: int, t: Threshold) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            ids, rows = b["doc_id"].tolist(), []
-            full = np.zeros(len(ids), bool)
-            for i, h in _document_sets(b["text"].tolist(), width):
-                full[i] = True
-                n, signed = len(h), h.view(np.int64)
-                cls = int(mix(np.array([mix(h + _U(n)).sum()], np.uint64)).view(np.int64)[0])
-                rows.append((ids[i], n, cls, signed[: t.prefix(n)], signed if n <= LIGHT_LIMIT else None, parity(h)))
-            rows += [(ids[i], 0, 0, None, None, None) for i in np.flatnonzero(~full)]
-            yield pd.DataFrame(rows, columns=["doc_id", "n", "cls", "prefix", "elements", "bits"])
+            ids = b["doc_id"].tolist()
+            for span, sets in _chunked_sets(b["text"].tolist(), width):
+                rows, empty = [], set(span)
+                for i, h in sets:
+                    n, signed = len(h), h.view(np.int64)
+                    cls = int(mix(np.array([mix(h + _U(n)).sum()], np.uint64)).view(np.int64)[0])
+                    rows.append((ids[i], n, cls, signed[: t.prefix(n)], signed if n <= LIGHT_LIMIT else None, parity(h)))
+                    empty.discard(i)
+                rows += [(ids[i], 0, 0, None, None, None) for i in sorted(empty)]
+                yield pd.DataFrame(rows, columns=["doc_id", "n", "cls", "prefix", "elements", "bits"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, SETS)
 
@@ -130,14 +128,16 @@ def reordered_prefixes(docs: DataFrame, width: int, t: Threshold, frequent: tupl
     def run(batches):
         keys, levels = shared.value
         for b in batches:
-            ids, rows = b["doc_id"].tolist(), []
-            for i, h in _document_sets(b["text"].tolist(), width):
-                p = t.prefix(len(h))
-                at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-                level = np.where(keys[at] == h, levels[at], 0)
-                if level[:p].any():
-                    rows.append((ids[i], h[np.lexsort((h, level))[:p]].view(np.int64)))
-            yield pd.DataFrame(rows, columns=["doc_id", "prefix"])
+            ids = b["doc_id"].tolist()
+            for _, sets in _chunked_sets(b["text"].tolist(), width):
+                rows = []
+                for i, h in sets:
+                    p = t.prefix(len(h))
+                    at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+                    level = np.where(keys[at] == h, levels[at], 0)
+                    if level[:p].any():
+                        rows.append((ids[i], h[np.lexsort((h, level))[:p]].view(np.int64)))
+                yield pd.DataFrame(rows, columns=["doc_id", "prefix"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, "doc_id long, prefix array<long>")
 
@@ -190,10 +190,9 @@ def whole_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            doc_ids, rows = b["doc_id"].tolist(), []
-            for i, h in _document_sets(b["text"].tolist(), width):
-                rows.append((doc_ids[i], h.view(np.int64)))
-            yield pd.DataFrame(rows, columns=["id", "elements"])
+            doc_ids = b["doc_id"].tolist()
+            for _, sets in _chunked_sets(b["text"].tolist(), width):
+                yield pd.DataFrame([(doc_ids[i], h.view(np.int64)) for i, h in sets], columns=["id", "elements"])
 
     some = docs.select(F.col("doc_id").cast("long"), "text").where(may_be(F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS))))
     return some.mapInPandas(run, "id long, elements array<long>")
@@ -226,27 +225,39 @@ def _labelled(lists: DataFrame, links: DataFrame) -> DataFrame:
     return lists.join(label.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))
 
 
-def list_links(lists: DataFrame, links: DataFrame, check) -> DataFrame:
+def hub_round(lists: DataFrame, links: DataFrame, check, round_: int) -> tuple[DataFrame, DataFrame]:
+    """(lists that held several components, ``links`` plus the confirmed ones of each such list's members with one of them)."""
+    now = _labelled(lists, links)
+    state = now.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min_by(F.struct("id", "label"), F.xxhash64("id", F.lit(round_))).alias("hub")).where("lo < hi")
+    now = stored(now.join(state.select("key", "hub"), "key"), "open")
+    pairs = now.where("label <> hub.label").select(F.greatest("id", "hub.id").alias("b"), F.least("id", "hub.id").alias("a")).distinct()
+    return now.select("key", "id"), stored(links.unionByName(check(pairs)), "links")
+
+
+def crowded(lists: DataFrame, links: DataFrame, least: int) -> DataFrame:
+    """(key, k): lists whose members lie in ``k`` > ``least`` components."""
+    return _labelled(lists, links).select("key", "label").distinct().groupBy("key").agg(F.count("*").alias("k")).where(F.col("k") > least)
+
+
+def list_links(lists: DataFrame, links: DataFrame, check, limit: int) -> DataFrame:
     """``links`` plus those between members of one list that ``check`` confirms, as many as components need.
 
+    Hub rounds go on while more than ``limit`` pairs across components are left and rounds are; then all those pairs are compared.
     ``lists`` (key, id) is read several times: pass a stored table.
     """
-    entries = lists.count()
-    for round_ in range(HUB_ROUNDS + 1):
+    for round_ in range(1, HUB_ROUNDS + 1):
         now = _labelled(lists, links)
-        state = now.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min_by(F.struct("id", "label"), F.xxhash64("id", F.lit(round_))).alias("hub")).where("lo < hi")
-        now = stored(now.join(state.select("key", "hub"), "key"), "open")  # lists with several components
+        many = now.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
+        now = stored(now.join(many, "key"), "open")
         per = now.groupBy("key", "label").count().groupBy("key").agg(((F.sum("count") * F.sum("count") - F.sum(F.col("count") * F.col("count"))) / 2).alias("p"))
         across = per.agg(F.sum("p")).first()[0] or 0
         if not across:
             return links
-        if across <= 4 * entries or round_ == HUB_ROUNDS:
+        if across <= limit or round_ == HUB_ROUNDS:
             x, y = now.select("key", F.col("id").alias("a"), F.col("label").alias("la")), now.select("key", F.col("id").alias("b"), F.col("label").alias("lb"))
             pairs = x.join(y, "key").where("la <> lb and a < b").select("a", "b").distinct()
             return stored(links.unionByName(check(pairs)), "links")
-        pairs = now.where("label <> hub.label").select(F.greatest("id", "hub.id").alias("b"), F.least("id", "hub.id").alias("a")).distinct()
-        links = stored(links.unionByName(check(pairs)), "links")
-        lists = now.select("key", "id")
+        lists, links = hub_round(now.select("key", "id"), links, check, round_)
     return links
 
 
@@ -263,26 +274,29 @@ def components(docs: DataFrame, width: int = 4, t: Threshold = Threshold()) -> D
     heavy = reps.where(F.col("n") >= t.least(limit + 1)).select("id", "prefix")
     links = stored(light_links(reps, limit, t), "links")
 
+    def check(pairs: DataFrame) -> DataFrame:
+        return verified(pairs, reps, docs, width, t)
+
     frequent = np.zeros(0, np.uint64), np.zeros(0, np.int8)
     entries = heavy.agg(F.sum(F.size("prefix"))).first()[0] or 0
     least = max(LONG_LIST, entries >> FREQUENT_BITS)
     while True:
         postings = heavy.select(F.explode("prefix").alias("key"), "id")
-        counts = stored(postings.groupBy("key").agg(F.count("*").alias("k")).where("k > 1"), "counts")
-        found = counts.where(F.col("k") > least).collect()  # at most entries / least
+        lists = stored(postings.join(postings.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key"), "key"), "lists")
+        _, links = hub_round(lists, links, check, 0)
+        found = crowded(lists, links, least).collect()  # at most entries / least
         new = np.array([r.key for r in found], np.int64).view(np.uint64)
         fresh = ~np.isin(new, frequent[0])
-        work = sum(r.k * r.k for r, f in zip(found, fresh, strict=True) if f)
-        if work <= entries:
+        if sum(r.k * r.k for r, f in zip(found, fresh, strict=True) if f) <= PAIRS_PER_ENTRY * entries:
             break
         keys = np.concatenate((frequent[0], new[fresh]))
         levels = np.concatenate((frequent[1], np.array([int(r.k).bit_length() for r, f in zip(found, fresh, strict=True) if f], np.int8)))
         order = np.argsort(keys)
         frequent = keys[order], levels[order]
         moved = reordered_prefixes(docs, width, t, frequent).groupBy(F.col("doc_id").alias("id")).agg(F.first("prefix").alias("_p"))
-        heavy = stored(reps.where(F.col("n") >= t.least(limit + 1)).select("id", "prefix").join(moved, "id", "left").select("id", F.coalesce("_p", "prefix").alias("prefix")), "prefixes")
-    lists = stored(postings.join(counts.select("key"), "key"), "lists")
-    links = list_links(lists, links, lambda pairs: verified(pairs, reps, docs, width, t))
+        heavy = reps.where(F.col("n") >= t.least(limit + 1)).select("id", "prefix").join(moved, "id", "left")
+        heavy = stored(heavy.select("id", F.coalesce("_p", "prefix").alias("prefix")), "prefixes")
+    links = list_links(lists, links, check, PAIRS_PER_ENTRY * entries)
 
     nodes = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     label = connected_components(nodes, links.select(F.col("a").alias("u"), F.col("b").alias("v"))).withColumnRenamed("node", "id")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailpot.llm import fingerprints, html_text, ngram_join, packing, pii, quality_model, quality_rules, sharding, token_counts
+from retailpot.llm import fingerprints, html_text, ngram_join, packing, pii, quality_model, quality_rules, sentence_pieces, sharding, token_counts
 from retailpot.llm.common import scratch, stored, table
 from retailpot.llm.tokens import tokenizer_path
 
@@ -52,6 +52,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs.select("doc_id", "text"), rules).drop("text")
 
 
+def op7_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = sentence_pieces.encoded(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+    return coded.select("doc_id", "n_ids", "ids_crc32", F.length("decoded").cast("long").alias("decoded_chars"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), "round_trip")
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint(table(spark, sf_dir, "documents"))
 
@@ -75,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_counts": op4_token_counts,
     "op5_packing": op5_packing,
     "op6_quality_rules": op6_quality_rules,
+    "op7_sentence_pieces": op7_sentence_pieces,
     "op8_fingerprints": op8_fingerprints,
     "op9_html_extraction": op9_html_extraction,
     "op10_pii": op10_pii,
