@@ -34,9 +34,9 @@ def apply_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: the one with the smallest id; rows that repeat an id keep one as well, and empty texts stay."""
+    """One document of each group: the one with the smallest id; of rows that repeat an id and text one stays, and so do empty texts."""
     groups = ngram_join.components(docs, **NEAR).where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(groups, "doc_id", "left_anti").dropDuplicates(["doc_id"]).select(*COLUMNS)
+    return docs.select(*COLUMNS).join(groups, "doc_id", "left_anti").withColumn("_h", F.xxhash64("text")).dropDuplicates(["doc_id", "_h"]).select(*COLUMNS)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from retailpot.llm.features import BUCKET_BITS, document_features, worker_scorer
 
 SAMPLE = 2_000      # labelled rows that a fit reads at most
-DIMENSIONS, EPOCHS, BATCH, RATE = 8, 4, 16, 4.0
+DIMENSIONS, STEPS, BATCH, RATE = 8, 600, 16, 4.0
 FOLDS = 5
 
 
@@ -51,8 +51,9 @@ def fit(texts: list, y: np.ndarray, bits: int = BUCKET_BITS, seed: int = 7) -> M
     vectors = (rng.random((1 << bits, DIMENSIONS)) - 0.5) / DIMENSIONS
     output, bias = np.zeros((DIMENSIONS, 2)), np.zeros(2)
     target = np.stack([1 - y, y], 1)
-    steps, step = EPOCHS * -(-n // BATCH), 0
-    for _ in range(EPOCHS):
+    epochs = -(-STEPS // -(-n // BATCH))  # as many steps for a small sample as for a large one
+    steps, step = epochs * -(-n // BATCH), 0
+    for _ in range(epochs):
         order = rng.permutation(n)
         for k in range(0, n, BATCH):
             batch = [i for i in order[k : k + BATCH] if len(docs[i][0])]

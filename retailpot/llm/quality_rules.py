@@ -21,7 +21,7 @@ MIN_WORDS = 50             # base rule: fewer words fail
 MAX_REPEAT_PERCENT = 50    # base rule: a larger share of words in repeated windows fails
 WINDOW = 3
 KEEP_PROBABILITY = 0.5     # calibrated probability of label 1 from which a text is kept
-EPOCHS, BATCH, RATE = 4, 16, 1.0
+STEPS, BATCH, RATE = 500, 16, 1.0
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 SYMBOL = np.zeros(256, bool)
 SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
@@ -66,7 +66,7 @@ def fit(texts: list, y: np.ndarray, bits: int = BUCKET_BITS, seed: int = 11) ->
         aside[:] = False
     learn = np.flatnonzero(~aside)
     w, seen, bias = np.zeros(1 << bits), np.full(1 << bits, 1e-8), 0.0
-    for _ in range(EPOCHS):
+    for _ in range(-(-STEPS // -(-len(learn) // BATCH))):
         order = rng.permutation(learn)
         for k in range(0, len(order), BATCH):
             batch = [i for i in order[k : k + BATCH] if len(docs[i][0])]
