@@ -15,6 +15,7 @@ from retailpot.config import TIER_PARAMETERS, Budget
 from retailpot.functions.numeric import literal_map, scalar_struct
 from retailpot.operators import quality as q
 from retailpot.operators.ranking import global_row_number, running_sum
+from retailpot.session import cut
 
 SPEND = "Trade_Spend_Allocation_LKR"
 RANK = "roi_rank"
@@ -114,7 +115,7 @@ def distributor_rebalance(df: DataFrame, budget: Budget) -> DataFrame:
 
     Sources are funded rows of distributors above the minimum, lowest score first, down to their
     floor; targets are rows with room of distributors below it, highest score first. Both sides are
-    running sums cut at the amount that can move.
+    running sums cut at the amount that can move. An unfunded target gets its floor at least, also where its distributor needs less.
     """
     step, minimum = budget.step, budget.min_share * budget.total
     spark = df.sparkSession
@@ -135,8 +136,9 @@ def distributor_rebalance(df: DataFrame, budget: Budget) -> DataFrame:
 
     room = F.when((F.col("_need") > 0) & (F.col("max_headroom_allocation") > spend), F.col("max_headroom_allocation") - spend).otherwise(zero)
     whole = lambda g: F.when((spend == 0) & (g < floor), zero).otherwise(g)  # noqa: E731  an unfunded row needs its floor
+    lifted = lambda g: F.when((spend == 0) & (g > 0) & (g < floor), floor).otherwise(g)  # noqa: E731  and gets it, though its distributor needs less
     d = running_sum(d.withColumn("_room", room), RANK, F.col("_room"), "_p", ["distributor_id"], rows=n)
-    d = d.withColumn("_give", whole(F.greatest(zero, F.least(F.col("_room"), F.col("_need") - F.col("_p"))))).drop("_p")
+    d = d.withColumn("_give", lifted(F.greatest(zero, F.least(F.col("_room"), F.col("_need") - F.col("_p"))))).drop("_p")
     d = running_sum(d, RANK, F.col("_give"), "_p", rows=n)
     d = d.withColumn("_give", whole(F.greatest(zero, F.least(F.col("_give"), movable - F.col("_p"))))).drop("_p")
     moved = d.agg(F.coalesce(F.sum("_give"), zero)).scalar()
@@ -173,8 +175,11 @@ def limits(master: DataFrame, predictions: DataFrame, budget: Budget) -> DataFra
 
 
 def allocate(limited: DataFrame, budget: Budget) -> DataFrame:
-    greedy = leftover_redistribution(greedy_tier_budget(limited, budget), budget)
-    return projected_uplift(micro_adjust(distributor_rebalance(greedy, budget), budget))
+    """All spending steps; each is stored before the next, which reads it several times."""
+    df = cut(limited)
+    for step in (greedy_tier_budget, leftover_redistribution, distributor_rebalance, micro_adjust):
+        df = cut(step(df, budget))
+    return projected_uplift(df)
 
 
 def allocation_checks(df: DataFrame, budget: Budget) -> DataFrame:

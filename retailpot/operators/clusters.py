@@ -100,7 +100,7 @@ def cell_edges(core: DataFrame, cfg: Config, side: float) -> DataFrame:
     return sure.unionByName(by_tile).unionByName(by_point)
 
 
-def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 100) -> DataFrame:
+def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(node, label) with the smallest node (a long) of each component as the label.
 
     Minimum-label hooking on nodes and on their labels plus pointer jumping; every round is written to
@@ -108,7 +108,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 1
     """
     both = cut(edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))))
     lab = cut(nodes.select("node", F.col("node").alias("label")))
-    for _ in range(max_rounds):
+    while True:
         lu = lab.select(F.col("node").alias("u"), F.col("label").alias("lu"))
         lv = lab.select(F.col("node").alias("v"), F.col("label").alias("lv"))
         seen = both.join(lu, "u").join(lv, "v").where("lu < lv")
@@ -120,7 +120,6 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 1
         lab = nxt.select("node", "label")
         if nxt.where("label <> was").isEmpty():
             return lab
-    raise RuntimeError("connected components did not settle")
 
 
 def dbscan(points: DataFrame, cfg: Config) -> DataFrame:

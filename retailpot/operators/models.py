@@ -88,9 +88,16 @@ def apply_strategy(df: DataFrame, strategy: str, cfg: Config) -> tuple[DataFrame
 
 
 def strategy_table(df: DataFrame, cfg: Config) -> DataFrame:
-    """(strategy, feature) rows."""
-    rows = [(s, c) for s in STRATEGIES for c in apply_strategy(df, s, cfg)[1]]
-    return df.sparkSession.createDataFrame(rows, "strategy string, feature string")
+    """(strategy, feature, filled, mean): what each strategy keeps, with the filled cells and, for numbers, the mean over all rows."""
+    kept = {s: apply_strategy(df, s, cfg)[1] for s in STRATEGIES}
+    wide = interaction_features(df) if any(STRATEGIES[s][1] for s in STRATEGIES) else df
+    kinds = dict(wide.dtypes)
+    names = sorted({c for columns in kept.values() for c in columns})
+    numeric = {c: kinds[c] not in ("string", "date") for c in names}
+    cells = [F.struct(F.array(*[F.lit(s) for s in STRATEGIES if c in kept[s]]).alias("strategies"), F.lit(c).alias("feature"), F.count(c).alias("filled"),
+                      (F.avg(F.col(c).cast("double")) if numeric[c] else F.lit(None).cast("double")).alias("mean")) for c in names]
+    rows = wide.agg(F.array(*cells).alias("rows")).select(F.explode("rows").alias("r"))
+    return rows.select(F.explode("r.strategies").alias("strategy"), "r.feature", "r.filled", "r.mean")
 
 
 def encode_categoricals(df: DataFrame, columns: Sequence[str] = CATEGORICALS) -> tuple[DataFrame, list[str]]:
@@ -252,9 +259,8 @@ def hurdle_active_prob(prep: Prepared, cfg: Config) -> DataFrame:
 
 
 def hurdle_conditional(prep: Prepared, cfg: Config, estimator: Estimator | None = None) -> DataFrame:
-    """Expected volume given activity, out of fold on the active training rows."""
-    active = prep.train.where("hist_p90_monthly > 0").withColumn("target", F.col("hist_p90_monthly"))
-    raw = oof_predict(active, prep.all, estimator or regressor("gbt", cfg), cfg, "v")
+    """Expected volume given activity (the seasonal training target), out of fold on the active training rows."""
+    raw = oof_predict(prep.train.where("hist_p90_monthly > 0"), prep.all, estimator or regressor("gbt", cfg), cfg, "v")
     return raw.select("Outlet_ID", half_even(F.greatest(F.col("v"), F.lit(0.0)), 4).alias("hurdle_conditional_volume"))
 
 

@@ -126,6 +126,11 @@ def condition_check(name: str, violated: Column, reason: str | Column) -> Check:
     return Check(name, F.when(F.coalesce(violated, F.lit(False)), reason))
 
 
+def without_value(reason: str) -> Column:
+    """The reason without the row's value: one of a few texts however large the data."""
+    return F.regexp_replace(reason, r"(?s):(value|found)=.*$", "")
+
+
 @dataclass(frozen=True)
 class CheckRun:
     annotated: DataFrame
@@ -140,24 +145,22 @@ class CheckRun:
     def failed(self) -> DataFrame:
         return self.annotated.where(F.col(REASON).isNotNull()).drop(CHECK)
 
+    def _checks(self) -> DataFrame:
+        return self.annotated.sparkSession.createDataFrame(list(enumerate(self.names)), f"{CHECK} int, check_name string")
+
     def reason_counts(self) -> DataFrame:
-        """(check, reason, rows), one row per distinct reason."""
-        return (self.annotated.where(F.col(REASON).isNotNull()).groupBy(CHECK, REASON).agg(F.count("*").alias("n")))
+        """One row per check and distinct reason with its value: (dataset, check_name, failure_reason, records)."""
+        counts = self.annotated.where(F.col(REASON).isNotNull()).groupBy(CHECK, REASON).agg(F.count("*").alias("records"))
+        return counts.join(self._checks(), CHECK).select(F.lit(self.dataset).alias("dataset"), "check_name", REASON, "records")
 
-    def report(self, max_reasons: int = 10_000) -> DataFrame:
+    def report(self) -> DataFrame:
         """One row per check: rows seen, passed, quarantined and the distinct reasons joined by commas.
 
-        Reasons carry values, so their number can grow with the data. A check with more than
-        ``max_reasons`` of them lists the reasons without values; ``reason_counts`` has every one.
+        Reasons are listed without the values they carry, as those grow with the data; ``reason_counts`` has every one.
         """
-        spark = self.annotated.sparkSession
-        checks = spark.createDataFrame(list(enumerate(self.names)), "_check int, check_name string")
-        counts = self.reason_counts()
-        many = counts.groupBy(CHECK).agg(F.count("*").alias("_d"))
-        base = F.regexp_replace(REASON, r"(?s):(value|found)=.*$", "")
-        listed = F.when(F.col("_d") > max_reasons, base).otherwise(F.col(REASON))
-        reasons = (counts.join(many, CHECK).groupBy(CHECK, listed.alias("_text")).agg(F.sum("n").alias("n"))
-                   .groupBy(CHECK).agg(F.sum("n").alias("bad"), F.array_join(F.array_sort(F.collect_set("_text")), ", ").alias("failure_reasons")))
+        checks = self._checks()
+        counts = self.annotated.where(F.col(REASON).isNotNull()).groupBy(CHECK, without_value(REASON).alias("_text")).agg(F.count("*").alias("n"))
+        reasons = (counts.groupBy(CHECK).agg(F.sum("n").alias("bad"), F.array_join(F.array_sort(F.collect_set("_text")), ", ").alias("failure_reasons")))
         total = self.annotated.agg(F.count("*")).scalar()
         earlier = Window.orderBy(CHECK).rowsBetween(Window.unboundedPreceding, -1)  # one row per check
         bad = F.coalesce(F.col("bad"), F.lit(0))
@@ -265,15 +268,9 @@ def fail_on_quarantine(run: CheckRun) -> DataFrame:
 
 # --- health ------------------------------------------------------------------------------------
 
-def pipeline_health(dataset: str, passed: DataFrame, rejected: DataFrame, base_check: str, max_reasons: int = 10_000) -> DataFrame:
-    """Totals of one dataset and its per-reason counts (cut at ``:value=``) as a JSON array.
-
-    Reasons of set checks name the value found; with more than ``max_reasons`` of them they are
-    counted without it, so that the array stays small.
-    """
-    counts = rejected.groupBy(F.substring_index(REASON, ":value=", 1).alias("reason")).agg(F.count("*").alias("n"))
-    short = F.when(counts.agg(F.count("*")).scalar() > max_reasons, F.substring_index("reason", ":found=", 1)).otherwise(F.col("reason"))
-    reasons = counts.groupBy(short.alias("reason")).agg(F.sum("n").alias("n"))
+def pipeline_health(dataset: str, passed: DataFrame, rejected: DataFrame, base_check: str) -> DataFrame:
+    """Totals of one dataset and its counts per reason, without the values reasons carry, as a JSON array."""
+    reasons = rejected.groupBy(without_value(REASON).alias("reason")).agg(F.count("*").alias("n"))
     total_bad = F.coalesce(F.sum("n"), F.lit(0))
     listed = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("neg"), F.col("reason"))))
     good = passed.agg(F.count("*")).scalar()

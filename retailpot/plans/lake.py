@@ -9,7 +9,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retailpot.config import Config
@@ -18,6 +18,14 @@ from retailpot.plans import fixture_views as fx
 from retailpot.session import shared_root
 from retailpot.sources import poi
 
+
+
+def padded(key: Column, width: int = 5) -> Column:
+    """The key as text, shorter ones with leading zeros."""
+    text = key.cast("string")
+    return F.lpad(text, F.greatest(F.lit(width), F.length(text)), "0")
+
+
 _LAKES: dict[tuple[str, str], Lake] = {}  # noqa: F821
 
 
@@ -114,7 +122,7 @@ class Lake:
             tiles = self.pois().groupBy("cluster_id", part.alias("part")).agg(F.collect_list(F.struct("lat", "lon", "tags")).alias("elements"))
             key = F.col("c_custkey")
             members = self.base("customer").groupBy(F.col("c_nationkey").alias("cluster_id"), F.floor(key / 5000).alias("part")).agg(
-                F.collect_list(F.concat(F.lit("OUT_"), F.lpad(key.cast("string"), 5, "0"))).alias("outlet_ids"))
+                F.collect_list(F.concat(F.lit("OUT_"), padded(key))).alias("outlet_ids"))
             tiles.join(members, ["cluster_id", "part"], "full").drop("part").write.mode("overwrite").json(path)
             return path
         return self.once("envelopes", make)
@@ -212,16 +220,16 @@ class Lake:
 
     def embedding_contributions(self) -> DataFrame:
         """The embeddings table as wide contributions: vector position = feature."""
-        e = self.base("embeddings").select(F.concat(F.lit("OUT_"), F.lpad((F.col("vec_id") + 1).cast("string"), 5, "0")).alias("outlet_id"),
+        e = self.base("embeddings").select(F.concat(F.lit("OUT_"), padded(F.col("vec_id") + 1)).alias("outlet_id"),
                                            F.posexplode("embedding").alias("i", "v"))
-        return e.select("outlet_id", F.concat(F.lit("f"), F.lpad(F.col("i").cast("string"), 3, "0")).alias("feature"), F.col("v").cast("double").alias("contribution"))
+        return e.select("outlet_id", F.concat(F.lit("f"), padded(F.col("i"), 3)).alias("feature"), F.col("v").cast("double").alias("contribution"))
 
     def _build_srv_contexts(self):
         """Context rows: the outlet's contributions as one JSON object (bounded by the vector length)."""
         e = self.base("embeddings")
-        names = F.transform(F.sequence(F.lit(0), F.size("embedding") - 1), lambda i: F.concat(F.lit("f"), F.lpad(i.cast("string"), 3, "0")))
+        names = F.transform(F.sequence(F.lit(0), F.size("embedding") - 1), lambda i: F.concat(F.lit("f"), padded(i, 3)))
         values = F.transform("embedding", lambda v: F.round(v.cast("double"), 4))
-        oid = F.concat(F.lit("OUT_"), F.lpad((F.col("vec_id") + 1).cast("string"), 5, "0"))
+        oid = F.concat(F.lit("OUT_"), padded(F.col("vec_id") + 1))
         return e.select(oid.alias("outlet_id"), F.to_json(F.map_from_arrays(names, values)).alias("context_json"), F.lit(None).cast("string").alias("xai_explanation"))
 
     def detail(self) -> DataFrame:

@@ -73,7 +73,7 @@ CTES["o_checked"] = f"""
 SELECT *, CASE WHEN row_number() OVER (PARTITION BY Outlet_ID ORDER BY Outlet_Type) > 1 THEN 'duplicate_record'
   WHEN {blank('Outlet_ID')} THEN 'null_in_mandatory_field:Outlet_ID' WHEN {blank('Outlet_Type')} THEN 'null_in_mandatory_field:Outlet_Type'
   WHEN {blank('Cooler_Count')} THEN 'null_in_mandatory_field:Cooler_Count'
-  WHEN NOT regexp_full_match(Outlet_ID, 'OUT_\\d{{5}}') THEN 'format_violation:Outlet_ID:pattern=OUT_\\d{{5}}'
+  WHEN NOT regexp_full_match(Outlet_ID, '{CFG.outlet_id_pattern}') THEN 'format_violation:Outlet_ID:pattern={CFG.outlet_id_pattern}'
   WHEN Cooler_Count < 0 OR Cooler_Count > 5 THEN 'out_of_range:Cooler_Count:value=' || CAST(Cooler_Count AS VARCHAR) END AS failure_reason
 FROM fx_outlet_master"""
 CTES["o_titled"] = f"""
@@ -213,7 +213,7 @@ CTES["sea"] = f"""
 SELECT p.Outlet_ID, NOT coalesce(bool_or(n % 2 = 1), false) AS in_sea FROM pt p LEFT JOIN (
   SELECT Outlet_ID, polygon, count(*) AS n FROM pt JOIN (VALUES {', '.join(_edges)}) e(polygon, lat0, lon0, lat1, lon1)
   ON (lat0 > lat) <> (lat1 > lat) AND lon < (lon1 - lon0) * (lat - lat0) / (lat1 - lat0) + lon0 GROUP BY ALL) USING (Outlet_ID) GROUP BY p.Outlet_ID"""
-CTES["links"] = "SELECT CONCAT('OUT_', LPAD(CAST(c_custkey AS VARCHAR), 5, '0')) AS outlet_id, CAST(c_nationkey AS INTEGER) AS cluster_id FROM customer"
+CTES["links"] = "SELECT CONCAT('OUT_', LPAD(CAST(c_custkey AS VARCHAR), CAST(greatest(5, length(CAST(c_custkey AS VARCHAR))) AS INT), '0')) AS outlet_id, CAST(c_nationkey AS INTEGER) AS cluster_id FROM customer"
 
 # --- features, baseline ---------------------------------------------------------------------
 CTES["cooler"] = f"""
@@ -311,7 +311,7 @@ SELECT *, CASE WHEN over_ > 0 AND {S} > tier_floor THEN {S} - tier_floor ELSE 0.
 CTES["rb2"] = f"""
 SELECT *, greatest(0.0, least(slack, over_ - (sum(slack) OVER (PARTITION BY d ORDER BY roi_rank DESC) - slack))) AS can,
   greatest(0.0, least(room, need - (sum(room) OVER (PARTITION BY d ORDER BY roi_rank) - room))) AS g0 FROM rb1"""
-CTES["rb3"] = f"SELECT *, CASE WHEN {S} = 0 AND g0 < tier_floor THEN 0.0 ELSE g0 END AS g1 FROM rb2"
+CTES["rb3"] = f"SELECT *, CASE WHEN {S} = 0 AND g0 > 0 AND g0 < tier_floor THEN tier_floor ELSE g0 END AS g1 FROM rb2"
 CTES["rb4"] = "SELECT *, greatest(0.0, least(g1, (SELECT sum(can) FROM rb3) - (sum(g1) OVER (ORDER BY roi_rank) - g1))) AS g2 FROM rb3"
 CTES["rb5"] = f"SELECT *, CASE WHEN {S} = 0 AND g2 < tier_floor THEN 0.0 ELSE g2 END AS give FROM rb4"
 CTES["rebalanced"] = f"""
@@ -333,7 +333,7 @@ SELECT Outlet_ID AS outlet_id, Outlet_Type AS outlet_type, Outlet_Size AS outlet
 CTES["srv_allocations"] = f"""
 SELECT Outlet_ID AS outlet_id, uplift_gap_litres, roi_score, lower(allocation_tier) AS allocation_tier, {S} AS trade_spend_allocation_lkr, recommended_spend_type, projected_volume_uplift_litres FROM allocation"""
 CTES["emb_long"] = """
-SELECT CONCAT('OUT_', LPAD(CAST(vec_id + 1 AS VARCHAR), 5, '0')) AS outlet_id, CONCAT('f', LPAD(CAST(i - 1 AS VARCHAR), 3, '0')) AS feature, CAST(embedding[i] AS DOUBLE) AS contribution
+SELECT CONCAT('OUT_', LPAD(CAST(vec_id + 1 AS VARCHAR), CAST(greatest(5, length(CAST(vec_id + 1 AS VARCHAR))) AS INT), '0')) AS outlet_id, CONCAT('f', LPAD(CAST(i - 1 AS VARCHAR), CAST(greatest(3, length(CAST(i - 1 AS VARCHAR))) AS INT), '0')) AS feature, CAST(embedding[i] AS DOUBLE) AS contribution
 FROM (SELECT *, unnest(generate_series(1, len(embedding))) AS i FROM embeddings)"""
 CTES["srv_rows"] = "SELECT a.*, o.distributor_id, o.outlet_type FROM srv_allocations a JOIN srv_outlets o USING (outlet_id)"
 CTES["funded"] = "SELECT * FROM srv_rows WHERE allocation_tier <> 'none' AND trade_spend_allocation_lkr > 0"

@@ -60,7 +60,7 @@ def ingest_csv(lk):
     raw, bronze, name = f"{lk.root}/raw", f"{lk.root}/bronze", "distributor_seasonality_details"
     ingest.csv_sink(lk.raw("fx_seasonality"), f"{raw}/{name}.csv", ["Distributor_ID", "Year", "Month", "Seasonality_Index"])
     ingest.ingest_csv(lk.spark, raw, bronze, [name, "absent_file"])
-    return lk.spark.read.parquet(f"{bronze}/{name}")
+    return lk.spark.read.parquet(f"{bronze}/{name}").drop(ingest.ROW_ID)
 
 
 @query("SELECT Outlet_ID, CAST(Year AS BIGINT) AS Year, CAST(Month AS BIGINT) AS Month, Distributor_ID, Volume_Litres FROM tx")
@@ -90,13 +90,13 @@ def poi_type_coalesce(lk):
     return lk.pois().select("poi_id", poi.poi_type(F.col("tags")).alias("poi_type"), F.to_json("tags").alias("tags_json"))
 
 
-@query(f"SELECT Outlet_ID, {o.he('total_volume', 4)} AS total_volume FROM outlets JOIN sales USING (Outlet_ID)")
+@query(f"SELECT Outlet_ID, {o.he('total_volume', 4)} AS total_volume FROM outlets LEFT JOIN sales USING (Outlet_ID)")
 def optional_input(lk):
     lk["sales"]
     out = lk["outlets"].select("Outlet_ID")
     for path in (f"{lk.root}/sales", f"{lk.root}/tobit_features"):  # the second does not exist: it adds no column
         t = ingest.optional_input(lk.spark, path)
-        out = out if t is None else out.join(t.select("Outlet_ID", "total_volume"), "Outlet_ID")
+        out = out if t is None else out.join(t.select("Outlet_ID", "total_volume"), "Outlet_ID", "left")
     return rnd(out)
 
 
@@ -159,7 +159,7 @@ def dq_range(lk):
     return fails(lk.transactions(), q.range_check("Volume_Litres", 1.0, 49.0, inclusive=False))
 
 
-@query("SELECT Outlet_ID, 'format_violation:Outlet_ID:pattern=OUT_\\d{5}' AS failure_reason FROM fx_outlet_master WHERE NOT regexp_full_match(Outlet_ID, 'OUT_\\d{5}')")
+@query("SELECT Outlet_ID, 'format_violation:Outlet_ID:pattern=OUT_\\d{5,}' AS failure_reason FROM fx_outlet_master WHERE NOT regexp_full_match(Outlet_ID, 'OUT_\\d{5,}')")
 def dq_format(lk):
     return fails(lk.raw("fx_outlet_master"), q.format_check("Outlet_ID", lk.cfg.outlet_id_pattern), "Outlet_ID")
 
@@ -185,7 +185,7 @@ FROM (SELECT s.i, s.check_name, (SELECT count(*) FROM tx_checked) AS total, coal
   CAST(coalesce(sum(coalesce(bad, 0)) OVER (ORDER BY s.i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before
   FROM (VALUES {', '.join(f"({i}, '{n}')" for i, n in enumerate(_STEPS))}) s(i, check_name)
   LEFT JOIN (SELECT i, CAST(sum(n) AS BIGINT) AS bad, string_agg(failure_reason, ', ' ORDER BY failure_reason) AS reasons FROM
-    (SELECT {_STEP_OF} AS i, failure_reason, count(*) AS n FROM tx_checked WHERE failure_reason IS NOT NULL GROUP BY ALL) GROUP BY i) r USING (i))"""
+    (SELECT {_STEP_OF} AS i, regexp_replace(failure_reason, ':(value|found)=.*$', '', 's') AS failure_reason, count(*) AS n FROM tx_checked WHERE failure_reason IS NOT NULL GROUP BY ALL) GROUP BY i) r USING (i))"""
 
 
 @query(REPORT_SQL)
@@ -193,6 +193,13 @@ def dq_report(lk):
     return lk.tx_run().report()
 
 
+@query(f"""
+SELECT 'transactions' AS dataset, check_name, failure_reason, records FROM (SELECT {_STEP_OF} AS i, failure_reason, count(*) AS records FROM tx_checked WHERE failure_reason IS NOT NULL GROUP BY ALL)
+JOIN (VALUES {', '.join(f"({i}, '{n}')" for i, n in enumerate(_STEPS))}) s(i, check_name) USING (i)""")
+def dq_reason_counts(lk):
+    return lk.tx_run().reason_counts()
+
+
 @query(REPORT_SQL)
 def report_append(lk):
     path = f"{lk.root}/dq_report"
@@ -240,7 +247,7 @@ SELECT '{dataset}' AS dataset, g + coalesce(b, 0) AS records_checked, g AS recor
   CAST(to_json(list_concat(coalesce(list_transform(l, lambda x: {{'check_name': 'Valid ' || {o.title("replace(x.reason, '_', ' ')")}, 'passed': g + b - x.n, 'quarantined': x.n, 'failure_reason': x.reason}}), []),
   [{{'check_name': '{base}', 'passed': g, 'quarantined': CAST(0 AS BIGINT), 'failure_reason': 'None'}}])) AS VARCHAR) AS check_details_json
 FROM (SELECT count(*) AS g FROM {good}) CROSS JOIN (SELECT CAST(sum(n) AS BIGINT) AS b, list({{'reason': reason, 'n': n}} ORDER BY n DESC, reason) AS l FROM
-  (SELECT string_split(failure_reason, ':value=')[1] AS reason, count(*) AS n FROM {bad} GROUP BY ALL))"""
+  (SELECT regexp_replace(failure_reason, ':(value|found)=.*$', '', 's') AS reason, count(*) AS n FROM {bad} GROUP BY ALL))"""
 
 
 HEALTH_SQL = _health_sql("outlet_coordinates", "coordinates", "c_rejected", "Valid Lat/Lon Coordinates") + " UNION ALL " + _health_sql("transactions", "transactions", "tx_rejected", "Valid Transactions")

@@ -32,17 +32,19 @@ _ROOTS: dict[str, str] = {}
 def shared_root(spark: SparkSession) -> str:
     """Folder for this application's intermediate tables.
 
-    It lies in the folder the cluster names in ``spark.checkpoint.dir``; only where that is unset
-    (tests on one machine) is a folder of our own made.
+    It lies in the folder the cluster names in ``spark.checkpoint.dir``, or in the checkpoint directory the user has set. Only on a
+    local master without either (tests on one machine) is a folder of our own made; elsewhere that is an error.
     """
     app = spark.sparkContext.applicationId
     if app not in _ROOTS:
-        base = spark.conf.get("spark.checkpoint.dir", None)
+        context = spark.sparkContext
+        base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
         if not base:
+            if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             base = tempfile.mkdtemp(prefix="retailpot-")
-            spark.sparkContext.setCheckpointDir(base)
-        elif spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(base)
+        if context.getCheckpointDir() is None:
+            context.setCheckpointDir(base)
         _ROOTS[app] = f"{base.rstrip('/')}/retailpot-{app}-{uuid.uuid4().hex[:8]}"
     return _ROOTS[app]
 
