@@ -79,6 +79,43 @@ def test_rebalance_and_adjust_keep_the_rules(spark, seed):
     assert final.where(f"{b.SPEND} = 0 and allocation_tier <> 'None'").count() == 0
 
 
+def test_an_unfunded_target_gets_its_floor(spark):
+    """W_01 has 1,500 and needs 2,500; its first target is unfunded with a floor of 2,000; W_02 has plenty to spare."""
+    rows = [("a", "DIST_W_01", 1, "High", 12000.0, 2000.0, 0.028, "x", 12000.0, "Large", "Grocery", 0.9, 0.0),
+            ("b", "DIST_W_01", 2, "Medium", 3000.0, 500.0, 0.012, "x", 3000.0, "Large", "Grocery", 0.8, 1500.0),
+            ("c", "DIST_W_02", 3, "Medium", 12000.0, 500.0, 0.012, "x", 9000.0, "Large", "Grocery", 0.7, 6000.0),
+            ("d", "DIST_W_03", 4, "Medium", 3000.0, 500.0, 0.012, "x", 3000.0, "Large", "Grocery", 0.6, 2500.0)]
+    money = Budget(buckets={"High": 5000.0, "Medium": 5000.0}, min_share=0.25)
+    got = {r.Outlet_ID: r[b.SPEND] for r in b.distributor_rebalance(spark.createDataFrame(rows, SCHEMA + f", {b.SPEND} double"), money).collect()}
+    assert got == {"a": 2000.0, "b": 1500.0, "c": 4000.0, "d": 2500.0}
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_minimum_share_is_reached_where_slack_and_room_suffice(spark, seed):
+    data, money = cohort(seed + 20, 120), Budget(buckets={"High": 120_000.0, "Medium": 50_000.0, "Low": 5_000.0}, min_share=0.2)
+    start = b.leftover_redistribution(b.greedy_tier_budget(spark.createDataFrame(data, SCHEMA), money), money).collect()
+    rows = [[r.Outlet_ID, r.distributor_id, r[b.SPEND], r.tier_floor, r.max_headroom_allocation] for r in start]
+    frame = spark.createDataFrame(start, b.greedy_tier_budget(spark.createDataFrame(data, SCHEMA), money).schema)
+    after = {r.Outlet_ID: r[b.SPEND] for r in b.distributor_rebalance(frame, money).collect()}
+    least, have = money.min_share * money.total, {}
+    for _, d, s, _, _ in rows:
+        have[d] = have.get(d, 0) + s
+    can = sum(min(max(0, (have[d] - least) // 50 * 50), sum(max(0, s - f) for _, e, s, f, _ in rows if e == d and s > 0)) for d in have)
+    need = {d: -(-(least - v) // 50) * 50 for d, v in have.items() if v < least}
+    room = {d: sum(max(0, h - s) for _, e, s, _, h in rows if e == d) for d in need}
+    share = {d: sum(after[i] for i, e, *_ in rows if e == d) for d in have}
+    assert sum(after.values()) == sum(have.values())
+    if need and can >= sum(need.values()) + 2000 * len(need) and all(room[d] >= need[d] for d in need):
+        assert all(share[d] >= least for d in need)
+    assert all(a == 0 or a >= f for (i, _, _, f, _) in rows for a in [after[i]])
+
+
+def test_allocate_reads_its_input_a_few_times(spark):
+    money = Budget(buckets={"High": 90_000.0, "Medium": 50_000.0, "Low": 5_000.0})
+    out = b.allocate(spark.createDataFrame(cohort(3), SCHEMA), money)
+    assert len(out._jdf.queryExecution().optimizedPlan().toString()) < 20_000
+
+
 def test_surplus_is_taken_back(spark):
     data = [(f"o{i}", "DIST_W_01", i + 1, "Medium", 3000.0, 500.0, 0.012, "x", 1000.0, "Large", "Grocery", 0.5) for i in range(4)]
     df = spark.createDataFrame(data, SCHEMA).withColumn(b.SPEND, F.lit(1000.0))
