@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -206,16 +207,17 @@ def param_search(train: DataFrame, estimator: Estimator, grid: Mapping[str, Sequ
 
 def oof_predict(train: DataFrame, everyone: DataFrame, estimator: Estimator, cfg: Config, name: str) -> DataFrame:
     """Training rows by the model that did not see their fold, all others by the average of the folds."""
-    out = everyone.join(train.select("Outlet_ID", F.col("fold").alias("_own")), "Outlet_ID", "left")
-    names = []
+    own = everyone.join(train.select("Outlet_ID", F.col("fold").alias("held_out_fold")), "Outlet_ID", "left")
+    rest, names, parts = own.where("held_out_fold is null"), [], []
     for k in range(cfg.folds):
         model = estimator.fit(train.where(F.col("fold") != k))
+        parts.append(model.transform(own.where(F.col("held_out_fold") == k)).select("Outlet_ID", "held_out_fold", F.col("prediction").alias(name)))
         names.append(f"_p{k}")
-        extra = set(model.transform(out).columns) - set(out.columns)
-        out = model.transform(out).withColumnRenamed("prediction", names[-1]).drop(*(extra - {"prediction"}))
-    each = F.array(*names)
-    average = F.aggregate(each, F.lit(0.0), lambda a, x: a + x) / F.lit(float(cfg.folds))
-    return out.select("Outlet_ID", F.col("_own").alias("held_out_fold"), F.coalesce(F.get(each, F.col("_own")), average).alias(name))
+        extra = set(model.transform(rest).columns) - set(rest.columns)
+        rest = model.transform(rest).withColumnRenamed("prediction", names[-1]).drop(*(extra - {"prediction"}))
+    average = F.aggregate(F.array(*names), F.lit(0.0), lambda a, x: a + x) / F.lit(float(cfg.folds))
+    parts.append(rest.select("Outlet_ID", "held_out_fold", average.alias(name)))
+    return reduce(DataFrame.unionByName, parts)
 
 
 # --- censored and hurdle sub-models ----------------------------------------------------------
