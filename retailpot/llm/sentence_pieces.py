@@ -21,9 +21,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from retailpot.llm.tokens import WordTable
+from retailpot.llm.words import Words, chunks
+
 MARK = "▁"
 BLOCK = 20_000        # words that advance together
-MAX_WORDS = 250_000   # known words kept by a worker; when full the table starts anew
 NEVER = np.int64(1) << 40
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15 | 1)
@@ -99,7 +101,7 @@ class Codec:
         if self.bpe:
             self._split_pieces(ids)
         self._tables()
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.table = WordTable(self._learn)
 
     @staticmethod
     def _key(piece: str) -> np.uint64:
@@ -227,7 +229,8 @@ class Codec:
                 out.append(self.unknown)
         return tuple(out)
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn(self, words: list[str]) -> list[tuple[int, ...]]:
+        known: dict[str, tuple[int, ...]] = {}
         by_size: dict[int, list[str]] = {}
         for w in words:
             by_size.setdefault(len(w), []).append(w)
@@ -237,31 +240,35 @@ class Codec:
                 part = same[k : k + block]
                 codes = np.frombuffer("".join(part).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(part), n)
                 for word, ids in zip(part, self._advance(codes), strict=True):
-                    self.known[word] = self._spelled(ids)
-
-    def _words(self, text: str) -> list[str]:
-        """Runs of word marks with what follows; the text is normalised."""
-        if not text:
-            return []
-        parts = text.split(MARK)
-        out, marks = [parts[0]] if parts[0] else [], ""
-        for p in parts[1:]:
-            marks += MARK
-            if p:
-                out.append(marks + p)
-                marks = ""
-        return [*out, marks] if marks else out
+                    known[word] = self._spelled(ids)
+        return [known[w] for w in words]
+
+    @staticmethod
+    def _cut(part: list[bytes]) -> Words:
+        """Words of normalised texts: a run of word marks with what follows, whatever else that holds."""
+        w = Words(part)
+        d = w.data
+        mark = np.zeros(len(d), bool)
+        mark[:-2] = (d[:-2] == 0xE2) & (d[1:-1] == 0x96) & (d[2:] == 0x81)
+        again = np.zeros(len(d), bool)
+        again[3:] = mark[:-3]
+        filled = w.doc_start[w.doc_end > w.doc_start]
+        w.start = np.union1d(np.flatnonzero(mark & ~again), filled)
+        w.doc = np.searchsorted(w.doc_end, w.start, side="right")
+        w.end = np.minimum(np.append(w.start[1:], len(d)), w.doc_end[w.doc])
+        return w
 
     def encode(self, texts: list) -> list[np.ndarray]:
         """Ids of each text as the library gives them without begin and end; a null text is empty."""
-        split = [self._words(self.library.normalize(t)) if t else [] for t in texts]
-        new = {w for ws in split for w in ws if w not in self.known}
-        if len(self.known) + len(new) > MAX_WORDS:
-            self.known.clear()
-            new = {w for ws in split for w in ws}
-        self._learn(sorted(new))
-        known = self.known
-        return [np.array([i for w in ws for i in known[w]], np.uint32) for ws in split]
+        out: list[np.ndarray] = []
+        parts = [part for _, part in chunks([self.library.normalize(t) if t else "" for t in texts])]
+        self.table.learn(self._cut(part) for part in parts)
+        for part in parts:
+            w = self._cut(part)
+            slot = self.table.slots(w)
+            n = np.bincount(w.doc, self.table.length[slot], len(part)).astype(np.int64)
+            out += np.split(self.table.joined(slot), np.cumsum(n)[:-1])
+        return out
 
     def decode(self, ids: list[np.ndarray]) -> list[str]:
         """Texts of id sequences: the pieces' bytes end to end, word marks as spaces, the first one (put there by encoding) left out."""
@@ -299,7 +306,7 @@ def encoded(docs: DataFrame, path: str, keep_ids: bool = False) -> DataFrame:
             first = 0
             while first < len(texts):
                 last, size = first, 0
-                while last < len(texts) and (last == first or size + len(texts[last] or "") <= 4_000_000):
+                while last < len(texts) and (last == first or size + len(texts[last] or "") <= 8_000_000):
                     size += len(texts[last] or "")
                     last += 1
                 ids = c.encode(texts[first:last])

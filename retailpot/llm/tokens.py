@@ -8,6 +8,7 @@ Other tokenizers get whole texts. The table of known words is bounded; when full
 from __future__ import annotations
 
 import json
+from collections.abc import Iterable
 
 import numpy as np
 
@@ -56,16 +57,11 @@ def pieces(part: list[bytes]) -> Words:
     return w
 
 
-class WordIds:
-    """Ids of texts; the library is asked only for words not met before."""
-
-    def __init__(self, path: str, max_words: int = MAX_WORDS):
-        from tokenizers import Tokenizer
+class WordTable:
+    """Ids of words by their hash; ``encode`` (words to lists of ids) is asked only for those not met before."""
 
-        self.tokenizer, self.max_words = Tokenizer.from_file(path), max_words
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.by_word = splits_at_blanks(json.loads(self.tokenizer.to_str()))
+    def __init__(self, encode, max_words: int = MAX_WORDS):
+        self.encode, self.max_words = encode, max_words
         self._clear()
 
     def _clear(self) -> None:
@@ -75,7 +71,7 @@ class WordIds:
         self.store = np.zeros(0, np.uint32)
 
     def _learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode("utf-8", "surrogatepass") for w in words], add_special_tokens=False)]
+        found = self.encode([w.decode("utf-8", "surrogatepass") for w in words])
         n = np.fromiter(map(len, found), np.int64, len(found))
         start = len(self.store) + np.concatenate(([0], np.cumsum(n)[:-1]))
         slots = len(self.length) + np.arange(len(found))
@@ -84,19 +80,56 @@ class WordIds:
         at = np.searchsorted(self.keys, hashes)
         self.keys, self.slot = np.insert(self.keys, at, hashes), np.insert(self.slot, at, slots)
 
-    def _slots(self, words: Words) -> np.ndarray:
+    def slots(self, words: Words) -> np.ndarray:
         """Slot of each word of the chunk."""
         distinct, first, inverse = np.unique(words.hashes(), return_index=True, return_inverse=True)
-        if len(self.keys) + len(distinct) > self.max_words:
+        known = self._known(distinct)
+        if len(self.keys) + len(distinct) - known.sum() > self.max_words:
             self._clear()
+            known[:] = False
+        if not known.all():
+            self._learn(distinct[~known], [words.word(i) for i in first[~known]])
+        return self.slot[np.searchsorted(self.keys, distinct)][inverse]
+
+    def _known(self, distinct: np.ndarray) -> np.ndarray:
         at = np.searchsorted(self.keys, distinct)
         known = np.zeros(len(distinct), bool)
         inside = at < len(self.keys)
         known[inside] = self.keys[at[inside]] == distinct[inside]
-        if not known.all():
-            self._learn(distinct[~known], [words.word(i) for i in first[~known]])
-            at = np.searchsorted(self.keys, distinct)
-        return self.slot[at][inverse]
+        return known
+
+    def learn(self, parts: Iterable[Words]) -> None:
+        """Encode the new words of several chunks at once, where ``encode`` works better on many."""
+        new: dict[int, bytes] = {}
+        for w in parts:
+            distinct, first = np.unique(w.hashes(), return_index=True)
+            ask = ~self._known(distinct)
+            new.update(zip(distinct[ask].tolist(), [w.word(i) for i in first[ask]], strict=True))
+        if new and len(self.keys) + len(new) <= self.max_words:
+            hashes = np.sort(np.fromiter(new, np.uint64, len(new)))
+            self._learn(hashes, [new[h] for h in hashes.tolist()])
+
+    def joined(self, slot: np.ndarray) -> np.ndarray:
+        """Ids of the words end to end."""
+        n = self.length[slot]
+        where = np.repeat(self.offset[slot] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        return self.store[where]
+
+
+class WordIds:
+    """Ids of texts by a tokenizer of the library."""
+
+    def __init__(self, path: str, max_words: int = MAX_WORDS):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.by_word = splits_at_blanks(json.loads(self.tokenizer.to_str()))
+        self.table = WordTable(self._encode, max_words)
+
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def counts(self, texts: list) -> np.ndarray:
         """Tokens of each text."""
@@ -104,26 +137,23 @@ class WordIds:
         for first, part in chunks(texts):
             if self.by_word:
                 w = pieces(part)
-                slot = self._slots(w)
-                out[first : first + len(part)] = np.bincount(w.doc, self.length[slot], len(part))
+                slot = self.table.slots(w)
+                out[first : first + len(part)] = np.bincount(w.doc, self.table.length[slot], len(part))
             else:
-                out[first : first + len(part)] = [len(e) for e in self.tokenizer.encode_batch_fast([b.decode("utf-8", "surrogatepass") for b in part], add_special_tokens=False)]
+                out[first : first + len(part)] = list(map(len, self._encode([b.decode("utf-8", "surrogatepass") for b in part])))
         return out
 
     def ids(self, texts: list):
         """(first index, ids of the chunk's texts end to end, ids per text) a chunk at a time."""
         for first, part in chunks(texts):
             if not self.by_word:
-                got = [e.ids for e in self.tokenizer.encode_batch_fast([b.decode("utf-8", "surrogatepass") for b in part], add_special_tokens=False)]
+                got = self._encode([b.decode("utf-8", "surrogatepass") for b in part])
                 n = np.fromiter(map(len, got), np.int64, len(got))
                 yield first, np.fromiter((i for ids in got for i in ids), np.uint32, int(n.sum())), n
                 continue
             w = pieces(part)
-            slot = self._slots(w)
-            n = self.length[slot]
-            before = np.cumsum(n) - n
-            where = np.repeat(self.offset[slot] - before, n) + np.arange(int(n.sum()))
-            yield first, self.store[where], np.bincount(w.doc, n, len(part)).astype(np.int64)
+            slot = self.table.slots(w)
+            yield first, self.table.joined(slot), np.bincount(w.doc, self.table.length[slot], len(part)).astype(np.int64)
 
 
 _LOADED: dict[str, WordIds] = {}

@@ -128,7 +128,7 @@ def test_unigram_takes_the_best_path(pieces):
     import copy
 
     one = copy.copy(pieces)
-    one.bpe, one.known = False, {}
+    one.bpe = False
     rng = np.random.default_rng(9)
     one.score = rng.normal(-8, 3, len(one.pieces))
     one.unknown_score = -40.0
