@@ -6,8 +6,8 @@ sets link when ``den * intersection >= num * union``. Equal sets are one class a
 * **Light sets** (size at most the boundary) enumerate subsets: sets of sizes a and b link exactly when they share a subset of the least
   overlap c(a + b), so each emits a signature per c-subset and partner size, and equal signatures are links without a comparison.
 * **Heavy sets** scan inverted lists. Under one global order of shingles (rare before frequent, then by hash) two linked sets share one of
-  their first n - ceil(t n) + 1 shingles, so only those are listed. A shingle is frequent when its list spans many components (near copies have
-  merged by then); sets are ordered again until the lists of the other shingles are short. All counts cover all sets.
+  their first n - ceil(t n) + 1 shingles, so only those are listed. Frequent are at first the shingles with long lists and those that documents would list in their place; once near copies have merged, those
+  whose lists still span many components join them, and sets are ordered again until the lists of the other shingles are short. All counts cover all sets.
 * **Boundary**: the size that makes signatures plus list work least for the size histogram of the data.
 
 Lists are answered hub by hub: each list's members are compared with one of them, components merge, and lists inside one component are
@@ -37,7 +37,9 @@ LONG_LIST = 64          # components in its list from which a shingle counts as
 PAIRS_PER_ENTRY = 2     # pairs left to compare, per list entry, that end the search for frequent shingles and the hub rounds
 FREQUENT_BITS = 20      # at most 2 ** this many frequent shingles are told apart
 FILTER_BITS = 23        # bits of the document filter before an exact join
+WIDE = 3                # prefixes' worth of shingles that are counted where frequent ones will move back
 HUB_ROUNDS = 4
+LINK_BLOCK = 500_000    # links that one task merges
 _U = np.uint64
 
 
@@ -142,6 +144,28 @@ def reordered_prefixes(docs: DataFrame, width: int, t: Threshold, frequent: tupl
     return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, "doc_id long, prefix array<long>")
 
 
+def wide_counts(docs: DataFrame, width: int, t: Threshold, frequent: np.ndarray) -> DataFrame:
+    """(key, k): how often shingles occur among the first ``WIDE`` prefixes' worth of the documents that list a ``frequent`` one (sorted hashes).
+
+    When frequent shingles move back, a document lists what comes next; these counts tell beforehand which of that is frequent too.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(frequent)  # at most 2 ** FREQUENT_BITS shingles
+
+    def run(batches):
+        keys = shared.value
+        for b in batches:
+            for _, sets in _chunked_sets(b["text"].tolist(), width):
+                out = [np.zeros(0, np.uint64)]
+                for _, h in sets:
+                    p = t.prefix(len(h))
+                    if (keys[np.minimum(np.searchsorted(keys, h[:p]), len(keys) - 1)] == h[:p]).any():
+                        out.append(h[: WIDE * p])
+                key, k = np.unique(np.concatenate(out), return_counts=True)
+                yield pd.DataFrame({"key": key.view(np.int64), "k": k})
+
+    return docs.select("text").mapInPandas(run, "key long, k long").groupBy("key").agg(F.sum("k").alias("k"))
+
+
 def light_links(reps: DataFrame, limit: int, t: Threshold) -> DataFrame:
     """(a, b): links between light sets, each group of equal signatures tied to one member of its smaller size."""
 
@@ -183,18 +207,15 @@ def whole_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     """(id, elements) for ``ids``: texts that the bit filter rules out are never cut into shingles, the rest meets an exact join afterwards."""
     shared = docs.sparkSession.sparkContext.broadcast(_filter_of(ids))
 
-    @F.pandas_udf("boolean")
-    def may_be(h: pd.Series) -> pd.Series:
-        h = h.to_numpy()
-        return pd.Series((shared.value[h >> 3] >> (h & 7)) & 1 == 1)
-
     def run(batches):
         for b in batches:
+            h = b["h"].to_numpy()
+            b = b[(shared.value[h >> 3] >> (h & 7)) & 1 == 1]
             doc_ids = b["doc_id"].tolist()
             for _, sets in _chunked_sets(b["text"].tolist(), width):
                 yield pd.DataFrame([(doc_ids[i], h.view(np.int64)) for i, h in sets], columns=["id", "elements"])
 
-    some = docs.select(F.col("doc_id").cast("long"), "text").where(may_be(F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS))))
+    some = docs.select(F.col("doc_id").cast("long"), "text", F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(1 << FILTER_BITS)).alias("h")).where("doc_id is not null")
     return some.mapInPandas(run, "id long, elements array<long>")
 
 
@@ -218,35 +239,76 @@ def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, t:
     return full.where(t.den * shared >= t.num * (F.col("na") + F.col("nb") - shared)).select("a", "b")
 
 
-def _labelled(lists: DataFrame, links: DataFrame) -> DataFrame:
-    """``lists`` (key, id) with the component of each id under ``links`` so far."""
-    nodes = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    label = connected_components(nodes, links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    return lists.join(label.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))
+def component_labels(pairs: DataFrame) -> DataFrame:
+    """(id, label): the smallest id that each id in ``pairs`` (a, b; a stored table) reaches.
+
+    Blocks of at most ``LINK_BLOCK`` links are merged inside a task each; what remains of several blocks, a tree edge per id and
+    block, is merged by distributed label propagation. One block leaves nothing to merge.
+    """
+
+    def merge(batches):
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while (p := parent.setdefault(x, x)) != x:
+                parent[x] = x = parent.setdefault(p, p)
+            return x
+
+        for b in batches:
+            for x, y in zip(b["a"].tolist(), b["b"].tolist(), strict=True):
+                x, y = root(x), root(y)
+                if x != y:
+                    parent[max(x, y)] = min(x, y)
+        ids = list(parent)
+        yield pd.DataFrame({"id": ids, "label": [root(x) for x in ids]}, dtype="int64")
 
+    blocks = max(1, -(-pairs.count() // LINK_BLOCK))
+    forest = stored((pairs.coalesce(1) if blocks == 1 else pairs.repartition(blocks)).mapInPandas(merge, "id long, label long"), "forest")
+    if blocks == 1:
+        return forest
+    nodes = forest.select(F.col("id").alias("node")).distinct()
+    return connected_components(nodes, forest.where("id <> label").select(F.col("id").alias("u"), F.col("label").alias("v"))).withColumnRenamed("node", "id")
 
-def hub_round(lists: DataFrame, links: DataFrame, check, round_: int) -> tuple[DataFrame, DataFrame]:
-    """(lists that held several components, ``links`` plus the confirmed ones of each such list's members with one of them)."""
-    now = _labelled(lists, links)
+
+class Links(NamedTuple):
+    """Confirmed links (a, b) and the component of each linked id (id, label)."""
+
+    pairs: DataFrame
+    labels: DataFrame
+
+    @classmethod
+    def of(cls, pairs: DataFrame) -> Links:
+        return cls(pairs, component_labels(pairs))
+
+    def plus(self, pairs: DataFrame) -> Links:
+        return Links.of(stored(self.pairs.unionByName(pairs), "links"))
+
+    def on(self, lists: DataFrame) -> DataFrame:
+        """``lists`` (key, id) with the component of each id."""
+        return lists.join(self.labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+
+
+def hub_round(lists: DataFrame, links: Links, check, round_: int) -> Links:
+    """``links`` plus the confirmed ones of each list's members with one of them, for lists that span several components."""
+    now = links.on(lists)
     state = now.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min_by(F.struct("id", "label"), F.xxhash64("id", F.lit(round_))).alias("hub")).where("lo < hi")
-    now = stored(now.join(state.select("key", "hub"), "key"), "open")
-    pairs = now.where("label <> hub.label").select(F.greatest("id", "hub.id").alias("b"), F.least("id", "hub.id").alias("a")).distinct()
-    return now.select("key", "id"), stored(links.unionByName(check(pairs)), "links")
+    now = now.join(state.select("key", "hub"), "key").where("label <> hub.label")
+    return links.plus(check(now.select(F.greatest("id", "hub.id").alias("b"), F.least("id", "hub.id").alias("a")).distinct()))
 
 
-def crowded(lists: DataFrame, links: DataFrame, least: int) -> DataFrame:
+def crowded(lists: DataFrame, links: Links, least: int) -> DataFrame:
     """(key, k): lists whose members lie in ``k`` > ``least`` components."""
-    return _labelled(lists, links).select("key", "label").distinct().groupBy("key").agg(F.count("*").alias("k")).where(F.col("k") > least)
+    return links.on(lists).select("key", "label").distinct().groupBy("key").agg(F.count("*").alias("k")).where(F.col("k") > least)
 
 
-def list_links(lists: DataFrame, links: DataFrame, check, limit: int) -> DataFrame:
+def list_links(lists: DataFrame, links: Links, check, limit: int) -> Links:
     """``links`` plus those between members of one list that ``check`` confirms, as many as components need.
 
     Hub rounds go on while more than ``limit`` pairs across components are left and rounds are; then all those pairs are compared.
     ``lists`` (key, id) is read several times: pass a stored table.
     """
     for round_ in range(1, HUB_ROUNDS + 1):
-        now = _labelled(lists, links)
+        now = links.on(lists)
         many = now.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
         now = stored(now.join(many, "key"), "open")
         per = now.groupBy("key", "label").count().groupBy("key").agg(((F.sum("count") * F.sum("count") - F.sum(F.col("count") * F.col("count"))) / 2).alias("p"))
@@ -256,11 +318,18 @@ def list_links(lists: DataFrame, links: DataFrame, check, limit: int) -> DataFra
         if across <= limit or round_ == HUB_ROUNDS:
             x, y = now.select("key", F.col("id").alias("a"), F.col("label").alias("la")), now.select("key", F.col("id").alias("b"), F.col("label").alias("lb"))
             pairs = x.join(y, "key").where("la <> lb and a < b").select("a", "b").distinct()
-            return stored(links.unionByName(check(pairs)), "links")
-        lists, links = hub_round(now.select("key", "id"), links, check, round_)
+            return links.plus(check(pairs))
+        lists = now.select("key", "id")
+        links = hub_round(lists, links, check, round_)
     return links
 
 
+def representatives(sets: DataFrame) -> DataFrame:
+    """One row per class of equal sets, under its smallest doc_id as ``id``."""
+    reps = sets.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in ("n", "prefix", "elements", "bits")])
+    return stored(reps, "reps")
+
+
 def components(docs: DataFrame, width: int = 4, t: Threshold = Threshold()) -> DataFrame:
     """(doc_id, n_shingles, component_id) of ``docs`` (doc_id, text), one row per input row.
 
@@ -268,38 +337,47 @@ def components(docs: DataFrame, width: int = 4, t: Threshold = Threshold()) -> D
     Rows that share a doc_id and their set are one document; an empty table gives an empty result; other columns are ignored.
     """
     sets = stored(document_sets(docs, width, t), "sets")
-    reps = sets.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in ("n", "prefix", "elements", "bits")])
-    reps = stored(reps, "reps")
+    reps = representatives(sets)
     limit = boundary({r.n: r["count"] for r in reps.where(F.col("n") <= LIGHT_LIMIT).groupBy("n").count().collect()}, t)
     heavy = reps.where(F.col("n") >= t.least(limit + 1)).select("id", "prefix")
-    links = stored(light_links(reps, limit, t), "links")
+    links = Links.of(stored(light_links(reps, limit, t), "links"))
 
     def check(pairs: DataFrame) -> DataFrame:
         return verified(pairs, reps, docs, width, t)
 
-    frequent = np.zeros(0, np.uint64), np.zeros(0, np.int8)
     entries = heavy.agg(F.sum(F.size("prefix"))).first()[0] or 0
     least = max(LONG_LIST, entries >> FREQUENT_BITS)
+    counts = heavy.select(F.explode("prefix").alias("key")).groupBy("key").agg(F.count("*").alias("k"))
+    found, frequent = counts.where(F.col("k") > least).collect(), (np.zeros(0, np.uint64), np.zeros(0, np.int8))  # at most entries / least
+    if found:
+        listed = np.sort(np.array([r.key for r in found], np.int64).view(np.uint64))
+        wide = wide_counts(docs, width, t, listed)
+        found = wide.where(F.col("k") > max(least, WIDE * entries >> FREQUENT_BITS)).collect()
     while True:
+        new = np.array([r.key for r in found], np.int64).view(np.uint64)
+        fresh = ~np.isin(new, frequent[0])
+        if fresh.any():
+            keys = np.concatenate((frequent[0], new[fresh]))
+            levels = np.concatenate((frequent[1], np.array([int(r.k).bit_length() for r, f in zip(found, fresh, strict=True) if f], np.int8)))
+            order = np.argsort(keys)
+            frequent = keys[order], levels[order]
+            moved = reordered_prefixes(docs, width, t, frequent).groupBy(F.col("doc_id").alias("id")).agg(F.first("prefix").alias("_p"))
+            heavy = reps.where(F.col("n") >= t.least(limit + 1)).select("id", "prefix").join(moved, "id", "left")
+            heavy = stored(heavy.select("id", F.coalesce("_p", "prefix").alias("prefix")), "prefixes")
         postings = heavy.select(F.explode("prefix").alias("key"), "id")
         lists = stored(postings.join(postings.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key"), "key"), "lists")
-        _, links = hub_round(lists, links, check, 0)
+        links = hub_round(lists, links, check, 0)
         found = crowded(lists, links, least).collect()  # at most entries / least
-        new = np.array([r.key for r in found], np.int64).view(np.uint64)
-        fresh = ~np.isin(new, frequent[0])
-        if sum(r.k * r.k for r, f in zip(found, fresh, strict=True) if f) <= PAIRS_PER_ENTRY * entries:
+        known = set(frequent[0].view(np.int64).tolist())
+        if sum(r.k * r.k for r in found if r.key not in known) <= PAIRS_PER_ENTRY * entries:
             break
-        keys = np.concatenate((frequent[0], new[fresh]))
-        levels = np.concatenate((frequent[1], np.array([int(r.k).bit_length() for r, f in zip(found, fresh, strict=True) if f], np.int8)))
-        order = np.argsort(keys)
-        frequent = keys[order], levels[order]
-        moved = reordered_prefixes(docs, width, t, frequent).groupBy(F.col("doc_id").alias("id")).agg(F.first("prefix").alias("_p"))
-        heavy = reps.where(F.col("n") >= t.least(limit + 1)).select("id", "prefix").join(moved, "id", "left")
-        heavy = stored(heavy.select("id", F.coalesce("_p", "prefix").alias("prefix")), "prefixes")
     links = list_links(lists, links, check, PAIRS_PER_ENTRY * entries)
 
-    nodes = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    label = connected_components(nodes, links.select(F.col("a").alias("u"), F.col("b").alias("v"))).withColumnRenamed("node", "id")
-    placed = reps.select("cls", "id").join(label, "id", "left").select("cls", F.coalesce("label", "id").alias("_c"))
-    out = sets.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("cls")).alias("cls")).join(placed, "cls", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("_c", "doc_id").alias("component_id"))
+    return placed(sets, reps, links)
+
+
+def placed(sets: DataFrame, reps: DataFrame, links: Links) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every document of ``sets``."""
+    label = reps.select("cls", "id").join(links.labels, "id", "left").select("cls", F.coalesce("label", "id").alias("_c"))
+    out = sets.where("n > 0").join(label, "cls").select("doc_id", F.col("n").alias("n_shingles"), F.col("_c").alias("component_id"))
+    return out.unionByName(sets.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))

@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _U = np.uint64

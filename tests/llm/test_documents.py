@@ -108,6 +108,15 @@ def test_fingerprints(spark):
     assert fingerprints.fingerprint(twice).count() == 3
 
 
+def test_band_classes_are_the_verified_components(spark):
+    texts = list(cases.TEXTS) + [t for s, n in enumerate((8, 30, 60, 150)) for t in edited(s, n, 9)]
+    want = brute_components(list(enumerate(texts)), 5, 80, 100)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in fingerprints.near_duplicates(cases.frame(spark, texts)).collect()}
+    assert len(got) == len(texts) and sum(got[k] == want[k] for k in want) >= 0.98 * len(want)
+    assert all(want[got[k][1]][1] == want[k][1] for k in want)  # nothing unlike is put together
+    assert fingerprints.near_duplicates(cases.frame(spark).limit(0)).count() == 0
+
+
 def test_quality_model_learns_and_scores(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     model = quality_model.fit(*quality_model.labelled_sample(docs, labels))
