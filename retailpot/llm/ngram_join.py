@@ -12,7 +12,8 @@ sets link when ``den * intersection >= num * union``. Equal sets are one class a
 
 Lists are answered hub by hub: each list's members are compared with one of them, components merge, and lists inside one component are
 done. Once few pairs across components are left, all of them are compared. So a group of thousands of near copies costs about one comparison
-each, and no link between components is missed. A pair is first held against an exact lower bound of its symmetric difference (parity bitmaps),
+each, and no link between components is missed. A list proposes a pair only if what follows the shingle in both orders leaves room for the
+overlap, which the list of their first common shingle always does for linked sets. A pair is then held against an exact lower bound of its symmetric difference (parity bitmaps),
 then both whole shingle sets are intersected.
 """
 
@@ -24,7 +25,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retailpot.llm.common import stored
@@ -288,11 +289,16 @@ class Links(NamedTuple):
         return lists.join(self.labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
 
 
-def hub_round(lists: DataFrame, links: Links, check, round_: int) -> Links:
+def can_link(na: Column, pa: Column, nb: Column, pb: Column, t: Threshold) -> Column:
+    """Whether two sets whose first common shingle has the places ``pa`` and ``pb`` in their orders can still overlap enough."""
+    return F.least(na - pa, nb - pb) * (t.num + t.den) >= t.num * (na + nb)
+
+
+def hub_round(lists: DataFrame, links: Links, check, round_: int, t: Threshold) -> Links:
     """``links`` plus the confirmed ones of each list's members with one of them, for lists that span several components."""
     now = links.on(lists)
-    state = now.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min_by(F.struct("id", "label"), F.xxhash64("id", F.lit(round_))).alias("hub")).where("lo < hi")
-    now = now.join(state.select("key", "hub"), "key").where("label <> hub.label")
+    state = now.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min_by(F.struct("id", "label", "n", "pos"), F.xxhash64("id", F.lit(round_))).alias("hub")).where("lo < hi")
+    now = now.join(state.select("key", "hub"), "key").where((F.col("label") != F.col("hub.label")) & can_link(F.col("n"), F.col("pos"), F.col("hub.n"), F.col("hub.pos"), t))
     return links.plus(check(now.select(F.greatest("id", "hub.id").alias("b"), F.least("id", "hub.id").alias("a")).distinct()))
 
 
@@ -301,11 +307,11 @@ def crowded(lists: DataFrame, links: Links, least: int) -> DataFrame:
     return links.on(lists).select("key", "label").distinct().groupBy("key").agg(F.count("*").alias("k")).where(F.col("k") > least)
 
 
-def list_links(lists: DataFrame, links: Links, check, limit: int) -> Links:
+def list_links(lists: DataFrame, links: Links, check, limit: int, t: Threshold) -> Links:
     """``links`` plus those between members of one list that ``check`` confirms, as many as components need.
 
     Hub rounds go on while more than ``limit`` pairs across components are left and rounds are; then all those pairs are compared.
-    ``lists`` (key, id) is read several times: pass a stored table.
+    ``lists`` (key, id, n, pos: the set's size and the shingle's place in its order) is read several times: pass a stored table.
     """
     for round_ in range(1, HUB_ROUNDS + 1):
         now = links.on(lists)
@@ -316,11 +322,12 @@ def list_links(lists: DataFrame, links: Links, check, limit: int) -> Links:
         if not across:
             return links
         if across <= limit or round_ == HUB_ROUNDS:
-            x, y = now.select("key", F.col("id").alias("a"), F.col("label").alias("la")), now.select("key", F.col("id").alias("b"), F.col("label").alias("lb"))
-            pairs = x.join(y, "key").where("la <> lb and a < b").select("a", "b").distinct()
+            x, y = (now.select("key", *[F.col(c).alias(f"{s}_{c}") for c in ("id", "label", "n", "pos")]) for s in "ab")
+            open_ = (F.col("a_label") != F.col("b_label")) & (F.col("a_id") < F.col("b_id")) & can_link(F.col("a_n"), F.col("a_pos"), F.col("b_n"), F.col("b_pos"), t)
+            pairs = x.join(y, "key").where(open_).select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
             return links.plus(check(pairs))
-        lists = now.select("key", "id")
-        links = hub_round(lists, links, check, round_)
+        lists = now.drop("label")
+        links = hub_round(lists, links, check, round_, t)
     return links
 
 
@@ -339,7 +346,7 @@ def components(docs: DataFrame, width: int = 4, t: Threshold = Threshold()) -> D
     sets = stored(document_sets(docs, width, t), "sets")
     reps = representatives(sets)
     limit = boundary({r.n: r["count"] for r in reps.where(F.col("n") <= LIGHT_LIMIT).groupBy("n").count().collect()}, t)
-    heavy = reps.where(F.col("n") >= t.least(limit + 1)).select("id", "prefix")
+    heavy = reps.where(F.col("n") >= t.least(limit + 1)).select("id", "n", "prefix")
     links = Links.of(stored(light_links(reps, limit, t), "links"))
 
     def check(pairs: DataFrame) -> DataFrame:
@@ -362,16 +369,16 @@ def components(docs: DataFrame, width: int = 4, t: Threshold = Threshold()) -> D
             order = np.argsort(keys)
             frequent = keys[order], levels[order]
             moved = reordered_prefixes(docs, width, t, frequent).groupBy(F.col("doc_id").alias("id")).agg(F.first("prefix").alias("_p"))
-            heavy = reps.where(F.col("n") >= t.least(limit + 1)).select("id", "prefix").join(moved, "id", "left")
-            heavy = stored(heavy.select("id", F.coalesce("_p", "prefix").alias("prefix")), "prefixes")
-        postings = heavy.select(F.explode("prefix").alias("key"), "id")
+            heavy = reps.where(F.col("n") >= t.least(limit + 1)).select("id", "n", "prefix").join(moved, "id", "left")
+            heavy = stored(heavy.select("id", "n", F.coalesce("_p", "prefix").alias("prefix")), "prefixes")
+        postings = heavy.select(F.posexplode("prefix").alias("pos", "key"), "id", "n")
         lists = stored(postings.join(postings.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key"), "key"), "lists")
-        links = hub_round(lists, links, check, 0)
+        links = hub_round(lists, links, check, 0, t)
         found = crowded(lists, links, least).collect()  # at most entries / least
         known = set(frequent[0].view(np.int64).tolist())
         if sum(r.k * r.k for r in found if r.key not in known) <= PAIRS_PER_ENTRY * entries:
             break
-    links = list_links(lists, links, check, PAIRS_PER_ENTRY * entries)
+    links = list_links(lists, links, check, PAIRS_PER_ENTRY * entries, t)
 
     return placed(sets, reps, links)
 
