@@ -93,6 +93,11 @@ def difference_bound(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(np.bitwise_xor.reduce(x.reshape(-1, size), 0) ^ np.bitwise_xor.reduce(y.reshape(-1, size), 0)).sum())
 
 
+def class_of(h: np.ndarray) -> int:
+    """Digest of a set of distinct hashes."""
+    return int(mix(np.array([mix(h + _U(len(h))).sum()], np.uint64)).view(np.int64)[0])
+
+
 SETS = "doc_id long, n long, cls long, prefix array<long>, elements array<long>, bits binary"
 
 
@@ -115,8 +120,7 @@ def document_sets(docs: DataFrame, width: int, t: Threshold) -> DataFrame:
                 rows, empty = [], set(span)
                 for i, h in sets:
                     n, signed = len(h), h.view(np.int64)
-                    cls = int(mix(np.array([mix(h + _U(n)).sum()], np.uint64)).view(np.int64)[0])
-                    rows.append((ids[i], n, cls, signed[: t.prefix(n)], signed if n <= LIGHT_LIMIT else None, parity(h)))
+                    rows.append((ids[i], n, class_of(h), signed[: t.prefix(n)], signed if n <= LIGHT_LIMIT else None, parity(h)))
                     empty.discard(i)
                 rows += [(ids[i], 0, 0, None, None, None) for i in sorted(empty)]
                 yield pd.DataFrame(rows, columns=["doc_id", "n", "cls", "prefix", "elements", "bits"])
@@ -220,8 +224,8 @@ def whole_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     return some.mapInPandas(run, "id long, elements array<long>")
 
 
-def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, t: Threshold) -> DataFrame:
-    """The linked ones among ``pairs`` (a, b) of class representatives."""
+def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, t: Threshold, whole=whole_sets) -> DataFrame:
+    """The linked ones among ``pairs`` (a, b) of class representatives; ``whole`` gives the sets of their ids."""
 
     @F.pandas_udf("boolean")
     def near(x: pd.Series, y: pd.Series, total: pd.Series) -> pd.Series:
@@ -233,7 +237,7 @@ def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, t:
             .where(t.den * F.least("na", "nb") >= t.num * F.greatest("na", "nb")))
     left = stored(both.where(near("xa", "xb", F.col("na") + F.col("nb"))).select("a", "b", "na", "nb"), "candidates")
     ids = left.select(F.explode(F.array("a", "b")).alias("id"))
-    sets = whole_sets(docs, ids, width)
+    sets = whole(docs, ids, width)
     sets = stored(sets.join(ids.distinct(), "id", "left_semi").dropDuplicates(["id"]), "sets")
     full = left.join(sets.select(F.col("id").alias("a"), F.col("elements").alias("ea")), "a").join(sets.select(F.col("id").alias("b"), F.col("elements").alias("eb")), "b")
     shared = F.size(F.array_intersect("ea", "eb"))

@@ -117,6 +117,20 @@ def test_band_classes_are_the_verified_components(spark):
     assert fingerprints.near_duplicates(cases.frame(spark).limit(0)).count() == 0
 
 
+def test_fingerprint_query_brings_near_copies_together(spark, tmp_path):
+    from retailpot.llm.queries import QUERIES
+
+    texts = list(cases.TEXTS) + [cases.prose(900 + i, 200) for i in range(20)]
+    far = texts[20].split()
+    texts.append(" ".join(far[:-1] + ["changed"]))  # near copy of 20, no neighbour of it
+    rows = [*enumerate(texts), (8, "another text under an id that is taken, of its own class")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op8_fingerprints"](spark, str(tmp_path)).collect()
+    want = brute_components(list(enumerate(texts)), 5, 80, 100)
+    assert len(got) == len(rows) and sorted((r.doc_id, r.component_id) for r in got) == sorted([(k, c) for k, (_, c) in want.items()] + [(8, 8)])
+    assert len(texts) - 1 in {r.doc_id for r in got if r.component_id == 20} and want[8][1] == 7
+
+
 def test_quality_model_learns_and_scores(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     model = quality_model.fit(*quality_model.labelled_sample(docs, labels))
