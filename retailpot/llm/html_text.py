@@ -2,8 +2,8 @@
 
 Each page is read into leaf text blocks with their root-to-leaf path of block tags. Text length and punctuation are aggregated per path
 (mean per block), laid along the page in block order, smoothed with a Gaussian window, and fused into one value per block; paths whose
-fused value passes a share of the page's best are content. The deepest element that holds all content paths is the article; its blocks
-are the text, short ones and headings included. Menus, headers, footers, sidebars, notices, adverts, forms, comments and hidden parts never
+fused value passes a share of the page's best are content, whatever element they stand in. The deepest container that holds nearly all
+content is the article; its blocks are the text, short ones and headings included, but for boxes in it whose own value is low. Menus, headers, footers, sidebars, notices, adverts, forms, comments and hidden parts never
 count: they are told by their tag, role, or the words of their class and id.
 """
 
@@ -37,10 +37,13 @@ ATTRIBUTE = re.compile(r"\b(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*(\"
 PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
 SMOOTH = 1.0          # width of the Gaussian window in blocks
 CONTENT_SHARE = 0.1   # of the best fused value on the page
+HOLDS = 0.9           # share of the content's text that the article's element holds
+CONTAINERS = frozenset("html body main article section div center table tbody tr td form fieldset".split())
 
 
 class Block(NamedTuple):
     path: tuple[str, ...]
+    ids: tuple[int, ...]  # of the elements along the path
     noise: bool
     text: str
 
@@ -67,9 +70,9 @@ def _is_noise(tag: str, attributes: str, inside: list[str]) -> bool:
 
 def blocks(page: str) -> Iterator[Block]:
     """Leaf text blocks in page order, white space collapsed, character references decoded."""
-    stack: list[tuple[str, bool]] = []       # block elements (tag, noise at or above)
+    stack: list[tuple[str, bool, int]] = []  # block elements (tag, noise at or above, position)
     text: list[str] = []
-    place: tuple[tuple[str, ...], bool] = ((), False)
+    place: tuple[tuple[str, ...], tuple[int, ...], bool] = ((), (), False)
 
     def flush() -> Iterator[Block]:
         joined = " ".join(html.unescape("".join(text)).split())
@@ -77,8 +80,8 @@ def blocks(page: str) -> Iterator[Block]:
         if joined:
             yield Block(*place, joined)
 
-    def settle() -> tuple[tuple[str, ...], bool]:
-        return tuple(t for t, _ in stack), bool(stack) and stack[-1][1]
+    def settle() -> tuple[tuple[str, ...], tuple[int, ...], bool]:
+        return tuple(t for t, _, _ in stack), tuple(k for _, _, k in stack), bool(stack) and stack[-1][1]
 
     at = 0
     while True:
@@ -105,7 +108,7 @@ def blocks(page: str) -> Iterator[Block]:
         yield from flush()
         if tag in VOID:
             continue
-        names = [t for t, _ in stack]
+        names = [t for t, _, _ in stack]
         if closing:
             if tag in names:
                 del stack[len(names) - 1 - names[::-1].index(tag) :]
@@ -120,8 +123,8 @@ def blocks(page: str) -> Iterator[Block]:
                     if names[k] in same:
                         del stack[k:]
                         break
-            names = [t for t, _ in stack]
-            stack.append((tag, (bool(stack) and stack[-1][1]) or _is_noise(tag, attributes, names)))
+            names = [t for t, _, _ in stack]
+            stack.append((tag, (bool(stack) and stack[-1][1]) or _is_noise(tag, attributes, names), at))
         place = settle()
     yield from flush()
 
@@ -133,6 +136,12 @@ def _smoothed(x: np.ndarray, width: float = SMOOTH) -> np.ndarray:
     return np.convolve(np.pad(x, reach, mode="edge"), kernel, mode="valid")
 
 
+def _ratio(found: list[Block]) -> float:
+    """Mean text length of blocks, raised by their mean number of punctuation marks."""
+    n = max(1, len(found))
+    return sum(len(b.text) for b in found) / n * (1 + sum(len(PUNCTUATION.findall(b.text)) for b in found) / n)
+
+
 def content(found: list[Block]) -> list[Block]:
     """The blocks of the article."""
     open_ = [b for b in found if not b.noise]
@@ -145,24 +154,46 @@ def content(found: list[Block]) -> list[Block]:
     marks = np.bincount(which, [len(PUNCTUATION.findall(b.text)) for b in open_]) / n
     fused = _smoothed(length[which]) * (1 + _smoothed(marks[which]))
     per_path = np.bincount(which, fused) / n * np.log1p(np.bincount(which, [len(b.text) for b in open_]))
-    inside = np.array([bool({"article", "main"} & set(p)) for p in number])
-    if inside.any():
-        per_path = np.where(inside, per_path, 0)
-    chosen = {p for p, v in zip(number, per_path, strict=True) if v >= CONTENT_SHARE * per_path.max()}
-    root: tuple[str, ...] = min(chosen, key=len)[:-1] or min(chosen, key=len)
-    for p in chosen:
-        common = 0
-        while common < min(len(p), len(root)) and p[common] == root[common]:
-            common += 1
-        root = root[:common]
-    if inside.any():  # every part of the article belongs to it
-        ends = [k for k, t in enumerate(root) if t in ("article", "main")]
-        root = root[: ends[0] + 1] if ends else root
-    if len(root) > 2 or (root and root[-1] not in ("html", "body")):
-        return [b for b in open_ if b.path[: len(root)] == root]
-    first = next(k for k, b in enumerate(open_) if b.path in chosen)
-    last = max(k for k, b in enumerate(open_) if b.path in chosen)
-    return [b for k, b in enumerate(open_) if b.path in chosen or (first <= k <= last) or (k == first - 1 and b.path[-1:] in (("h1",), ("h2",)))]
+    chosen = per_path[which] >= CONTENT_SHARE * per_path.max()
+    held = [k for k in range(len(open_)) if chosen[k]]
+    whole, depth = sum(len(open_[k].text) for k in held), 0
+    while True:  # down to the deepest container that holds nearly all content
+        below: dict[tuple[int, str], int] = {}
+        for k in held:
+            b = open_[k]
+            if len(b.ids) > depth:
+                key = b.ids[depth], b.path[depth]
+                below[key] = below.get(key, 0) + len(b.text)
+        best, tag = max(below, key=below.__getitem__, default=(0, ""))
+        if tag not in CONTAINERS or below[best, tag] < HOLDS * whole:
+            break
+        held, depth = [k for k in held if open_[k].ids[depth : depth + 1] == (best,)], depth + 1
+    root = open_[held[0]].ids[:depth]
+    inside = [k for k, b in enumerate(open_) if b.ids[:depth] == root]
+    boxes: dict[object, list[int]] = {}
+    for k in inside:  # children of the article's element; text and elements that are no containers stand for themselves
+        b = open_[k]
+        boxes.setdefault(b.ids[depth] if len(b.ids) > depth and b.path[depth] in CONTAINERS else ("own", k), []).append(k)
+    value = {key: _ratio([open_[k] for k in ks]) for key, ks in boxes.items()}
+    best_box = max(value[key] for key, ks in boxes.items() if any(chosen[k] for k in ks))
+    sure = [k for key, ks in boxes.items() if value[key] >= CONTENT_SHARE * best_box for k in ks if chosen[k]]
+    first, last = sure[0], sure[-1]
+    least = CONTENT_SHARE * fused[sure].mean()
+    whole_page = not root or open_[held[0]].path[depth - 1] in ("html", "body")
+    kept = set()
+    for key, ks in boxes.items():
+        between = first <= ks[0] and ks[-1] <= last
+        if isinstance(key, tuple):
+            good = not whole_page or bool(chosen[ks[0]]) or between
+        else:
+            good = fused[ks].mean() >= least if between else value[key] >= CONTENT_SHARE * best_box
+        if good:
+            kept.update(ks)
+    for k in range(min(kept) - 1, max(min(kept) - 4, -1), -1):  # the title may stand outside the element that holds the text
+        if open_[k].path[-1:] in (("h1",), ("h2",)) and not any(b.path[-1:] in (("h1",),) for b in (open_[j] for j in sorted(kept)[:1])):
+            kept.update(range(k, min(kept)))
+            break
+    return [open_[k] for k in sorted(kept)]
 
 
 def main_text(page: str | None) -> str:

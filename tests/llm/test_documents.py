@@ -273,6 +273,22 @@ def test_html_text(spark):
     assert html_text.extract(df.limit(0)).count() == 0
 
 
+STORY = [f"Paragraph {i} tells a good deal of the story, with marks, and goes on. It has a second sentence, too, and a third. Here it is." for i in range(6)]
+PARAGRAPHS = "".join(f"<p>{p}</p>" for p in STORY)
+CARD = '<article class="card"><h3>Other story</h3><p>Read it here.</p></article>'
+
+
+@pytest.mark.parametrize("body", [
+    f"<div><div>Home</div><div>News</div></div><div><h1>Title</h1>{PARAGRAPHS}</div>",                      # no article at all
+    f"<div><h1>Title</h1>{PARAGRAPHS}</div><div>{CARD * 5}</div>",                                          # teasers are the articles
+    f"<div><h1>Title</h1>{PARAGRAPHS}</div>{CARD * 5}",
+    f"<main><div><h1>Title</h1>{PARAGRAPHS}</div><div><h3>More</h3><ul><li>One</li><li>Two</li></ul></div></main>",  # boxes without a label
+    f"<main><div><p>Just in</p></div><h1>Title</h1>{PARAGRAPHS}<div><p>Get it now.</p></div></main>",
+])
+def test_path_ratios_select_the_story(body):
+    assert html_text.main_text(f"<html><body><nav>Menu</nav>{body}</body></html>") == "Title " + " ".join(STORY)
+
+
 def test_pages_give_back_their_documents(spark):
     docs = {" ".join((t or "").split()) for _, t in cases.read("sf0.01")}
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
