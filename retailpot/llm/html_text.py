@@ -3,8 +3,9 @@
 Each page is read into leaf text blocks with their root-to-leaf path of block tags. Text length and punctuation are aggregated per path
 (mean per block), laid along the page in block order, smoothed with a Gaussian window, and fused into one value per block; paths whose
 fused value passes a share of the page's best are content, whatever element they stand in. The deepest container that holds nearly all
-content is the article; its blocks are the text, short ones and headings included, but for boxes in it whose own value is low. Menus, headers, footers, sidebars, notices, adverts, forms, comments and hidden parts never
-count: they are told by their tag, role, or the words of their class and id.
+content is the article; its blocks are the text, short ones and headings included, but for boxes in it whose own value is low. Menus,
+headers, footers, asides and hidden parts never count: they are told by their tag, role or style. Form tags and words of a class or id
+only hint at notices, adverts, sidebars and comments; ``suspected`` weighs the hints.
 """
 
 from __future__ import annotations
@@ -26,8 +27,9 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 CLOSES_P = frozenset("address article aside blockquote center details dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 SIBLINGS = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)), "tr": ("tr td th", ("table", "tbody", "thead", "tfoot")),
             "td": ("td th", ("tr", "table")), "th": ("td th", ("tr", "table")), "option": ("option", ("select",))}
-NOISE_TAGS = frozenset("head nav footer aside form dialog menu fieldset".split())
-NOISE_ROLES = frozenset("navigation banner contentinfo complementary search alert dialog form menu menubar alertdialog".split())
+NOISE_TAGS = frozenset("head nav footer aside dialog menu".split())
+HINT_TAGS = frozenset("form fieldset".split())
+NOISE_ROLES = frozenset("navigation banner contentinfo complementary search alert dialog menu menubar alertdialog".split())
 NOISE_WORDS = frozenset("""ad ads advert advertisement advertising adverts banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies discussion disqus
     footer gdpr masthead menu modal nav navbar navigation newsletter notice notices outbrain overlay pager pagination popup promo promoted promotion recommended
     related replies reply respond share sharing sidebar signup social sponsor sponsored subscribe subscription taboola teaser toolbar topbar widget widgets""".split())
@@ -37,6 +39,8 @@ ATTRIBUTE = re.compile(r"\b(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*(\"
 PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
 SMOOTH = 1.0          # width of the Gaussian window in blocks
 CONTENT_SHARE = 0.1   # of the best fused value on the page
+PROSE = 25.0          # least ratio of a hinted element that can be the article
+ALONE = 10            # times the rest of the page's text that a single hinted block must exceed
 HOLDS = 0.9           # share of the content's text that the article's element holds
 CONTAINERS = frozenset("html body main article section div center table tbody tr td form fieldset".split())
 
@@ -45,34 +49,39 @@ class Block(NamedTuple):
     path: tuple[str, ...]
     ids: tuple[int, ...]  # of the elements along the path
     noise: bool
+    suspects: tuple[int, ...]  # ids of the elements at or above that a hint calls noise
     text: str
 
 
-def _is_noise(tag: str, attributes: str, inside: list[str]) -> bool:
+def _noise(tag: str, attributes: str, inside: list[str]) -> tuple[bool, bool]:
+    """Whether an element is noise by its tag, role or style, and whether its tag or a word of its class or id hints at it."""
     if tag in NOISE_TAGS or (tag == "header" and not {"article", "main"} & set(inside)):
-        return True
+        return True, False
+    hint = tag in HINT_TAGS
     if "=" not in attributes and "hidden" not in attributes:
-        return False
+        return False, hint
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
+            return True, False
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
+            return True, False
         if name == "role" and value in NOISE_ROLES:
-            return True
+            return True, False
+        if name == "role" and value == "form":
+            hint = True
         if name in ("class", "id") and tag not in ("html", "body", "article", "main") and NOISE_WORDS & set(re.split(r"[^a-z0-9]+", value)):
-            return True
+            hint = True
         if name in ("class", "id") and tag == "article" and {"comment", "reply", "ad", "promo", "teaser"} & set(re.split(r"[^a-z0-9]+", value)):
-            return True
-    return False
+            hint = True
+    return False, hint
 
 
 def blocks(page: str) -> Iterator[Block]:
     """Leaf text blocks in page order, white space collapsed, character references decoded."""
-    stack: list[tuple[str, bool, int]] = []  # block elements (tag, noise at or above, position)
+    stack: list[tuple[str, int, bool, tuple[int, ...]]] = []  # block elements (tag, position, noise at or above, suspects at or above)
     text: list[str] = []
-    place: tuple[tuple[str, ...], tuple[int, ...], bool] = ((), (), False)
+    place: tuple[tuple[str, ...], tuple[int, ...], bool, tuple[int, ...]] = ((), (), False, ())
 
     def flush() -> Iterator[Block]:
         joined = " ".join(html.unescape("".join(text)).split())
@@ -80,8 +89,8 @@ def blocks(page: str) -> Iterator[Block]:
         if joined:
             yield Block(*place, joined)
 
-    def settle() -> tuple[tuple[str, ...], tuple[int, ...], bool]:
-        return tuple(t for t, _, _ in stack), tuple(k for _, _, k in stack), bool(stack) and stack[-1][1]
+    def settle() -> tuple[tuple[str, ...], tuple[int, ...], bool, tuple[int, ...]]:
+        return tuple(x[0] for x in stack), tuple(x[1] for x in stack), *(stack[-1][2:] if stack else (False, ()))
 
     at = 0
     while True:
@@ -108,7 +117,7 @@ def blocks(page: str) -> Iterator[Block]:
         yield from flush()
         if tag in VOID:
             continue
-        names = [t for t, _, _ in stack]
+        names = [x[0] for x in stack]
         if closing:
             if tag in names:
                 del stack[len(names) - 1 - names[::-1].index(tag) :]
@@ -123,8 +132,9 @@ def blocks(page: str) -> Iterator[Block]:
                     if names[k] in same:
                         del stack[k:]
                         break
-            names = [t for t, _, _ in stack]
-            stack.append((tag, (bool(stack) and stack[-1][1]) or _is_noise(tag, attributes, names), at))
+            names = [x[0] for x in stack]
+            (noise, hint), (above, suspects) = _noise(tag, attributes, names), stack[-1][2:] if stack else (False, ())
+            stack.append((tag, at, above or noise, (*suspects, at) if hint else suspects))
         place = settle()
     yield from flush()
 
@@ -142,9 +152,35 @@ def _ratio(found: list[Block]) -> float:
     return sum(len(b.text) for b in found) / n * (1 + sum(len(PUNCTUATION.findall(b.text)) for b in found) / n)
 
 
+def suspected(found: list[Block]) -> set[int]:
+    """Ids of the hinted elements that are noise, of blocks that are not noise themselves.
+
+    A hint holds where the element has no more text than what is known to be free of hints, or a lower ratio than that, or hardly any
+    text; and for a single block unless it outweighs the rest of the page by far, as a notice can be longer than a short article. So a
+    wrapper of most of the page's text is cleared whatever its class. The best element is looked at first.
+    """
+    under: dict[int, list[Block]] = {}
+    for b in found:
+        for e in b.suspects:
+            under.setdefault(e, []).append(b)
+    left, whole = set(under), sum(len(b.text) for b in found)
+    weight = {e: _ratio(bs) * np.log1p(sum(len(b.text) for b in bs)) for e, bs in under.items()}
+    for e in sorted(under, key=lambda e: (-weight[e], e)):
+        rest = [b for b in found if e not in b.suspects and not left.intersection(b.suspects)]
+        own, size = _ratio(under[e]), sum(len(b.text) for b in under[e])
+        if len(under[e]) == 1 and size <= ALONE * (whole - size):
+            continue
+        if own >= PROSE and own >= _ratio(rest) and size > sum(len(b.text) for b in rest):
+            left.discard(e)
+            left.difference_update(set.intersection(*[set(b.suspects) for b in under[e]]))  # nothing above a cleared element is noise
+    return left
+
+
 def content(found: list[Block]) -> list[Block]:
     """The blocks of the article."""
     open_ = [b for b in found if not b.noise]
+    noise = suspected(open_) if any(b.suspects for b in open_) else set()
+    open_ = [b for b in open_ if not noise.intersection(b.suspects)]
     if not open_:
         return []
     number = {p: k for k, p in enumerate(dict.fromkeys(b.path for b in open_))}

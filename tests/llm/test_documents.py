@@ -289,6 +289,17 @@ def test_path_ratios_select_the_story(body):
     assert html_text.main_text(f"<html><body><nav>Menu</nav>{body}</body></html>") == "Title " + " ".join(STORY)
 
 
+@pytest.mark.parametrize("before,after", [
+    ('<div id="page" class="site right-sidebar">', "</div>"), ('<div class="content no-comments">', "</div>"),
+    ('<section class="post share-enabled">', "</section>"), ("<form action=x>", "</form>"),
+    ('<form><div class="site right-sidebar"><div class="ad">Buy now, cheap.</div>', '<div class="comments"><p>Nice, thanks.</p></div></div></form>'),
+    ('<div class="content no-comments">', '</div><div class="comments">' + "<p>So it is, thanks. Yes.</p>" * 60 + "</div>"),
+    ('<div class="cookie"><p>We use cookies, as all do. ' + "You can say no, but you will not. " * 10 + '</p></div><div class="no-sidebar">', "</div>"),
+])
+def test_words_of_a_wrapper_do_not_lose_the_article(before, after):
+    assert html_text.main_text(f"<html><body><nav>Menu</nav>{before}<h1>Title</h1>{PARAGRAPHS}{after}</body></html>") == "Title " + " ".join(STORY)
+
+
 def test_pages_give_back_their_documents(spark):
     docs = {" ".join((t or "").split()) for _, t in cases.read("sf0.01")}
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
