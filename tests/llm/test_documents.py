@@ -259,6 +259,17 @@ def test_pii_fit(spark):
     assert pii.fit(cases.frame(spark, ["no data here", None])) == pii.NO_TREES
 
 
+def test_pii_fitted_model_adds_planted_spans(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    planted = [("phone", "555-123-4567"), ("phone", "(415) 555-0123"), ("email", "jane.roe (at) example (dot) com"), ("ip", "10[.]0[.]0[.]1"), ("card", "4111.1111.1111.1111")]
+    none = ["2024-01-15", "1234567890", "978-3-16-148410-0", "999[.]0[.]0[.]1", "4111.1111.1111.1112", "we look at this. Then we go"]
+    texts = [f"you can reach them under {x} in the week" for x in [p for _, p in planted] + none]
+    common = cases.frame(spark, texts[: len(planted)] * 40)  # a form that is common is found no less
+    model = pii.fit(docs.unionByName(common))
+    got = {r.doc_id: [(pii.KINDS[x.kind], r.text[x.start : x.end]) for x in r.spans] for r in pii.find(cases.frame(spark, texts), model).collect()}
+    assert [got[i] for i in range(len(texts))] == [[p] for p in planted] + [[] for _ in none]
+
+
 PAGE = ('<html><head><title>x</title><script>var t="</p>";</script></head><body><nav><ul><li><a href="/">Home</a></ul></nav><div class="ad">Buy this, now.</div>'
         "<article><h1>Head</h1><p><b>First, one &amp; two.<br><p>Second\n  one. To.</p></article><section id='comments'><p>Nice, thanks. Really.</p></section><footer>&copy; me.</footer></body></html>")
 
