@@ -23,3 +23,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a table that ``scratch`` has named, once its last reader has been written out."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

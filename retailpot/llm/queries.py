@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailpot.llm import fingerprints, html_text, ngram_join, packing, pii, quality_model, quality_rules, sentence_pieces, sharding, token_counts
+from retailpot.llm import best_fit, fingerprints, html_text, ngram_join, packing, pii, quality_model, quality_rules, sentence_pieces, sharding, token_counts, vector_codes, whitening
 from retailpot.llm.common import scratch, stored, table
 from retailpot.llm.tokens import tokenizer_path
 
@@ -73,6 +73,18 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(pii.spelled(F.col("base")).cast("binary"), 256).alias("base_sha256"), pii.spelled(F.col("spans")).alias("spans"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))[0]
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_quality_classifier": op2_quality_classifier,
@@ -84,5 +96,30 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_html_extraction": op9_html_extraction,
     "op10_pii": op10_pii,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_whitening": op12_whitening,
+    "op13_best_fit_packing": op13_best_fit_packing,
 }
-ORACLES: dict[str, str] = {}
+
+
+def _vector_codes_sql() -> str:
+    """Lloyd rounds written out: the same sums and floors with every entry compared."""
+    parts, entries, scale, rounds = vector_codes.PARTS, vector_codes.ENTRIES, vector_codes.SCALE, vector_codes.ROUNDS
+    steps = [f"""kept AS MATERIALIZED (SELECT vec_id, label, list_transform(embedding, lambda c: CAST(floor(CAST(c AS DOUBLE) * {scale}) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NOT NULL AND isfinite(c))) = len(embedding))""",
+             f"""x AS MATERIALIZED (SELECT vec_id, (i - 1) * {parts} // len(v) AS part, (i - 1) % (len(v) // {parts}) AS pos, v[i] AS x FROM (SELECT vec_id, v, unnest(range(1, len(v) + 1)) AS i FROM kept))""",
+             f"""seeds AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM kept QUALIFY entry < {entries})""",
+             "b0 AS MATERIALIZED (SELECT part, entry, pos, x AS c FROM x JOIN seeds USING (vec_id))"]
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (SELECT vec_id, part, arg_min(entry, d * 1000 + entry) AS entry, min(d) AS d FROM
+  (SELECT vec_id, part, entry, CAST(sum((x - c) * (x - c)) AS BIGINT) AS d FROM x JOIN b{r} USING (part, pos) GROUP BY ALL) GROUP BY ALL)""")
+        if r < rounds:
+            steps.append(f"""b{r + 1} AS MATERIALIZED (SELECT part, entry, pos, coalesce(m, c) AS c FROM b{r} LEFT JOIN
+  (SELECT part, entry, pos, (s - ((s % n) + n) % n) // n AS m FROM (SELECT part, entry, pos, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM x JOIN a{r} USING (vec_id, part) GROUP BY ALL)) USING (part, entry, pos))""")
+    steps.append(f"""coded AS MATERIALIZED (SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM a{rounds} GROUP BY vec_id)""")
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY part, entry, pos)) FROM b{rounds}) AS codebooks_sha256 FROM coded JOIN kept USING (vec_id)"""
+
+
+ORACLES: dict[str, str] = {"op11_vector_codes": _vector_codes_sql()}
