@@ -8,6 +8,8 @@ sequential walk gives.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +21,7 @@ from retailpot.session import cut
 
 SPEND = "Trade_Spend_Allocation_LKR"
 RANK = "roi_rank"
+REBALANCE_PASSES = 10
 DIAGNOSTIC_COLUMNS = (
     "Outlet_ID", "province", "distributor_id", "Outlet_Size", "Outlet_Type", "uplift_gap_litres",
     "composite_gravity_score", "competition_density_score", "roi_score", "roi_rank", "allocation_tier",
@@ -110,42 +113,79 @@ def leftover_redistribution(df: DataFrame, budget: Budget) -> DataFrame:
     return df
 
 
+class Queue:
+    """Rows of one distributor in the order in which they give or get; only the first one changes until it leaves."""
+
+    def __init__(self, rows: list, spend: str = SPEND):
+        self.rows, self.at = rows, 0
+        self.spend = rows[0][spend] if rows else 0.0
+
+    @property
+    def row(self):
+        return self.rows[self.at] if self.at < len(self.rows) else None
+
+    def move(self, spend: float, stays: bool) -> None:
+        self.spend = spend
+        if not stays:
+            self.at += 1
+            self.spend = self.row[SPEND] if self.row is not None else 0.0
+
+
+def rebalance_walk(totals: dict, under: list, over: list, sources: dict[str, Queue], targets: dict[str, Queue], minimum: float, step: float) -> dict:
+    """New spend by rank. Merges two ordered event sequences, what sources give and what targets get, one payment after another.
+
+    A payment goes from the richest distributor above the minimum to the one below it: a step, or the tier floor to a target that has
+    nothing yet. A source that a payment would take below its own floor gives all it has and drops to zero.
+    """
+    changed = {}
+    for d in under:
+        queue = targets[d]
+        while totals[d] < minimum:
+            giver = max(over, key=lambda o: totals[o], default=None)
+            source, target = sources[giver].row if giver is not None else None, queue.row
+            if source is None or target is None:
+                break
+            have, got = sources[giver].spend, queue.spend
+            pay = target.tier_floor if got == 0 else step
+            if have - pay < source.tier_floor:
+                pay = have
+            changed[source[RANK]], changed[target[RANK]] = have - pay, got + pay
+            totals[giver], totals[d] = totals[giver] - pay, totals[d] + pay
+            sources[giver].move(have - pay, have - pay > source.tier_floor)
+            queue.move(got + pay, got + pay < target.max_headroom_allocation)
+    return changed
+
+
 def distributor_rebalance(df: DataFrame, budget: Budget) -> DataFrame:
     """Lift every cohort distributor to its minimum share.
 
-    Sources are funded rows of distributors above the minimum, lowest score first, down to their
-    floor; targets are rows with room of distributors below it, highest score first. Both sides are
-    running sums cut at the amount that can move. An unfunded target gets its floor at least, also where its distributor needs less.
+    In up to ``REBALANCE_PASSES`` passes, spend moves from the richest distributor above the minimum to each one below it: taken from the
+    lowest score with more than its floor, given to the highest score with room (equal scores by rank). The walk itself depends on each
+    payment before it. A payment moves a step at least, so it touches no more rows of a distributor than the deficit holds steps: that
+    many (``total / step`` at most, whatever the number of outlets) are taken in order by Spark, walked, and joined back.
     """
-    step, minimum = budget.step, budget.min_share * budget.total
-    spark = df.sparkSession
-    have = df.groupBy("distributor_id").agg(F.sum(SPEND).alias("_have"))
-    totals = (spark.createDataFrame([(d,) for d in budget.cohort], "distributor_id string").join(have, "distributor_id", "left")
-              .select("distributor_id", F.coalesce("_have", F.lit(0.0)).alias("_have")))
-    need = F.ceil((F.lit(minimum) - F.col("_have")) / step) * step
-    over = F.floor((F.col("_have") - F.lit(minimum)) / step) * step
-    limits = totals.select("distributor_id", F.greatest(need, F.lit(0)).cast("double").alias("_need"), F.greatest(over, F.lit(0)).cast("double").alias("_over"))
-    n = df.count()
-    d = df.join(limits, "distributor_id").withColumn("_back", F.lit(n) - F.col(RANK) + 1)
-    spend, floor, zero = F.col(SPEND), F.col("tier_floor"), F.lit(0.0)
-
-    slack = F.when((F.col("_over") > 0) & (spend > floor), spend - floor).otherwise(zero)
-    d = running_sum(d.withColumn("_slack", slack), "_back", F.col("_slack"), "_p", ["distributor_id"], rows=n)
-    d = d.withColumn("_can", F.greatest(zero, F.least(F.col("_slack"), F.col("_over") - F.col("_p")))).drop("_p")
-    movable = d.agg(F.coalesce(F.sum("_can"), zero)).scalar()
-
-    room = F.when((F.col("_need") > 0) & (F.col("max_headroom_allocation") > spend), F.col("max_headroom_allocation") - spend).otherwise(zero)
-    whole = lambda g: F.when((spend == 0) & (g < floor), zero).otherwise(g)  # noqa: E731  an unfunded row needs its floor
-    lifted = lambda g: F.when((spend == 0) & (g > 0) & (g < floor), floor).otherwise(g)  # noqa: E731  and gets it, though its distributor needs less
-    d = running_sum(d.withColumn("_room", room), RANK, F.col("_room"), "_p", ["distributor_id"], rows=n)
-    d = d.withColumn("_give", lifted(F.greatest(zero, F.least(F.col("_room"), F.col("_need") - F.col("_p"))))).drop("_p")
-    d = running_sum(d, RANK, F.col("_give"), "_p", rows=n)
-    d = d.withColumn("_give", whole(F.greatest(zero, F.least(F.col("_give"), movable - F.col("_p"))))).drop("_p")
-    moved = d.agg(F.coalesce(F.sum("_give"), zero)).scalar()
-
-    d = running_sum(d, "_back", F.col("_can"), "_p", rows=n)
-    take = F.greatest(zero, F.least(F.col("_can"), moved - F.col("_p")))
-    return d.withColumn(SPEND, spend + F.col("_give") - take).drop("_p", "_give", "_can", "_slack", "_room", "_need", "_over", "_back")
+    step, minimum, spend = budget.step, budget.min_share * budget.total, F.col(SPEND)
+    columns = [RANK, SPEND, "tier_floor", "max_headroom_allocation"]
+    for _ in range(REBALANCE_PASSES):
+        have = {r.distributor_id: r.s for r in df.where(F.col("distributor_id").isin(*budget.cohort)).groupBy("distributor_id").agg(F.sum(SPEND).alias("s")).collect()}
+        totals = {d: have.get(d) or 0.0 for d in budget.cohort}
+        under, over = [d for d in budget.cohort if totals[d] < minimum], [d for d in budget.cohort if totals[d] > minimum]
+        if not under or not over:
+            return df
+        steps = sum(math.ceil((minimum - totals[d]) / step) for d in under)
+
+        def first(d: str, rows, *order) -> Queue:
+            own = df.where((F.col("distributor_id") == d) & rows)
+            return Queue(own.orderBy(*order, RANK).limit(steps).select(*columns).collect())
+
+        sources = {d: first(d, spend > F.col("tier_floor"), F.asc("roi_score")) for d in over}
+        targets = {d: first(d, (spend < F.col("max_headroom_allocation")) & (F.col("max_headroom_allocation") > 0), F.desc("roi_score")) for d in under}
+        changed = rebalance_walk(totals, under, over, sources, targets, minimum, step)
+        if not changed:
+            return df
+        new = df.sparkSession.createDataFrame(list(changed.items()), f"{RANK} long, _new double")
+        df = cut(df.join(new, RANK, "left").withColumn(SPEND, F.coalesce("_new", SPEND)).drop("_new"))
+    return df
 
 
 def micro_adjust(df: DataFrame, budget: Budget) -> DataFrame:

@@ -302,21 +302,44 @@ S = "Trade_Spend_Allocation_LKR"
 CTES["spread1"] = stepped("greedy", f"{S} > 0 AND {S} + 50 <= tier_cap AND allocation_tier = 'High'", f"{B.total} - (SELECT sum({S}) FROM greedy)", 50.0)
 CTES["spread"] = stepped("spread1", f"{S} > 0 AND {S} + 50 <= tier_cap", f"{B.total} - (SELECT sum({S}) FROM spread1)", 50.0)
 _min = B.min_share * B.total
-CTES["dist_limit"] = f"""
-SELECT d, greatest(ceil(({_min} - have) / 50) * 50, 0.0) AS need, greatest(floor((have - {_min}) / 50) * 50, 0.0) AS over_
-FROM (SELECT d, coalesce(sum({S}), 0.0) AS have FROM (VALUES {', '.join(f"('{d}')" for d in B.cohort)}) v(d) LEFT JOIN spread ON distributor_id = d GROUP BY d)"""
-CTES["rb1"] = f"""
-SELECT *, CASE WHEN over_ > 0 AND {S} > tier_floor THEN {S} - tier_floor ELSE 0.0 END AS slack,
-  CASE WHEN need > 0 AND max_headroom_allocation > {S} THEN max_headroom_allocation - {S} ELSE 0.0 END AS room FROM spread JOIN dist_limit ON d = distributor_id"""
-CTES["rb2"] = f"""
-SELECT *, greatest(0.0, least(slack, over_ - (sum(slack) OVER (PARTITION BY d ORDER BY roi_rank DESC) - slack))) AS can,
-  greatest(0.0, least(room, need - (sum(room) OVER (PARTITION BY d ORDER BY roi_rank) - room))) AS g0 FROM rb1"""
-CTES["rb3"] = f"SELECT *, CASE WHEN {S} = 0 AND g0 > 0 AND g0 < tier_floor THEN tier_floor ELSE g0 END AS g1 FROM rb2"
-CTES["rb4"] = "SELECT *, greatest(0.0, least(g1, (SELECT sum(can) FROM rb3) - (sum(g1) OVER (ORDER BY roi_rank) - g1))) AS g2 FROM rb3"
-CTES["rb5"] = f"SELECT *, CASE WHEN {S} = 0 AND g2 < tier_floor THEN 0.0 ELSE g2 END AS give FROM rb4"
-CTES["rebalanced"] = f"""
-SELECT * EXCLUDE (d, need, over_, slack, room, can, g0, g1, g2, give, take) REPLACE ({S} + give - take AS {S})
-FROM (SELECT *, greatest(0.0, least(can, (SELECT sum(give) FROM rb5) - (sum(can) OVER (ORDER BY roi_rank DESC) - can))) AS take FROM rb5)"""
+_who = "[" + ", ".join(f"'{d}'" for d in B.cohort) + "]"
+PASSES = 10   # of the walk that lifts distributors to their minimum share
+
+
+def _at(values: str, i: str, new: str) -> str:
+    """A list with one place replaced."""
+    return f"list_transform({values}, lambda v, j: CASE WHEN j = {i} THEN {new} ELSE v END)"
+
+
+for _p in range(1, PASSES + 1):
+    _src = "spread" if _p == 1 else f"walked{_p - 1}"
+    # one row: totals by distributor, who is below and above, and the ordered queues of rows that give (g) and get (t)
+    CTES[f"queues{_p}"] = f"""
+SELECT tot, list_filter(range(1, {len(B.cohort)} + 1), lambda i: tot[i] < {_min}) AS under, list_filter(range(1, {len(B.cohort)} + 1), lambda i: tot[i] > {_min}) AS above, g, t FROM
+  (SELECT list(coalesce(s, 0.0) ORDER BY i) AS tot FROM (SELECT unnest({_who}) AS d, unnest(range(1, {len(B.cohort)} + 1)) AS i) LEFT JOIN (SELECT distributor_id AS d, sum({S}) AS s FROM {_src} GROUP BY 1) USING (d)),
+  (SELECT list(coalesce(q, []) ORDER BY i) AS g FROM (SELECT unnest({_who}) AS d, unnest(range(1, {len(B.cohort)} + 1)) AS i) LEFT JOIN
+    (SELECT distributor_id AS d, list({{'r': roi_rank, 's': {S}, 'f': tier_floor}} ORDER BY roi_score, roi_rank) AS q FROM {_src} WHERE {S} > tier_floor GROUP BY 1) USING (d)),
+  (SELECT list(coalesce(q, []) ORDER BY i) AS t FROM (SELECT unnest({_who}) AS d, unnest(range(1, {len(B.cohort)} + 1)) AS i) LEFT JOIN
+    (SELECT distributor_id AS d, list({{'r': roi_rank, 's': {S}, 'f': tier_floor, 'h': max_headroom_allocation}} ORDER BY roi_score DESC, roi_rank) AS q
+     FROM {_src} WHERE {S} < max_headroom_allocation AND max_headroom_allocation > 0 GROUP BY 1) USING (d))"""
+    # one row a payment: u = place in the list of those below, gp / gs = first giver by distributor and its spend, tp / ts = first getter and its spend
+    CTES[f"steps{_p}"] = f"""
+SELECT 0 AS k, 1 AS u, tot, [1 FOR x IN g] AS gp, [x[1].s FOR x IN g] AS gs, 1 AS tp, t[under[1]][1].s AS ts,
+  CAST(NULL AS BIGINT) AS g_rank, 0.0::DOUBLE AS g_new, CAST(NULL AS BIGINT) AS t_rank, 0.0::DOUBLE AS t_new FROM queues{_p} WHERE len(under) > 0 AND len(above) > 0
+UNION ALL
+SELECT k + 1, CASE WHEN pays THEN u ELSE u + 1 END, CASE WHEN pays THEN {_at(_at('tot', 'o', 'tot[o] - m'), 'd', 'tot[d] + m')} ELSE tot END,
+  CASE WHEN pays AND NOT gs[o] - m > gf THEN {_at('gp', 'o', 'gp[o] + 1')} ELSE gp END,
+  CASE WHEN pays THEN {_at('gs', 'o', 'CASE WHEN gs[o] - m > gf THEN gs[o] - m ELSE g[o][gp[o] + 1].s END')} ELSE gs END,
+  CASE WHEN NOT pays THEN 1 WHEN ts + m < th THEN tp ELSE tp + 1 END,
+  CASE WHEN NOT pays THEN t[under[u + 1]][1].s WHEN ts + m < th THEN ts + m ELSE t[d][tp + 1].s END,
+  CASE WHEN pays THEN g[o][gp[o]].r END, gs[o] - m, CASE WHEN pays THEN t[d][tp].r END, ts + m
+FROM (SELECT *, CASE WHEN gs[o] - want < gf THEN gs[o] ELSE want END AS m, tot[d] < {_min} AND gf IS NOT NULL AND th IS NOT NULL AS pays FROM
+  (SELECT *, g[o][gp[o]].f AS gf, t[d][tp].h AS th, CASE WHEN ts = 0 THEN t[d][tp].f ELSE {B.step} END AS want FROM
+    (SELECT w.*, q.g, q.t, q.under, q.under[u] AS d, list_filter(q.above, lambda a: w.tot[a] = list_max([w.tot[b] FOR b IN q.above]))[1] AS o FROM steps{_p} w, queues{_p} q WHERE u <= len(q.under))))"""
+    CTES[f"walked{_p}"] = f"""
+SELECT * EXCLUDE (r, n) REPLACE (coalesce(n, {S}) AS {S}) FROM {_src} LEFT JOIN
+  (SELECT r, arg_max(n, k) AS n FROM (SELECT k, g_rank AS r, g_new AS n FROM steps{_p} UNION ALL SELECT k, t_rank, t_new FROM steps{_p}) WHERE r IS NOT NULL GROUP BY r) ON r = roi_rank"""
+CTES["rebalanced"] = f"SELECT * FROM walked{PASSES}"
 CTES["adj1"] = stepped("rebalanced", f"{S} > 0 AND {S} + 50 <= least(tier_cap, max_headroom_allocation + 100)", f"greatest(0, {B.total} - (SELECT sum({S}) FROM rebalanced))", 50.0)
 CTES["adjusted"] = stepped("adj1", f"{S} > tier_floor AND {S} >= 50", f"greatest(0, (SELECT sum({S}) FROM adj1) - {B.total})", -50.0)
 CTES["allocation"] = f"""
@@ -361,5 +384,5 @@ def assemble(sql: str) -> str:
         visit(name)
     if not order:
         return sql
-    parts = ",\n".join(f"{n} AS {'' if n == 'reach' else 'MATERIALIZED '}({CTES[n].strip()})" for n in order)
+    parts = ",\n".join(f"{n} AS {'' if n == 'reach' or n.startswith('steps') else 'MATERIALIZED '}({CTES[n].strip()})" for n in order)
     return f"WITH RECURSIVE {parts}\n{sql.strip()}"

@@ -72,7 +72,8 @@ def test_rebalance_and_adjust_keep_the_rules(spark, seed):
     assert min(before.values()) < minimum  # the case is not empty
     assert after[min(before, key=before.get)] > min(before.values())
     bad = balanced.where(f"{b.SPEND} > 0 and {b.SPEND} < tier_floor or {b.SPEND} > greatest(max_headroom_allocation, tier_cap)")
-    assert bad.count() == 0
+    dropped = spread.where(f"{b.SPEND} > 0").join(balanced.where(f"{b.SPEND} = 0"), "Outlet_ID", "left_semi")
+    assert bad.count() <= dropped.count()   # only the last spend of a source that dropped to zero may miss a target's floor
     final = b.projected_uplift(b.micro_adjust(balanced, money))
     checks = {r.rule: r.ok for r in b.allocation_checks(final, money).collect()}
     assert checks["exact_total"] and checks["no_spend_1_499"] and checks["multiple_of_step"] and checks["coverage"]
@@ -107,7 +108,62 @@ def test_minimum_share_is_reached_where_slack_and_room_suffice(spark, seed):
     assert sum(after.values()) == sum(have.values())
     if need and can >= sum(need.values()) + 2000 * len(need) and all(room[d] >= need[d] for d in need):
         assert all(share[d] >= least for d in need)
-    assert all(a == 0 or a >= f for (i, _, _, f, _) in rows for a in [after[i]])
+    dropped = sum(s > 0 and after[i] == 0 for i, _, s, _, _ in rows)
+    assert sum(0 < after[i] < f for i, _, _, f, _ in rows) <= dropped
+
+
+def plain_walk(rows, cohort, minimum):
+    """The rules of the walk taken literally: every payment looks at all rows. ``rows``: [distributor, spend, floor, headroom, score]."""
+    for _ in range(10):
+        total = lambda d: sum(r[1] for r in rows if r[0] == d)
+        under, over = [d for d in cohort if total(d) < minimum], [d for d in cohort if total(d) > minimum]
+        if not under:
+            break
+        for d in under:
+            while total(d) < minimum and over:
+                giver = max(over, key=total)
+                sources = [r for r in rows if r[0] == giver and r[1] > r[2]]
+                targets = [r for r in rows if r[0] == d and r[1] < r[3] and r[3] > 0]
+                if not sources or not targets:
+                    break
+                source, target = min(sources, key=lambda r: r[4]), max(targets, key=lambda r: r[4])
+                first = target[2] if target[1] == 0 else 50.0
+                source[1] -= first
+                target[1] += first
+                if source[1] < source[2]:
+                    target[1] += source[1]
+                    source[1] = 0.0
+    return [r[1] for r in rows]
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_rebalance_equals_the_sequential_walk(spark, seed):
+    rng = random.Random(seed + 100)
+    data, money = cohort(seed + 40, 90), Budget(buckets={"High": 90_000.0, "Medium": 40_000.0, "Low": 5_000.0}, min_share=rng.choice([0.2, 0.25, 0.3, 0.33]))
+    rows = []
+    for r in data:
+        r = list(r)
+        r[1] = rng.choices(["DIST_W_01", "DIST_W_02", "DIST_W_03"], [[8, 3, 1], [1, 1, 1], [1, 9, 9], [5, 5, 1]][seed % 4])[0]
+        r[11] = round(1 - r[2] / 90, 1)   # equal scores
+        spend = 0.0 if rng.random() < 0.4 or r[8] == 0 else max(r[5], min(r[8], 50.0 * rng.randint(int(r[5] / 50), int(r[8] / 50) + 1)))
+        rows.append((*r, spend))
+    if seed == 7:
+        rows = [r for r in rows if r[1] != "DIST_W_02"]   # a distributor without outlets
+    minimum = money.min_share * sum(r[12] for r in rows) // 50 * 50
+    money = Budget(buckets={"High": minimum / money.min_share}, min_share=money.min_share)
+    got = collect(b.distributor_rebalance(spark.createDataFrame(rows, SCHEMA + f", {b.SPEND} double").repartition(3), money))
+    assert got == plain_walk([[r[1], r[12], r[5], r[8], r[11]] for r in rows], money.cohort, money.min_share * money.total)
+    assert sum(got) == sum(r[12] for r in rows)
+
+
+def test_a_source_below_its_floor_gives_all_it_has(spark):
+    """c can give 50 above its floor, the first payment to a is 2,000: c drops to zero and a gets its 550; d then pays by steps."""
+    rows = [("a", "DIST_W_01", 1, "High", 12000.0, 2000.0, 0.028, "x", 12000.0, "Large", "Grocery", 0.9, 0.0),
+            ("b", "DIST_W_02", 2, "Medium", 3000.0, 500.0, 0.012, "x", 3000.0, "Large", "Grocery", 0.8, 2850.0),
+            ("c", "DIST_W_02", 3, "Medium", 3000.0, 500.0, 0.012, "x", 3000.0, "Large", "Grocery", 0.7, 550.0)]
+    money = Budget(buckets={"High": 3400.0}, min_share=0.25)
+    got = {r.Outlet_ID: r[b.SPEND] for r in b.distributor_rebalance(spark.createDataFrame(rows, SCHEMA + f", {b.SPEND} double"), money).collect()}
+    assert got == {"a": 850.0, "b": 2550.0, "c": 0.0}
 
 
 def test_allocate_reads_its_input_a_few_times(spark):
