@@ -121,6 +121,7 @@ class Config:
     working_days: float = 22.0
     seed: int = 42
     folds: int = 5
+    latent_rounds: int = 100
     budget: Budget = Budget()
 
     @property

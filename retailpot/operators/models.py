@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from multiprocessing.pool import ThreadPool
+from typing import NamedTuple
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -18,6 +21,8 @@ from pyspark.sql.types import BooleanType, NumericType
 
 from retailpot.config import Config
 from retailpot.functions.numeric import half_even
+from retailpot.operators.boosting import Booster, Fit, censored_normal
+from retailpot.operators.target_codes import TargetCodeModel, TargetCodes
 from retailpot.operators.quantiles import scalar_quantiles
 
 # --- fixed values: column groups of the feature strategies -----------------------------------
@@ -145,12 +150,20 @@ def preparation(df: DataFrame, features: Sequence[str]) -> Pipeline:
 class Prepared:
     """Assembled features of all outlets, with target and fold on the training rows."""
 
-    def __init__(self, master: DataFrame, cfg: Config, strategy: str = "strategyC"):
+    def __init__(self, master: DataFrame, cfg: Config, strategy: str = "strategyC", ordered: bool = False):
+        """``ordered`` leaves the categories as they are, beside the other features in ``numbers``, for a model that codes them itself."""
         df, self.features = apply_strategy(master, strategy, cfg)
         df = _numeric(df, self.features)
-        self.pipeline: PipelineModel = preparation(df, self.features).fit(df)
-        keep = [c for c in ("Outlet_ID", "features", "hist_p90_monthly", "hist_max_monthly", "capacity_utilization_ratio",
-                            "has_transaction_history", "exclude_from_training") if c in [*df.columns, "features"]]
+        self.categories = [c for c in CATEGORICALS if c in self.features]
+        if ordered:
+            self.features = [c for c in self.features if c not in self.categories] + self.categories
+            numbers = VectorAssembler(inputCols=self.features[: len(self.features) - len(self.categories)], outputCol="numbers")
+            self.pipeline: PipelineModel = Pipeline(stages=[numbers]).fit(df)
+        else:
+            self.pipeline = preparation(df, self.features).fit(df)
+        own = ["numbers", *self.categories] if ordered else ["features"]
+        keep = [c for c in ("Outlet_ID", *own, "hist_p90_monthly", "hist_max_monthly", "capacity_utilization_ratio",
+                            "has_transaction_history", "exclude_from_training") if c in [*df.columns, *own]]
         label = cfg.target_label
         ready = with_fold(self.pipeline.transform(df), cfg)
         self.all = ready.select(*keep, "fold", f"seasonality_multiplier_{label}", f"{label}_trading_days")
@@ -187,6 +200,47 @@ def train_regressor(prep: Prepared, estimator: Estimator) -> tuple[Model, DataFr
     return model, out
 
 
+class OrderedBoosting(NamedTuple):
+    """Boosted trees over ``numbers`` and categories coded by ordered target statistics, with as many rounds as held-out rows bear out.
+
+    Held-out rows are the given ones or a share by a hash of the id. They stop the boosting; with ``refit`` the model is then fitted once
+    more on every row, with the number of rounds found.
+    """
+
+    codes: TargetCodes
+    booster: Booster
+    share: float = 0.1
+    refit: bool = True
+
+    def fit(self, train: DataFrame, held_out: Column | None = None) -> OrderedBoostingModel:
+        aside = held_out if held_out is not None else F.pmod(F.xxhash64(self.codes.key, F.lit(self.codes.seed + 1)), F.lit(1000)) < int(self.share * 1000)
+        marked = train.withColumn("_held", F.coalesce(aside, F.lit(False)))
+        codes = self.codes.fit(marked.where("not _held"))
+        rows = codes.ordered(marked.where("not _held")).unionByName(codes.transform(marked.where("_held")))
+        fitted = self.booster.fit(self.assembled(rows), F.col("_held"))
+        if self.refit and fitted.held_out_loss:
+            codes = self.codes.fit(train)
+            again = self.booster._replace(rounds=fitted.kept).fit(self.assembled(codes.ordered(train)))
+            fitted = again._replace(held_out_loss=fitted.held_out_loss)
+        return OrderedBoostingModel(self, codes, fitted)
+
+    def assembled(self, coded: DataFrame) -> DataFrame:
+        return VectorAssembler(inputCols=["numbers", *[f"{c}_code" for c in self.codes.columns]], outputCol="features").transform(coded)
+
+
+class OrderedBoostingModel(NamedTuple):
+    settings: OrderedBoosting
+    codes: TargetCodeModel
+    fitted: Fit
+
+    def assembled(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with ``features`` as the trees see them."""
+        return self.settings.assembled(self.codes.transform(rows))
+
+    def transform(self, rows: DataFrame) -> DataFrame:
+        return self.fitted.transform(self.assembled(rows))
+
+
 def feature_importance(spark, model: Model, features: Sequence[str]) -> DataFrame:
     rows = [(f, float(v)) for f, v in zip(features, model.featureImportances.toArray())]
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.col("importance").desc(), "feature")
@@ -205,12 +259,13 @@ def param_search(train: DataFrame, estimator: Estimator, grid: Mapping[str, Sequ
     return train.sparkSession.createDataFrame(rows, "params string, mean_rmse double").orderBy("mean_rmse", "params")
 
 
-def oof_predict(train: DataFrame, everyone: DataFrame, estimator: Estimator, cfg: Config, name: str) -> DataFrame:
-    """Training rows by the model that did not see their fold, all others by the average of the folds."""
+def oof_predict(train: DataFrame, everyone: DataFrame, estimator: Estimator, cfg: Config, name: str, parallelism: int = 3) -> DataFrame:
+    """Training rows by the model that did not see their fold, all others by the average of the folds; folds are fitted side by side."""
     own = everyone.join(train.select("Outlet_ID", F.col("fold").alias("held_out_fold")), "Outlet_ID", "left")
     rest, names, parts = own.where("held_out_fold is null"), [], []
-    for k in range(cfg.folds):
-        model = estimator.fit(train.where(F.col("fold") != k))
+    with ThreadPool(parallelism) as pool:
+        fitted = pool.map(inheritable_thread_target(train.sparkSession)(lambda k: estimator.fit(train.where(F.col("fold") != k))), range(cfg.folds))
+    for k, model in enumerate(fitted):
         parts.append(model.transform(own.where(F.col("held_out_fold") == k)).select("Outlet_ID", "held_out_fold", F.col("prediction").alias(name)))
         names.append(f"_p{k}")
         extra = set(model.transform(rest).columns) - set(rest.columns)
@@ -234,14 +289,19 @@ def censor_labels(df: DataFrame) -> DataFrame:
                            "censor": F.when(limited, F.lit(0.0)).otherwise(F.lit(1.0))})
 
 
-def latent_demand(prep: Prepared, cfg: Config) -> DataFrame:
-    """Out-of-fold estimate of demand without the capacity limit."""
+def latent_demand(prep: Prepared, cfg: Config, estimator=None) -> DataFrame:
+    """Out-of-fold estimate of demand without the capacity limit, by boosted trees on the censored normal likelihood of log demand."""
     labelled = censor_labels(prep.train).withColumn("label", F.col("lower_bound"))
-    aft = AFTSurvivalRegression(labelCol="label", censorCol="censor", featuresCol="features", maxIter=60)
-    raw = oof_predict(labelled, prep.all, aft, cfg, "estimate")
+    model = estimator or Booster(censored_normal(), rounds=cfg.latent_rounds, rate=0.05, subsample=0.8, seed=cfg.seed)
+    raw = oof_predict(labelled, prep.all, model, cfg, "estimate")
     return raw.select("Outlet_ID", half_even(F.greatest(F.col("estimate"), F.lit(0.0)), 4).alias("tobit_latent_estimate"))
 
 
+def linear_latent(**params) -> Estimator:
+    """The linear form of the same model, with Weibull noise."""
+    return AFTSurvivalRegression(**{"labelCol": "label", "censorCol": "censor", "featuresCol": "features", "maxIter": 60, **params})
+
+
 def censoring_ratio(estimate: Column, p90: Column) -> Column:
     return half_even(F.greatest(estimate / F.greatest(p90, F.lit(1e-3)) - 1.0, F.lit(0.0)), 4)
 

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retailpot.config import Config
-from retailpot.operators import attribution, baseline, briefing, budget, cleaning, clusters, features, holidays, models, quality, sales, serving, spatial
+from retailpot.operators import attribution, baseline, boosting, briefing, budget, cleaning, clusters, features, holidays, models, quality, sales, serving, spatial
+from retailpot.operators.target_codes import TargetCodes
 from retailpot.plans import fixture_views as fx
 from retailpot.session import shared_root
 from retailpot.sources import poi
@@ -208,6 +209,15 @@ class Lake:
     def fitted(self):
         return self.once("fitted", lambda: models.train_regressor(self.prepared(), self.forest()))
 
+    def boosted(self):
+        """Boosted trees over ordered category codes: (prepared, model, predictions)."""
+        def make():
+            prep = models.Prepared(self["master"], self.cfg, ordered=True)
+            booster = boosting.Booster(boosting.squared(), rounds=25, depth=4, rate=0.2, patience=4, subsample=0.8, seed=self.cfg.seed)
+            model, predictions = models.train_regressor(prep, models.OrderedBoosting(TargetCodes(prep.categories, seed=self.cfg.seed), booster))
+            return prep, model, predictions
+        return self.once("boosted", make)
+
     def _build_contributions(self):
         return attribution.feature_contributions(self.prepared().all, self.fitted()[0], self.prepared().features)
 

@@ -24,8 +24,8 @@ class FileLake(Lake):
     }
 
     def __init__(self, spark: SparkSession, bronze: str, poi_cache: str, work: str, cfg: Config, estimators: list | None = None,
-                 hurdle=None):
-        self.hurdle = hurdle
+                 hurdle=None, latent=None):
+        self.hurdle, self.latent = hurdle, latent
         self._work, self.poi_cache = work.rstrip("/"), poi_cache
         self.estimators = estimators or [models.regressor("randomforest", cfg), models.regressor("gbt", cfg)]
         super().__init__(spark, bronze, cfg)
@@ -57,7 +57,7 @@ class FileLake(Lake):
 
     def _build_submodels(self) -> DataFrame:
         """Censored and hurdle estimates, computed from the base features."""
-        latent = models.latent_demand(self.prepared(), self.cfg).join(self["master"].select("Outlet_ID", "hist_p90_monthly"), "Outlet_ID")
+        latent = models.latent_demand(self.prepared(), self.cfg, self.latent).join(self["master"].select("Outlet_ID", "hist_p90_monthly"), "Outlet_ID")
         ratio = models.censoring_ratio(F.col("tobit_latent_estimate"), F.col("hist_p90_monthly"))
         hurdle = models.hurdle_estimate(models.hurdle_active_prob(self.prepared(), self.cfg), models.hurdle_conditional(self.prepared(), self.cfg, self.hurdle))
         return latent.select("Outlet_ID", "tobit_latent_estimate", ratio.alias("tobit_censoring_ratio")).join(hurdle, "Outlet_ID")
@@ -84,11 +84,11 @@ def validate(lk: Lake) -> DataFrame:
 
 
 def run_pipeline(spark: SparkSession, raw_dir: str, poi_cache: str, out_dir: str, cfg: Config | None = None, estimators: list | None = None,
-                 hurdle=None) -> Lake:
+                 hurdle=None, latent=None) -> Lake:
     """Everything from raw CSV to the allocation; outputs go below ``out_dir`` and a violated contract raises."""
     cfg = cfg or Config()
     ingest.ingest_csv(spark, raw_dir, f"{out_dir}/bronze")
-    lk = FileLake(spark, f"{out_dir}/bronze", poi_cache, f"{out_dir}/work", cfg, estimators, hurdle)
+    lk = FileLake(spark, f"{out_dir}/bronze", poi_cache, f"{out_dir}/work", cfg, estimators, hurdle, latent)
     for layer, names in (("silver", SILVER), ("gold", GOLD)):
         for name in names:
             df = schemas.conform(lk[name], name)

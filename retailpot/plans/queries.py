@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
@@ -16,12 +17,14 @@ from pyspark.sql.types import DoubleType
 from retailpot import config as c
 from retailpot.functions import geo
 from retailpot.functions.numeric import half_even
-from retailpot.operators import attribution, baseline, budget, cleaning, clusters, features, holidays, models, profiling, sales, serving, spatial
+from retailpot.operators import attribution, baseline, boosting, budget, cleaning, clusters, features, holidays, models, profiling, sales, search, serving, spatial
 from retailpot.operators import quality as q
 from retailpot.plans import fixture_views as fx
 from retailpot.plans import oracle as o
 from retailpot.plans.lake import Lake
+from retailpot.session import cut
 from retailpot.sources import ingest, poi
+from retailpot.sources.run_store import RunStore
 
 QUERIES: dict[str, Callable[[Lake], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -662,17 +665,22 @@ def kfold_cv(lk):
 
 @query()
 def train_regressor(lk):
-    return lk.fitted()[1]
+    return lk.boosted()[2]
 
 
 @query()
 def feature_importance(lk):
-    return models.feature_importance(lk.spark, lk.fitted()[0], lk.prepared().features)
+    prep, model, _ = lk.boosted()
+    return models.feature_importance(lk.spark, model.fitted.model, prep.features)
 
 
 @query()
 def param_search(lk):
-    return models.param_search(lk.prepared().train, lk.forest(), {"maxDepth": [3, 6], "numTrees": [5]}, lk.cfg)
+    space = {"numTrees": search.Integer(2, 6), "maxDepth": search.Integer(2, 5), "minInstancesPerNode": search.Integer(1, 10), "featureSubsetStrategy": search.Float(0.3, 1.0)}
+    make = lambda p: lk.forest(**{**p, "featureSubsetStrategy": str(p["featureSubsetStrategy"])})
+    train = lk.once("search_rows", lambda: cut(lk.prepared().train.select("Outlet_ID", "features", "target", "fold")))
+    study = search.Study(lk.spark, f"{lk.root}/trials", space, lk.cfg.seed)
+    return study.run(search.cross_validated_rmse(train, lk.cfg.folds, make), 20)
 
 
 @query()
@@ -690,7 +698,8 @@ def censor_labels(lk):
 
 @query()
 def latent_demand(lk):
-    return models.latent_demand(lk.prepared(), lk.cfg)
+    booster = boosting.Booster(boosting.censored_normal(), rounds=8, depth=4, rate=0.3, subsample=0.8, seed=lk.cfg.seed)
+    return models.latent_demand(lk.prepared(), lk.cfg, booster)
 
 
 @query(f"SELECT Outlet_ID, {o.he('greatest(model_prediction / greatest(hist_p90_monthly, 1e-3) - 1.0, 0.0)', 4)} AS tobit_censoring_ratio FROM master JOIN blend USING (Outlet_ID)")
@@ -744,16 +753,22 @@ def prediction_diagnostics(lk):
 
 @query()
 def feature_contributions(lk):
-    return attribution.feature_contributions(lk.prepared().all, lk.fitted()[0], lk.prepared().features)
+    prep, model, _ = lk.boosted()
+    return attribution.feature_contributions(model.assembled(prep.all), model.fitted.model, prep.features)
 
 
 @query()
 def run_registry(lk):
-    path = f"{lk.root}/registry"
-    cv = models.kfold_cv(lk.prepared().train, lk.forest(numTrees=5, maxDepth=3), lk.cfg)
-    entry = models.registry_entry(lk.spark, "run-1", "randomforest", "strategyC", lk.prepared().features, cv)
-    ingest.run_registry(entry, path)
-    return lk.spark.read.parquet(path)
+    """Two runs stored with model, predictions and importance, and their blend by parts of their ids."""
+    store, prep = RunStore(lk.spark, f"{lk.root}/runs_store"), lk.prepared()
+    for depth in (3, 6):
+        forest = lk.forest(numTrees=5, maxDepth=depth)
+        model, predictions = models.train_regressor(prep, forest)
+        entry = models.registry_entry(lk.spark, f"run-depth-{depth}", "randomforest", "strategyC", prep.features, models.kfold_cv(prep.train, forest, lk.cfg))
+        store.save(entry, PipelineModel([*prep.pipeline.stages, model]), predictions, models.feature_importance(lk.spark, model, prep.features))
+    blend = store.blend(["depth-3", "depth-6"], [0.4, 0.6]).withColumnRenamed("model_prediction", "blend")
+    own = [store.predictions(f"depth-{d}").withColumnRenamed("model_prediction", f"depth_{d}") for d in (3, 6)]
+    return blend.join(own[0], "Outlet_ID").join(own[1], "Outlet_ID")
 
 
 # === budget ==================================================================================

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from retailpot import schemas
-from retailpot.operators import models
+from retailpot.operators import boosting, models
 from retailpot.plans import fixture_views as fx
 from retailpot.plans.lake import lake
 from retailpot.plans.pipeline import FileLake, run_pipeline
@@ -35,7 +35,7 @@ def raw(spark, tmp_path_factory):
 def test_batch_run_equals_the_view_run(spark, raw, tmp_path):
     root, lk = raw
     small = [models.regressor("randomforest", fx.FIXTURE, numTrees=3, maxDepth=3), models.regressor("gbt", fx.FIXTURE, maxIter=2, maxDepth=2)]
-    out = run_pipeline(spark, str(root), str(root / "poi"), str(tmp_path), fx.FIXTURE, small, small[1])
+    out = run_pipeline(spark, str(root), str(root / "poi"), str(tmp_path), fx.FIXTURE, small, small[1], boosting.Booster(boosting.censored_normal(), rounds=3, depth=3, rate=0.4))
     for name in ("outlets", "coordinates", "sales", "poi", "gravity", "catchment", "clusters", "cooler", "master"):
         a, b = out[name], lk[name]
         assert a.exceptAll(b.select(*a.columns)).count() == 0 and a.count() == b.count(), name
