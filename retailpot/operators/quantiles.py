@@ -3,7 +3,7 @@
 A group is sorted in one task only where a count has shown that every group is small. Beyond that size,
 rows are first counted per (group, value); groups with few distinct values go to the built-in
 ``percentile`` with frequencies, and a group with many is cut into value bands: the band that holds the wanted order statistic is found from band counts, and
-only that band is sorted. Whole frames beyond the size go by bands as well.
+only that band is sorted. Of whole frames beyond the size, the wanted order statistics are selected in rounds.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 HOT_DISTINCT = 200_000
 BANDS = 4096
+SPLITTERS = 500   # bands of a round when the values of a whole frame are selected
 
 
 def grouped_quantiles(df: DataFrame, keys: Sequence[str], value: str | Column, probs: Sequence[float],
@@ -101,37 +102,70 @@ def _banded(counts: DataFrame, ks: list[str], probs: Sequence[float], out: str,
     return ends.groupBy(*ks).agg(listed.alias(out), F.first("_t").alias("group_rows"))
 
 
-def frame_quantiles(df: DataFrame, value: str | Column, probs: Sequence[float], bands: int = BANDS,
+def frame_quantiles(df: DataFrame, value: str | Column, probs: Sequence[float], bands: int = SPLITTERS,
                     small: int = HOT_DISTINCT) -> DataFrame:
     """One row with the quantiles of the whole frame as array ``q`` (no row for an empty frame).
 
-    Beyond ``small`` values: three map-side-combined passes over ``df``: its range, its band counts, and the values of the few
-    bands that hold a wanted order statistic. Hand in a stored table where computing ``df`` is dear.
+    Beyond ``small`` values the order statistics are selected in rounds (``order_statistics``), so no task sorts more than ``small``
+    values however they are spread. Hand in a stored table where computing ``df`` is dear.
     """
     v = F.col(value) if isinstance(value, str) else value
     rows = df.select(v.cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    if rows.count() <= small:
+    n = rows.count()
+    if n <= small:
         probs_sql = ", ".join(repr(float(p)) + "D" for p in probs)
         return rows.agg(F.expr(f"percentile(_v, array({probs_sql}))").alias("q")).where("q is not null")
-    s = rows.agg(F.struct(F.min("_v").alias("lo"), F.max("_v").alias("hi"), F.count("*").alias("n"))).scalar()
-    lo, hi, n = s.getField("lo"), s.getField("hi"), s.getField("n")
-    at = F.floor((F.col("_v") - lo) / (hi - lo) * F.lit(float(bands)))
-    banded = rows.withColumn("_b", F.when(hi > lo, F.least(at, F.lit(bands - 1))).otherwise(F.lit(0)))
-    upto = Window.orderBy("_b")  # at most `bands` rows
-    bc = banded.groupBy("_b").agg(F.count("*").alias("_bn")).withColumn("_before", F.sum("_bn").over(upto) - F.col("_bn"))
-    wanted = []
-    for i, p in enumerate(probs):
-        pos = F.lit(float(p)) * (n - 1)
-        for k in (F.floor(pos), F.least(F.floor(pos) + 1, n - 1)):
-            inside = (F.col("_before") <= k) & (k < F.col("_before") + F.col("_bn"))
-            wanted.append(F.when(inside, F.struct(F.lit(i).alias("i"), (pos - F.floor(pos)).alias("frac"), (k - F.col("_before")).alias("k"))))
-    hit = bc.select("_b", F.explode(F.array_compact(F.array(*wanted))).alias("w"))
-    ranked = (banded.join(hit.select("_b").distinct(), "_b", "left_semi").groupBy("_b", "_v").agg(F.count("*").alias("_n"))
-              .withColumn("_upto", F.sum("_n").over(Window.partitionBy("_b").orderBy("_v"))))
-    found = hit.join(ranked, "_b").where((F.col("_upto") - F.col("_n") <= F.col("w.k")) & (F.col("w.k") < F.col("_upto")))
-    ends = found.groupBy("w.i", "w.frac").agg(F.min("_v").alias("a"), F.max("_v").alias("z"))
-    q = F.when(F.col("frac") == 0, F.col("a")).otherwise(F.col("a") * (1 - F.col("frac")) + F.col("z") * F.col("frac"))
-    return ends.agg(F.transform(F.array_sort(F.collect_list(F.struct("i", q.alias("q")))), lambda e: e.q).alias("q")).where(F.size("q") > 0)
+    at = [float(p) * (n - 1) for p in probs]
+    found = order_statistics(rows, {k for x in at for k in (int(x), min(int(x) + 1, n - 1))}, bands, small)
+    q = []
+    for x in at:
+        a, z, frac = found[int(x)], found[min(int(x) + 1, n - 1)], x - int(x)
+        q.append(a if frac == 0 else a * (1 - frac) + z * frac)
+    return df.sparkSession.createDataFrame([(q,)], "q array<double>")
+
+
+def order_statistics(rows: DataFrame, ranks: set[int], bands: int = SPLITTERS, small: int = HOT_DISTINCT) -> dict[int, float]:
+    """The values of ``rows._v`` (no nulls) at the given ranks, counted from 0.
+
+    A rank is known to lie between two values. Each round is one map-side-combined pass: for every such span it counts what lies below, on
+    its ends and inside, and splits the inside at ``bands`` approximate quantiles, whose rank error is bounded. The next span is the few
+    bands around the rank; ties on its ends are answered from the counts. So the inside shrinks by a factor of about ``bands`` / 4 a round
+    whatever the distribution, until at most ``small`` values are left to be numbered in one task. The driver keeps two values a rank.
+    """
+    v = F.col("_v")
+    first = rows.agg(F.min(v).alias("lo"), F.max(v).alias("hi")).first()
+    spans, parents, margin, found = {k: (first.lo, first.hi) for k in ranks}, {}, dict.fromkeys(ranks, 1), {}
+    grid = [i / bands for i in range(bands + 1)]
+    while spans:
+        todo = sorted(set(spans.values()))
+        cells = []
+        for lo, hi in todo:
+            inside = (v > lo) & (v < hi)
+            cells.append(F.struct(F.count_if(v < lo).alias("below"), F.count_if(v == lo).alias("at_lo"), F.count_if(inside).alias("inner"), F.count_if(v == hi).alias("at_hi"),
+                                  F.percentile_approx(F.when(inside, v), grid, 8 * bands).alias("cuts")))
+        seen = dict(zip(todo, rows.agg(F.array(*cells).alias("c")).first().c, strict=True))
+        finish: dict[tuple, list[int]] = {}
+        for k, span in list(spans.items()):
+            c, (lo, hi) = seen[span], span
+            if k < c.below or k >= c.below + c.at_lo + c.inner + (c.at_hi if hi > lo else 0):
+                spans[k], margin[k] = parents[k], margin[k] * 4   # beyond the approximation's bound: a wider span
+            elif k < c.below + c.at_lo:
+                found[k] = lo
+            elif k >= c.below + c.at_lo + c.inner:
+                found[k] = hi
+            elif c.inner <= small:
+                finish.setdefault(span, []).append(k)
+            else:
+                j = int((k - c.below - c.at_lo) / c.inner * bands)
+                parents[k] = span
+                low, high = j - margin[k], j + 1 + margin[k]
+                spans[k] = (c.cuts[low] if low >= 0 else lo, c.cuts[high] if high <= bands else hi)
+        for (lo, hi), ks in finish.items():
+            base = seen[lo, hi].below + seen[lo, hi].at_lo
+            ranked = rows.where((v > lo) & (v < hi)).select("_v", (F.row_number().over(Window.orderBy("_v")) - 1 + base).alias("_k"))
+            found |= {r._k: r._v for r in ranked.where(F.col("_k").isin(ks)).collect()}
+        spans = {k: s for k, s in spans.items() if k not in found}
+    return found
 
 
 def scalar_quantiles(df: DataFrame, value: str | Column, probs: Sequence[float]) -> Column:

@@ -54,3 +54,20 @@ def test_global_order(spark, monkeypatch, block):
     assert [run[i + 1] for i in range(1000)] == list(np.concatenate([[0], np.cumsum(got)[:-1]]))
     by = ranking.running_sum(ranked, "r", F.lit(1), "c", ["g"], block=block)
     assert by.groupBy("g").agg(F.max("c")).count() == 2 and by.agg(F.max("c")).first()[0] == 499
+
+
+@pytest.mark.parametrize("kind", ["lognormal", "outlier", "ties", "two", "near"])
+def test_selection_sorts_few_values_whatever_their_spread(spark, monkeypatch, kind):
+    rng = np.random.default_rng(8)
+    x = {"lognormal": np.exp(6 * rng.standard_normal(6000)), "outlier": np.append(rng.random(5999), 1e300), "ties": np.floor(rng.random(6000) * 4),
+         "two": np.where(rng.random(6000) < 0.5, -1.0, 7.0), "near": 1.0 + rng.random(6000) * 1e-13}[kind]
+    df = spark.createDataFrame([(float(v),) for v in x] + [(None,)], "v double").repartition(5)
+    probs = [0.0, 0.001, 0.25, 0.5, 0.75, 0.99, 1.0]
+    small, sorted_rows = 40, []
+    real = quantiles.F.row_number
+    monkeypatch.setattr(quantiles.F, "row_number", lambda: sorted_rows.append(1) or real())
+    got = quantiles.frame_quantiles(df, "v", probs, bands=50, small=small).first().q
+    assert got == pytest.approx(np.quantile(x, probs), rel=1e-12)
+    found = quantiles.order_statistics(df.where("v is not null").select(df.v.alias("_v")), {0, 17, 3000, 5999}, 50, small)
+    assert [found[k] for k in (0, 17, 3000, 5999)] == np.sort(x)[[0, 17, 3000, 5999]].tolist()
+    assert sorted_rows if kind == "lognormal" else True   # the last step was met
