@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import numpy as np
 import pytest
 from conftest import rows
@@ -83,7 +85,7 @@ def test_submodels(master, prep):
     assert c.where("(capacity_utilization_ratio >= 0.8) <> (upper_bound is null)").count() == 0 and c.where("lower_bound < 0.001").count() == 0
     alt = models.censor_labels(master.drop("capacity_utilization_ratio").withColumn("hist_p90_monthly", F.col("hist_max_monthly") * 0.9))
     assert alt.where("hist_max_monthly > 0 and upper_bound is not null").count() == 0
-    latent = models.latent_demand(prep, CFG)
+    latent = models.latent_demand(prep, replace(CFG, latent_rounds=2))
     assert latent.count() == master.count() and latent.where("tobit_latent_estimate is null or tobit_latent_estimate < 0").count() == 0
     prob = models.hurdle_active_prob(prep, CFG)
     assert prob.where("p_active between 0 and 1").count() == master.count()
