@@ -264,27 +264,65 @@ def kmeans_tiles(points: DataFrame, cfg: Config) -> tuple[DataFrame, DataFrame]:
 
 
 def ring_edges(rings: DataFrame) -> DataFrame:
-    """Edges of outer rings: rows (polygon, seq, lat, lon) to (polygon, lat0, lon0, lat1, lon1), closing each ring."""
-    ring = rings.groupBy("polygon").agg(F.array_sort(F.collect_list(F.struct("seq", "lat", "lon"))).alias("v"))
+    """Edges of rings: rows (polygon[, ring], seq, lat, lon) to (polygon, lat0, lon0, lat1, lon1), closing each ring.
+
+    Further rings of a polygon are holes; a single one needs no ``ring`` column.
+    """
+    by = ["polygon", "ring"] if "ring" in rings.columns else ["polygon"]
+    ring = rings.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("seq", "lat", "lon"))).alias("v"))
     nxt = F.concat(F.slice("v", 2, F.size("v") - 1), F.slice("v", 1, 1))
     return ring.select("polygon", F.explode(F.arrays_zip(F.col("v").alias("a"), nxt.alias("b"))).alias("e")).select(
         "polygon", F.col("e.a.lat").alias("lat0"), F.col("e.a.lon").alias("lon0"), F.col("e.b.lat").alias("lat1"), F.col("e.b.lon").alias("lon1"))
 
 
-def point_in_polygon(points: DataFrame, edges: DataFrame, band_deg: float = 0.25) -> DataFrame:
-    """``in_sea`` per outlet: false where a ray crosses the edges of some ring an odd number of times.
+EDGE_SLACK = 1e-9  # degrees by which a cell counts as touched
+
+
+def edge_cells(edges: DataFrame, side: float) -> DataFrame:
+    """Cells (band, column) that an edge passes through, row by row of the grid."""
+    at = lambda c: F.floor(c / F.lit(side))
+    low, high = F.least("lat0", "lat1"), F.greatest("lat0", "lat1")
+    e = edges.withColumn("band", F.explode(F.sequence(at(low - EDGE_SLACK), at(high + EDGE_SLACK))))
+    rise = F.col("lat1") - F.col("lat0")
+    slope = (F.col("lon1") - F.col("lon0")) / F.when(rise != 0, rise)
+    cross = lambda y: F.coalesce(F.col("lon0") + slope * (F.greatest(low, F.least(high, y)) - F.col("lat0")), F.col("lon0"))
+    bottom, top = F.col("band") * side - EDGE_SLACK, (F.col("band") + 1) * side + EDGE_SLACK
+    a, z = cross(bottom), F.when(rise == 0, F.col("lon1")).otherwise(cross(top))
+    cells = F.sequence(at(F.least(a, z) - EDGE_SLACK), at(F.greatest(a, z) + EDGE_SLACK))
+    return e.select("band", F.explode(cells).alias("column")).distinct()
+
+
+def inside_rings(locs: DataFrame, edges: DataFrame, band_deg: float) -> DataFrame:
+    """Those of ``locs`` (lat, lon) that lie in some polygon: a ray to the east crosses its rings an odd number of times.
 
-    Edges are cut into latitude bands, so a point meets only the edges that its latitude crosses.
+    Edges are cut into latitude bands, so a location meets only the edges that its latitude crosses. In a hole the count is even.
     """
     band = lambda c: F.floor(c / F.lit(band_deg))
     e = edges.withColumn("band", F.explode(F.sequence(band(F.least("lat0", "lat1")), band(F.greatest("lat0", "lat1")))))
-    locs = locations(points, "Latitude", "Longitude").withColumn("band", band(F.col("lat")))
     y, x = F.col("lat"), F.col("lon")
     crosses = ((F.col("lat0") > y) != (F.col("lat1") > y)) & (
         x < (F.col("lon1") - F.col("lon0")) * (y - F.col("lat0")) / (F.col("lat1") - F.col("lat0")) + F.col("lon0"))
-    odd = locs.join(e, "band").where(crosses).groupBy("lat", "lon", "polygon").agg(F.count("*").alias("n")).where("n % 2 = 1")
-    land = odd.select("lat", "lon").distinct().withColumn("_land", F.lit(True))
-    at = points.select("Outlet_ID", F.col("Latitude").alias("lat"), F.col("Longitude").alias("lon"))
+    odd = (locs.select("lat", "lon").withColumn("band", band(y)).join(e, "band").where(crosses)
+           .groupBy("lat", "lon", "polygon").agg(F.count("*").alias("n")).where("n % 2 = 1"))
+    return odd.select("lat", "lon").distinct()
+
+
+def point_in_polygon(points: DataFrame, edges: DataFrame, band_deg: float = 0.25) -> DataFrame:
+    """``in_sea`` per outlet: true outside every polygon and inside holes.
+
+    The plane is a grid. No edge passes through most cells, so all of such a cell lies on one side: its centre is tested once and the answer
+    stored, and its outlets look it up. Only locations in cells with an edge meet edges. An outlet without coordinates is in no polygon.
+    """
+    cell = lambda c: F.floor(F.col(c) / F.lit(band_deg))
+    locs = locations(points, "Latitude", "Longitude").select("lat", "lon", cell("lat").alias("band"), cell("lon").alias("column"))
+    border = edge_cells(edges, band_deg)
+    near = inside_rings(locs.join(border, ["band", "column"], "left_semi"), edges, band_deg)
+    inner = locs.join(border, ["band", "column"], "left_anti")
+    centre = lambda c: (F.col(c) + F.lit(0.5)) * F.lit(band_deg)
+    cells = inner.select("band", "column").distinct().select("band", "column", centre("band").alias("lat"), centre("column").alias("lon"))
+    parity = cells.join(inside_rings(cells, edges, band_deg), ["lat", "lon"], "left_semi").select("band", "column")
+    land = near.unionByName(inner.join(parity, ["band", "column"], "left_semi").select("lat", "lon")).withColumn("_land", F.lit(True))
+    at = points.select("Outlet_ID", F.col("Latitude").cast("double").alias("lat"), F.col("Longitude").cast("double").alias("lon"))
     return at.join(land, ["lat", "lon"], "left").select("Outlet_ID", F.col("_land").isNull().alias("in_sea"))
 
 

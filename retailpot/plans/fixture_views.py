@@ -7,6 +7,7 @@ which needs none, gets nothing there.
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -74,10 +75,11 @@ SELECT CONCAT('OUT_', LPAD(CAST(o_custkey AS STRING), CAST(GREATEST(5, LENGTH(CA
 FROM {orders} GROUP BY o_custkey
 UNION ALL SELECT CONCAT('OUT_9', LPAD(CAST(s_suppkey AS STRING), 9, '0')), 5e0 + s_suppkey % 7, 5e0 + s_suppkey % 5, 4e0 + s_suppkey % 3 FROM {supplier} s""",
 }
-# corner points (lat, lon) of two coarse land outlines, for point_in_polygon
+# corner points (lat, lon) of two coarse land outlines, for point_in_polygon: the outer ring, then holes (a lagoon)
 OUTLINE = {
-    "mainland": ((6.1, 79.7), (6.1, 80.9), (7.0, 81.4), (8.3, 81.7), (9.05, 80.9), (8.9, 80.1), (8.0, 79.75), (7.0, 79.8)),
-    "islet": ((6.15, 81.58), (6.35, 81.58), (6.35, 81.7), (6.15, 81.7)),
+    "mainland": (((6.1, 79.7), (6.1, 80.9), (7.0, 81.4), (8.3, 81.7), (9.05, 80.9), (8.9, 80.1), (8.0, 79.75), (7.0, 79.8)),
+                 ((6.88, 80.2), (6.88, 80.36), (6.93, 80.36), (6.93, 80.2))),
+    "islet": (((6.15, 81.58), (6.35, 81.58), (6.35, 81.7), (6.15, 81.7)),),
 }
 
 
@@ -87,8 +89,13 @@ def duckdb_view(name: str) -> str:
     return VIEWS[name].format(**marks, **names).strip()
 
 
-def outline_rows() -> list[tuple]:
-    return [(p, i, lat, lon) for p, ring in OUTLINE.items() for i, (lat, lon) in enumerate(ring)]
+def outline_geojson() -> str:
+    """The outlines as a GeoJSON document beside a feature of another place."""
+    closed = lambda ring: [[lon, lat] for lat, lon in (*ring, ring[0])]
+    land = {"type": "MultiPolygon", "coordinates": [[closed(ring) for ring in rings] for rings in OUTLINE.values()]}
+    far = {"type": "Polygon", "coordinates": [closed(((0.0, 0.0), (0.0, 90.0), (20.0, 90.0), (20.0, 0.0)))]}
+    features = [{"type": "Feature", "properties": {"ISO_A3": k}, "geometry": g} for k, g in (("XXX", far), ("LKA", land))]
+    return json.dumps({"type": "FeatureCollection", "features": features})
 
 
 def load_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -17,7 +17,7 @@ from retailpot.operators import attribution, baseline, boosting, briefing, budge
 from retailpot.operators.target_codes import TargetCodes
 from retailpot.plans import fixture_views as fx
 from retailpot.session import shared_root
-from retailpot.sources import poi
+from retailpot.sources import geojson, poi
 
 
 
@@ -246,7 +246,11 @@ class Lake:
         return serving.outlet_detail(self["srv_outlets"], self["srv_allocations"], self["srv_contexts"])
 
     def sea(self) -> DataFrame:
-        rings = self.spark.createDataFrame(fx.outline_rows(), "polygon string, seq int, lat double, lon double")
+        def make():
+            path = f"{self.root}/outline"
+            self.spark.createDataFrame([(fx.outline_geojson(),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+            return path
+        rings = geojson.read_rings(self.spark, self.once("outline", make), {"ISO_A3": "LKA"})
         flags = spatial.point_in_polygon(self["coordinates"], spatial.ring_edges(rings))
         return flags.select(F.col("Outlet_ID").alias("outlet_id"), "in_sea")
 

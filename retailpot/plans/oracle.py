@@ -205,10 +205,10 @@ FROM clusters c LEFT JOIN (SELECT micro_market_id, CAST(count(*) AS INTEGER) AS
   WHERE micro_market_id >= 0 GROUP BY micro_market_id) USING (micro_market_id)"""
 CTES["spatial"] = "SELECT * FROM cluster_stats UNION ALL SELECT Outlet_ID, -1, true, 0, 0.0, 0.0 FROM outlets WHERE Outlet_ID NOT IN (SELECT Outlet_ID FROM pt)"
 _edges = []
-for _p, _ring in fx.OUTLINE.items():
+for _name, _ring in ((k, r) for k, rings in fx.OUTLINE.items() for r in rings):
     for _i, (_a, _o) in enumerate(_ring):
         _n = _ring[(_i + 1) % len(_ring)]
-        _edges.append(f"('{_p}', {_a}e0, {_o}e0, {_n[0]}e0, {_n[1]}e0)")
+        _edges.append(f"('{_name}', {_a}e0, {_o}e0, {_n[0]}e0, {_n[1]}e0)")
 CTES["sea"] = f"""
 SELECT p.Outlet_ID, NOT coalesce(bool_or(n % 2 = 1), false) AS in_sea FROM pt p LEFT JOIN (
   SELECT Outlet_ID, polygon, count(*) AS n FROM pt JOIN (VALUES {', '.join(_edges)}) e(polygon, lat0, lon0, lat1, lon1)

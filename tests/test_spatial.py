@@ -1,3 +1,4 @@
+import json
 import math
 from dataclasses import replace
 
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from retailpot.config import Config
 from retailpot.functions import geo
 from retailpot.operators import clusters, spatial
+from retailpot.sources import geojson
 
 CFG = Config()
 
@@ -118,3 +120,38 @@ def test_polygon_and_tiles(spark):
     members, boxes = spatial.kmeans_tiles(pts, replace(CFG, n_tiles=2))
     j = members.join(boxes, "cluster_id")
     assert j.count() == 4 and j.where("Latitude < lat_min or Latitude > lat_max or Longitude < lon_min or Longitude > lon_max").count() == 0
+
+
+def crossings(lat, lon, rings):
+    n = 0
+    for ring in rings:
+        for (a, b), (c, d) in zip(ring, ring[1:] + ring[:1]):
+            n += (a > lat) != (c > lat) and lon < (d - b) * (lat - a) / (c - a) + b
+    return n % 2 == 1
+
+
+def test_outlines_from_geojson_with_holes_and_islands(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    circle = lambda y, x, r, n: [(y + r * np.sin(2 * np.pi * k / n), x + r * 1.3 * np.cos(2 * np.pi * k / n)) for k in range(n)]
+    land = {0: [circle(7.0, 80.5, 0.8, 23), circle(7.1, 80.4, 0.3, 9)], 1: [circle(7.1, 80.4, 0.1, 5)], 2: [[(5.0, 82.0), (5.0, 82.5), (5.5, 82.5), (5.5, 82.0)]]}  # the second lies in the hole of the first
+    closed = lambda ring: [[x, y, 0.0] for y, x in ring + ring[:1]]
+    feature = lambda iso, kind, c: {"type": "Feature", "properties": {"ISO_A3": iso, "rank": 3}, "geometry": {"type": kind, "coordinates": c}}
+    features = [feature("AAA", "Polygon", [closed(circle(7, 80, 5, 8))]), feature("LKA", "MultiPolygon", [[closed(r) for r in land[0]], [closed(r) for r in land[1]]]),
+                feature("LKA", "Polygon", [closed(r) for r in land[2]]), feature("LKA", "Point", [80.0, 7.0])]
+    (tmp_path / "a.json").write_text(json.dumps({"type": "FeatureCollection", "features": features}, indent=1))
+    (tmp_path / "b.jsonl").write_text("\n".join(map(json.dumps, features)))
+    rings = geojson.read_rings(spark, str(tmp_path / "a.json"), {"ISO_A3": "LKA"})
+    assert rings.select("polygon", "ring").distinct().count() == 4 and rings.select("polygon").distinct().count() == 3
+    lined = geojson.read_rings(spark, str(tmp_path / "b.jsonl"), {"ISO_A3": "LKA"}, lines=True)
+    assert rows(lined, "ring", "seq", "lat", "lon") == rows(rings, "ring", "seq", "lat", "lon")
+    pts = [(f"p{i}", float(a), float(b)) for i, (a, b) in enumerate(zip(rng.uniform(4.5, 8.5, 900), rng.uniform(79, 83, 900)))]
+    pts += [("hole", 7.3, 80.4), ("islet", 7.1, 80.4), ("none", None, None), ("block", 5.25, 82.25), ("edge", 5.25, 82.0)]
+    df = spark.createDataFrame(pts, "Outlet_ID string, Latitude double, Longitude double")
+    want = {i: not (a is not None and any(crossings(a, b, r) for r in land.values())) for i, a, b in pts}
+    assert want["hole"] and not want["islet"] and want["none"] and not want["block"]
+    for side in (0.25, 0.05, 2.0):
+        assert dict(rows(spatial.point_in_polygon(df, spatial.ring_edges(rings), side))) == want, side
+    cells = {tuple(r) for r in spatial.edge_cells(spatial.ring_edges(rings), 0.05).collect()}
+    for ring in (r for rs in land.values() for r in rs):   # every point of an edge lies in a marked cell
+        for (a, b), (c, d) in zip(ring, ring[1:] + ring[:1]):
+            assert {(int(np.floor((a + t * (c - a)) / 0.05)), int(np.floor((b + t * (d - b)) / 0.05))) for t in np.linspace(0, 1, 60)} <= cells
