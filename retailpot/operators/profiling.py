@@ -102,8 +102,9 @@ def target_correlation(df: DataFrame, target: str, columns: Sequence[str] | None
 
 
 def holdout_split(df: DataFrame, key: str, test_share: float = 0.2, seed: int = 42) -> DataFrame:
-    """Adds ``is_test`` by a hash of the key: the same rows in every run and partitioning."""
-    bucket = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(10_000))
+    """Adds ``is_test`` by an MD5 of the key and seed: the same rows in every run, partitioning and engine."""
+    digest = F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")).cast("binary"))
+    bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 10_000
     return df.withColumn("is_test", bucket < int(test_share * 10_000))
 
 

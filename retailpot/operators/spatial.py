@@ -156,8 +156,13 @@ def _per_category(cats: Sequence[str]) -> dict[str, Column]:
     return {k: (F.col("category") == k).cast("long") for k in cats}
 
 
-def poi_radius_counts(points: DataFrame, outlets: DataFrame, pois: DataFrame, cfg: Config) -> DataFrame:
-    """Count columns ``{category}_{radius}m`` per outlet; outlets without coordinates get 0 and a false flag."""
+def poi_radius_counts(points: DataFrame, outlets: DataFrame, pois: DataFrame, cfg: Config, served: DataFrame | None = None) -> DataFrame:
+    """Count columns ``{category}_{radius}m`` per outlet; outlets without coordinates get 0 and a false flag.
+
+    ``served`` (outlet_id) are the outlets of tiles that were read whole: the others, of failed tiles, get 0 and a false flag too.
+    """
+    if served is not None:
+        points = points.join(served.select(F.col("outlet_id").alias("Outlet_ID")), "Outlet_ID", "left_semi")
     cats, radii = list(FLAT_POI_RULES), cfg.radii_m
     left = locations(points, "Latitude", "Longitude")
     right = locations(classified(pois, FLAT_POI_RULES), "lat", "lon", weights=_per_category(cats))
@@ -177,9 +182,9 @@ def footfall_score(counts: DataFrame) -> DataFrame:
     return with_min_max(counts.withColumn("_raw", raw), "footfall_score", "_raw").drop("_raw")
 
 
-def poi_features(points: DataFrame, outlets: DataFrame, pois: DataFrame, cfg: Config) -> DataFrame:
+def poi_features(points: DataFrame, outlets: DataFrame, pois: DataFrame, cfg: Config, served: DataFrame | None = None) -> DataFrame:
     # the counts feed both the range and the rows of the score: compute them once
-    scored = footfall_score(cut(poi_radius_counts(points, outlets, pois, cfg)))
+    scored = footfall_score(cut(poi_radius_counts(points, outlets, pois, cfg, served)))
     counts = [c for c in scored.columns if c.endswith("m") and c not in ("poi_data_available",)]
     return scored.select("Outlet_ID", *counts, "footfall_score", "poi_data_available")
 

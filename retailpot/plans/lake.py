@@ -99,6 +99,12 @@ class Lake:
     def _build_transactions(self):
         return cleaning.finish_transactions(self.tx_run().passed, self.cfg)
 
+    def health(self) -> DataFrame:
+        """Health rows of the datasets whose rows are checked one by one."""
+        coords = self.cleaned("coordinates")
+        a = quality.pipeline_health("outlet_coordinates", self["coordinates"], coords.rejected, "Valid Lat/Lon Coordinates")
+        return a.unionByName(quality.pipeline_health("transactions", self["transactions"], self.tx_rejected(), "Valid Transactions"))
+
     def tx_rejected(self) -> DataFrame:
         period, _ = cleaning.check_transactions(self.raw("fx_transactions"), self["outlets"], self.cfg)
         return quality.quarantine_union([period.failed, self.tx_run().failed])
@@ -134,11 +140,25 @@ class Lake:
     def links(self) -> DataFrame:
         return poi.outlet_cluster_link(self.envelopes())
 
+    def served(self) -> DataFrame | None:
+        """Outlets of tiles that were read; None where no tile is missing."""
+        return None
+
+    def manifest(self) -> DataFrame:
+        """A manifest in which one tile in seven has failed, read from its file."""
+        def make():
+            path = f"{self.root}/manifest"
+            ids = self.pois().select("cluster_id").distinct()
+            split = lambda ok: F.collect_list(F.when((F.col("cluster_id") % 7 == 3) != F.lit(ok), F.col("cluster_id")))
+            ids.agg(split(True).alias("completed_clusters"), split(False).alias("failed_clusters")).coalesce(1).write.mode("overwrite").json(path)
+            return path
+        return poi.read_manifest(self.spark, self.once("manifest", make))
+
     def _build_sales(self):
         return sales.sales_features(self["transactions"], self["outlets"])
 
     def _build_poi(self):
-        return spatial.poi_features(self["coordinates"], self["outlets"], self.pois(), self.cfg)
+        return spatial.poi_features(self["coordinates"], self["outlets"], self.pois(), self.cfg, self.served())
 
     def _build_gravity(self):
         return spatial.gravity_features(self["coordinates"], self["outlets"], self.pois(), self.cfg)

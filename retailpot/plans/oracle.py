@@ -163,13 +163,21 @@ FROM outlets o LEFT JOIN g_stats USING (Outlet_ID) LEFT JOIN g_runs USING (Outle
 
 # --- spatial --------------------------------------------------------------------------------
 CTES["pt"] = "SELECT Outlet_ID, Latitude AS lat, Longitude AS lon FROM coordinates"
-CTES["poi_flat"] = f"SELECT lat, lon, {poi_case(c.FLAT_POI_RULES)} AS category FROM fx_poi WHERE {poi_case(c.FLAT_POI_RULES)} IS NOT NULL"
+CTES["poi_flat"] = f"SELECT lat, lon, cluster_id, {poi_case(c.FLAT_POI_RULES)} AS category FROM fx_poi WHERE {poi_case(c.FLAT_POI_RULES)} IS NOT NULL"
 CTES["poi_grav"] = f"SELECT DISTINCT lat, lon, {poi_case(c.GRAVITY_POI_RULES)} AS category FROM fx_poi WHERE {poi_case(c.GRAVITY_POI_RULES)} IS NOT NULL"
 _box = "abs(a.lat - b.lat) < 0.03 AND abs(a.lon - b.lon) < 0.03"
-CTES["near_flat"] = f"SELECT Outlet_ID, category, d FROM (SELECT a.Outlet_ID, b.category, {lambert('a', 'b')} AS d FROM pt a JOIN poi_flat b ON {_box}) WHERE d <= 2000"
+CTES["near_flat"] = f"SELECT Outlet_ID, category, cluster_id, d FROM (SELECT a.Outlet_ID, b.category, b.cluster_id, {lambert('a', 'b')} AS d FROM pt a JOIN poi_flat b ON {_box}) WHERE d <= 2000"
 _counts = [(f"{cat}_{r}m", cat, r) for cat in c.FLAT_POI_RULES for r in CFG.radii_m]
-CTES["poi_counts"] = ("SELECT o.Outlet_ID, " + ", ".join(f"CAST(count(*) FILTER (n.category = '{cat}' AND n.d <= {r}) AS INTEGER) AS {name}" for name, cat, r in _counts)
-                      + ", bool_or(p.Outlet_ID IS NOT NULL) AS poi_data_available FROM outlets o LEFT JOIN pt p USING (Outlet_ID) LEFT JOIN near_flat n ON n.Outlet_ID = p.Outlet_ID GROUP BY o.Outlet_ID")
+
+
+def poi_counts(points: str, near: str) -> str:
+    filters = ", ".join(f"CAST(count(*) FILTER (n.category = '{cat}' AND n.d <= {r}) AS INTEGER) AS {name}" for name, cat, r in _counts)
+    return (f"SELECT o.Outlet_ID, {filters}, bool_or(p.Outlet_ID IS NOT NULL) AS poi_data_available FROM outlets o LEFT JOIN {points} p USING (Outlet_ID) "
+            f"LEFT JOIN {near} n ON n.Outlet_ID = p.Outlet_ID GROUP BY o.Outlet_ID")
+
+
+CTES["poi_counts"] = poi_counts("pt", "near_flat")
+POI_COUNTS_SERVED = poi_counts("(SELECT * FROM pt WHERE Outlet_ID IN (SELECT outlet_id FROM links WHERE cluster_id % 7 <> 3))", "(SELECT * FROM near_flat WHERE cluster_id % 7 <> 3)")
 CTES["poi_raw"] = "SELECT *, " + " + ".join(f"{k}_500m * {w}e0" for k, w in c.FOOTFALL_WEIGHTS.items()) + " AS raw FROM poi_counts"
 CTES["poi"] = f"SELECT * EXCLUDE (raw), {minmax('raw', 'poi_raw')} AS footfall_score FROM poi_raw"
 CTES["near_grav"] = f"SELECT Outlet_ID, category, 1.0 / pow(d + 0.05, 2) AS pull FROM (SELECT a.Outlet_ID, b.category, {hav('a', 'b')} AS d FROM pt a JOIN poi_grav b ON {_box}) WHERE d <= 2.0"

@@ -40,6 +40,13 @@ class FileLake(Lake):
         tiles = poi.read_envelopes(self.spark, f"{self.poi_cache}/cluster_*.json")
         return poi.manifest_filter(tiles, poi.read_manifest(self.spark, f"{self.poi_cache}/scrape_manifest.json"))
 
+    def served(self) -> DataFrame:
+        return poi.outlet_cluster_link(self.envelopes())
+
+    def tile_report(self) -> DataFrame:
+        tiles = poi.read_envelopes(self.spark, f"{self.poi_cache}/cluster_*.json")
+        return poi.tile_report(tiles, poi.read_manifest(self.spark, f"{self.poi_cache}/scrape_manifest.json"), self.cfg.n_tiles)
+
     def pois(self) -> DataFrame:
         return self["poi_points"]
 
@@ -95,10 +102,12 @@ def run_pipeline(spark: SparkSession, raw_dir: str, poi_cache: str, out_dir: str
             ingest.parquet_sink(df, f"{out_dir}/{layer}/{name}", df.columns)
     quality.enforce(validate(lk))
     ingest.report_append(lk.tx_run().report(), f"{out_dir}/outputs/dq_report", "latest")
+    tiles = lk.tile_report()
+    ingest.parquet_sink(tiles, f"{out_dir}/outputs/poi_tiles", tiles.columns)
     ingest.parquet_sink(lk["master"], f"{out_dir}/gold/master", lk["master"].columns)
     ingest.csv_sink(lk["final"], f"{out_dir}/outputs/predictions", ["Outlet_ID", "Maximum_Monthly_Liters"])
     ingest.csv_sink(lk["allocation"], f"{out_dir}/outputs/budget_allocations", ["Outlet_ID", budget.SPEND])
     ingest.parquet_sink(lk["allocation"], f"{out_dir}/outputs/budget_features", budget.DIAGNOSTIC_COLUMNS)
     serving.register({"outlets": lk["srv_outlets"], "budget_allocations": lk["srv_allocations"], "xai_contexts": lk["srv_contexts"],
-                      "outlet_clusters": lk.links(), "cluster_pois": poi.cluster_pois(lk.pois())})
+                      "outlet_clusters": lk.links(), "cluster_pois": poi.cluster_pois(lk.pois()), "pipeline_health": serving.read_health(lk.health())})
     return lk

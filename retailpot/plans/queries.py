@@ -81,10 +81,12 @@ def outlet_cluster_link(lk):
     return lk.links()
 
 
-@query("SELECT poi_id, cluster_id FROM fx_poi WHERE cluster_id % 7 <> 3")
+@query("SELECT poi_id, cluster_id, 'completed' AS status FROM fx_poi WHERE cluster_id % 7 <> 3 UNION ALL SELECT DISTINCT CAST(NULL AS BIGINT), cluster_id, 'failed' FROM fx_poi WHERE cluster_id % 7 = 3")
 def poi_manifest_filter(lk):
-    status = F.when(F.col("cluster_id") % 7 == 3, "failed").otherwise("completed").alias("status")
-    return poi.manifest_filter(lk.pois(), lk.pois().select("cluster_id", status).distinct()).select("poi_id", "cluster_id")
+    """The points of completed tiles, and a row for each tile that is not used."""
+    kept = poi.manifest_filter(lk.pois(), lk.manifest()).select("poi_id", "cluster_id", F.lit("completed").alias("status"))
+    lost = poi.tile_report(lk.pois(), lk.manifest()).where("not used").select(F.lit(None).cast("long").alias("poi_id"), "cluster_id", "status")
+    return kept.unionByName(lost)
 
 
 @query("SELECT poi_id, CASE WHEN tag_key IN ('amenity', 'shop', 'leisure', 'tourism', 'highway', 'public_transport') THEN tag_value ELSE 'unknown' END AS poi_type, "
@@ -225,11 +227,21 @@ def quarantine_rate_alarm(lk):
     return q.quarantine_rate(run.passed, run.failed, "transactions")
 
 
-@query("""
-SELECT * FROM (VALUES ('not_null:Outlet_ID', 0), ('bounds:competition_density_score', 0), ('allowed:market_saturation_class', 0), ('monotone:competitors_500m<=competitors_1km', 0),
-  ('monotone:competitors_1km<=competitors_2km', 0), ('unique:Outlet_ID', 0), ('row_count:outlets', 0)) v(rule, violations_), LATERAL (SELECT CAST(violations_ AS BIGINT) AS violations, true AS ok)
-UNION ALL SELECT 'bounds:competitors_1km', 0, count(*) FILTER (competitors_1km > 5), count(*) FILTER (competitors_1km > 5) = 0 FROM catchment
-UNION ALL SELECT 'implies:score_needs_data', 0, count(*) FILTER (composite_gravity_score > 1 AND NOT gravity_data_available), count(*) FILTER (composite_gravity_score > 1 AND NOT gravity_data_available) = 0 FROM gravity""".replace("SELECT * FROM (VALUES", "SELECT rule, violations, ok FROM (VALUES").replace("_1km', 0, count", "_1km', count").replace("needs_data', 0, count", "needs_data', count"))
+_CATCHMENT_RULES = {
+    "not_null:Outlet_ID": "count(*) FILTER (Outlet_ID IS NULL)", "bounds:competition_density_score": "count(*) FILTER (NOT competition_density_score BETWEEN 0 AND 100)",
+    "allowed:market_saturation_class": "count(*) FILTER (market_saturation_class NOT IN ('isolated', 'moderate', 'dense'))",
+    "monotone:competitors_500m<=competitors_1km": "count(*) FILTER (competitors_500m > competitors_1km)", "monotone:competitors_1km<=competitors_2km": "count(*) FILTER (competitors_1km > competitors_2km)",
+    "bounds:competitors_1km": "count(*) FILTER (NOT competitors_1km BETWEEN 0 AND 5)", "unique:Outlet_ID": "count(Outlet_ID) - count(DISTINCT Outlet_ID)",
+    "row_count:outlets": "abs(count(*) - (SELECT count(*) FROM outlets))",
+}
+
+
+def _rules_sql(rules: dict[str, str], table: str) -> str:
+    """One row per rule with its violations counted in ``table``."""
+    return " UNION ALL ".join(f"SELECT '{n}' AS rule, CAST({x} AS BIGINT) AS violations, {x} = 0 AS ok FROM {table}" for n, x in rules.items())
+
+
+@query(_rules_sql(_CATCHMENT_RULES, "catchment") + " UNION ALL " + _rules_sql({"implies:score_needs_data": "count(*) FILTER (composite_gravity_score > 1 AND NOT gravity_data_available)"}, "gravity"))
 def expectations(lk):
     t, g = lk["catchment"], lk["gravity"]
     a = q.expect(t, [*q.not_null("Outlet_ID"), q.bounds("competition_density_score", 0, 100), q.allowed("market_saturation_class", ("isolated", "moderate", "dense")),
@@ -238,12 +250,6 @@ def expectations(lk):
     return a.unionByName(b).unionByName(q.same_count(t, lk["outlets"], "outlets"))
 
 
-def health_rows(lk) -> DataFrame:
-    coords = lk.cleaned("coordinates")
-    a = q.pipeline_health("outlet_coordinates", lk["coordinates"], coords.rejected, "Valid Lat/Lon Coordinates")
-    return a.unionByName(q.pipeline_health("transactions", lk["transactions"], lk.tx_rejected(), "Valid Transactions"))
-
-
 def _health_sql(dataset: str, good: str, bad: str, base: str) -> str:
     return f"""
 SELECT '{dataset}' AS dataset, g + coalesce(b, 0) AS records_checked, g AS records_passed, coalesce(b, 0) AS records_quarantined, coalesce(b, 0) / (g + coalesce(b, 0)) AS quarantine_rate,
@@ -258,12 +264,12 @@ HEALTH_SQL = _health_sql("outlet_coordinates", "coordinates", "c_rejected", "Val
 
 @query(HEALTH_SQL)
 def pipeline_health(lk):
-    return health_rows(lk)
+    return lk.health()
 
 
 @query(HEALTH_SQL)
 def read_health(lk):
-    return serving.read_health(health_rows(lk))
+    return serving.read_health(lk.health())
 
 
 @query(f"""
@@ -271,11 +277,17 @@ SELECT CAST(sum(records_checked) AS BIGINT) AS total_checked, CAST(sum(records_p
   {o.he('sum(records_passed) / sum(records_checked)', 6)} AS overall_pass_rate, {o.he('sum(records_quarantined) / sum(records_checked)', 6)} AS overall_quarantine_rate,
   {o.he('avg(records_passed / records_checked)', 6)} AS average_dataset_health, sum(records_passed) / sum(records_checked) > 0.99 AS is_healthy FROM ({HEALTH_SQL})""")
 def health_summary(lk):
-    return rnd(q.health_summary(health_rows(lk)), 6)
+    return rnd(q.health_summary(lk.health()), 6)
 
 
-@query("SELECT * FROM (VALUES ('not_null:Outlet_ID', CAST(0 AS BIGINT), true), ('not_null:Maximum_Monthly_Liters', 0, true), ('bounds:Maximum_Monthly_Liters', 0, true), ('unique:Outlet_ID', 0, true), "
-       "('row_count:predictions', 0, true)) v(rule, violations, ok) UNION ALL SELECT 'allocation_rows_in_band', CAST(NOT (count(*) BETWEEN 10 AND 100000) AS BIGINT), count(*) BETWEEN 10 AND 100000 FROM allocation")
+_FINAL_RULES = {
+    "not_null:Outlet_ID": "count(*) FILTER (Outlet_ID IS NULL)", "not_null:Maximum_Monthly_Liters": "count(*) FILTER (Maximum_Monthly_Liters IS NULL)",
+    "bounds:Maximum_Monthly_Liters": "count(*) FILTER (Maximum_Monthly_Liters <= 0)", "unique:Outlet_ID": "count(Outlet_ID) - count(DISTINCT Outlet_ID)",
+    "row_count:predictions": "abs(count(*) - (SELECT count(*) FROM master))",
+}
+
+
+@query(_rules_sql(_FINAL_RULES, "final") + " UNION ALL " + _rules_sql({"allocation_rows_in_band": "CAST(NOT (count(*) BETWEEN 10 AND 100000) AS INTEGER)"}, "allocation"))
 def output_validation(lk):
     f = lk["final"]
     rows = q.expect(f, [*q.not_null("Outlet_ID", "Maximum_Monthly_Liters"), q.Rule("bounds:Maximum_Monthly_Liters", F.col("Maximum_Monthly_Liters") <= 0)], unique=["Outlet_ID"])
@@ -477,9 +489,11 @@ def geodesic(lk):
     return rnd(geo.with_geodesic_m(df, "metres", "b1", "Longitude", "b2", "plon").select("Outlet_ID", "metres"), 3)
 
 
-@query("SELECT * FROM poi_counts")
+@query(o.POI_COUNTS_SERVED)
 def poi_radius_counts(lk):
-    return spatial.poi_radius_counts(lk["coordinates"], lk["outlets"], lk.pois(), lk.cfg)
+    """Counts over completed tiles; outlets of failed ones are flagged."""
+    done = lk.links().join(poi.tile_report(lk.pois(), lk.manifest()).where("used").select("cluster_id"), "cluster_id", "left_semi")
+    return spatial.poi_radius_counts(lk["coordinates"], lk["outlets"], poi.manifest_filter(lk.pois(), lk.manifest()), lk.cfg, done)
 
 
 @query("SELECT * FROM poi")
@@ -642,9 +656,22 @@ def training_target(lk):
     return rnd(models.training_target(lk["master"], lk.cfg).select("Outlet_ID", "target"))
 
 
-@query()
+def _strategies_sql() -> str:
+    """What each strategy leaves out, over one row per column of the master table with its filled cells and mean."""
+    crossed = ", ".join(f"{a} * {b} AS {n}" for n, (a, b) in models.INTERACTIONS.items())
+    wide, text = f"SELECT *, {crossed} FROM master", ("Outlet_ID", "distributor_id", f"seasonality_{L}", *models.CATEGORICALS)
+    filled = f"SELECT feature, filled FROM (UNPIVOT (SELECT count(COLUMNS(*)) FROM ({wide})) ON COLUMNS(*) INTO NAME feature VALUE filled)"
+    mean = f"SELECT feature, mean FROM (UNPIVOT (SELECT avg(CAST(COLUMNS(* EXCLUDE ({', '.join(text)})) AS DOUBLE)) FROM ({wide})) ON COLUMNS(*) INTO NAME feature VALUE mean)"
+    parts = []
+    for name, (groups, interactions) in models.STRATEGIES.items():
+        out = set(models.base_exclude(fx.FIXTURE)).union(*groups, () if interactions else models.INTERACTIONS)
+        parts.append(f"SELECT '{name}' AS strategy, feature, filled, {o.he('mean', 4)} AS mean FROM columns_ WHERE feature NOT IN {o.in_list(sorted(out))}")
+    return f"SELECT * FROM (WITH columns_ AS (SELECT * FROM ({filled}) LEFT JOIN ({mean}) USING (feature)) {' UNION ALL '.join(parts)})"
+
+
+@query(_strategies_sql())
 def feature_strategies(lk):
-    return models.strategy_table(lk["master"], lk.cfg)
+    return rnd(models.strategy_table(lk["master"], lk.cfg))
 
 
 @query("SELECT Outlet_ID, " + ", ".join(f"{o.he(f'{a} * {b}', 4)} AS {n}" for n, (a, b) in models.INTERACTIONS.items()) + " FROM master")
@@ -1049,7 +1076,7 @@ def target_correlation(lk):
     return rnd(profiling.target_correlation(df, "baseline_potential_litres", _CORR), 6)
 
 
-@query()
+@query("SELECT Outlet_ID, CAST('0x' || substr(md5(concat(Outlet_ID, ':42')), 1, 8) AS BIGINT) % 10000 < 2000 AS is_test FROM master")
 def holdout_split(lk):
     return profiling.holdout_split(lk["master"], "Outlet_ID").select("Outlet_ID", "is_test")
 

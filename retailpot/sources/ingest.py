@@ -5,7 +5,6 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
@@ -103,14 +102,11 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
 
 
 def optional_input(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at ``path``, or None where it does not exist."""
+    """The table at ``path``, or None where it does not exist; one that exists but cannot be read is an error."""
     if not path_exists(spark, path):
         log.info("Optional input absent: %s", path)
         return None
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    return spark.read.parquet(path)
 
 
 def parquet_sink(df: DataFrame, path: str, columns: Sequence[str]) -> None:

@@ -29,8 +29,27 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def manifest_filter(tiles: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Rows of tiles listed as completed."""
-    return tiles.join(manifest.where("status = 'completed'").select("cluster_id").distinct(), "cluster_id", "left_semi")
+    """Rows of tiles listed as completed and not as failed; ``tile_report`` says what the others are."""
+    failed = manifest.where("status = 'failed'").select("cluster_id").distinct()
+    done = manifest.where("status = 'completed'").select("cluster_id").distinct().join(failed, "cluster_id", "left_anti")
+    return tiles.join(done, "cluster_id", "left_semi")
+
+
+def tile_report(tiles: DataFrame, manifest: DataFrame, n_clusters: int | None = None) -> DataFrame:
+    """What became of each tile: (cluster_id, status, used, config_matches), one row per tile that the manifest or the files know.
+
+    ``status`` is the manifest's (``failed`` wins over ``completed``), ``missing`` for a completed tile without a file and ``unlisted`` for a
+    file that the manifest does not name. Only completed tiles with a file are used. ``config_matches`` is false for a used tile that was
+    read for another number of clusters, which is reported but used.
+    """
+    listed = manifest.groupBy("cluster_id").agg(F.bool_or(F.col("status") == "failed").alias("_failed"), F.bool_or(F.col("status") == "completed").alias("_done"))
+    clusters = F.col("config_snapshot.n_clusters") if "config_snapshot" in tiles.columns else F.lit(None).cast("int")
+    found = tiles.groupBy("cluster_id").agg(F.max(clusters).alias("_clusters"), F.lit(True).alias("_file"))
+    both = listed.join(found, "cluster_id", "full")
+    status = (F.when(F.col("_failed"), "failed").when(F.col("_done") & F.col("_file").isNull(), "missing").when(F.col("_done"), "completed").otherwise("unlisted"))
+    used = status == "completed"
+    same = F.lit(True) if n_clusters is None else F.coalesce(F.col("_clusters") == n_clusters, F.lit(True))
+    return both.select("cluster_id", status.alias("status"), used.alias("used"), F.when(used, same).alias("config_matches"))
 
 
 def explode_pois(envelopes: DataFrame) -> DataFrame:

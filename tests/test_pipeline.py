@@ -47,5 +47,6 @@ def test_batch_run_equals_the_view_run(spark, raw, tmp_path):
     assert spark.table("outlets").where("tobit_latent_estimate > 0").count() > 0
     spent = spark.read.csv(f"{tmp_path}/outputs/budget_allocations", header=True, inferSchema=True).agg(F.sum("Trade_Spend_Allocation_LKR")).first()[0]
     assert 0 < spent <= fx.FIXTURE.budget.total
+    assert spark.table("pipeline_health").count() == 2 and spark.read.parquet(f"{tmp_path}/outputs/poi_tiles").where("not used").count() == 0
     first = json.loads(spark.table("xai_contexts").first().context_json)
     assert "base_value" in first and "gravity_x_cooler" in first

@@ -21,6 +21,10 @@ def test_ingest_skips_missing_and_survives_bad(spark, tmp_path):
     df = ingest.read_parquet_with_id(spark, str(bronze / "outlet_master"))
     assert rows(df, "Outlet_ID", "Cooler_Count") == [("OUT_00001", 3), ("OUT_00002", None)] and df.select("ingest_id").distinct().count() == 2
     assert ingest.optional_input(spark, str(tmp_path / "nothing")) is None
+    (tmp_path / "damaged").mkdir()
+    (tmp_path / "damaged" / "part-0.parquet").write_bytes(b"no table")
+    with pytest.raises(Exception):  # noqa: B017  present but damaged is not absent
+        ingest.optional_input(spark, str(tmp_path / "damaged")).count()
 
 
 def test_csv_quotes_breaks_missing_texts_and_order(spark, tmp_path):
@@ -71,6 +75,13 @@ def test_poi_tiles(spark, tmp_path):
     assert got == [(3, 1.0, "bakery", "B"), (3, 3.0, "unknown", "")]
     m = poi.read_manifest(spark, str(tmp_path / "manifest.json"))
     assert rows(m) == [(3, "completed"), (7, "failed")] and poi.manifest_filter(flat, m).count() == 2
+    report = {r.cluster_id: tuple(r)[1:] for r in poi.tile_report(env, m, 400).collect()}
+    assert report == {3: ("completed", True, True), 7: ("failed", False, None), 1: ("unlisted", False, None)}
+    more = m.unionByName(spark.createDataFrame([(9, "completed"), (3, "failed")], "cluster_id int, status string"))
+    again = {r.cluster_id: r.status for r in poi.tile_report(env, more).collect()}
+    assert again[9] == "missing" and again[3] == "failed" and poi.manifest_filter(flat, more).count() == 0
+    other = env.withColumn("config_snapshot", F.struct(F.lit(12).alias("n_clusters"), F.lit(0.1).alias("buffer_deg")))
+    assert not {r.cluster_id: r.config_matches for r in poi.tile_report(other, m, 400).collect()}[3]
 
 
 @pytest.fixture(scope="module")

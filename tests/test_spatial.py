@@ -55,6 +55,9 @@ def test_poi_counts_and_gravity_equal_brute_force(spark, points, monkeypatch):
     got = {r.Outlet_ID: r for r in spatial.poi_features(df, outlets, pois, CFG).collect()}
     grav = {r.Outlet_ID: r for r in spatial.gravity_features(df, outlets, pois, CFG).collect()}
     assert not got["zz"].poi_data_available and got["zz"].schools_2000m == 0 and not grav["zz"].gravity_data_available
+    part = {r.Outlet_ID: r for r in spatial.poi_features(df, outlets, pois, CFG, df.where("Outlet_ID < 'p0020'").select(F.col("Outlet_ID").alias("outlet_id"))).collect()}
+    for oid, r in part.items():
+        assert r.poi_data_available == (oid < "p0020") and (r.schools_2000m == (got[oid].schools_2000m if oid < "p0020" else 0))
     seen = {(a, b, "pharmacy" if v == "pharmacy" else v) for a, b, _, v in data}
     for i, p in enumerate(pts):
         r = got[f"p{i:04d}"]
