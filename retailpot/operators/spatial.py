@@ -1,17 +1,18 @@
 """Distance joins and the features built on them.
 
-Points are first collapsed to distinct locations with weights, so copies of one location cost nothing.
-Locations fall into grid cells a little wider than the radius, and each cell is cut into tiles, the
-finer the more locations it holds. Tiles of neighbouring cells are compared by their bounding boxes: a
-pair of tiles wholly inside a radius contributes its weight without looking at points, one wholly
-outside is dropped, and only the rest is compared point by point, with crowded tiles spread over
-several tasks by a salt.
+Points are first collapsed to distinct locations with weights, so copies of one location cost nothing. Locations fall into grid cells a
+little wider than the radius, and each cell is the root of a quadtree, the deeper the more locations it holds. A join goes down both trees
+at once: pairs of neighbouring cells first, and of each pair only what its bounding boxes leave open is split into the pairs of its
+children. A pair wholly inside a radius contributes its weight without looking at points, one wholly outside is dropped. So a level holds
+the pairs along the circles' rims and not all pairs of tiles, and its joins are keyed by node, not by cell. Leaves that stay open are
+compared point by point, with crowded ones spread over several tasks by a salt.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ from retailpot.operators.quantiles import scalar_quantiles
 from retailpot.session import cut
 
 LOCATIONS_PER_TILE = 32
-MAX_SPLIT = 256  # tiles per cell side
+MAX_DEPTH = 8  # levels of a cell's tree below the cell itself: 256 tiles per cell side
 LOCATIONS_PER_SALT = 2_000
 # relative slack that box bounds on the sphere need in order to hold for a metric
 SLACK = {"haversine": 1e-9, "geodesic": 0.007}
@@ -47,35 +48,79 @@ def locations(df: DataFrame, lat: str, lon: str, by: Sequence[str] = (), weights
 
 
 def _tiled(df: DataFrame, radius_km: float, cfg: Config) -> DataFrame:
-    """Adds the cell (cy, cx) and the tile within it (ty, tx); crowded cells get finer tiles."""
+    """Adds the cell (cy, cx), the depth of its tree and the leaf tile within it (ty, tx); crowded cells get deeper trees."""
     h, w = cell_sides(radius_km, cfg)
     at = df.withColumns({"cy": geo.cell(F.col("lat"), h), "cx": geo.cell(F.col("lon"), w)})
-    split = F.least(F.ceil(F.sqrt(F.count("*") / F.lit(float(LOCATIONS_PER_TILE)))), F.lit(MAX_SPLIT))
-    sizes = at.groupBy("cy", "cx").agg(split.cast("int").alias("_k"))
-    part = lambda c, side, cell: F.floor((F.col(c) / F.lit(side) - F.col(cell)) * F.col("_k")).cast("int")
-    return at.join(sizes, ["cy", "cx"]).withColumns({"ty": part("lat", h, "cy"), "tx": part("lon", w, "cx")}).drop("_k")
+    depth = F.greatest(F.lit(0), F.least(F.ceil(F.log2(F.count("*") / F.lit(float(LOCATIONS_PER_TILE))) / 2), F.lit(MAX_DEPTH)))
+    sizes = at.groupBy("cy", "cx").agg(depth.cast("int").alias("depth"))
+    part = lambda c, side, cell: F.floor((F.col(c) / F.lit(side) - F.col(cell)) * F.expr("shiftleft(1, depth)")).cast("int")
+    return at.join(sizes, ["cy", "cx"]).withColumns({"ty": part("lat", h, "cy"), "tx": part("lon", w, "cx")})
 
 
 def _tiles(locs: DataFrame, by: Sequence[str], side: str, weights: Sequence[str]) -> DataFrame:
-    """Bounding box, number of locations and summed weights per tile; columns prefixed by ``side``."""
+    """Bounding box, number of locations and summed weights per leaf tile; columns prefixed by ``side``."""
     box = [F.min("lat").alias(f"{side}lat0"), F.max("lat").alias(f"{side}lat1"),
            F.min("lon").alias(f"{side}lon0"), F.max("lon").alias(f"{side}lon1")]
-    return locs.groupBy(*[F.col(x).alias(side + x) for x in ("cy", "cx", "ty", "tx")], *by).agg(
+    return locs.groupBy(*[F.col(x).alias(side + x) for x in ("cy", "cx", "ty", "tx", "depth")], *by).agg(
         *box, F.count("*").alias(f"{side}n"), *[F.sum(w).alias(f"{side}_{w}") for w in weights])
 
 
 A_TILE, B_TILE = ["acy", "acx", "aty", "atx"], ["bcy", "bcx", "bty", "btx"]
+A_NODE, B_NODE = [*A_TILE, "alevel"], [*B_TILE, "blevel"]
 
 
-def tile_pairs(left: DataFrame, right: DataFrame, radius_km: float, by: Sequence[str], weights: Sequence[str], slack: float) -> DataFrame:
-    """Pairs of a left and a right tile that may hold points within the radius, with box bounds (near, far)."""
-    a = _tiles(left, [], "a", [])
+def _levels(df: DataFrame, side: str) -> DataFrame:
+    """``df`` once per level of its cell's tree: the level and the node's place on it in the columns of the tile."""
+    up = lambda c: F.expr(f"shiftright({side}{c}, {side}depth - {side}level)")
+    return df.withColumn(f"{side}level", F.explode(F.sequence(F.lit(0), F.col(f"{side}depth")))).withColumns({f"{side}ty": up("ty"), f"{side}tx": up("tx")})
+
+
+def _nodes(locs: DataFrame, by: Sequence[str], side: str, weights: Sequence[str]) -> DataFrame:
+    """All nodes of the trees: box, number of locations and weights, summed up from the leaf tiles."""
+    keys = [side + x for x in ("cy", "cx", "ty", "tx", "level", "depth")]
+    box = [F.min(f"{side}{c}").alias(f"{side}{c}") if c.endswith("0") else F.max(f"{side}{c}").alias(f"{side}{c}") for c in BOX]
+    return _levels(_tiles(locs, by, side, weights), side).groupBy(*keys, *by).agg(*box, F.sum(f"{side}n").alias(f"{side}n"), *[F.sum(f"{side}_{w}").alias(f"{side}_{w}") for w in weights])
+
+
+def _children(pairs: DataFrame, nodes: DataFrame, side: str, by: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """``pairs`` with the node of one side replaced by its children, or by itself where it is a leaf."""
+    key = [f"{side}{x}" for x in ("cy", "cx", "ty", "tx", "level")]
+    leaf = F.col(f"{side}level") >= F.col(f"{side}depth")
+    kid = lambda dy, dx: F.struct((F.col(f"{side}ty") * 2 + dy).alias("ty"), (F.col(f"{side}tx") * 2 + dx).alias("tx"), (F.col(f"{side}level") + 1).alias("level"))
+    own = F.struct(F.col(f"{side}ty").alias("ty"), F.col(f"{side}tx").alias("tx"), F.col(f"{side}level").alias("level"))
+    down = pairs.select(*keep, f"{side}cy", f"{side}cx", *by, F.explode(F.when(leaf, F.array(own)).otherwise(F.array(*[kid(y, x) for y in (0, 1) for x in (0, 1)]))).alias("_k"))
+    down = down.select(*keep, f"{side}cy", f"{side}cx", *by, *[F.col(f"_k.{c}").alias(f"{side}{c}") for c in ("ty", "tx", "level")])
+    return down.join(nodes, [*key, *by])
+
+
+def node_pairs(left: DataFrame, right: DataFrame, radius_km: float, by: Sequence[str], weights: Sequence[str], slack: float,
+               settled: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """Pairs of nodes that may hold points within the radius, with box bounds (near, far): (settled ones, open pairs of leaves).
+
+    ``settled`` tells from the bounds that a pair need not be split; without it every pair goes down to the leaves.
+    """
+    a, b = _nodes(left, [], "a", []), _nodes(right, by, "b", weights)
+    deepest = max(left.agg(F.max("depth")).first()[0] or 0, right.agg(F.max("depth")).first()[0] or 0)
     around = F.explode(F.array(*[F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx")) for dy in (-1, 0, 1) for dx in (-1, 0, 1)]))
-    b = (_tiles(right, by, "b", weights).withColumn("_o", around)
-         .withColumns({"acy": F.col("bcy") + F.col("_o.dy"), "acx": F.col("bcx") + F.col("_o.dx")}).drop("_o"))
+    roots = (b.where("blevel = 0").withColumn("_o", around)
+             .withColumns({"acy": F.col("bcy") + F.col("_o.dy"), "acx": F.col("bcx") + F.col("_o.dx")}).drop("_o"))
     near, far = geo.box_bounds_km({x: F.col(f"a{x}") for x in BOX}, {x: F.col(f"b{x}") for x in BOX}, slack)
-    joined = a.join(b, ["acy", "acx"]).withColumn("near", near).where(F.col("near") <= radius_km).withColumn("far", far)
-    return joined.select(*A_TILE, *B_TILE, *by, "an", *[f"b_{w}" for w in weights], "near", "far")
+    columns = [*A_NODE, "adepth", *B_NODE, "bdepth", *by, "an", *[f"b_{w}" for w in weights], "near", "far"]
+
+    def bounded(pairs: DataFrame) -> DataFrame:
+        return pairs.withColumn("near", near).where(F.col("near") <= radius_km).withColumn("far", far).select(*columns)
+
+    leaves = (F.col("alevel") >= F.col("adepth")) & (F.col("blevel") >= F.col("bdepth"))
+    open_, done, low = bounded(a.where("alevel = 0").join(roots, ["acy", "acx"])), [], []
+    for level in range(deepest + 1):
+        if settled is not None:
+            done.append(open_.where(settled))
+            open_ = open_.where(~settled)
+        low.append(open_.where(leaves))
+        if level < deepest:
+            a_kids = _children(open_.where(~leaves), a, "a", [], [*B_NODE, "bdepth", *by])
+            open_ = bounded(_children(a_kids, b, "b", by, [c for c in a_kids.columns if c not in (*B_NODE, "bdepth", *by)]))
+    return (reduce(DataFrame.unionByName, done) if done else open_.limit(0)), reduce(DataFrame.unionByName, low)
 
 
 def point_pairs(left: DataFrame, right: DataFrame, pairs: DataFrame, metric: str, by: Sequence[str],
@@ -107,26 +152,26 @@ def radius_counts(left: DataFrame, right: DataFrame, radii_km: Sequence[float],
     """
     reach = max(radii_km)
     a, b = _tiled(left, reach, cfg), _tiled(right, reach, cfg)
-    pairs = tile_pairs(a, b, reach, (), weights, SLACK[metric])
+    open_ = lambda r: (F.col("near") <= r) & (F.col("far") > r)
+    settled = ~reduce(lambda x, y: x | y, [open_(r) for r in radii_km])
+    whole, leaves = node_pairs(a, b, reach, (), weights, SLACK[metric], settled)
     slots = [(f"{w}_{i}", f"b_{w}", r) for w in weights for i, r in enumerate(radii_km)]
     zero = F.lit(0)
-    inside = pairs.groupBy(*A_TILE).agg(*[F.sum(F.when(F.col("far") <= r, F.col(bw)).otherwise(zero)).alias(n) for n, bw, r in slots])
-    per_tile = (a.select("lat", "lon", *[F.col(x[1:]).alias(x) for x in A_TILE]).join(inside, A_TILE)
-                .select("lat", "lon", *[n for n, _, _ in slots]))
-    open_ = lambda r: (F.col("near") <= r) & (F.col("far") > r)
-    undecided = pairs.where(F.greatest(*[open_(r).cast("int") for r in radii_km], F.lit(0)) == 1)
-    exact = point_pairs(a, b, undecided, metric, (), weights, ["near", "far"])
+    inside = whole.unionByName(leaves).groupBy(*A_NODE).agg(*[F.sum(F.when(F.col("far") <= r, F.col(bw)).otherwise(zero)).alias(n) for n, bw, r in slots])
+    at = _levels(a.select("lat", "lon", *[F.col(x).alias(f"a{x}") for x in ("cy", "cx", "ty", "tx", "depth")]), "a")
+    per_node = at.join(inside, A_NODE).select("lat", "lon", *[n for n, _, _ in slots])
+    exact = point_pairs(a, b, leaves, metric, (), weights, ["near", "far"])
     part = [F.sum(F.when(open_(r) & (F.col("km") <= r), F.col(bw)).otherwise(zero)).alias(n) for n, bw, r in slots]
     per_point = exact.groupBy(F.col("a_lat").alias("lat"), F.col("a_lon").alias("lon")).agg(*part)
-    return per_tile.unionByName(per_point).groupBy("lat", "lon").agg(*[F.sum(n).alias(n) for n, _, _ in slots])
+    return per_node.unionByName(per_point).groupBy("lat", "lon").agg(*[F.sum(n).alias(n) for n, _, _ in slots])
 
 
 def within_radius(left: DataFrame, right: DataFrame, radius_km: float, cfg: Config, by: Sequence[str] = (),
                   weights: Sequence[str] = ("w",), metric: str = "haversine") -> DataFrame:
     """All location pairs within the radius with their distance ``km`` and right weights ``b_{weight}``."""
     a, b = _tiled(left, radius_km, cfg), _tiled(right, radius_km, cfg)
-    pairs = tile_pairs(a, b, radius_km, by, weights, SLACK[metric])
-    return point_pairs(a, b, pairs, metric, by, weights).where(F.col("km") <= radius_km)
+    _, leaves = node_pairs(a, b, radius_km, by, weights, SLACK[metric])
+    return point_pairs(a, b, leaves, metric, by, weights).where(F.col("km") <= radius_km)
 
 
 # --- points of interest ----------------------------------------------------------------------

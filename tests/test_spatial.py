@@ -158,3 +158,28 @@ def test_outlines_from_geojson_with_holes_and_islands(spark, tmp_path):
     for ring in (r for rs in land.values() for r in rs):   # every point of an edge lies in a marked cell
         for (a, b), (c, d) in zip(ring, ring[1:] + ring[:1]):
             assert {(int(np.floor((a + t * (c - a)) / 0.05)), int(np.floor((b + t * (d - b)) / 0.05))) for t in np.linspace(0, 1, 60)} <= cells
+
+
+def test_a_crowded_cell_is_joined_by_levels(spark, monkeypatch):
+    monkeypatch.setattr(spatial, "LOCATIONS_PER_TILE", 6)
+    rng = np.random.default_rng(9)
+    h, w = spatial.cell_sides(2.0, CFG)
+    y, x = 7 // h * h, 80 // w * w
+    pts = [(float(y + h * a), float(x + w * b)) for a, b in rng.random((5000, 2))]
+    df = spark.createDataFrame([(f"p{i}", a, b) for i, (a, b) in enumerate(pts)], "Outlet_ID string, Latitude double, Longitude double")
+    locs = spatial.locations(df, "Latitude", "Longitude")
+    near, far = F.col("near"), F.col("far")
+    found = {}
+    for per_tile in (90, 22, 6):   # four times the tiles each
+        monkeypatch.setattr(spatial, "LOCATIONS_PER_TILE", per_tile)
+        tiled = spatial._tiled(locs, 2.0, CFG).cache()
+        n_tiles = tiled.select("cy", "cx", "ty", "tx").distinct().count()
+        whole, leaves = spatial.node_pairs(tiled, tiled, 2.0, (), ["w"], spatial.SLACK["haversine"], (far <= 0.5) | ((near > 0.5) & (far <= 2.0)) | (near > 2.0))
+        both = whole.unionByName(leaves).agg(F.count("*").alias("pairs"), F.sum(F.col("an") * F.col("b_w")).alias("points")).first()
+        assert both.points <= 5000**2   # no pair of locations is met twice
+        found[n_tiles] = both.pairs
+    sizes, pairs = zip(*sorted(found.items()))
+    assert pairs[-1] < 0.25 * sizes[-1] ** 2 and all(pairs[i + 1] / pairs[i] < 0.72 * (sizes[i + 1] / sizes[i]) ** 2 for i in (0, 1))   # grows with the rim, not with all pairs
+    got = {r.Outlet_ID: r.competitors_500m for r in spatial.competitor_counts(df, CFG).collect()}
+    for i in range(0, 5000, 250):
+        assert got[f"p{i}"] == sum(km(pts[i], q) <= 0.5 for q in pts) - 1
