@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from retailpot.llm.common import stored
+from retailpot.llm.common import released, stored
 from retailpot.llm.words import Words, chunks, distinct_per_doc, mix, shingle_hashes
 from retailpot.operators.clusters import connected_components
 
@@ -98,7 +98,7 @@ def class_of(h: np.ndarray) -> int:
     return int(mix(np.array([mix(h + _U(len(h))).sum()], np.uint64)).view(np.int64)[0])
 
 
-SETS = "doc_id long, n long, cls long, prefix array<long>, elements array<long>, bits binary"
+SETS = "doc_id long, text_hash long, n long, cls long, prefix array<long>, elements array<long>, bits binary"
 
 
 def _chunked_sets(texts: list, width: int):
@@ -111,42 +111,41 @@ def _chunked_sets(texts: list, width: int):
 
 
 def document_sets(docs: DataFrame, width: int, t: Threshold) -> DataFrame:
-    """``SETS``: size, class (digest of the set), first shingles in hash order, all shingles of a light set, parity bitmap. Empty sets have size 0."""
+    """``SETS``: hash of the text, size, class (digest of the set), first shingles in hash order, all shingles of a light set, parity bitmap. Empty sets have size 0."""
 
     def run(batches):
         for b in batches:
-            ids = b["doc_id"].tolist()
+            ids, hashes = b["doc_id"].astype("Int64").tolist(), b["text_hash"].tolist()
             for span, sets in _chunked_sets(b["text"].tolist(), width):
                 rows, empty = [], set(span)
                 for i, h in sets:
                     n, signed = len(h), h.view(np.int64)
-                    rows.append((ids[i], n, class_of(h), signed[: t.prefix(n)], signed if n <= LIGHT_LIMIT else None, parity(h)))
+                    rows.append((ids[i], hashes[i], n, class_of(h), signed[: t.prefix(n)], signed if n <= LIGHT_LIMIT else None, parity(h)))
                     empty.discard(i)
-                rows += [(ids[i], 0, 0, None, None, None) for i in sorted(empty)]
-                yield pd.DataFrame(rows, columns=["doc_id", "n", "cls", "prefix", "elements", "bits"])
+                rows += [(ids[i], hashes[i], 0, 0, None, None, None) for i in sorted(empty)]
+                yield pd.DataFrame(rows, columns=["doc_id", "text_hash", "n", "cls", "prefix", "elements", "bits"]).astype({"doc_id": "Int64"})
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, SETS)
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text").mapInPandas(run, SETS)
 
 
 def reordered_prefixes(docs: DataFrame, width: int, t: Threshold, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(doc_id, prefix) of the documents whose first shingles change when ``frequent`` (sorted hashes, levels) come last, by level."""
+    """(id, prefix): classes whose first shingles change when ``frequent`` (sorted hashes, levels) come last, by level, once a document."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)  # at most 2 ** FREQUENT_BITS shingles a round
 
     def run(batches):
         keys, levels = shared.value
         for b in batches:
-            ids = b["doc_id"].tolist()
             for _, sets in _chunked_sets(b["text"].tolist(), width):
                 rows = []
-                for i, h in sets:
+                for _, h in sets:
                     p = t.prefix(len(h))
                     at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
                     level = np.where(keys[at] == h, levels[at], 0)
                     if level[:p].any():
-                        rows.append((ids[i], h[np.lexsort((h, level))[:p]].view(np.int64)))
-                yield pd.DataFrame(rows, columns=["doc_id", "prefix"])
+                        rows.append((class_of(h), h[np.lexsort((h, level))[:p]].view(np.int64)))
+                yield pd.DataFrame(rows, columns=["id", "prefix"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, "doc_id long, prefix array<long>")
+    return docs.select("text").mapInPandas(run, "id long, prefix array<long>")
 
 
 def wide_counts(docs: DataFrame, width: int, t: Threshold, frequent: np.ndarray) -> DataFrame:
@@ -193,14 +192,29 @@ def light_links(reps: DataFrame, limit: int, t: Threshold) -> DataFrame:
     light = reps.where((F.col("n") > 0) & (F.col("n") <= limit)).select("id", "elements")
     signed = stored(light.mapInPandas(run, "signature long, id long, smaller boolean"), "signatures")
     centre = signed.groupBy("signature").agg(F.min(F.when(F.col("smaller"), F.col("id"))).alias("b"), F.count("*").alias("k")).where("b is not null and k > 1").drop("k")
-    return signed.join(centre, "signature").where("id <> b").select(F.col("id").alias("a"), "b").distinct()
+    same = signed.join(centre, "signature").where("id <> b").select(F.col("id").alias("a"), "b").distinct()
+    both = same.join(light.select(F.col("id").alias("a"), F.col("elements").alias("ea")), "a").join(light.select(F.col("id").alias("b"), F.col("elements").alias("eb")), "b")
+    links = stored(both.where(overlap_enough("ea", "eb", F.size("ea") + F.size("eb"), t)).select("a", "b"), "links")
+    released(signed)
+    return links
+
 
+def overlap_enough(x: str, y: str, total: Column, t: Threshold) -> Column:
+    """Whether two arrays of distinct shingles, of ``total`` elements together, are linked."""
+    shared = F.size(F.array_intersect(x, y))
+    return t.den * shared >= t.num * (total - shared)
 
-def _filter_of(ids: DataFrame) -> np.ndarray:
-    """Bit filter over a hash of the ids, of a fixed size whatever their number."""
-    at = F.pmod(F.xxhash64("id"), F.lit(1 << FILTER_BITS)) + 1  # bit positions count from 1
+
+def filter_bits(n: int) -> int:
+    """Sixteen bits for each of ``n`` ids, as a power of two; 128 MB at most, beyond which a filter lets more through."""
+    return min(30, max(16, (16 * n).bit_length()))
+
+
+def _filter_of(ids: DataFrame, bits: int) -> np.ndarray:
+    """Bit filter over a hash of the ids."""
+    at = F.pmod(F.xxhash64("id"), F.lit(1 << bits)) + 1  # bit positions count from 1
     rows = ids.select(at.alias("h")).groupBy(F.bitmap_bucket_number("h").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("h")).alias("m")).collect()
-    out = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
+    out = np.zeros((1 << bits) // 8, np.uint8)
     for r in rows:
         piece = np.frombuffer(bytes(r.m), np.uint8)
         at = (r.k - 1) * len(piece)
@@ -208,24 +222,28 @@ def _filter_of(ids: DataFrame) -> np.ndarray:
     return out
 
 
-def whole_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """(id, elements) for ``ids``: texts that the bit filter rules out are never cut into shingles, the rest meets an exact join afterwards."""
-    shared = docs.sparkSession.sparkContext.broadcast(_filter_of(ids))
+def whole_sets(docs: DataFrame, reps: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """(id, elements) of the classes ``ids``, and of whatever else the bit filter over their documents lets through.
+
+    Texts that the filter rules out are never cut into shingles; the rest meets an exact join afterwards.
+    """
+    owners = reps.join(ids, "id", "left_semi").select(F.col("doc").alias("id"))
+    bits = filter_bits(owners.count())
+    shared = docs.sparkSession.sparkContext.broadcast(_filter_of(owners, bits))
 
     def run(batches):
         for b in batches:
             h = b["h"].to_numpy()
             b = b[(shared.value[h >> 3] >> (h & 7)) & 1 == 1]
-            doc_ids = b["doc_id"].tolist()
             for _, sets in _chunked_sets(b["text"].tolist(), width):
-                yield pd.DataFrame([(doc_ids[i], h.view(np.int64)) for i, h in sets], columns=["id", "elements"])
+                yield pd.DataFrame([(class_of(x), x.view(np.int64)) for _, x in sets], columns=["id", "elements"])
 
-    some = docs.select(F.col("doc_id").cast("long"), "text", F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(1 << FILTER_BITS)).alias("h")).where("doc_id is not null")
-    return some.mapInPandas(run, "id long, elements array<long>")
+    h = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(1 << bits))
+    return docs.select("text", h.alias("h")).mapInPandas(run, "id long, elements array<long>")
 
 
-def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, t: Threshold, whole=whole_sets) -> DataFrame:
-    """The linked ones among ``pairs`` (a, b) of class representatives; ``whole`` gives the sets of their ids."""
+def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, t: Threshold) -> DataFrame:
+    """The linked ones among ``pairs`` (a, b) of classes, as a stored table."""
 
     @F.pandas_udf("boolean")
     def near(x: pd.Series, y: pd.Series, total: pd.Series) -> pd.Series:
@@ -237,11 +255,12 @@ def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, t:
             .where(t.den * F.least("na", "nb") >= t.num * F.greatest("na", "nb")))
     left = stored(both.where(near("xa", "xb", F.col("na") + F.col("nb"))).select("a", "b", "na", "nb"), "candidates")
     ids = left.select(F.explode(F.array("a", "b")).alias("id"))
-    sets = whole(docs, ids, width)
+    sets = whole_sets(docs, reps, ids.distinct(), width)
     sets = stored(sets.join(ids.distinct(), "id", "left_semi").dropDuplicates(["id"]), "sets")
     full = left.join(sets.select(F.col("id").alias("a"), F.col("elements").alias("ea")), "a").join(sets.select(F.col("id").alias("b"), F.col("elements").alias("eb")), "b")
-    shared = F.size(F.array_intersect("ea", "eb"))
-    return full.where(t.den * shared >= t.num * (F.col("na") + F.col("nb") - shared)).select("a", "b")
+    linked = stored(full.where(overlap_enough("ea", "eb", F.col("na") + F.col("nb"), t)).select("a", "b"), "linked")
+    released(left, sets)
+    return linked
 
 
 def component_labels(pairs: DataFrame) -> DataFrame:
@@ -272,7 +291,9 @@ def component_labels(pairs: DataFrame) -> DataFrame:
     if blocks == 1:
         return forest
     nodes = forest.select(F.col("id").alias("node")).distinct()
-    return connected_components(nodes, forest.where("id <> label").select(F.col("id").alias("u"), F.col("label").alias("v"))).withColumnRenamed("node", "id")
+    merged = stored(connected_components(nodes, forest.where("id <> label").select(F.col("id").alias("u"), F.col("label").alias("v"))).withColumnRenamed("node", "id"), "labels")
+    released(forest)
+    return merged
 
 
 class Links(NamedTuple):
@@ -286,7 +307,10 @@ class Links(NamedTuple):
         return cls(pairs, component_labels(pairs))
 
     def plus(self, pairs: DataFrame) -> Links:
-        return Links.of(stored(self.pairs.unionByName(pairs), "links"))
+        """With the stored ``pairs``; the tables of both are given up."""
+        out = Links.of(stored(self.pairs.unionByName(pairs), "links"))
+        released(self.pairs, self.labels, pairs)
+        return out
 
     def on(self, lists: DataFrame) -> DataFrame:
         """``lists`` (key, id) with the component of each id."""
@@ -315,29 +339,37 @@ def list_links(lists: DataFrame, links: Links, check, limit: int, t: Threshold)
     """``links`` plus those between members of one list that ``check`` confirms, as many as components need.
 
     Hub rounds go on while more than ``limit`` pairs across components are left and rounds are; then all those pairs are compared.
-    ``lists`` (key, id, n, pos: the set's size and the shingle's place in its order) is read several times: pass a stored table.
+    ``lists`` (key, id, n, pos: the set's size and the shingle's place in its order) is read several times: pass a stored table, which is given up.
     """
     for round_ in range(1, HUB_ROUNDS + 1):
         now = links.on(lists)
         many = now.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
         now = stored(now.join(many, "key"), "open")
+        released(lists)
         per = now.groupBy("key", "label").count().groupBy("key").agg(((F.sum("count") * F.sum("count") - F.sum(F.col("count") * F.col("count"))) / 2).alias("p"))
         across = per.agg(F.sum("p")).first()[0] or 0
         if not across:
+            released(now)
             return links
         if across <= limit or round_ == HUB_ROUNDS:
             x, y = (now.select("key", *[F.col(c).alias(f"{s}_{c}") for c in ("id", "label", "n", "pos")]) for s in "ab")
             open_ = (F.col("a_label") != F.col("b_label")) & (F.col("a_id") < F.col("b_id")) & can_link(F.col("a_n"), F.col("a_pos"), F.col("b_n"), F.col("b_pos"), t)
             pairs = x.join(y, "key").where(open_).select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
-            return links.plus(check(pairs))
+            links = links.plus(check(pairs))
+            released(now)
+            return links
         lists = now.drop("label")
+        lists.stored_at = now.stored_at
         links = hub_round(lists, links, check, round_, t)
     return links
 
 
 def representatives(sets: DataFrame) -> DataFrame:
-    """One row per class of equal sets, under its smallest doc_id as ``id``."""
-    reps = sets.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in ("n", "prefix", "elements", "bits")])
+    """One row per class of equal sets: its digest as ``id`` and its smallest doc_id as ``doc``.
+
+    Classes, not documents, are the nodes, so rows that share an id but differ in text stay apart.
+    """
+    reps = sets.where("n > 0").groupBy(F.col("cls").alias("id")).agg(F.min("doc_id").alias("doc"), *[F.first(c).alias(c) for c in ("n", "prefix", "elements", "bits")])
     return stored(reps, "reps")
 
 
@@ -345,13 +377,21 @@ def components(docs: DataFrame, width: int = 4, t: Threshold = Threshold()) -> D
     """(doc_id, n_shingles, component_id) of ``docs`` (doc_id, text), one row per input row.
 
     ``component_id`` is the smallest doc_id reachable over links, the row's own included. Null and empty texts have 0 shingles and stand alone.
-    Rows that share a doc_id and their set are one document; an empty table gives an empty result; other columns are ignored.
+    Repeated rows are answered each, rows that share a doc_id but differ in text each by its own text; an empty table gives an empty result;
+    other columns are ignored.
     """
+    return grouped(docs, width, t).select("doc_id", "n_shingles", "component_id")
+
+
+def grouped(docs: DataFrame, width: int = 4, t: Threshold = Threshold()) -> DataFrame:
+    """``components`` as a stored table, with ``text_hash`` (xxhash64 of the row's text) and ``group``, the component's own number (null without words)."""
     sets = stored(document_sets(docs, width, t), "sets")
     reps = representatives(sets)
+    places = stored(sets.select("doc_id", "text_hash", "n", "cls"), "places")
+    released(sets)
     limit = boundary({r.n: r["count"] for r in reps.where(F.col("n") <= LIGHT_LIMIT).groupBy("n").count().collect()}, t)
     heavy = reps.where(F.col("n") >= t.least(limit + 1)).select("id", "n", "prefix")
-    links = Links.of(stored(light_links(reps, limit, t), "links"))
+    links = Links.of(light_links(reps, limit, t))
 
     def check(pairs: DataFrame) -> DataFrame:
         return verified(pairs, reps, docs, width, t)
@@ -364,6 +404,7 @@ def components(docs: DataFrame, width: int = 4, t: Threshold = Threshold()) -> D
         listed = np.sort(np.array([r.key for r in found], np.int64).view(np.uint64))
         wide = wide_counts(docs, width, t, listed)
         found = wide.where(F.col("k") > max(least, WIDE * entries >> FREQUENT_BITS)).collect()
+    lists = None
     while True:
         new = np.array([r.key for r in found], np.int64).view(np.uint64)
         fresh = ~np.isin(new, frequent[0])
@@ -372,23 +413,35 @@ def components(docs: DataFrame, width: int = 4, t: Threshold = Threshold()) -> D
             levels = np.concatenate((frequent[1], np.array([int(r.k).bit_length() for r, f in zip(found, fresh, strict=True) if f], np.int8)))
             order = np.argsort(keys)
             frequent = keys[order], levels[order]
-            moved = reordered_prefixes(docs, width, t, frequent).groupBy(F.col("doc_id").alias("id")).agg(F.first("prefix").alias("_p"))
-            heavy = reps.where(F.col("n") >= t.least(limit + 1)).select("id", "n", "prefix").join(moved, "id", "left")
+            moved = reordered_prefixes(docs, width, t, frequent).groupBy("id").agg(F.first("prefix").alias("_p"))
+            before, heavy = heavy, reps.where(F.col("n") >= t.least(limit + 1)).select("id", "n", "prefix").join(moved, "id", "left")
             heavy = stored(heavy.select("id", "n", F.coalesce("_p", "prefix").alias("prefix")), "prefixes")
+            released(before)
         postings = heavy.select(F.posexplode("prefix").alias("pos", "key"), "id", "n")
-        lists = stored(postings.join(postings.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key"), "key"), "lists")
+        before, lists = lists, stored(postings.join(postings.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key"), "key"), "lists")
+        if before is not None:
+            released(before)
         links = hub_round(lists, links, check, 0, t)
         found = crowded(lists, links, least).collect()  # at most entries / least
         known = set(frequent[0].view(np.int64).tolist())
         if sum(r.k * r.k for r in found if r.key not in known) <= PAIRS_PER_ENTRY * entries:
             break
+    released(heavy)
     links = list_links(lists, links, check, PAIRS_PER_ENTRY * entries, t)
+    out = stored(placed(places, reps, links), "components")
+    released(places, reps, *links)
+    return out
+
 
-    return placed(sets, reps, links)
+def labelled(reps: DataFrame, links: Links) -> DataFrame:
+    """(cls, group, component_id): the component of each class and the component's smallest doc_id."""
+    own = reps.select(F.col("id").alias("cls"), "doc").join(links.labels.withColumnRenamed("id", "cls"), "cls", "left").withColumn("group", F.coalesce("label", "cls"))
+    linked = own.where("label is not null").groupBy("group").agg(F.min("doc").alias("_c"))
+    return own.join(linked, "group", "left").select("cls", "group", F.when(F.col("label").isNull(), F.col("doc")).otherwise(F.col("_c")).alias("component_id"))
 
 
 def placed(sets: DataFrame, reps: DataFrame, links: Links) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every document of ``sets``."""
-    label = reps.select("cls", "id").join(links.labels, "id", "left").select("cls", F.coalesce("label", "id").alias("_c"))
-    out = sets.where("n > 0").join(label, "cls").select("doc_id", F.col("n").alias("n_shingles"), F.col("_c").alias("component_id"))
-    return out.unionByName(sets.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    """(doc_id, text_hash, n_shingles, group, component_id) of every document of ``sets``."""
+    out = sets.where("n > 0").join(labelled(reps, links), "cls").select("doc_id", "text_hash", F.col("n").alias("n_shingles"), "group", "component_id")
+    none = sets.where("n = 0").select("doc_id", "text_hash", F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("group"), F.col("doc_id").alias("component_id"))
+    return out.unionByName(none)

@@ -31,7 +31,7 @@ def test_stages_and_run(spark, tmp_path):
 
 def test_registered():
     names = list(entry.queries())
-    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op") and n[2].isdigit()} == {f"op{k}" for k in range(1, 11)}
+    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op") and n[2].isdigit()} == {f"op{k}" for k in range(1, 14)}
 
 
 def test_stages_on_empty_input(spark):
