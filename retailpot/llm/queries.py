@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retailpot.llm import best_fit, fingerprints, html_text, ngram_join, packing, pii, quality_model, quality_rules, sentence_pieces, sharding, token_counts, vector_codes, whitening
-from retailpot.llm.common import scratch, stored, table
+from retailpot.llm.common import stored, table
 from retailpot.llm.tokens import tokenizer_path
+from retailpot.session import shared_root
 
 TOKEN_LIMIT = 2048
 N_SHARDS = 40
@@ -38,7 +40,9 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     docs = docs.withColumn("n_bytes", F.octet_length(F.coalesce("text", F.lit(""))).cast("long"))
-    counted = token_counts.count_tokens(docs, scratch(spark, "token_cache"), tokenizer_path("word_bpe_49k.json"))
+    tokenizer = tokenizer_path("word_bpe_49k.json")
+    cache = f"{shared_root(spark)}/llm/token_cache-{hashlib.sha256(f'{sf_dir}:{token_counts.tokenizer_digest(tokenizer)}'.encode()).hexdigest()[:24]}"
+    counted = token_counts.count_tokens(docs, cache, tokenizer)
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 

@@ -41,12 +41,18 @@ def _has_files(df_path: str, spark) -> bool:
 def count_tokens(docs: DataFrame, cache_path: str, tokenizer_path: str, text: str = "text", out: str = "n_tokens") -> DataFrame:
     """``docs`` with ``out`` (tokens without added special ones, whole texts, null as empty); misses are appended to ``cache_path``.
 
-    Empty tables give an empty result and an empty cache. Repeated rows all get their count.
+    Empty tables give an empty result and an empty cache. Repeated rows all get their count. A column that is named ``out`` already is replaced.
     """
     spark = docs.sparkSession
     with open(tokenizer_path, encoding="utf-8") as f:
         blanks_dropped = splits_at_blanks(json.load(f))
     version = tokenizer_digest(tokenizer_path)
+    if out == text:
+        raise ValueError("the counts need a column of their own")
+    docs = docs.drop(out)
+    key = "_digest"
+    while key in docs.columns:
+        key += "_"
     digest = content_digest(F.col(text), blanks_dropped)
     new = docs.groupBy(digest.alias("content_sha256")).agg(F.first(F.coalesce(F.col(text), F.lit(""))).alias("content"))
     if _has_files(cache_path, spark):
@@ -60,5 +66,5 @@ def count_tokens(docs: DataFrame, cache_path: str, tokenizer_path: str, text: st
 
     new.mapInPandas(encode, CACHE).write.mode("append").parquet(cache_path)
     known = spark.read.schema(CACHE).parquet(cache_path).where(F.col("tokenizer_sha256") == version)
-    known = known.groupBy(F.col("content_sha256").alias("_digest")).agg(F.max("n_tokens").alias(out))
-    return docs.withColumn("_digest", digest).join(known, "_digest").drop("_digest")
+    known = known.groupBy(F.col("content_sha256").alias(key)).agg(F.max("n_tokens").alias(out))
+    return docs.withColumn(key, digest).join(known, key).drop(key)
