@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -22,8 +23,9 @@ from pyspark.sql import functions as F
 
 # HTML elements by role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math object select button".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr img".split())
+RAW = frozenset("script style textarea title noscript template iframe svg object select button".split())
+INLINE = frozenset("""a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr img
+    math mrow mi mn mo ms mtext msup msub msubsup mfrac msqrt mroot mover munder munderover mstyle mspace semantics annotation""".split())
 CLOSES_P = frozenset("address article aside blockquote center details dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 SIBLINGS = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)), "tr": ("tr td th", ("table", "tbody", "thead", "tfoot")),
             "td": ("td th", ("tr", "table")), "th": ("td th", ("tr", "table")), "option": ("option", ("select",))}
@@ -42,6 +44,8 @@ CONTENT_SHARE = 0.1   # of the best fused value on the page
 PROSE = 25.0          # least ratio of a hinted element that can be the article
 ALONE = 10            # times the rest of the page's text that a single hinted block must exceed
 HOLDS = 0.9           # share of the content's text that the article's element holds
+ONLY_SHARE = 0.1      # of the page's text that the only main or article element must hold to be where the article lies
+LINKED = 0.8          # linked share of a block's text from which it is a link
 CONTAINERS = frozenset("html body main article section div center table tbody tr td form fieldset".split())
 
 
@@ -51,11 +55,13 @@ class Block(NamedTuple):
     noise: bool
     suspects: tuple[int, ...]  # ids of the elements at or above that a hint calls noise
     text: str
+    marks: int            # punctuation
+    linked: float         # share of the text that lies in links
 
 
-def _noise(tag: str, attributes: str, inside: list[str]) -> tuple[bool, bool]:
+def _noise(tag: str, attributes: str, in_article: bool) -> tuple[bool, bool]:
     """Whether an element is noise by its tag, role or style, and whether its tag or a word of its class or id hints at it."""
-    if tag in NOISE_TAGS or (tag == "header" and not {"article", "main"} & set(inside)):
+    if tag in NOISE_TAGS or (tag == "header" and not in_article):
         return True, False
     hint = tag in HINT_TAGS
     if "=" not in attributes and "hidden" not in attributes:
@@ -80,22 +86,37 @@ def _noise(tag: str, attributes: str, inside: list[str]) -> tuple[bool, bool]:
 def blocks(page: str) -> Iterator[Block]:
     """Leaf text blocks in page order, white space collapsed, character references decoded."""
     stack: list[tuple[str, int, bool, tuple[int, ...]]] = []  # block elements (tag, position, noise at or above, suspects at or above)
+    names: Counter[str] = Counter()   # of the open elements
     text: list[str] = []
-    place: tuple[tuple[str, ...], tuple[int, ...], bool, tuple[int, ...]] = ((), (), False, ())
+    linked: list[str] = []
+    in_link = 0
+    unclosed: set[str] = set()        # raw elements without an end tag from here on
 
     def flush() -> Iterator[Block]:
         joined = " ".join(html.unescape("".join(text)).split())
         text.clear()
         if joined:
-            yield Block(*place, joined)
+            share = len(" ".join(html.unescape("".join(linked)).split())) / len(joined) if linked else 0.0
+            yield Block(tuple(x[0] for x in stack), tuple(x[1] for x in stack), *(stack[-1][2:] if stack else (False, ())), joined, len(PUNCTUATION.findall(joined)), share)
+        linked.clear()
 
-    def settle() -> tuple[tuple[str, ...], tuple[int, ...], bool, tuple[int, ...]]:
-        return tuple(x[0] for x in stack), tuple(x[1] for x in stack), *(stack[-1][2:] if stack else (False, ()))
+    def close(k: int) -> None:
+        """Leave the elements from place ``k`` of the stack on."""
+        names.subtract(x[0] for x in stack[k:])
+        del stack[k:]
+
+    def innermost(tag: str) -> int:
+        k = len(stack) - 1
+        while stack[k][0] != tag:
+            k -= 1
+        return k
 
     at = 0
     while True:
         m = TOKEN.search(page, at)
         text.append(page[at : m.start() if m else len(page)])
+        if in_link:
+            linked.append(text[-1])
         if not m:
             break
         at = m.end()
@@ -104,12 +125,16 @@ def blocks(page: str) -> Iterator[Block]:
             continue
         closing, attributes = bool(m[1] or m[4]), m[3] or m[6] or ""
         if tag in RAW and not closing:
-            end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+            end = None if tag in unclosed else re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+            if end is None:
+                unclosed.add(tag)
             if end or tag in ("script", "style", "textarea", "title"):
                 at = end.end() if end else len(page)
             text.append(" ")
             continue
         if tag in INLINE or tag in RAW:
+            if tag == "a":
+                in_link = 0 if closing else 1
             continue
         if tag == "br":
             text.append(" ")
@@ -117,25 +142,23 @@ def blocks(page: str) -> Iterator[Block]:
         yield from flush()
         if tag in VOID:
             continue
-        names = [x[0] for x in stack]
         if closing:
-            if tag in names:
-                del stack[len(names) - 1 - names[::-1].index(tag) :]
-        else:
-            if tag in CLOSES_P and "p" in names:
-                del stack[len(names) - 1 - names[::-1].index("p") :]
-            elif tag in SIBLINGS:
-                same, within = SIBLINGS[tag][0].split(), SIBLINGS[tag][1]
-                for k in range(len(names) - 1, -1, -1):
-                    if names[k] in within:
-                        break
-                    if names[k] in same:
-                        del stack[k:]
-                        break
-            names = [x[0] for x in stack]
-            (noise, hint), (above, suspects) = _noise(tag, attributes, names), stack[-1][2:] if stack else (False, ())
-            stack.append((tag, at, above or noise, (*suspects, at) if hint else suspects))
-        place = settle()
+            if names[tag]:
+                close(innermost(tag))
+            continue
+        if tag in CLOSES_P and names["p"]:
+            close(innermost("p"))
+        elif tag in SIBLINGS:
+            same, within = SIBLINGS[tag][0].split(), SIBLINGS[tag][1]
+            for k in range(len(stack) - 1, -1, -1):
+                if stack[k][0] in within:
+                    break
+                if stack[k][0] in same:
+                    close(k)
+                    break
+        (noise, hint), (above, suspects) = _noise(tag, attributes, names["article"] + names["main"] > 0), stack[-1][2:] if stack else (False, ())
+        stack.append((tag, at, above or noise, (*suspects, at) if hint else suspects))
+        names[tag] += 1
     yield from flush()
 
 
@@ -146,10 +169,25 @@ def _smoothed(x: np.ndarray, width: float = SMOOTH) -> np.ndarray:
     return np.convolve(np.pad(x, reach, mode="edge"), kernel, mode="valid")
 
 
+class Sums(NamedTuple):
+    """Blocks together: their number, text length and punctuation marks."""
+
+    n: int = 0
+    size: int = 0
+    marks: int = 0
+
+    def plus(self, b: Block) -> Sums:
+        return Sums(self.n + 1, self.size + len(b.text), self.marks + b.marks)
+
+    @property
+    def ratio(self) -> float:
+        """Mean text length of blocks, raised by their mean number of punctuation marks."""
+        n = max(1, self.n)
+        return self.size / n * (1 + self.marks / n)
+
+
 def _ratio(found: list[Block]) -> float:
-    """Mean text length of blocks, raised by their mean number of punctuation marks."""
-    n = max(1, len(found))
-    return sum(len(b.text) for b in found) / n * (1 + sum(len(PUNCTUATION.findall(b.text)) for b in found) / n)
+    return Sums(len(found), sum(len(b.text) for b in found), sum(b.marks for b in found)).ratio
 
 
 def suspected(found: list[Block]) -> set[int]:
@@ -157,25 +195,46 @@ def suspected(found: list[Block]) -> set[int]:
 
     A hint holds where the element has no more text than what is known to be free of hints, or a lower ratio than that, or hardly any
     text; and for a single block unless it outweighs the rest of the page by far, as a notice can be longer than a short article. So a
-    wrapper of most of the page's text is cleared whatever its class. The best element is looked at first.
+    wrapper of most of the page's text is cleared whatever its class. The best element is looked at first. Sums are kept as elements are
+    cleared, so each block is met once per hinted element around it.
     """
-    under: dict[int, list[Block]] = {}
-    for b in found:
+    under: dict[int, list[int]] = {}
+    own: dict[int, Sums] = {}
+    for k, b in enumerate(found):
         for e in b.suspects:
-            under.setdefault(e, []).append(b)
+            under.setdefault(e, []).append(k)
+            own[e] = own.get(e, Sums()).plus(b)
     left, whole = set(under), sum(len(b.text) for b in found)
-    weight = {e: _ratio(bs) * np.log1p(sum(len(b.text) for b in bs)) for e, bs in under.items()}
-    for e in sorted(under, key=lambda e: (-weight[e], e)):
-        rest = [b for b in found if e not in b.suspects and not left.intersection(b.suspects)]
-        own, size = _ratio(under[e]), sum(len(b.text) for b in under[e])
-        if len(under[e]) == 1 and size <= ALONE * (whole - size):
+    hints, clear = [len(b.suspects) for b in found], Sums()   # hints left around each block; blocks without any
+    for b in found:
+        clear = clear if b.suspects else clear.plus(b)
+    for e in sorted(under, key=lambda e: (-own[e].ratio * np.log1p(own[e].size), e)):
+        s = own[e]
+        if len(under[e]) == 1 and s.size <= ALONE * (whole - s.size):
             continue
-        if own >= PROSE and own >= _ratio(rest) and size > sum(len(b.text) for b in rest):
-            left.discard(e)
-            left.difference_update(set.intersection(*[set(b.suspects) for b in under[e]]))  # nothing above a cleared element is noise
+        if e in left and s.ratio >= PROSE and s.ratio >= clear.ratio and s.size > clear.size:
+            first = found[under[e][0]].suspects
+            for gone in left.intersection(first[: first.index(e) + 1]):  # nothing above a cleared element is noise
+                left.discard(gone)
+                for k in under[gone]:
+                    hints[k] -= 1
+                    clear = clear if hints[k] else clear.plus(found[k])
     return left
 
 
+def only_place(found: list[Block]) -> int | None:
+    """Id of the page's only main element, or else its only article, where it holds a share of the text that an article may have."""
+    for tag in ("main", "article"):
+        sizes: dict[int, int] = {}
+        for b in found:
+            for e in {i for i, t in zip(b.ids, b.path, strict=True) if t == tag}:
+                sizes[e] = sizes.get(e, 0) + len(b.text)
+        if len(sizes) == 1:
+            (e, size), = sizes.items()
+            return e if size >= ONLY_SHARE * sum(len(b.text) for b in found) else None
+    return None
+
+
 def content(found: list[Block]) -> list[Block]:
     """The blocks of the article."""
     open_ = [b for b in found if not b.noise]
@@ -187,10 +246,12 @@ def content(found: list[Block]) -> list[Block]:
     which = np.array([number[b.path] for b in open_])
     n = np.bincount(which)
     length = np.bincount(which, [len(b.text) for b in open_]) / n
-    marks = np.bincount(which, [len(PUNCTUATION.findall(b.text)) for b in open_]) / n
+    marks = np.bincount(which, [b.marks for b in open_]) / n
     fused = _smoothed(length[which]) * (1 + _smoothed(marks[which]))
     per_path = np.bincount(which, fused) / n * np.log1p(np.bincount(which, [len(b.text) for b in open_]))
-    chosen = per_path[which] >= CONTENT_SHARE * per_path.max()
+    place = only_place(open_)
+    here = np.array([place is None or place in b.ids for b in open_])
+    chosen = here & (per_path[which] >= CONTENT_SHARE * per_path[which[here]].max())
     held = [k for k in range(len(open_)) if chosen[k]]
     whole, depth = sum(len(open_[k].text) for k in held), 0
     while True:  # down to the deepest container that holds nearly all content
@@ -220,7 +281,7 @@ def content(found: list[Block]) -> list[Block]:
     for key, ks in boxes.items():
         between = first <= ks[0] and ks[-1] <= last
         if isinstance(key, tuple):
-            good = not whole_page or bool(chosen[ks[0]]) or between
+            good = between or bool(chosen[ks[0]]) or (not whole_page and open_[ks[0]].linked < LINKED)
         else:
             good = fused[ks].mean() >= least if between else value[key] >= CONTENT_SHARE * best_box
         if good:
