@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retailpot.llm import ngram_join, packing, pii, quality_model, quality_rules
-from retailpot.llm.common import stored, table
+from retailpot.llm.common import released, stored, table
 from retailpot.llm.queries import PREDICTED_FROM
 from retailpot.llm.tokens import tokenizer_path
 
@@ -34,9 +34,16 @@ def apply_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: the one with the smallest id; of rows that repeat an id and text one stays, and so do empty texts."""
-    groups = ngram_join.components(docs, **NEAR).where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(groups, "doc_id", "left_anti").withColumn("_h", F.xxhash64("text")).dropDuplicates(["doc_id", "_h"]).select(*COLUMNS)
+    """One document of each group: the one with the smallest id (of several texts under that id, one). Texts without words stay.
+
+    Every row is judged by its own text, whatever other texts share its id; of rows that repeat an id and text one stays.
+    """
+    found = ngram_join.grouped(docs, **NEAR)
+    first = found.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("f"))
+    stays = found.where("group is not null").join(first, "group").where(F.col("doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("text_hash") == F.col("f.text_hash")))
+    keep = stored(stays.unionByName(found.where("group is null"), allowMissingColumns=True).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct(), "keep")
+    rows = docs.select(*COLUMNS).withColumn("_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "_hash"])
+    return rows.join(keep.withColumnRenamed("_hash", "_same"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_same")), "left_semi").select(*COLUMNS)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,5 +65,6 @@ ORACLE_SQL = None  # fitted models, components and packing have no SQL form; tes
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+        before, docs = docs, stored(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+        released(before)
     return STAGES[-1][1](spark, docs, sf_dir)
