@@ -108,6 +108,35 @@ def test_fingerprints(spark):
     assert fingerprints.fingerprint(twice).count() == 3
 
 
+def test_rows_of_one_id_are_judged_by_their_own_text(spark):
+    a, b = cases.prose(31, 120), cases.prose(32, 120)
+    rows = [(1, a), (2, a), (2, b), (3, b + " more"), (None, a), (None, "alone in the world it stands here"), (7, None), (7, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id or 0, r.n_shingles, r.component_id) for r in ngram_join.components(df, 5, ngram_join.Threshold(80, 100)).collect())
+    n, m = len(set(zip(*[a.lower().split()[i:] for i in range(5)]))), len(set(zip(*[b.lower().split()[i:] for i in range(5)])))
+    assert got == sorted([(1, n, 1), (2, n, 1), (2, m, 2), (3, m + 1, 2), (0, n, 1), (0, 3, None), (7, 0, 7), (7, 0, 7)], key=lambda r: (r[0], r[1]))
+    import corpus_pipeline
+    docs = df.selectExpr("doc_id", "text", "'en' AS lang", "'s' AS source", "0L AS n_chars")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept) == sorted([(1, a), (2, b), (0, "alone in the world it stands here"), (7, ""), (7, "")])
+
+
+def test_successors_with_many_partitions(spark):
+    texts = [cases.prose(i, 20) for i in range(40)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2000")
+    try:
+        rows = fingerprints.with_successors(cases.frame(spark, texts)).select("bucket", "edge", "doc_id").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    follows = {}
+    for bucket in {r.bucket for r in rows}:
+        own = [r for r in rows if r.bucket == bucket]
+        own = [r.doc_id for r in sorted(own, key=lambda r: (r.edge, -r.doc_id))]
+        follows |= dict(zip(own, own[1:]))
+    assert follows == {i: (i - 1) % 40 for i in range(40)}
+
+
 def test_band_classes_are_the_verified_components(spark):
     texts = list(cases.TEXTS) + [t for s, n in enumerate((8, 30, 60, 150)) for t in edited(s, n, 9)]
     want = brute_components(list(enumerate(texts)), 5, 80, 100)
@@ -311,6 +340,37 @@ def test_words_of_a_wrapper_do_not_lose_the_article(before, after):
     assert html_text.main_text(f"<html><body><nav>Menu</nav>{before}<h1>Title</h1>{PARAGRAPHS}{after}</body></html>") == "Title " + " ".join(STORY)
 
 
+def test_short_articles_link_lists_and_formulas():
+    links = "<ul>" + "".join(f"<li><a href=x>Link {i}</a></li>" for i in range(8)) + "</ul>"
+    story = f"<h1>Head</h1><p>{STORY[0]}</p><p>{STORY[1]}</p>"
+    want = " ".join(["Head", *STORY[:2]])
+    notice = "<div><p>We use cookies, as all do. By staying here, you agree to them. Read more, or leave; it is up to you.</p></div>"
+    text = html_text.main_text
+    assert text(f"<html><body><article><h1>Recipe</h1><ul><li>egg, two</li><li>flour</li></ul><p>Mix.</p></article>{notice}</body></html>") == "Recipe egg, two flour Mix."
+    assert text(f"<html><body><div>{links}{story}</div></body></html>") == want
+    assert text(f"<html><body><div>{story}{links}</div></body></html>") == want
+    inner = f'<p>{STORY[0]} <a href="y">See this page, and that</a>.</p>'
+    assert text(f"<html><body><div><h1>Head</h1>{inner}<p>{STORY[1]}</p></div></body></html>") == f"Head {STORY[0]} See this page, and that. {STORY[1]}"
+    assert text("<p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be given, so that it holds.</p>") == "Let x=2 be given, so that it holds."
+    cards = "".join(f'<article class="card"><h3>More {i}</h3><p>Teaser {i}, short.</p></article>' for i in range(3))
+    assert text(f"<html><body><div>{story}<p>{STORY[0]}</p></div><div>{cards}</div></body></html>").startswith(want)
+
+
+def test_long_pages_take_linear_time():
+    import time
+
+    def seconds(page):
+        t = time.process_time()
+        html_text.main_text(page)
+        return time.process_time() - t
+
+    def commented(n):
+        return f"<html><body><article><h1>T</h1><p>{STORY[0]}</p></article><div id=comments>" + "".join(f'<div class="comment"><p>Comment {i}, nice.</p></div>' for i in range(n)) + "</div></body></html>"
+
+    assert html_text.main_text(commented(3000)) == f"T {STORY[0]}"
+    assert seconds(commented(20_000)) < 5 and seconds("<div>" * 4000 + "text" + "</div>" * 4000) < 2 and seconds("<p>a" + "<button>b " * 20_000) < 3
+
+
 def test_pages_give_back_their_documents(spark):
     docs = {" ".join((t or "").split()) for _, t in cases.read("sf0.01")}
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")

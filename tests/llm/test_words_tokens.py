@@ -150,3 +150,17 @@ def test_encoded_frame(spark, pieces):
             assert got[i].ids == pieces.library.encode(t or "") and got[i].n_ids == len(got[i].ids)
         assert got[i].round_trip == (got[i].decoded == (t or ""))
     assert sentence_pieces.encoded(df.limit(0), tokenizer_path("piece_bpe_32k.model")).count() == 0
+
+
+def test_token_query_encodes_once_and_clashing_columns_give_way(spark, monkeypatch):
+    import __spark_entry__ as entry
+
+    df = cases.clashing(cases.frame(spark), "n_tokens", "_digest", "content_sha256")
+    got = token_counts.count_tokens(df, scratch(spark, "cache"), BPE)
+    assert sorted(got.columns) == ["_digest", "content_sha256", "doc_id", "n_tokens", "text"] and {r._digest for r in got.collect()} == {"mine"}
+    run, d = entry.queries()["op4_token_counts"], "/root/testdata/sf0.001"
+    first = sorted(map(tuple, run(spark, d).collect()))
+    asked = []
+    real = type(df).mapInPandas
+    monkeypatch.setattr(type(df), "mapInPandas", lambda self, *a, **k: asked.append(self.count()) or real(self, *a, **k))
+    assert sorted(map(tuple, run(spark, d).collect())) == first and asked == [0]
