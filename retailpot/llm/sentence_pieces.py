@@ -26,6 +26,8 @@ from retailpot.llm.words import Words, chunks
 
 MARK = "▁"
 BLOCK = 20_000        # words that advance together
+FILTER_BITS = 20      # of the table that tells most substrings apart from pieces before the sorted keys are searched
+PAIR_BITS = 20        # of the table of piece pairs whose border has been looked at; a newer pair takes the place of an older one
 NEVER = np.int64(1) << 40
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15 | 1)
@@ -97,6 +99,9 @@ class Codec:
         keys = np.array([self._key(self.pieces[i]) for i in ids], np.uint64)
         order = np.argsort(keys)
         self.keys, self.key_ids = keys[order], ids[order]
+        self.likely = np.zeros(1 << FILTER_BITS, bool)
+        self.likely[(self.keys >> _U(64 - FILTER_BITS)).astype(np.int64)] = True
+        self.pair_keys, self.pair_free = np.full(1 << PAIR_BITS, np.iinfo(np.int64).min), np.zeros(1 << PAIR_BITS, bool)
         self.length = np.array([len(p) for p in self.pieces])
         if self.bpe:
             self._split_pieces(ids)
@@ -143,17 +148,37 @@ class Codec:
         self.raw, self.raw_size, self.raw_at = np.frombuffer(b"".join(raw), np.uint8), size, np.cumsum(size) - size
 
     # --- encoding ------------------------------------------------------------------------
-    def _found(self, codes: np.ndarray) -> np.ndarray:
-        """Piece at (word, start, length), -1 where there is none."""
+    def _found(self, codes: np.ndarray) -> tuple[np.ndarray, dict[tuple[int, int], np.ndarray]]:
+        """Piece at (word, start, length), -1 where there is none; and the words that have one, by (start, length)."""
         words, n = codes.shape
         sums = _code_hash(codes)
         inverse = np.multiply.accumulate(np.concatenate(([_U(1)], np.full(n, _INVERSE))))
-        out = np.full((words, n, min(n, self.longest) + 1), -1, np.int32)
+        out, hits = np.full((words, n, min(n, self.longest) + 1), -1, np.int32), {}
         for k in range(1, out.shape[2]):
             h = (sums[:, k:] - sums[:, :-k]) * inverse[: n - k + 1]
-            at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
-            out[:, : n - k + 1, k] = np.where(self.keys[at] == h, self.key_ids[at], -1)
-        return out
+            start, word = np.nonzero(self.likely[(h >> _U(64 - FILTER_BITS)).astype(np.int64)].T)
+            some = h[word, start]
+            at = np.minimum(np.searchsorted(self.keys, some), len(self.keys) - 1)
+            real = self.keys[at] == some
+            start, word = start[real], word[real]
+            out[word, start, k] = self.key_ids[at[real]]
+            begin = np.searchsorted(start, np.arange(n - k + 2))
+            hits |= {(s, k): word[begin[s] : begin[s + 1]] for s in range(n - k + 1)}
+        return out, hits
+
+    def _free(self, found: np.ndarray, w: np.ndarray, at: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """``_apart`` by pair: what merges across a border depends on the two pieces alone, so a pair is looked at once while it is kept."""
+        pair = a * len(self.pieces) + b
+        slot = ((pair.astype(np.uint64) * _BASE) >> _U(64 - PAIR_BITS)).astype(np.int64)
+        new = np.flatnonzero(self.pair_keys[slot] != pair)
+        free = self.pair_free[slot]
+        if len(new):
+            _, first, inverse = np.unique(pair[new], return_index=True, return_inverse=True)
+            one = new[first]
+            apart = self._apart(found, w[one], at, a[one], b[one])
+            free[new] = apart[inverse]
+            self.pair_keys[slot[one]], self.pair_free[slot[one]] = pair[one], apart
+        return free
 
     def _apart(self, found: np.ndarray, w: np.ndarray, at: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether pieces a (ending at ``at``) and b (beginning there) of words ``w`` form without a merge across their border.
@@ -182,10 +207,10 @@ class Codec:
             after_b[j], b[j] = tb[~back_a], self.left[y[~back_a]]
         return free
 
-    def _advance(self, codes: np.ndarray) -> list[list[int]]:
-        """Pieces of each word of a block of equal lengths; -(code + 2) stands for an uncovered character."""
+    def _advance(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pieces of the words of a block of equal lengths, word after word, and how many each has; -(code + 2) stands for an uncovered character."""
         words, n = codes.shape
-        found = self._found(codes)
+        found, hits = self._found(codes)
         best = np.full((words, n + 1), -np.inf)
         best[:, 0] = 0
         last = np.full((words, n + 1), -1, np.int64)   # piece that ends here, -1 for an uncovered character
@@ -193,8 +218,8 @@ class Codec:
         for end in range(1, n + 1):
             for k in range(min(end, found.shape[2] - 1), 0, -1):
                 start = end - k
-                piece = found[:, start, k].astype(np.int64)
-                w = np.flatnonzero((piece >= 0) & np.isfinite(best[:, start]) & (self.time[piece] < NEVER if self.bpe else True))
+                w = hits[start, k]
+                w = w[np.isfinite(best[w, start])]
                 if k == 1:  # an uncovered character stands alone
                     bare = np.flatnonzero((found[:, start, 1] < 0) & np.isfinite(best[:, start]))
                     value = best[bare, start] + (0 if self.bpe else self.unknown_score)
@@ -202,46 +227,60 @@ class Codec:
                     best[bare[better], end], last[bare[better], end], step[bare[better], end] = value[better], -1, 1
                 if self.bpe:
                     w = w[~np.isfinite(best[w, end])]
+                    piece = found[w, start, k].astype(np.int64)
+                    w, piece = w[self.time[piece] < NEVER], piece[self.time[piece] < NEVER]
                     if len(w) and start:
-                        w = w[self._apart(found, w, start, last[w, start], piece[w])]
+                        free = self._free(found, w, start, last[w, start], piece)
+                        w, piece = w[free], piece[free]
                     value = np.zeros(len(w))
                 else:
-                    value = best[w, start] + self.score[piece[w]]
-                    w, value = w[value > best[w, end]], value[value > best[w, end]]
-                best[w, end], last[w, end], step[w, end] = value, piece[w], k
-        out, ends = [[] for _ in range(words)], np.full(words, n)
-        while (open_ := np.flatnonzero(ends > 0)).size:
-            for w, e, p in zip(open_.tolist(), ends[open_].tolist(), last[open_, ends[open_]].tolist(), strict=True):
-                out[w].append(p if p >= 0 else -int(codes[w, e - 1]) - 2)
-            ends[open_] -= step[open_, ends[open_]]
-        return [o[::-1] for o in out]
-
-    def _spelled(self, ids: list[int]) -> tuple[int, ...]:
-        if min(ids) >= 0:
-            return tuple(ids)
-        out: list[int] = []
-        for i in ids:
-            if i >= 0:
-                out.append(i)
-            elif self.bytes_of:
-                out += [self.bytes_of[b] for b in chr(-i - 2).encode("utf-8", "surrogatepass")]
-            else:
-                out.append(self.unknown)
-        return tuple(out)
-
-    def _learn(self, words: list[str]) -> list[tuple[int, ...]]:
-        known: dict[str, tuple[int, ...]] = {}
-        by_size: dict[int, list[str]] = {}
-        for w in words:
-            by_size.setdefault(len(w), []).append(w)
-        for n, same in by_size.items():
+                    piece = found[w, start, k].astype(np.int64)
+                    value = best[w, start] + self.score[piece]
+                    better = value > best[w, end]
+                    w, piece, value = w[better], piece[better], value[better]
+                best[w, end], last[w, end], step[w, end] = value, piece, k
+        open_, ends, steps = np.arange(words), np.full(words, n), []
+        while len(open_):
+            e = ends[open_]
+            p = last[open_, e]
+            bare = p < 0
+            p[bare] = -codes[open_[bare], e[bare] - 1].astype(np.int64) - 2
+            steps.append((open_, e, p))
+            ends[open_] -= step[open_, e]
+            open_ = open_[ends[open_] > 0]
+        word, end, piece = (np.concatenate(x) for x in zip(*steps, strict=True))
+        order = np.lexsort((end, word))
+        return self._spelled(piece[order], word[order], words)
+
+    def _spelled(self, ids: np.ndarray, word: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+        """Uncovered characters as their bytes' pieces or the unknown piece."""
+        bare = ids < 0
+        if bare.any():
+            spelled = [[self.bytes_of[b] for b in chr(-i - 2).encode("utf-8", "surrogatepass")] if self.bytes_of else [self.unknown] for i in ids[bare].tolist()]
+            times = np.ones(len(ids), np.int64)
+            times[bare] = [len(x) for x in spelled]
+            ids, word, bare = np.repeat(ids, times), np.repeat(word, times), np.repeat(bare, times)
+            ids[bare] = [i for x in spelled for i in x]
+        return ids, np.bincount(word, minlength=words)
+
+    def _learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words end to end, and how many each has."""
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        order, blocks = np.argsort(size, kind="stable"), []
+        for same in np.split(order, np.flatnonzero(np.diff(size[order])) + 1):
+            n = int(size[same[0]])
             block = max(1, min(BLOCK, 4_000_000 // (n * self.longest)))
             for k in range(0, len(same), block):
                 part = same[k : k + block]
-                codes = np.frombuffer("".join(part).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(part), n)
-                for word, ids in zip(part, self._advance(codes), strict=True):
-                    known[word] = self._spelled(ids)
-        return [known[w] for w in words]
+                codes = np.frombuffer("".join([words[i] for i in part.tolist()]).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(part), n)
+                blocks.append((part, *self._advance(codes)))
+        count = np.zeros(len(words), np.int64)
+        for part, _, n in blocks:
+            count[part] = n
+        begin, ids = np.cumsum(count) - count, np.empty(int(count.sum()), np.uint32)
+        for part, own, n in blocks:
+            ids[np.repeat(begin[part] - (np.cumsum(n) - n), n) + np.arange(len(own))] = own
+        return ids, count
 
     @staticmethod
     def _cut(part: list[bytes]) -> Words:

@@ -58,7 +58,7 @@ def pieces(part: list[bytes]) -> Words:
 
 
 class WordTable:
-    """Ids of words by their hash; ``encode`` (words to lists of ids) is asked only for those not met before."""
+    """Ids of words by their hash; ``encode`` (words to lists of ids, or to all ids end to end and their numbers) is asked only for new ones."""
 
     def __init__(self, encode, max_words: int = MAX_WORDS):
         self.encode, self.max_words = encode, max_words
@@ -72,10 +72,14 @@ class WordTable:
 
     def _learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
         found = self.encode([w.decode("utf-8", "surrogatepass") for w in words])
-        n = np.fromiter(map(len, found), np.int64, len(found))
+        if isinstance(found, tuple):
+            flat, n = found
+        else:
+            n = np.fromiter(map(len, found), np.int64, len(found))
+            flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(n.sum()))
         start = len(self.store) + np.concatenate(([0], np.cumsum(n)[:-1]))
-        slots = len(self.length) + np.arange(len(found))
-        self.store = np.concatenate((self.store, np.fromiter((i for ids in found for i in ids), np.uint32, int(n.sum()))))
+        slots = len(self.length) + np.arange(len(n))
+        self.store = np.concatenate((self.store, flat))
         self.offset, self.length = np.concatenate((self.offset, start)), np.concatenate((self.length, n))
         at = np.searchsorted(self.keys, hashes)
         self.keys, self.slot = np.insert(self.keys, at, hashes), np.insert(self.slot, at, slots)
