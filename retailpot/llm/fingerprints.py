@@ -121,41 +121,41 @@ def signed_rows(docs: DataFrame) -> DataFrame:
 
 
 BANDS = 16  # of four values each: a pair at similarity 0.8 shares none with probability 2e-4
-CROWDED = 64  # components in a band's list from which the list is split by further bands
-FURTHER = 6   # bands after a crowded one that split it: of the pairs at 0.8 that meet there, 96 % share one of them
+CROWDED = 16  # components in a band's list from which its members are joined on their whole sets instead
 NEAR = ngram_join.Threshold(80, 100)
 
 
-def _refined(lists: DataFrame, links: ngram_join.Links, keys: DataFrame, n_bands: int) -> DataFrame | None:
-    """``lists`` with each crowded one replaced by its parts that share a further band; None where no list is crowded.
+def _uncrowded(lists: DataFrame, links: ngram_join.Links, reps: DataFrame, docs: DataFrame, t: ngram_join.Threshold) -> tuple[DataFrame, ngram_join.Links]:
+    """``lists`` without the crowded ones, and ``links`` with all that the members of those have among each other.
 
     A list is crowded when its members lie in many components even after a hub round: many texts with a common line, say, that are else
-    unlike. Such a list gives way to one for each of the ``FURTHER`` bands that follow; a key is then the exclusive or of two bands' hashes.
+    unlike. Its members meet in the exact join of whole shingle sets instead, which finds every link a crowded list could propose.
     """
     full = stored(ngram_join.crowded(lists, links, CROWDED).select("key"), "crowded")
     if not full.limit(1).count():
         released(full)
-        return None
-    members = lists.join(full, "key", "left_semi").join(keys, "id")
-    step = F.explode(F.array(*[F.lit(k) for k in range(1, min(FURTHER, n_bands - 1) + 1)]))
-    further = members.select("id", "n", "pos", "key", "keys", "band", step.alias("step"))
-    other = F.get("keys", (F.col("band") + F.col("step")) % F.size("keys"))
-    parts = further.select(F.col("key").bitwiseXOR(F.xxhash64(other)).alias("key"), "id", "n", "pos", "band").dropDuplicates(["key", "id"])
-    parts = parts.join(parts.groupBy("key").count().where("count > 1").select("key"), "key", "left_semi")
-    out = stored(lists.join(full, "key", "left_anti").unionByName(parts), "bands")
-    released(full)
-    return out
+        return lists, links
+    members = reps.join(lists.join(full, "key", "left_semi").select("id").distinct(), "id", "left_semi")
+    owners = members.select(F.col("doc").alias("_doc")).distinct()
+    own = docs.select(F.col("doc_id").cast("long"), "text")
+    own = stored(own.join(owners, F.col("doc_id").eqNullSafe(F.col("_doc")), "left_semi"), "members")
+    sets = stored(ngram_join.document_sets(own, WIDTH, t), "sets")
+    classes_ = ngram_join.representatives(sets)
+    links = ngram_join.exact_links(own, classes_, WIDTH, t, links)
+    rest = stored(lists.join(full, "key", "left_anti"), "bands")
+    released(lists, full, own, sets, classes_)
+    return rest, links
 
 
 def classes(rows: DataFrame, docs: DataFrame, bands: int, t: ngram_join.Threshold) -> DataFrame:
     """(cls, component_id): near-duplicate classes of the shingle sets in ``rows`` (stored ``ROWS`` of ``docs``), empty ones left out.
 
     Sets, not ids, are the nodes: equal sets enter once, and rows that share an id but differ in text stay apart. Sets that share a band of
-    their signatures meet hub by hub, crowded bands are split by further ones, sizes rule pairs out before they are formed, and each pair is
-    verified on both whole sets, which are cut anew from the texts of the pair's documents.
+    their signatures meet hub by hub, members of crowded bands in the exact join, sizes and sketches rule pairs out before they are formed,
+    and each pair is verified on both whole sets, which are cut anew from the texts of the pair's documents.
     """
     reps = rows.where("n > 0").groupBy(F.col("cls").alias("id")).agg(F.min("doc_id").alias("doc"), *[F.first(c).alias(c) for c in ("n", "bits", "signature")])
-    reps = stored(reps, "reps")
+    reps = stored(reps.withColumn("sketch", ngram_join.sketch_of("bits")), "reps")
     width = PERMUTATIONS // bands
 
     def band_keys(batches):
@@ -167,8 +167,8 @@ def classes(rows: DataFrame, docs: DataFrame, bands: int, t: ngram_join.Threshol
                 keys = mix(keys * _U(0x9E3779B97F4A7C15) + sig[:, :, k])
             yield pd.DataFrame({"id": b["id"], "n": b["n"], "keys": list(keys.view(np.int64))})
 
-    keys = stored(reps.select("id", "n", "signature").mapInPandas(band_keys, "id long, n long, keys array<long>"), "keys")
-    lists = keys.select("id", "n", F.posexplode("keys").alias("band", "k")).select(F.xxhash64("k").alias("key"), "id", "n", F.lit(0).alias("pos"), "band")
+    keys = reps.select("id", "n", "signature").mapInPandas(band_keys, "id long, n long, keys array<long>")
+    lists = keys.select("id", "n", F.explode("keys").alias("k")).select(F.xxhash64("k").alias("key"), "id", "n", F.lit(0).alias("pos"))
     lists = stored(lists.join(lists.groupBy("key").count().where("count > 1").select("key"), "key"), "bands")
     links = ngram_join.Links.of(stored(docs.sparkSession.createDataFrame([], "a long, b long"), "links"))
 
@@ -176,11 +176,8 @@ def classes(rows: DataFrame, docs: DataFrame, bands: int, t: ngram_join.Threshol
         return ngram_join.verified(pairs, reps, docs, WIDTH, t)
 
     links = ngram_join.hub_round(lists, links, check, 0, t)  # bands have no order, so only sizes bound the overlap (pos is 0)
-    if bands > 1 and (parts := _refined(lists, links, keys.select("id", "keys"), bands)) is not None:
-        released(lists)
-        lists = parts
-    released(keys)
-    links = ngram_join.list_links(lists, links, check, ngram_join.PAIRS_PER_ENTRY * lists.count(), t)
+    lists, links = _uncrowded(lists, links, reps, docs, t)
+    links = ngram_join.list_links(lists, links, check, ngram_join.PAIRS_PER_ENTRY * lists.count(), t, reps.select("id", "sketch"))
     out = stored(ngram_join.labelled(reps, links).drop("group"), "classes")
     released(reps, *links)
     return out

@@ -27,6 +27,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType
 
 from retailpot.llm.common import released, stored
 from retailpot.llm.words import Words, chunks, distinct_per_doc, mix, shingle_hashes
@@ -93,6 +94,18 @@ def difference_bound(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(np.bitwise_xor.reduce(x.reshape(-1, size), 0) ^ np.bitwise_xor.reduce(y.reshape(-1, size), 0)).sum())
 
 
+@F.pandas_udf(ArrayType(LongType()))
+def sketch_of(bits: pd.Series) -> pd.Series:
+    """Parity bitmaps folded to the shortest length, as two longs: a lower bound of the symmetric difference that a join's condition can read."""
+    return pd.Series([np.bitwise_xor.reduce(np.frombuffer(b, np.int64).reshape(-1, 2), 0) for b in bits])
+
+
+def may_link(na: Column, xa: Column, nb: Column, xb: Column, t: Threshold) -> Column:
+    """Whether the sketches ``xa`` and ``xb`` of sets of sizes ``na`` and ``nb`` leave room for a link; never false for linked sets."""
+    apart = F.bit_count(xa[0].bitwiseXOR(xb[0])) + F.bit_count(xa[1].bitwiseXOR(xb[1]))
+    return apart * (t.num + t.den) <= (t.den - t.num) * (na + nb)
+
+
 def class_of(h: np.ndarray) -> int:
     """Digest of a set of distinct hashes."""
     return int(mix(np.array([mix(h + _U(len(h))).sum()], np.uint64)).view(np.int64)[0])
@@ -323,11 +336,17 @@ def can_link(na: Column, pa: Column, nb: Column, pb: Column, t: Threshold) -> Co
 
 
 def hub_round(lists: DataFrame, links: Links, check, round_: int, t: Threshold) -> Links:
-    """``links`` plus the confirmed ones of each list's members with one of them, for lists that span several components."""
+    """``links`` plus confirmed ones of each list's members with one of them, its hub, for lists that span several components.
+
+    A member is compared once a round, with the hub that most of its lists name; what is missed across components is left to later rounds
+    and to the comparison of all pairs that ends them.
+    """
     now = links.on(lists)
     state = now.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min_by(F.struct("id", "label", "n", "pos"), F.xxhash64("id", F.lit(round_))).alias("hub")).where("lo < hi")
     now = now.join(state.select("key", "hub"), "key").where((F.col("label") != F.col("hub.label")) & can_link(F.col("n"), F.col("pos"), F.col("hub.n"), F.col("hub.pos"), t))
-    return links.plus(check(now.select(F.greatest("id", "hub.id").alias("b"), F.least("id", "hub.id").alias("a")).distinct()))
+    named = now.groupBy("id", F.col("hub.id").alias("to")).agg(F.count("*").alias("k"))
+    one = named.groupBy("id").agg(F.max_by("to", F.struct("k", F.xxhash64("to", F.lit(round_)))).alias("to"))
+    return links.plus(check(one.select(F.greatest("id", "to").alias("b"), F.least("id", "to").alias("a")).distinct()))
 
 
 def crowded(lists: DataFrame, links: Links, least: int) -> DataFrame:
@@ -335,10 +354,11 @@ def crowded(lists: DataFrame, links: Links, least: int) -> DataFrame:
     return links.on(lists).select("key", "label").distinct().groupBy("key").agg(F.count("*").alias("k")).where(F.col("k") > least)
 
 
-def list_links(lists: DataFrame, links: Links, check, limit: int, t: Threshold) -> Links:
+def list_links(lists: DataFrame, links: Links, check, limit: int, t: Threshold, sketches: DataFrame) -> Links:
     """``links`` plus those between members of one list that ``check`` confirms, as many as components need.
 
-    Hub rounds go on while more than ``limit`` pairs across components are left and rounds are; then all those pairs are compared.
+    Hub rounds go on while more than ``limit`` pairs across components are left and rounds are; then all those pairs are compared, by
+    their ``sketches`` (id, sketch) before they become rows.
     ``lists`` (key, id, n, pos: the set's size and the shingle's place in its order) is read several times: pass a stored table, which is given up.
     """
     for round_ in range(1, HUB_ROUNDS + 1):
@@ -352,8 +372,10 @@ def list_links(lists: DataFrame, links: Links, check, limit: int, t: Threshold)
             released(now)
             return links
         if across <= limit or round_ == HUB_ROUNDS:
-            x, y = (now.select("key", *[F.col(c).alias(f"{s}_{c}") for c in ("id", "label", "n", "pos")]) for s in "ab")
-            open_ = (F.col("a_label") != F.col("b_label")) & (F.col("a_id") < F.col("b_id")) & can_link(F.col("a_n"), F.col("a_pos"), F.col("b_n"), F.col("b_pos"), t)
+            held = now.join(sketches, "id")
+            x, y = (held.select("key", *[F.col(c).alias(f"{s}_{c}") for c in ("id", "label", "n", "pos", "sketch")]) for s in "ab")
+            open_ = ((F.col("a_label") != F.col("b_label")) & (F.col("a_id") < F.col("b_id")) & can_link(F.col("a_n"), F.col("a_pos"), F.col("b_n"), F.col("b_pos"), t)
+                     & may_link(F.col("a_n"), F.col("a_sketch"), F.col("b_n"), F.col("b_sketch"), t))
             pairs = x.join(y, "key").where(open_).select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
             links = links.plus(check(pairs))
             released(now)
@@ -370,28 +392,15 @@ def representatives(sets: DataFrame) -> DataFrame:
     Classes, not documents, are the nodes, so rows that share an id but differ in text stay apart.
     """
     reps = sets.where("n > 0").groupBy(F.col("cls").alias("id")).agg(F.min("doc_id").alias("doc"), *[F.first(c).alias(c) for c in ("n", "prefix", "elements", "bits")])
-    return stored(reps, "reps")
-
-
-def components(docs: DataFrame, width: int = 4, t: Threshold = Threshold()) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of ``docs`` (doc_id, text), one row per input row.
+    return stored(reps.withColumn("sketch", sketch_of("bits")), "reps")
 
-    ``component_id`` is the smallest doc_id reachable over links, the row's own included. Null and empty texts have 0 shingles and stand alone.
-    Repeated rows are answered each, rows that share a doc_id but differ in text each by its own text; an empty table gives an empty result;
-    other columns are ignored.
-    """
-    return grouped(docs, width, t).select("doc_id", "n_shingles", "component_id")
 
-
-def grouped(docs: DataFrame, width: int = 4, t: Threshold = Threshold()) -> DataFrame:
-    """``components`` as a stored table, with ``text_hash`` (xxhash64 of the row's text) and ``group``, the component's own number (null without words)."""
-    sets = stored(document_sets(docs, width, t), "sets")
-    reps = representatives(sets)
-    places = stored(sets.select("doc_id", "text_hash", "n", "cls"), "places")
-    released(sets)
+def exact_links(docs: DataFrame, reps: DataFrame, width: int, t: Threshold, links: Links | None = None) -> Links:
+    """Links between the classes ``reps`` of ``docs``, as many as their components need; ``links`` are known ones, whose tables are given up."""
     limit = boundary({r.n: r["count"] for r in reps.where(F.col("n") <= LIGHT_LIMIT).groupBy("n").count().collect()}, t)
     heavy = reps.where(F.col("n") >= t.least(limit + 1)).select("id", "n", "prefix")
-    links = Links.of(light_links(reps, limit, t))
+    light = light_links(reps, limit, t)
+    links = links.plus(light) if links else Links.of(light)
 
     def check(pairs: DataFrame) -> DataFrame:
         return verified(pairs, reps, docs, width, t)
@@ -427,7 +436,26 @@ def grouped(docs: DataFrame, width: int = 4, t: Threshold = Threshold()) -> Data
         if sum(r.k * r.k for r in found if r.key not in known) <= PAIRS_PER_ENTRY * entries:
             break
     released(heavy)
-    links = list_links(lists, links, check, PAIRS_PER_ENTRY * entries, t)
+    return list_links(lists, links, check, PAIRS_PER_ENTRY * entries, t, reps.select("id", "sketch"))
+
+
+def components(docs: DataFrame, width: int = 4, t: Threshold = Threshold()) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of ``docs`` (doc_id, text), one row per input row.
+
+    ``component_id`` is the smallest doc_id reachable over links, the row's own included. Null and empty texts have 0 shingles and stand alone.
+    Repeated rows are answered each, rows that share a doc_id but differ in text each by its own text; an empty table gives an empty result;
+    other columns are ignored.
+    """
+    return grouped(docs, width, t).select("doc_id", "n_shingles", "component_id")
+
+
+def grouped(docs: DataFrame, width: int = 4, t: Threshold = Threshold()) -> DataFrame:
+    """``components`` as a stored table, with ``text_hash`` (xxhash64 of the row's text) and ``group``, the component's own number (null without words)."""
+    sets = stored(document_sets(docs, width, t), "sets")
+    reps = representatives(sets)
+    places = stored(sets.select("doc_id", "text_hash", "n", "cls"), "places")
+    released(sets)
+    links = exact_links(docs, reps, width, t)
     out = stored(placed(places, reps, links), "components")
     released(places, reps, *links)
     return out

@@ -146,6 +146,35 @@ def test_band_classes_are_the_verified_components(spark):
     assert fingerprints.near_duplicates(cases.frame(spark).limit(0)).count() == 0
 
 
+def test_a_crowded_band_loses_no_link(spark):
+    """Pairs that meet in one crowded band alone, beside texts that are unlike them."""
+    texts = [cases.prose(2000 + i, 60) for i in range(80)]
+    texts += [" ".join(t.split()[:-3]) for t in texts[:20]]
+    docs = cases.frame(spark, texts).repartition(3)
+    band = F.substring("signature", 1, 16)  # the first of 16 bands of four values
+    others = F.unhex(F.concat(*[F.sha2(F.concat_ws("-", F.lit(k), "doc_id"), 512) for k in range(4)]))
+    one_band = F.concat(F.unhex(F.lit("00" * 16)), F.substring(others, 17, 240))
+    rows = fingerprints.stored(fingerprints.signed_rows(docs).where(F.length(band) == 16).withColumn("signature", one_band), "signed")
+    got = rows.join(fingerprints.classes(rows, docs, 16, fingerprints.NEAR), "cls").collect()
+    want = brute_components(list(enumerate(texts)), 5, 80, 100)
+    assert {r.doc_id: r.component_id for r in got} == {k: c for k, (_, c) in want.items()}
+    assert sum(c != k for k, (_, c) in want.items()) == 20
+
+
+def test_sketches_never_rule_a_link_out(spark):
+    rng = np.random.default_rng(5)
+    t = ngram_join.Threshold(80, 100)
+    rows = []
+    for n in (1, 9, 100, 130, 700, 5000):
+        a = rng.integers(0, 1 << 62, n).astype(np.uint64)
+        for drop in {0, n // 9, n // 2}:
+            b = a[: n - drop]
+            rows.append((len(a), ngram_join.parity(a), len(b), ngram_join.parity(b), t.den * len(b) >= t.num * len(a)))
+    df = spark.createDataFrame(rows, "na long, a binary, nb long, b binary, linked boolean").select("*", ngram_join.sketch_of("a").alias("xa"), ngram_join.sketch_of("b").alias("xb"))
+    got = df.select("na", "nb", "linked", ngram_join.may_link(F.col("na"), F.col("xa"), F.col("nb"), F.col("xb"), t).alias("may")).collect()
+    assert all(r.may for r in got if r.linked) and not all(r.may for r in got)
+
+
 def test_fingerprint_query_brings_near_copies_together(spark, tmp_path):
     from retailpot.llm.queries import QUERIES
 
