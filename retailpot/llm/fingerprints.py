@@ -139,11 +139,11 @@ def _uncrowded(lists: DataFrame, links: ngram_join.Links, reps: DataFrame, docs:
     owners = members.select(F.col("doc").alias("_doc")).distinct()
     own = docs.select(F.col("doc_id").cast("long"), "text")
     own = stored(own.join(owners, F.col("doc_id").eqNullSafe(F.col("_doc")), "left_semi"), "members")
-    sets = stored(ngram_join.document_sets(own, WIDTH, t), "sets")
-    classes_ = ngram_join.representatives(sets)
-    links = ngram_join.exact_links(own, classes_, WIDTH, t, links)
     rest = stored(lists.join(full, "key", "left_anti"), "bands")
-    released(lists, full, own, sets, classes_)
+    released(lists, full)
+    held = ngram_join.representatives(ngram_join.document_sets(own, WIDTH, t))
+    links = ngram_join.exact_links(own, held, WIDTH, t, links)
+    released(own, held)
     return rest, links
 
 
@@ -154,7 +154,8 @@ def classes(rows: DataFrame, docs: DataFrame, bands: int, t: ngram_join.Threshol
     their signatures meet hub by hub, members of crowded bands in the exact join, sizes and sketches rule pairs out before they are formed,
     and each pair is verified on both whole sets, which are cut anew from the texts of the pair's documents.
     """
-    reps = rows.where("n > 0").groupBy(F.col("cls").alias("id")).agg(F.min("doc_id").alias("doc"), *[F.first(c).alias(c) for c in ("n", "bits", "signature")])
+    sets = rows.where("n > 0").groupBy(F.col("cls").alias("id"))
+    reps = sets.agg(F.min("doc_id").alias("doc"), *[F.first(c).alias(c) for c in ("n", "bits")])
     reps = stored(reps.withColumn("sketch", ngram_join.sketch_of("bits")), "reps")
     width = PERMUTATIONS // bands
 
@@ -167,9 +168,12 @@ def classes(rows: DataFrame, docs: DataFrame, bands: int, t: ngram_join.Threshol
                 keys = mix(keys * _U(0x9E3779B97F4A7C15) + sig[:, :, k])
             yield pd.DataFrame({"id": b["id"], "n": b["n"], "keys": list(keys.view(np.int64))})
 
-    keys = reps.select("id", "n", "signature").mapInPandas(band_keys, "id long, n long, keys array<long>")
+    signed = sets.agg(F.first("n").alias("n"), F.first("signature").alias("signature"))
+    keys = signed.mapInPandas(band_keys, "id long, n long, keys array<long>")
     lists = keys.select("id", "n", F.explode("keys").alias("k")).select(F.xxhash64("k").alias("key"), "id", "n", F.lit(0).alias("pos"))
-    lists = stored(lists.join(lists.groupBy("key").count().where("count > 1").select("key"), "key"), "bands")
+    every = stored(lists, "entries")
+    lists = stored(every.join(every.groupBy("key").count().where("count > 1").select("key"), "key"), "bands")
+    released(every)
     links = ngram_join.Links.of(stored(docs.sparkSession.createDataFrame([], "a long, b long"), "links"))
 
     def check(pairs: DataFrame) -> DataFrame:

@@ -177,6 +177,16 @@ def test_ordered_codes_equal_a_walk_and_hide_the_own_target(spark, monkeypatch,
     assert again[target] == pytest.approx(got[target])
 
 
+def test_ordered_codes_read_their_rows_a_few_times(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "BLOCK", 5)
+    monkeypatch.setattr(ranking.running_sum, "__defaults__", ((), 5, None))
+    names = ["a", "b", "c", "d"]
+    df = spark.range(40).selectExpr("concat('OUT_', id) AS Outlet_ID", "id * 1.0D AS target", *[f"id % {k + 2} AS {n}" for k, n in enumerate(names)])
+    coded = TargetCodes(names).fit(df).ordered(df)
+    leaves = coded._jdf.queryExecution().optimizedPlan().collectLeaves().size()
+    assert leaves <= 3 * len(names) and coded.count() == 40
+
+
 def test_ordered_codes_leak_nothing_where_every_category_is_single(spark):
     rng = np.random.default_rng(5)
     rows = [(f"o{i}", f"c{i}", float(rng.normal()), float(rng.normal())) for i in range(300)]
