@@ -10,6 +10,7 @@ from pyspark.sql.types import NumericType
 
 from retailpot.config import Config
 from retailpot.operators.quantiles import grouped_quantiles, scalar_quantiles
+from retailpot.session import kept
 
 
 def _unpivot(one: DataFrame, key: str, value: str) -> DataFrame:
@@ -21,7 +22,8 @@ def null_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def negative_profile(df: DataFrame, column: str) -> DataFrame:
-    """Count and share of negative values and their description."""
+    """Count and share of negative values and their description. The column is stored first, as quantiles take several passes."""
+    df = kept(df.select(column))
     neg = df.where(F.col(column) < 0)
     qs = scalar_quantiles(neg, column, [0.25, 0.5, 0.75])
     n = df.agg(F.count("*")).scalar()
@@ -39,7 +41,8 @@ def missing_periods(df: DataFrame, date: str) -> DataFrame:
 
 
 def iqr_profile(df: DataFrame, column: str, factor: float = 1.5) -> DataFrame:
-    """Quartile fences over all rows and the rows outside."""
+    """Quartile fences over all rows and the rows outside. The column is stored first, as quantiles take several passes."""
+    df = kept(df.select(column))
     qs = scalar_quantiles(df, column, [0.25, 0.75])
     c, iqr = F.col(column), qs[1] - qs[0]
     lo, hi = qs[0] - iqr * factor, qs[1] + iqr * factor

@@ -3,6 +3,7 @@
 from conftest import rows
 from pyspark.sql import functions as F
 
+from retailpot.operators import profiling
 from retailpot.operators import quality as q
 
 
@@ -32,3 +33,21 @@ def test_clustered_duplicates_and_a_join_shuffle_rows_once(spark):
     assert dealt(_annotated(_tx(spark), cluster="o").join(known, "o", "left")) == (True, 2)
     assert dealt(_annotated(_tx(spark)).join(known, "o", "left")) == (False, 4)
     assert not dealt(_annotated(_tx(spark, hot=3000), cluster="o", hot_rows=2000))[0]   # the salted way
+
+
+def test_profiles_compute_their_input_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.range(300_000).select((F.col("id") % 1009 - 9).cast("double").alias("v")).mapInArrow(look, "v double")
+    got = profiling.iqr_profile(df, "v", 0.2).first()
+    assert seen.value == 300_000
+    want = df.toPandas()["v"].quantile([0.25, 0.75])
+    assert abs(got.iqr - (want[0.75] - want[0.25])) < 1e-9
+    seen.value = 0
+    assert profiling.negative_profile(df, "v").first().min == -9
+    assert seen.value == 300_000
