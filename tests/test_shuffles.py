@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from retailpot.operators import profiling
 from retailpot.operators import quality as q
+from retailpot.plans.lake import Lake
+from retailpot.plans import fixture_views as fx
 
 
 def _tx(spark, hot=0):
@@ -51,3 +53,23 @@ def test_profiles_compute_their_input_once(spark):
     seen.value = 0
     assert profiling.negative_profile(df, "v").first().min == -9
     assert seen.value == 300_000
+
+
+def test_raw_seasons_are_read_from_transactions_once(spark, monkeypatch):
+    looked = []
+
+    def seasons(session, sf_dir, name):
+        def look(batches):
+            for b in batches:
+                seen.add(b.num_rows)
+                yield b
+
+        looked.append(name)
+        df = session.createDataFrame([("DIST_W_01", 2000, m, "Moderate") for m in range(1, 13)], "Distributor_ID string, Year long, Month long, Seasonality_Index string")
+        return df.coalesce(1).mapInArrow(look, df.schema).withColumn("ingest_id", F.xxhash64("Distributor_ID", "Year", "Month"))
+
+    seen = spark.sparkContext.accumulator(0)
+    monkeypatch.setattr(fx, "load_view", seasons)
+    lk = Lake(spark, "/nowhere/season-rows", fx.FIXTURE)
+    assert lk["seasonality"].count() == 12 and looked == ["fx_seasonality"]
+    assert seen.value == 12   # 24 when the strict check and the clean table each computed them
