@@ -3,7 +3,8 @@
 from conftest import rows
 from pyspark.sql import functions as F
 
-from retailpot.operators import profiling
+from retailpot import config as c
+from retailpot.operators import profiling, spatial
 from retailpot.operators import quality as q
 from retailpot.plans.lake import Lake
 from retailpot.plans import fixture_views as fx
@@ -73,3 +74,19 @@ def test_raw_seasons_are_read_from_transactions_once(spark, monkeypatch):
     lk = Lake(spark, "/nowhere/season-rows", fx.FIXTURE)
     assert lk["seasonality"].count() == 12 and looked == ["fx_seasonality"]
     assert seen.value == 12   # 24 when the strict check and the clean table each computed them
+
+
+def test_places_are_classified_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    raw = spark.range(500).select((F.col("id") * 1e-4 + 7).alias("lat"), F.lit(80.0).alias("lon"), F.when(F.col("id") % 2 == 0, "school").otherwise("well").alias("kind"))
+    pois = raw.mapInArrow(look, raw.schema).select("lat", "lon", F.create_map(F.lit("amenity"), "kind").alias("tags"))
+    outlets = spark.createDataFrame([("OUT_00001", 7.0, 80.0)], "Outlet_ID string, Latitude double, Longitude double")
+    got = spatial.poi_radius_counts(outlets, outlets, pois, fx.FIXTURE).first()
+    assert seen.value == 500 and got.schools_2000m > got.schools_500m > 0 and got.markets_2000m == 0
+    assert spatial.classified(pois, c.FLAT_POI_RULES).count() == 250
