@@ -25,7 +25,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
@@ -37,10 +37,13 @@ LIGHT_LIMIT = 24        # sizes among which the boundary is looked for
 POSTING_COST = 4.0      # work of one list entry in signatures (counting, joining, its share of comparisons)
 LONG_LIST = 64          # components in its list from which a shingle counts as frequent
 PAIRS_PER_ENTRY = 2     # pairs left to compare, per list entry, that end the search for frequent shingles and the hub rounds
+SKETCH = 16             # longs of a sketch at most (1,024 bits)
 FREQUENT_BITS = 20      # at most 2 ** this many frequent shingles are told apart
 FILTER_BITS = 23        # bits of the document filter before an exact join
 WIDE = 3                # prefixes' worth of shingles that are counted where frequent ones will move back
 HUB_ROUNDS = 4
+HUBS = 4                # hubs of a list, and hubs that a member is compared with, in a round
+GAIN = 0.75             # share of the pairs left that a further round must leave at most for another one to follow
 LINK_BLOCK = 500_000    # links that one task merges
 _U = np.uint64
 
@@ -96,14 +99,25 @@ def difference_bound(a: bytes, b: bytes) -> int:
 
 @F.pandas_udf(ArrayType(LongType()))
 def sketch_of(bits: pd.Series) -> pd.Series:
-    """Parity bitmaps folded to the shortest length, as two longs: a lower bound of the symmetric difference that a join's condition can read."""
-    return pd.Series([np.bitwise_xor.reduce(np.frombuffer(b, np.int64).reshape(-1, 2), 0) for b in bits])
+    """Parity bitmaps folded to ``SKETCH`` longs at most: a lower bound of the symmetric difference that a join's condition can read."""
+    longs = [np.frombuffer(b, np.int64) for b in bits]
+    return pd.Series([np.bitwise_xor.reduce(x.reshape(-1, min(len(x), SKETCH)), 0) for x in longs])
+
+
+def _halved(x: Column) -> Column:
+    half = (F.size(x) / 2).cast("int")
+    return F.zip_with(F.slice(x, 1, half), F.slice(x, half + 1, half), lambda u, v: u.bitwiseXOR(v))
 
 
 def may_link(na: Column, xa: Column, nb: Column, xb: Column, t: Threshold) -> Column:
-    """Whether the sketches ``xa`` and ``xb`` of sets of sizes ``na`` and ``nb`` leave room for a link; never false for linked sets."""
-    apart = F.bit_count(xa[0].bitwiseXOR(xb[0])) + F.bit_count(xa[1].bitwiseXOR(xb[1]))
-    return apart * (t.num + t.den) <= (t.den - t.num) * (na + nb)
+    """Whether the sketches ``xa`` and ``xb`` of sets of sizes ``na`` and ``nb`` leave room for a link; never false for linked sets.
+
+    Lengths are powers of two; the longer sketch is folded once. Sketches that still differ in length rule nothing out.
+    """
+    longer = F.size(xa) - F.size(xb)
+    x, y = F.when(longer > 0, _halved(xa)).otherwise(xa), F.when(longer < 0, _halved(xb)).otherwise(xb)
+    apart = F.aggregate(F.zip_with(x, y, lambda u, v: F.bit_count(u.bitwiseXOR(v))), F.lit(0), lambda s, k: s + k)
+    return F.coalesce(apart, F.lit(0)) * (t.num + t.den) <= (t.den - t.num) * (na + nb)
 
 
 def class_of(h: np.ndarray) -> int:
@@ -336,17 +350,21 @@ def can_link(na: Column, pa: Column, nb: Column, pb: Column, t: Threshold) -> Co
 
 
 def hub_round(lists: DataFrame, links: Links, check, round_: int, t: Threshold) -> Links:
-    """``links`` plus confirmed ones of each list's members with one of them, its hub, for lists that span several components.
+    """``links`` plus confirmed ones of each list's members with a few of them, its hubs, for lists that span several components.
 
-    A member is compared once a round, with the hub that most of its lists name; what is missed across components is left to later rounds
-    and to the comparison of all pairs that ends them.
+    A member is compared with the ``HUBS`` hubs that most of its lists name, so a round compares ``HUBS`` pairs a member at most, and a member
+    that is like a third of its group only still meets one of those. What is missed across components is left to later rounds and to the
+    comparison of all pairs that ends them.
     """
     now = links.on(lists)
-    state = now.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min_by(F.struct("id", "label", "n", "pos"), F.xxhash64("id", F.lit(round_))).alias("hub")).where("lo < hi")
-    now = now.join(state.select("key", "hub"), "key").where((F.col("label") != F.col("hub.label")) & can_link(F.col("n"), F.col("pos"), F.col("hub.n"), F.col("hub.pos"), t))
-    named = now.groupBy("id", F.col("hub.id").alias("to")).agg(F.count("*").alias("k"))
-    one = named.groupBy("id").agg(F.max_by("to", F.struct("k", F.xxhash64("to", F.lit(round_)))).alias("to"))
-    return links.plus(check(one.select(F.greatest("id", "to").alias("b"), F.least("id", "to").alias("a")).distinct()))
+    hubs = F.array(*[F.min_by(F.struct("id", "label", "n", "pos"), F.xxhash64("id", F.lit(HUBS * round_ + k))) for k in range(HUBS)])
+    state = now.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.array_distinct(hubs).alias("hubs")).where("lo < hi")
+    now = now.join(state.select("key", "hubs"), "key")
+    open_ = F.filter("hubs", lambda h: (F.col("label") != h["label"]) & can_link(F.col("n"), F.col("pos"), h["n"], h["pos"], t))
+    named = now.select("id", F.explode(F.transform(open_, lambda h: h["id"])).alias("to")).groupBy("id", "to").agg(F.count("*").alias("k"))
+    place = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("k"), F.xxhash64("to", F.lit(round_))))
+    some = named.withColumn("place", place).where(F.col("place") <= HUBS)
+    return links.plus(check(some.select(F.greatest("id", "to").alias("b"), F.least("id", "to").alias("a")).distinct()))
 
 
 def crowded(lists: DataFrame, links: Links, least: int) -> DataFrame:
@@ -357,10 +375,11 @@ def crowded(lists: DataFrame, links: Links, least: int) -> DataFrame:
 def list_links(lists: DataFrame, links: Links, check, limit: int, t: Threshold, sketches: DataFrame) -> Links:
     """``links`` plus those between members of one list that ``check`` confirms, as many as components need.
 
-    Hub rounds go on while more than ``limit`` pairs across components are left and rounds are; then all those pairs are compared, by
-    their ``sketches`` (id, sketch) before they become rows.
+    Hub rounds go on while more than ``limit`` pairs across components are left, the last round has made them fewer by a good share and
+    rounds are left; then all those pairs are compared, by their ``sketches`` (id, sketch) before they become rows.
     ``lists`` (key, id, n, pos: the set's size and the shingle's place in its order) is read several times: pass a stored table, which is given up.
     """
+    before = None
     for round_ in range(1, HUB_ROUNDS + 1):
         now = links.on(lists)
         many = now.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
@@ -371,7 +390,9 @@ def list_links(lists: DataFrame, links: Links, check, limit: int, t: Threshold,
         if not across:
             released(now)
             return links
-        if across <= limit or round_ == HUB_ROUNDS:
+        stuck = before is not None and across > GAIN * before
+        before = across
+        if across <= limit or stuck or round_ == HUB_ROUNDS:
             held = now.join(sketches, "id")
             x, y = (held.select("key", *[F.col(c).alias(f"{s}_{c}") for c in ("id", "label", "n", "pos", "sketch")]) for s in "ab")
             open_ = ((F.col("a_label") != F.col("b_label")) & (F.col("a_id") < F.col("b_id")) & can_link(F.col("a_n"), F.col("a_pos"), F.col("b_n"), F.col("b_pos"), t)

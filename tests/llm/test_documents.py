@@ -175,6 +175,31 @@ def test_sketches_never_rule_a_link_out(spark):
     assert all(r.may for r in got if r.linked) and not all(r.may for r in got)
 
 
+def test_sketches_of_long_unlike_sets_rule_pairs_out(spark):
+    rng = np.random.default_rng(6)
+    t = ngram_join.Threshold(80, 100)
+    rows = [(n, ngram_join.parity(rng.integers(0, 1 << 62, n).astype(np.uint64)), m, ngram_join.parity(rng.integers(0, 1 << 62, m).astype(np.uint64)))
+            for n, m in ((2000, 2000), (1800, 2100), (1000, 1030), (300, 290))]
+    df = spark.createDataFrame(rows, "na long, a binary, nb long, b binary").select("*", ngram_join.sketch_of("a").alias("xa"), ngram_join.sketch_of("b").alias("xb"))
+    assert not any(r.may for r in df.select(ngram_join.may_link(F.col("na"), F.col("xa"), F.col("nb"), F.col("xb"), t).alias("may")).collect())
+
+
+def test_members_of_a_list_meet_several_hubs(spark):
+    """Of a chain of near copies few meet a hub that is like them, so a round needs several hubs; pairs grow with members, not with their square."""
+    n, seen = 120, []
+    empty = ngram_join.stored(spark.createDataFrame([], "a long, b long"), "links")
+    lists = ngram_join.stored(spark.createDataFrame([(k, i, 100, 0) for k in range(6) for i in range(n)], "key long, id long, n long, pos int"), "lists")
+
+    def check(pairs):
+        seen.append([(r.a, r.b) for r in pairs.collect()])
+        return ngram_join.stored(pairs.where("b - a <= 40"), "linked")
+
+    links = ngram_join.hub_round(lists, ngram_join.Links.of(empty), check, 0, ngram_join.Threshold())
+    met = {i: {a + b - i for a, b in seen[0] if i in (a, b)} for i in range(n)}
+    assert min(map(len, met.values())) >= ngram_join.HUBS - 1 and len(seen[0]) <= ngram_join.HUBS * n
+    assert links.pairs.count() == sum(b - a <= 40 for a, b in seen[0])
+
+
 def test_fingerprint_query_brings_near_copies_together(spark, tmp_path):
     from retailpot.llm.queries import QUERIES
 
