@@ -1,5 +1,6 @@
 """Steps over all transactions shuffle their rows once and compute their input once."""
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -90,3 +91,35 @@ def test_places_are_classified_once(spark):
     got = spatial.poi_radius_counts(outlets, outlets, pois, fx.FIXTURE).first()
     assert seen.value == 500 and got.schools_2000m > got.schools_500m > 0 and got.markets_2000m == 0
     assert spatial.classified(pois, c.FLAT_POI_RULES).count() == 250
+
+
+def test_layers_are_built_side_by_side_and_once(spark, tmp_path):
+    """Two layers over a common one run at the same time, the common one is built once, and a failure reaches the caller."""
+    import threading
+
+    from retailpot.plans import lake
+
+    both, built = threading.Barrier(2, timeout=60), []
+
+    class Two(lake.Lake):
+        def _build_below(self):
+            built.append("below")
+            return self.spark.range(5)
+
+        def _build_x(self):
+            both.wait()
+            return self["below"].selectExpr("id + 1 AS id")
+
+        def _build_y(self):
+            both.wait()
+            return self["below"].selectExpr("id * 2 AS id")
+
+        def _build_bad(self):
+            raise ValueError("no such rows")
+
+    two = Two(spark, f"{tmp_path}/side", lake.fx.FIXTURE)
+    two.together("x", "y")
+    assert built == ["below"] and set(two._ready) == {"below", "x", "y"}
+    assert sorted(r.id for r in two["x"].collect()) == [1, 2, 3, 4, 5] and sorted(r.id for r in two["y"].collect()) == [0, 2, 4, 6, 8]
+    with pytest.raises(ValueError, match="no such rows"):
+        two.together("x", "bad")
