@@ -45,8 +45,9 @@ def signed_sets(texts: list) -> tuple[np.ndarray, list[int], list[int], list[byt
         begin = np.flatnonzero(np.diff(doc, prepend=-1))
         rows = first + doc[begin]
         out[rows] = _least(h, begin)
-        for i, one in zip(rows.tolist(), np.split(h, begin[1:]), strict=True):
-            n[i], cls[i], bits[i] = len(one), ngram_join.class_of(one), ngram_join.parity(one)
+        size = np.diff(begin, append=len(h))
+        for i, *one in zip(rows.tolist(), size.tolist(), ngram_join.classes_of(h, begin, size).tolist(), ngram_join.parities(h, begin, size), strict=True):
+            n[i], cls[i], bits[i] = one
     return out, n, cls, bits
 
 

@@ -25,6 +25,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
@@ -45,6 +46,8 @@ HUB_ROUNDS = 4
 HUBS = 4                # hubs of a list, and hubs that a member is compared with, in a round
 GAIN = 0.75             # share of the pairs left that a further round must leave at most for another one to follow
 LINK_BLOCK = 500_000    # links that one task merges
+BUCKET_BITS = 10        # entries with equal keys meet in one of 2 ** this many groups
+HELD = 1 << 18          # entries that a task puts in order at once
 _U = np.uint64
 
 
@@ -84,10 +87,17 @@ def bitmap_bytes(n: int) -> int:
     return max(16, 1 << max(0, int(n - 1).bit_length() - 3))
 
 
+def parities(h: np.ndarray, begin: np.ndarray, n: np.ndarray) -> list[bytes]:
+    """Parity bitmaps of the sets of ``n`` hashes each that lie in ``h`` from ``begin`` on."""
+    size = np.maximum(16, 1 << np.maximum(0, np.frexp(n - 1.0)[1] - 3).astype(np.int64))  # bitmap_bytes
+    end = np.cumsum(size)
+    at = ((mix(h) >> _U(3)).astype(np.int64) & np.repeat(size * 8 - 1, n)) + np.repeat((end - size) * 8, n)
+    bits = np.packbits((np.bincount(at, minlength=int(size.sum()) * 8) & 1).astype(np.uint8)).tobytes()
+    return [bits[e - k : e] for e, k in zip(end.tolist(), size.tolist(), strict=True)]
+
+
 def parity(h: np.ndarray) -> bytes:
-    size = bitmap_bytes(len(h))
-    bit = np.bincount((mix(h) >> _U(3)).astype(np.int64) & (size * 8 - 1), minlength=size * 8) & 1
-    return np.packbits(bit.astype(np.uint8)).tobytes()
+    return parities(h, np.zeros(1, np.int64), np.array([len(h)]))[0]
 
 
 def difference_bound(a: bytes, b: bytes) -> int:
@@ -120,21 +130,46 @@ def may_link(na: Column, xa: Column, nb: Column, xb: Column, t: Threshold) -> Co
     return F.coalesce(apart, F.lit(0)) * (t.num + t.den) <= (t.den - t.num) * (na + nb)
 
 
-def class_of(h: np.ndarray) -> int:
-    """Digest of a set of distinct hashes."""
-    return int(mix(np.array([mix(h + _U(len(h))).sum()], np.uint64)).view(np.int64)[0])
+def classes_of(h: np.ndarray, begin: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Digests of the sets of ``n`` distinct hashes each that lie in ``h`` from ``begin`` on."""
+    return mix(np.add.reduceat(mix(h + np.repeat(n.astype(np.uint64), n)), begin)).view(np.int64) if len(h) else np.zeros(0, np.int64)
 
 
 SETS = "doc_id long, text_hash long, n long, cls long, prefix array<long>, elements array<long>, bits binary"
 
 
+class Sets(NamedTuple):
+    """Shingle sets of a chunk of texts: the place of each text with words, its number of shingles, and the sorted distinct hashes from ``begin`` on."""
+
+    at: np.ndarray
+    n: np.ndarray
+    begin: np.ndarray
+    h: np.ndarray
+
+    @staticmethod
+    def of(texts: list[bytes], width: int) -> Sets:
+        doc, h = distinct_per_doc(*shingle_hashes(Words(texts, lower=True), width))
+        begin = np.flatnonzero(np.diff(doc, prepend=-1))
+        return Sets(doc[begin], np.diff(begin, append=len(h)), begin, h)
+
+    def classes(self) -> np.ndarray:
+        return classes_of(self.h, self.begin, self.n)
+
+    def first(self, k: np.ndarray) -> np.ndarray:
+        """Marks the first ``k`` hashes of each set."""
+        return np.arange(len(self.h)) < np.repeat(self.begin + k, self.n)
+
+
+def _lists(values: np.ndarray, sizes: np.ndarray, some: np.ndarray | None = None) -> pa.ListArray:
+    """Lists of longs of the given sizes; null where ``some`` is false."""
+    offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+    return pa.ListArray.from_arrays(offsets, pa.array(values.view(np.int64)), mask=None if some is None else pa.array(~some))
+
+
 def _chunked_sets(texts: list, width: int):
-    """Chunk by chunk: the range of texts and (index, sorted distinct hashes) of each one with words."""
+    """Chunk by chunk: the first text's index, the number of texts and their ``Sets``."""
     for first, part in chunks(texts):
-        doc, h = distinct_per_doc(*shingle_hashes(Words(part, lower=True), width))
-        begin = np.flatnonzero(np.diff(doc, prepend=-1))
-        sets = np.split(h, begin[1:]) if len(begin) else []
-        yield range(first, first + len(part)), list(zip((first + doc[begin]).tolist(), sets, strict=True))
+        yield first, len(part), Sets.of(part, width)
 
 
 def document_sets(docs: DataFrame, width: int, t: Threshold) -> DataFrame:
@@ -142,17 +177,42 @@ def document_sets(docs: DataFrame, width: int, t: Threshold) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            ids, hashes = b["doc_id"].astype("Int64").tolist(), b["text_hash"].tolist()
-            for span, sets in _chunked_sets(b["text"].tolist(), width):
-                rows, empty = [], set(span)
-                for i, h in sets:
-                    n, signed = len(h), h.view(np.int64)
-                    rows.append((ids[i], hashes[i], n, class_of(h), signed[: t.prefix(n)], signed if n <= LIGHT_LIMIT else None, parity(h)))
-                    empty.discard(i)
-                rows += [(ids[i], hashes[i], 0, 0, None, None, None) for i in sorted(empty)]
-                yield pd.DataFrame(rows, columns=["doc_id", "text_hash", "n", "cls", "prefix", "elements", "bits"]).astype({"doc_id": "Int64"})
-
-    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text").mapInPandas(run, SETS)
+            for first, many, sets in _chunked_sets(b["text"].to_pylist(), width):
+                n, cls, bits = np.zeros(many, np.int64), np.zeros(many, np.int64), [None] * many
+                n[sets.at], cls[sets.at] = sets.n, sets.classes()
+                for i, x in zip(sets.at.tolist(), parities(sets.h, sets.begin, sets.n), strict=True):
+                    bits[i] = x
+                some, light = n > 0, (n > 0) & (n <= LIGHT_LIMIT)
+                prefix = np.where(some, t.prefix(n), 0)
+                yield pa.RecordBatch.from_arrays([
+                    *[b[c].slice(first, many) for c in ("doc_id", "text_hash")], pa.array(n), pa.array(cls),
+                    _lists(sets.h[sets.first(prefix[sets.at])], prefix, some), _lists(sets.h[np.repeat(light[sets.at], sets.n)], np.where(light, n, 0), light),
+                    pa.array(bits, pa.binary())], ["doc_id", "text_hash", "n", "cls", "prefix", "elements", "bits"])
+
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(run, SETS)
+
+
+class Frequent(NamedTuple):
+    """Sorted hashes of frequent shingles and their levels; ``some`` tells by its first bits that a hash is none."""
+
+    keys: np.ndarray
+    levels: np.ndarray
+    some: np.ndarray
+
+    @staticmethod
+    def of(keys: np.ndarray, levels: np.ndarray) -> Frequent:
+        some = np.zeros(1 << 22, bool)
+        some[(keys >> _U(42)).astype(np.int64)] = True
+        return Frequent(keys, levels, some)
+
+    def level(self, h: np.ndarray) -> np.ndarray:
+        """Level of each hash, 0 where it is not frequent."""
+        out = np.zeros(len(h), np.int8)
+        maybe = np.flatnonzero(self.some[(h >> _U(42)).astype(np.int64)])
+        at = np.minimum(np.searchsorted(self.keys, h[maybe]), len(self.keys) - 1)
+        hit = self.keys[at] == h[maybe]
+        out[maybe[hit]] = self.levels[at[hit]]
+        return out
 
 
 def reordered_prefixes(docs: DataFrame, width: int, t: Threshold, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
@@ -160,41 +220,133 @@ def reordered_prefixes(docs: DataFrame, width: int, t: Threshold, frequent: tupl
     shared = docs.sparkSession.sparkContext.broadcast(frequent)  # at most 2 ** FREQUENT_BITS shingles a round
 
     def run(batches):
-        keys, levels = shared.value
+        often = Frequent.of(*shared.value)
         for b in batches:
-            for _, sets in _chunked_sets(b["text"].tolist(), width):
-                rows = []
-                for _, h in sets:
-                    p = t.prefix(len(h))
-                    at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-                    level = np.where(keys[at] == h, levels[at], 0)
-                    if level[:p].any():
-                        rows.append((class_of(h), h[np.lexsort((h, level))[:p]].view(np.int64)))
-                yield pd.DataFrame(rows, columns=["id", "prefix"])
+            for _, _, sets in _chunked_sets(b["text"].to_pylist(), width):
+                level, p = often.level(sets.h), t.prefix(sets.n)
+                moved = np.flatnonzero(np.add.reduceat(sets.first(p) & (level > 0), sets.begin)) if len(sets.h) else np.zeros(0, int)
+                out = [np.zeros(0, np.uint64)]
+                for i in moved.tolist():
+                    begin, end = sets.begin[i], sets.begin[i] + sets.n[i]
+                    out.append(sets.h[begin:end][np.argsort(level[begin:end], kind="stable")[: p[i]]])
+                yield pa.RecordBatch.from_arrays([pa.array(sets.classes()[moved]), _lists(np.concatenate(out), p[moved])], ["id", "prefix"])
+
+    return docs.select("text").mapInArrow(run, "id long, prefix array<long>")
+
+
+def _dealt(entries, columns: dict[str, type], ordered):
+    """Rows (bucket, a blob per column) of ``entries``, batches of arrays of which the first holds keys; ``ordered`` puts many of them in the order of their keys."""
+    names, held, size = ["bucket", *columns], [], 0
+
+    def flush():
+        arrays = ordered(*[np.concatenate(x) for x in zip(*held, strict=True)])
+        cuts = np.searchsorted(arrays[0] >> _U(64 - BUCKET_BITS), np.arange((1 << BUCKET_BITS) + 1, dtype=np.uint64))
+        some = np.flatnonzero(np.diff(cuts))
+        blobs = [[a[i:j].tobytes() for i, j in zip(cuts[some].tolist(), cuts[some + 1].tolist(), strict=True)]
+                 for a in (x.astype(kind, copy=False) for x, kind in zip(arrays, columns.values(), strict=True))]
+        return pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), *[pa.array(x, pa.binary()) for x in blobs]], names)
+
+    for arrays in entries:
+        held.append(arrays)
+        size += len(arrays[0])
+        if size >= HELD:
+            yield flush()
+            held, size = [], 0
+    if size:
+        yield flush()
+
+
+def _met(dealt: DataFrame, columns: dict[str, type], answer, schema: str) -> DataFrame:
+    """What ``answer`` makes of the entries of each bucket, given in the order of their keys beside the places where a new key begins."""
+
+    def run(table: pa.Table) -> pa.Table:
+        arrays = [np.frombuffer(b"".join(table[c].to_pylist()), kind) for c, kind in columns.items()]
+        order = np.argsort(arrays[0])
+        arrays = [a[order] for a in arrays]
+        return answer(np.flatnonzero(np.diff(arrays[0], prepend=~arrays[0][:1])), *arrays)
+
+    return dealt.groupBy("bucket").applyInArrow(run, schema)
+
+
+COUNTED = {"key": np.uint64, "k": np.int64}
 
-    return docs.select("text").mapInPandas(run, "id long, prefix array<long>")
 
+def _counted(keys) -> tuple[np.ndarray, np.ndarray]:
+    return np.unique(keys, return_counts=True)
 
-def wide_counts(docs: DataFrame, width: int, t: Threshold, frequent: np.ndarray) -> DataFrame:
-    """(key, k): how often shingles occur among the first ``WIDE`` prefixes' worth of the documents that list a ``frequent`` one (sorted hashes).
+
+def _many(dealt: DataFrame, least: int) -> DataFrame:
+    """(key, k) of the keys that occur more than ``least`` times."""
+
+    def answer(begin, key, k):
+        total = np.add.reduceat(k, begin)
+        return pa.table({"key": key[begin][total > least].view(np.int64), "k": total[total > least]})
+
+    return _met(dealt, COUNTED, answer, "key long, k long")
+
+
+DEALT = "bucket int, " + ", ".join(f"{c} binary" for c in COUNTED)
+
+
+def wide_counts(docs: DataFrame, width: int, t: Threshold, frequent: np.ndarray, least: int) -> DataFrame:
+    """(key, k): shingles that occur more than ``least`` times among the first ``WIDE`` prefixes' worth of the documents that list a ``frequent`` one (sorted hashes).
 
     When frequent shingles move back, a document lists what comes next; these counts tell beforehand which of that is frequent too.
     """
     shared = docs.sparkSession.sparkContext.broadcast(frequent)  # at most 2 ** FREQUENT_BITS shingles
 
     def run(batches):
-        keys = shared.value
+        often = Frequent.of(shared.value, np.ones(len(shared.value), np.int8))
+
+        def entries():
+            for b in batches:
+                for _, _, sets in _chunked_sets(b["text"].to_pylist(), width):
+                    if len(sets.h):
+                        p = t.prefix(sets.n)
+                        listing = np.add.reduceat(sets.first(p) & (often.level(sets.h) > 0), sets.begin) > 0
+                        yield (sets.h[sets.first(np.where(listing, WIDE * p, 0))],)
+
+        yield from _dealt(entries(), COUNTED, _counted)
+
+    return _many(docs.select("text").mapInArrow(run, DEALT), least)
+
+
+def listed_counts(heavy: DataFrame, least: int) -> DataFrame:
+    """(key, k): shingles that more than ``least`` of the sets ``heavy`` (prefix) list."""
+
+    def run(batches):
+        yield from _dealt(((b["prefix"].flatten().to_numpy().view(np.uint64),) for b in batches), COUNTED, _counted)
+
+    return _many(heavy.select("prefix").mapInArrow(run, DEALT), least)
+
+
+POSTINGS = {"key": np.uint64, "id": np.int64, "n": np.int64, "pos": np.int32}
+
+
+def shared_lists(heavy: DataFrame) -> DataFrame:
+    """(key, id, n, pos): the sets ``heavy`` (id, n, prefix) by the shingles that several of them list, and the shingle's place in each set's order.
+
+    Most shingles are listed once. Entries travel as columns of numbers, and only the shared ones become rows.
+    """
+
+    def entries(batches):
         for b in batches:
-            for _, sets in _chunked_sets(b["text"].tolist(), width):
-                out = [np.zeros(0, np.uint64)]
-                for _, h in sets:
-                    p = t.prefix(len(h))
-                    if (keys[np.minimum(np.searchsorted(keys, h[:p]), len(keys) - 1)] == h[:p]).any():
-                        out.append(h[: WIDE * p])
-                key, k = np.unique(np.concatenate(out), return_counts=True)
-                yield pd.DataFrame({"key": key.view(np.int64), "k": k})
+            sizes = b["prefix"].value_lengths().to_numpy(zero_copy_only=False)
+            end = np.cumsum(sizes)
+            pos = np.arange(int(sizes.sum())) - np.repeat(end - sizes, sizes)
+            yield b["prefix"].flatten().to_numpy().view(np.uint64), np.repeat(b["id"].to_numpy(), sizes), np.repeat(b["n"].to_numpy(), sizes), pos
+
+    def ordered(*arrays):
+        order = np.argsort(arrays[0])
+        return [a[order] for a in arrays]
+
+    def answer(begin, key, id_, n, pos):
+        size = np.diff(begin, append=len(key))
+        some = np.repeat(size > 1, size)
+        return pa.table({"key": key[some].view(np.int64), "id": id_[some], "n": n[some], "pos": pos[some]})
 
-    return docs.select("text").mapInPandas(run, "key long, k long").groupBy("key").agg(F.sum("k").alias("k"))
+    dealt = heavy.select("id", "n", "prefix").mapInArrow(lambda batches: _dealt(entries(batches), POSTINGS, ordered), "bucket int, " + ", ".join(f"{c} binary" for c in POSTINGS))
+    return _met(dealt, POSTINGS, answer, "key long, id long, n long, pos int")
 
 
 def light_links(reps: DataFrame, limit: int, t: Threshold) -> DataFrame:
@@ -261,12 +413,12 @@ def whole_sets(docs: DataFrame, reps: DataFrame, ids: DataFrame, width: int) ->
     def run(batches):
         for b in batches:
             h = b["h"].to_numpy()
-            b = b[(shared.value[h >> 3] >> (h & 7)) & 1 == 1]
-            for _, sets in _chunked_sets(b["text"].tolist(), width):
-                yield pd.DataFrame([(class_of(x), x.view(np.int64)) for _, x in sets], columns=["id", "elements"])
+            texts = b["text"].filter(pa.array((shared.value[h >> 3] >> (h & 7)) & 1 == 1)).to_pylist()
+            for _, _, sets in _chunked_sets(texts, width):
+                yield pa.RecordBatch.from_arrays([pa.array(sets.classes()), _lists(sets.h, sets.n)], ["id", "elements"])
 
     h = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(1 << bits))
-    return docs.select("text", h.alias("h")).mapInPandas(run, "id long, elements array<long>")
+    return docs.select("text", h.alias("h")).mapInArrow(run, "id long, elements array<long>")
 
 
 def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, t: Threshold) -> DataFrame:
@@ -428,12 +580,10 @@ def exact_links(docs: DataFrame, reps: DataFrame, width: int, t: Threshold, link
 
     entries = heavy.agg(F.sum(F.size("prefix"))).first()[0] or 0
     least = max(LONG_LIST, entries >> FREQUENT_BITS)
-    counts = heavy.select(F.explode("prefix").alias("key")).groupBy("key").agg(F.count("*").alias("k"))
-    found, frequent = counts.where(F.col("k") > least).collect(), (np.zeros(0, np.uint64), np.zeros(0, np.int8))  # at most entries / least
+    found, frequent = listed_counts(heavy, least).collect(), (np.zeros(0, np.uint64), np.zeros(0, np.int8))  # at most entries / least
     if found:
         listed = np.sort(np.array([r.key for r in found], np.int64).view(np.uint64))
-        wide = wide_counts(docs, width, t, listed)
-        found = wide.where(F.col("k") > max(least, WIDE * entries >> FREQUENT_BITS)).collect()
+        found = wide_counts(docs, width, t, listed, max(least, WIDE * entries >> FREQUENT_BITS)).collect()
     lists = None
     while True:
         new = np.array([r.key for r in found], np.int64).view(np.uint64)
@@ -447,8 +597,7 @@ def exact_links(docs: DataFrame, reps: DataFrame, width: int, t: Threshold, link
             before, heavy = heavy, reps.where(F.col("n") >= t.least(limit + 1)).select("id", "n", "prefix").join(moved, "id", "left")
             heavy = stored(heavy.select("id", "n", F.coalesce("_p", "prefix").alias("prefix")), "prefixes")
             released(before)
-        postings = heavy.select(F.posexplode("prefix").alias("pos", "key"), "id", "n")
-        before, lists = lists, stored(postings.join(postings.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key"), "key"), "lists")
+        before, lists = lists, stored(shared_lists(heavy), "lists")
         if before is not None:
             released(before)
         links = hub_round(lists, links, check, 0, t)

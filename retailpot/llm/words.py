@@ -102,26 +102,32 @@ class Words:
 
 def shingle_hashes(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
     """(document, hash) of each run of ``width`` words; a text with fewer words gives its whole sequence as one; none gives nothing."""
-    h, n = words.hashes(), words.per_doc
-    doc = np.repeat(np.arange(words.n_docs), np.where(n == 0, 0, np.maximum(n - width + 1, 1)))
+    h, n = words.hashes() | _U(1), words.per_doc
+    runs = np.where(n == 0, 0, np.maximum(n - width + 1, 1))
+    doc = np.repeat(np.arange(words.n_docs), runs)
     if not len(doc):
         return doc, np.zeros(0, np.uint64)
-    before = np.concatenate(([0], np.cumsum(np.bincount(doc, minlength=words.n_docs))))
-    at = words.first[doc] + np.arange(len(doc)) - before[doc]
-    total = np.full(len(at), width, np.uint64)
-    left = words.first[doc + 1] - at
+    sums = np.full(len(h), width, np.uint64)  # from each word on, over the borders of texts: runs of whole width lie within one
+    short = np.flatnonzero((n > 0) & (n < width))
+    first = words.first[short]
+    within = np.full(len(short), width, np.uint64)
     multiplier = 1
     for k in range(width):
         multiplier = multiplier * 0xD6E8FEB86659FD93 % (1 << 64)
-        inside = left > k
-        total += np.where(inside, (h[np.minimum(at + k, len(h) - 1)] | _U(1)) * _U(multiplier), _U(0))
-    return doc, mix(total)
+        sums[: max(0, len(h) - k)] += h[k:] * _U(multiplier)
+        some = n[short] > k
+        within[some] += h[first[some] + k] * _U(multiplier)
+    sums[first] = within
+    before = np.cumsum(runs) - runs
+    return doc, mix(sums[np.arange(len(doc)) + np.repeat(words.first[:-1] - before, runs)])
 
 
 def distinct_per_doc(doc: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (document, hash) pairs ordered by document, then hash."""
-    order = np.lexsort((h, doc))
-    doc, h = doc[order], h[order]
+    """Distinct (document, hash) pairs ordered by document, then hash; ``doc`` comes in ascending order."""
+    h = h.copy()
+    edges = [0, *(np.flatnonzero(np.diff(doc)) + 1).tolist(), len(doc)]
+    for a, b in zip(edges, edges[1:]):
+        h[a:b].sort()
     keep = np.ones(len(h), bool)
     keep[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
     return doc[keep], h[keep]

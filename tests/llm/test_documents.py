@@ -433,3 +433,40 @@ def test_pages_give_back_their_documents(spark):
 
     hits = [r.text.removeprefix(html.unescape(heads[r.page_id])).strip() in docs for r in html_text.extract(pages).collect()]
     assert np.mean(hits) == 1
+
+
+def test_entries_become_rows_only_where_they_are_shared(spark, monkeypatch):
+    """Counts and lists of shingles come from one shuffle of packed columns each: no row an entry, no join of the entries with their counts."""
+    monkeypatch.setattr(ngram_join, "HELD", 7)
+    rng = np.random.default_rng(4)
+    hot = [-(1 << 62), -5, 3, 1 << 62]
+    sets = [(i, 100 + i % 3, [*hot[: i % 5], *rng.integers(-(1 << 63), (1 << 63) - 1, 3).tolist()]) for i in range(40)]
+    heavy = spark.createDataFrame(sets, "id long, n long, prefix array<long>").repartition(3)
+    by_key = {}
+    for i, n, prefix in sets:
+        for pos, key in enumerate(prefix):
+            by_key.setdefault(key, []).append((key, i, n, pos))
+    lists = ngram_join.shared_lists(heavy)
+    plan = lists._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning") == 1 and "Join" not in plan and "Generate" not in plan
+    assert sorted(map(tuple, lists.collect())) == sorted(r for rows in by_key.values() if len(rows) > 1 for r in rows)
+    assert sorted(map(tuple, ngram_join.listed_counts(heavy, 16).collect())) == sorted((k, len(r)) for k, r in by_key.items() if len(r) > 16)
+    assert ngram_join.shared_lists(heavy.limit(0)).count() == 0 and ngram_join.listed_counts(heavy.limit(0), 0).count() == 0
+
+
+def test_sets_of_a_chunk_equal_sets_one_by_one():
+    rng = np.random.default_rng(5)
+    texts = [" ".join(rng.choice(list("abcDE"), n)).encode() for n in (0, 1, 2, 3, 4, 5, 9, 0, 60, 300, 2)]
+    for width in (1, 4):
+        sets = ngram_join.Sets.of(texts, width)
+        words = [t.decode().lower().split() for t in texts]
+        runs = [{tuple(w[i : i + width]) for i in range(max(1, len(w) - width + 1))} if w else set() for w in words]
+        assert sets.at.tolist() == [i for i, r in enumerate(runs) if r] and sets.n.tolist() == [len(r) for r in runs if r]
+        alone = [ngram_join.Sets.of([texts[i]], width) for i in sets.at]
+        for i, (h, one) in enumerate(zip(np.split(sets.h, sets.begin[1:]), alone, strict=True)):
+            assert np.array_equal(h, one.h) and (np.diff(h.view(np.uint64)) > 0).all()
+            assert sets.classes()[i] == one.classes()[0] and ngram_join.parities(sets.h, sets.begin, sets.n)[i] == ngram_join.parity(h)
+            assert len(ngram_join.parity(h)) == ngram_join.bitmap_bytes(len(h))
+    often = ngram_join.Frequent.of(np.sort(sets.h)[::3], np.arange(len(sets.h[::3]), dtype=np.int8))
+    want = dict(zip(often.keys.tolist(), often.levels.tolist(), strict=True))
+    assert often.level(sets.h).tolist() == [want.get(x, 0) for x in sets.h.tolist()]
