@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from retailpot.config import Config
 from retailpot.functions import geo
-from retailpot.operators import clusters, spatial
+from retailpot.operators import clusters, neighbours, spatial
 from retailpot.sources import geojson
 
 CFG = Config()
@@ -183,3 +183,45 @@ def test_a_crowded_cell_is_joined_by_levels(spark, monkeypatch):
     got = {r.Outlet_ID: r.competitors_500m for r in spatial.competitor_counts(df, CFG).collect()}
     for i in range(0, 5000, 250):
         assert got[f"p{i}"] == sum(km(pts[i], q) <= 0.5 for q in pts) - 1
+
+
+@pytest.mark.parametrize("ranges", [1, 5])
+def test_pois_near_outlet_in_order_without_shuffled_pairs(spark, monkeypatch, ranges):
+    """Rows equal brute force, by outlet and nearest first; the plan has no exchange of pairs and no sort behind them."""
+    monkeypatch.setattr(neighbours, "LIST", 3)
+    monkeypatch.setattr(neighbours, "BATCH_PAIRS", 50)
+    if ranges > 1:
+        monkeypatch.setattr(neighbours, "RANGE_PAIRS", 900)
+    outlets = [(f"p{i:04d}", float(a), float(b)) for i, (a, b) in enumerate(cloud(3, 60, 0.03))]
+    outlets += [outlets[7], ("p0008", 7.02, 80.0), ("nowhere", None, 80.0), ("nan", math.nan, 80.0), ("alone", 7.0, 80.0)]
+    links = [(o, i % 3) for i, (o, _, _) in enumerate(outlets[:-1])] + [("p0005", 0), ("p0005", 1), ("p0005", 1), ("p0006", 9), ("p0009", None)]
+    pois = [(i, i % 3, float(a), float(b), {"shop": str(i)}) for i, (a, b) in enumerate(cloud(8, 70, 0.03))]
+    pois += [pois[4], (900, None, 7.0, 80.0, None), (901, 1, None, 80.0, None), (None, 1, 7.0, 80.0, None)]
+    points = spark.createDataFrame(outlets, "Outlet_ID string, Latitude double, Longitude double")
+    tiles = spark.createDataFrame(links, "outlet_id string, cluster_id int")
+    places = spark.createDataFrame(pois, "poi_id long, cluster_id int, lat double, lon double, tags map<string,string>")
+    want = [(o, p, c, math.floor(km((y, x), (lat, lon)) * 1000 + 0.5), lat, tags) for o, y, x in outlets if y is not None and not math.isnan(y)
+            for l, c in links if l == o for p, d, lat, lon, tags in pois if d is not None and c == d and lat is not None and km((y, x), (lat, lon)) <= 2]
+    df = spatial.pois_near_outlet(points, tiles, places, CFG)
+    assert df.columns == ["Outlet_ID", "poi_id", "cluster_id", "lat", "lon", "tags", "distance_meters"]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    behind = plan[: plan.index("MapInArrow")]
+    assert "Exchange" not in behind and "Sort" not in behind and plan.count("MapInArrow") == 1
+    got = [(r.Outlet_ID, r.poi_id, r.cluster_id, r.distance_meters, r.lat, r.tags) for r in df.collect()]
+    assert len(want) > 500 and sorted(map(repr, got)) == sorted(map(repr, want))
+    assert [(g[0], g[3]) for g in got] == sorted((g[0], g[3]) for g in got)
+    few = spatial.pois_near_outlet(points, tiles, places, CFG, columns=("poi_id",))
+    assert few.columns == ["Outlet_ID", "poi_id", "distance_meters"] and few.count() == len(want) and (df.rdd.getNumPartitions() > 1) == (ranges > 1)
+    assert spatial.pois_near_outlet(points, tiles, places.limit(0), CFG).count() == 0 and spatial.pois_near_outlet(points.limit(0), tiles, places, CFG).count() == 0
+
+
+def test_ordered_pairs_equal_the_join_of_locations(spark):
+    rng = np.random.default_rng(2)
+    at = lambda n: (rng.uniform(6.0, 6.1, n), rng.uniform(80.0, 80.1, n), rng.integers(0, 2, n))
+    frame = lambda x: spark.createDataFrame([(int(i), float(a), float(b), int(c)) for i, (a, b, c) in enumerate(zip(*x))], "id long, lat double, lon double, c int")
+    left, right = frame(at(200)), frame(at(150))
+    near = neighbours.near_rows(left, "id", right.withColumnRenamed("id", "to"), "c", ["c", "to"], 2.0, spatial.cell_sides(2.0, CFG))
+    pairs = spatial.within_radius(spatial.locations(left, "lat", "lon"), spatial.locations(right, "lat", "lon", ["c"]), 2.0, CFG, ["c"])
+    a, b = left.selectExpr("id", "lat a_lat", "lon a_lon", "c"), right.selectExpr("id to", "lat b_lat", "lon b_lon", "c")
+    want = pairs.join(a, ["a_lat", "a_lon", "c"]).join(b, ["b_lat", "b_lon", "c"]).selectExpr("id", "c", "to", "cast(floor(km * 1000 + 0.5) as bigint)")
+    assert rows(near) == rows(want) and near.count() > 1000
