@@ -45,6 +45,7 @@ WIDE = 3                # prefixes' worth of shingles that are counted where fre
 HUB_ROUNDS = 4
 HUBS = 4                # hubs of a list, and hubs that a member is compared with, in a round
 GAIN = 0.75             # share of the pairs left that a further round must leave at most for another one to follow
+MERGED = 0.01           # share by which a hub round must add to the links for another one to follow while frequent shingles are looked for
 LINK_BLOCK = 500_000    # links that one task merges
 BUCKET_BITS = 10        # entries with equal keys meet in one of 2 ** this many groups
 HELD = 1 << 18          # entries that a task puts in order at once
@@ -584,7 +585,7 @@ def exact_links(docs: DataFrame, reps: DataFrame, width: int, t: Threshold, link
     if found:
         listed = np.sort(np.array([r.key for r in found], np.int64).view(np.uint64))
         found = wide_counts(docs, width, t, listed, max(least, WIDE * entries >> FREQUENT_BITS)).collect()
-    lists = None
+    lists, merging = None, True
     while True:
         new = np.array([r.key for r in found], np.int64).view(np.uint64)
         fresh = ~np.isin(new, frequent[0])
@@ -600,7 +601,10 @@ def exact_links(docs: DataFrame, reps: DataFrame, width: int, t: Threshold, link
         before, lists = lists, stored(shared_lists(heavy), "lists")
         if before is not None:
             released(before)
-        links = hub_round(lists, links, check, 0, t)
+        if merging:
+            known = links.pairs.count()
+            links = hub_round(lists, links, check, 0, t)
+            merging = links.pairs.count() > known * (1 + MERGED)
         found = crowded(lists, links, least).collect()  # at most entries / least
         known = set(frequent[0].view(np.int64).tolist())
         if sum(r.k * r.k for r in found if r.key not in known) <= PAIRS_PER_ENTRY * entries:
